@@ -14,6 +14,8 @@ from rollmatch.functions.nulls import blank_to_null
 NO_INFO = "No info found"
 FAILED = "Processing failed"
 
+END_MARK = "end of reply"
+
 
 def row_json(names: Sequence[str]) -> Column:
     """The record as JSON text, null fields kept."""
@@ -23,9 +25,11 @@ def row_json(names: Sequence[str]) -> Column:
 def json_object(text: Column) -> Column:
     """Map of the JSON object between the first `{` and the last `}`; empty map when it does not parse."""
     body = F.regexp_extract(text, r"(?s)\{.*\}", 0)
-    # The variant parser reads the whole text, so trailing rubbish makes it null; the map parser would stop early.
-    whole = F.try_parse_json(F.nullif(body, F.lit("")))
-    parsed = F.when(whole.isNotNull(), F.from_json(body, "map<string,string>"))
+    # The parser stops behind the first value, so the object is read as the first of exactly two items: rubbish
+    # or a second object behind it spoils the pair.
+    pair = F.from_json(F.concat(F.lit("["), body, F.lit(f',"{END_MARK}"]')), "array<string>")
+    whole = (F.size(pair) == 2) & (pair.getItem(1) == END_MARK)
+    parsed = F.when(whole, F.from_json(body, "map<string,string>"))
     return F.coalesce(parsed, F.create_map().cast("map<string,string>"))
 
 

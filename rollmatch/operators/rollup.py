@@ -56,8 +56,12 @@ def _pieces(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], or
         F.sort_array(F.collect_list(row)).alias("__rows"), *extra)
 
 
-def _present(rows: Column, i: int) -> Column:
-    return F.filter(F.transform(rows, lambda r: r[f"v{i}"]), lambda v: v.isNotNull())
+def _field(rows: str, name: str) -> Column:
+    return F.transform(F.col(rows), lambda r: r[name])
+
+
+def _present(i: int) -> Column:
+    return F.filter(_field("__rows", f"v{i}"), lambda v: v.isNotNull())
 
 
 def concat_pieces(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str = ORDER,
@@ -69,7 +73,7 @@ def concat_pieces(df: DataFrame, keys: Sequence[str], columns: Sequence[str], or
     values = {c: without_tokens(col(c).cast("string"), tokens) for c in columns}
     pieces = _pieces(df, keys, values, order, block)
     return pieces.select(*cols(keys), F.col("__block").alias("piece"), *[
-        F.when(F.size(_present(F.col("__rows"), i)) > 0, F.array_join(_present(F.col("__rows"), i), sep)).alias(c)
+        F.when(F.size(_present(i)) > 0, F.array_join(_present(i), sep)).alias(c)
         for i, c in enumerate(columns)
     ])
 
@@ -85,7 +89,7 @@ def _join_pieces(pieces: DataFrame, keys: Sequence[str], columns: Sequence[str],
     ordered = F.sort_array(F.collect_list(F.struct("piece", *[col(c).alias(f"v{i}") for i, c in enumerate(columns)])))
     grouped = pieces.groupBy(*cols(keys)).agg(ordered.alias("__all"))
     return grouped.select(*cols(keys), *[
-        F.array_join(F.transform(F.col("__all"), lambda p, i=i: p[f"v{i}"]), sep).alias(c)
+        F.array_join(_field("__all", f"v{i}"), sep).alias(c)
         for i, c in enumerate(columns)
     ])
 
@@ -106,13 +110,13 @@ def _collect(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order:
     pieces = _pieces(df, keys, values, order, block, head)
     split = re.escape(sep)
     pieces = pieces.select(*cols(keys), F.col("__block"), *(["__first"] if first else []), *[
-        F.flatten(F.transform(_present(F.col("__rows"), i), lambda v: F.split(v, split))).alias(f"v{i}")
+        F.flatten(F.transform(_present(i), lambda v: F.split(v, split))).alias(f"v{i}")
         for i in range(len(columns))
     ])
     ordered = F.sort_array(F.collect_list(F.struct("__block", *[f"v{i}" for i in range(len(columns))])))
     top = [F.min_by("__first", "__block").alias("__first")] if first else []
     grouped = pieces.groupBy(*cols(keys)).agg(ordered.alias("__all"), *top)
-    lists = [F.flatten(F.transform(F.col("__all"), lambda p, i=i: p[f"v{i}"])) for i in range(len(columns))]
+    lists = [F.flatten(_field("__all", f"v{i}")) for i in range(len(columns))]
     return grouped.select(
         *cols(keys),
         *[F.col("__first").getField(c).alias(c) for c in first],
@@ -155,7 +159,7 @@ def roll_up_text(df: DataFrame, fill_columns: Sequence[str], concat_columns: Seq
     pieces = _pieces(filled, [key], values, order, block, extra)
     pieces = pieces.select(
         col(key), F.col("__block").alias("piece"), "__first", *[f"__x{i}" for i in range(len(named))],
-        *[F.when(F.size(_present(F.col("__rows"), i)) > 0, F.array_join(_present(F.col("__rows"), i), sep))
+        *[F.when(F.size(_present(i)) > 0, F.array_join(_present(i), sep))
           .alias(f"v{i}") for i in range(len(joined))])
     ordered = F.sort_array(F.collect_list(F.struct("piece", *[f"v{i}" for i in range(len(joined))])))
     grouped = pieces.groupBy(col(key)).agg(
@@ -163,7 +167,7 @@ def roll_up_text(df: DataFrame, fill_columns: Sequence[str], concat_columns: Seq
         *[F.max(f"__x{i}").alias(f"__x{i}") for i in range(len(named))])
     made: dict[str, Column] = {key: col(key)}
     for i, c in enumerate(joined):
-        text = F.array_join(F.transform(F.col("__all"), lambda p, i=i: p[f"v{i}"]), sep)
+        text = F.array_join(_field("__all", f"v{i}"), sep)
         made[c] = F.when(col(key).isNotNull(), text)
     for c in plain:
         made[c] = F.col("__first").getField(c)
