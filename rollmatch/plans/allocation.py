@@ -41,7 +41,7 @@ def allocate(inputs: DataFrame, nodes: DataFrame, jobs: DataFrame, vector: str,
     lists = [c for c in L.INPUT_COLUMNS if c != L.KEY]
     nothing = F.lit(True)
     for c in lists:
-        nothing = nothing & (col(c) == F.array(F.lit("NA")))
+        nothing = nothing & F.forall(col(c), lambda x: x == "NA")
     ranked = retrieve_jobs(
         inputs, nodes, k, L.KEY, vector, "id", {"title": "Job Title", "request": "Request Name"},
         searchable=~nothing, default=L.DEFAULT_RESULT, **options)

@@ -1,0 +1,489 @@
+"""End-to-end jobs over exports drawn from the test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rollmatch.functions.columns import col, quoted
+from rollmatch.functions.text import list_repr
+from rollmatch.operators.order import ORDER
+from rollmatch.plans import allocation, database, participants, requests, sync, tags
+from rollmatch.plans import layouts as L
+from rollmatch.queries.matching import NODES, VECTORS, job_nodes
+from rollmatch.queries.registry import query
+from rollmatch.queries.scalars import REPLY
+from rollmatch.session import load
+from rollmatch.sources.sqltables import run_sql
+
+CENTER, ANSWERS = "Center", ("Answer 1", "Answer 2")
+ROLLED, FILLED = L.rolled_columns(CENTER, ANSWERS), L.filled_columns(CENTER)
+
+
+def dq(name):
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _cell(i, name):
+    """Cell text of an export column: gaps, and a word that means missing, at places that differ by column."""
+    fixed = {
+        "SP ID": "CASE WHEN event_type = 'view' THEN CAST(user_id AS STRING) END",
+        "Gender": "CASE WHEN value >= 20 THEN event_type END",
+        "Age": "CASE WHEN value >= 30 THEN CAST(CAST(floor(value) AS BIGINT) AS STRING) END",
+        L.QUESTION: "CASE event_type WHEN 'click' THEN 'Work Experience' WHEN 'signup' THEN 'Education (Red Flags)' END",
+        L.SUMMARY: "CASE WHEN value >= 10 THEN props END",
+        L.COMMENTS: "CASE WHEN value >= 40 THEN props WHEN value >= 20 THEN event_type END",
+        L.GRADUATION: "CASE WHEN value >= 6 THEN CAST(2021 + CAST(floor(least(value / 10, 4)) AS INT) AS STRING) END",
+    }
+    return fixed.get(name, f"CASE WHEN value >= {i} THEN concat(event_type, ' {i}') WHEN value < 1 THEN 'NA' END")
+
+
+EXPORT_COLUMNS = list(dict.fromkeys([*ROLLED, *FILLED]))
+EXPORT = [(c, _cell(i, c)) for i, c in enumerate(EXPORT_COLUMNS)]
+
+
+def export(spark, sf):
+    return load(spark, sf, "events").selectExpr(
+        f"event_id AS {ORDER}", *[f"{expr} AS {quoted(name)}" for name, expr in EXPORT])
+
+
+def _fill_sql(columns, fill, source):
+    over = "OVER (ORDER BY _ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"SELECT _ord, " + ", ".join(
+        f"last_value({dq(c)} IGNORE NULLS) {over} AS {dq(c)}" if c in fill else dq(c) for c in columns) + f" FROM ({source})"
+
+
+def _roll_sql(columns, fill, concat, key, source, extra=""):
+    filled = _fill_sql(columns, fill, source)
+    k = dq(key)
+    cleaned = "SELECT _ord, " + ", ".join(
+        f"CASE WHEN {dq(c)} NOT IN ('<NA>', 'NA') THEN {dq(c)} END AS {dq(c)}" for c in columns) + f" FROM ({filled})"
+    ranked = f"SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY _ord) AS rn FROM ({cleaned})"
+    cells = []
+    for c in columns:
+        if c == key:
+            cells.append(k)
+        elif c in concat:
+            cells.append(f"CASE WHEN {k} IS NOT NULL THEN coalesce(string_agg({dq(c)}, ',' ORDER BY _ord), '') END AS {dq(c)}")
+        else:
+            cells.append(f"max(CASE WHEN rn = 1 THEN {dq(c)} END) AS {dq(c)}")
+    return f"SELECT {', '.join(cells)}{extra} FROM ({ranked}) GROUP BY {k}"
+
+
+EXPORT_SQL = "SELECT event_id AS _ord, " + ", ".join(f"{e} AS {dq(n)}" for n, e in EXPORT) + " FROM events"
+ROLLED_SQL = _roll_sql(ROLLED, L.PARTICIPANT_FILL, L.PARTICIPANT_CONCAT, "SP ID", EXPORT_SQL)
+
+
+@query(ROLLED_SQL)
+def g1_rolled_participants(spark, sf):
+    return participants.roll_up_participants(export(spark, sf), CENTER, ANSWERS)[0]
+
+
+PICKED = ", ".join(
+    f"""(SELECT {dq(value)} FROM f WHERE f."SP ID" = k."SP ID" AND {dq(L.QUESTION)} = '{question}'
+        ORDER BY _ord DESC LIMIT 1) AS {dq(out)}""" for out, (question, value) in L.FEEDBACK_PICKS.items())
+
+
+@query(f"""WITH f AS ({_fill_sql(ROLLED, L.PARTICIPANT_FILL, EXPORT_SQL)}), k AS (SELECT DISTINCT "SP ID" FROM f)
+       SELECT "SP ID", {PICKED} FROM k""")
+def g1_interviewer_feedback(spark, sf):
+    rolled, _ = participants.roll_up_participants(export(spark, sf), CENTER, ANSWERS, include_feedback=True)
+    return rolled.select(col("SP ID"), *[col(c) for c in L.FEEDBACK_PICKS])
+
+
+@query(f"SELECT DISTINCT {', '.join(map(dq, FILLED))} FROM ({_fill_sql(EXPORT_COLUMNS, L.PARTICIPANT_FILL, EXPORT_SQL)})")
+def g1_filled_rows(spark, sf):
+    return participants.roll_up_participants(export(spark, sf), CENTER, ANSWERS)[1]
+
+
+MAPPING = ("CAST(c_custkey AS STRING) AS `SP ID`", "concat('P', CAST(c_custkey AS STRING)) AS `Person Id`", "c_name AS Name")
+MAPPED_SQL = f"""SELECT r.*, coalesce(concat('P', c_custkey), '') AS "Person Id", coalesce(c_name, '') AS "Name"
+    FROM ({ROLLED_SQL}) r LEFT JOIN customer ON "SP ID" = CAST(c_custkey AS VARCHAR) AND c_mktsegment <> 'BUILDING'"""
+
+
+@query(MAPPED_SQL)
+def g2_mapped_participants(spark, sf):
+    mapping = load(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").selectExpr(*MAPPING)
+    return participants.map_ids(g1_rolled_participants(spark, sf), mapping)
+
+
+# Export as the allocation reads it. Users below 20 never say what they did; a missing end date spoils a record's dates.
+FROM_YEAR = "2000 + CAST(minute(ts) AS INT)"
+KNOWN = "CASE WHEN user_id >= 20 THEN {} END"
+RAW = {
+    "SP ID": "CASE WHEN event_type = 'view' THEN CAST(user_id AS STRING) END",
+    "Work Experience/Company": "CASE WHEN value >= 5 THEN props END",
+    "Work Experience/Designation": KNOWN.format("event_type"),
+    "Work Experience/Tasks": "concat('task ', event_type)",
+    "Work Experience/Industry": "event_type",
+    "Work Experience/From Date": f"concat(CAST({FROM_YEAR} AS STRING), '-1-5')",
+    "Work Experience/To Date": f"""CASE WHEN value < 300 THEN concat(CAST({FROM_YEAR} + 1 AS STRING), '-',
+        CAST(1 + CAST(floor(least(value, 11)) AS INT) AS STRING), '-02') END""",
+    "Education/Qualifications": KNOWN.format("CASE WHEN value >= 2 THEN concat('q ', event_type) END"),
+    "Education/Specialization": KNOWN.format("concat('s ', event_type)"),
+    "Skills": "CASE WHEN value >= 50 THEN concat('skill ', event_type) END",
+    "Any Additional Skills": "CASE WHEN value >= 20 THEN props END",
+    "Computer Skills": "CASE WHEN value >= 10 THEN 'typing' END",
+    "Languages": "CASE WHEN event_type <> 'error' THEN upper(event_type) END",
+    "Gender": "CASE WHEN value >= 5 THEN event_type END",
+    "Age": "CASE WHEN value >= 15 THEN CAST(CAST(floor(value) AS BIGINT) AS STRING) END",
+}
+FILL = [c for c in L.ALLOCATION_COLUMNS if c not in L.ALLOCATION_LISTS]
+
+
+def raw_participants(spark, sf):
+    return load(spark, sf, "events").selectExpr(
+        f"event_id AS {ORDER}", *[f"{RAW[c]} AS {quoted(c)}" for c in L.ALLOCATION_COLUMNS])
+
+
+def frame(spark, sf):
+    return participants.participant_frame(raw_participants(spark, sf))
+
+
+RAW_SQL = "SELECT event_id AS _ord, value, " + ", ".join(f"{RAW[c]} AS {dq(c)}" for c in L.ALLOCATION_COLUMNS) + " FROM events"
+WORDED = "SELECT _ord, value, " + ", ".join(
+    dq(c) if c == "SP ID" else f"""CASE WHEN "SP ID" IS NOT NULL THEN coalesce({dq(c)}, 'NA') ELSE {dq(c)} END AS {dq(c)}"""
+    for c in L.ALLOCATION_COLUMNS) + f" FROM ({RAW_SQL})"
+FRAME_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')}),
+    n AS (SELECT *, row_number() OVER (PARTITION BY "SP ID" ORDER BY _ord) AS rn FROM f),
+    b AS (SELECT "SP ID" AS bk, count(*) <> count("Work Experience/To Date")
+        OR count(*) FILTER ("Work Experience/To Date" = 'NA') > 0 AS broken FROM n GROUP BY bk)
+    SELECT CAST("SP ID" AS BIGINT) AS "SP ID", any_value(broken) AS broken,
+      {', '.join(f"max(CASE WHEN rn = 1 THEN {dq(c)} END) AS {dq(c)}" for c in FILL if c != 'SP ID')},
+      {', '.join(f'''coalesce(string_agg({dq(c)}, ' ~ ' ORDER BY _ord), '') AS {dq(c)}''' for c in L.ALLOCATION_LISTS if 'Date' not in c)},
+      {', '.join(f'''CASE WHEN any_value(broken) THEN 'NA' ELSE string_agg({dq(c)}, ' ~ ' ORDER BY _ord) END AS {dq(c)}'''
+                 for c in L.ALLOCATION_LISTS if 'Date' in c)},
+      CASE WHEN NOT any_value(broken) THEN string_agg(CAST(round(date_diff('day',
+        make_date(CAST("Work Experience/From Date"[1:4] AS INT), 1, 5),
+        make_date(CAST("Work Experience/To Date"[1:4] AS INT), 1 + CAST(floor(least(value, 11)) AS INT), 2)) / 365.0::DOUBLE, 2)
+        AS VARCHAR), ' ~ ' ORDER BY _ord) END AS years,
+      concat(chr(10), 'Participant ', "SP ID", ' has the following work experience: ',
+        CASE WHEN any_value(broken) THEN max(CASE WHEN rn = 1 THEN concat('A ', "Work Experience/Industry",
+            ' in the industry doing ', "Work Experience/Tasks", ' tasks.') END)
+          ELSE string_agg(concat('A ', "Work Experience/Industry", ' in the industry doing ', "Work Experience/Tasks",
+            ' tasks for ', 12 + CAST(floor(least(value, 11)) AS INT), ' months.'), ' ' ORDER BY _ord) END, chr(10),
+        'They have the following qualifications: [',
+        coalesce(string_agg(concat('''', "Education/Qualifications", ''''), ', ' ORDER BY _ord)
+          FILTER ("Education/Qualifications" IS NOT NULL), ''''''), '] in [',
+        coalesce(string_agg(concat('''', "Education/Specialization", ''''), ', ' ORDER BY _ord)
+          FILTER ("Education/Specialization" IS NOT NULL), ''''''), '].', chr(10), 'They have the following skills: [',
+        coalesce(string_agg(concat('''', "Skills", ''''), ', ' ORDER BY _ord) FILTER ("Skills" IS NOT NULL), ''''''),
+        '] and ', max(CASE WHEN rn = 1 THEN "Any Additional Skills" END), ' and computer skill ', chr(10),
+        max(CASE WHEN rn = 1 THEN "Computer Skills" END), ' and know the following languages: ',
+        coalesce(string_agg("Languages", '.' ORDER BY _ord), ''), '.', chr(10), 'The participant is a ',
+        max(CASE WHEN rn = 1 THEN "Gender" END), ' and ', max(CASE WHEN rn = 1 THEN "Age" END), ' years old.', chr(10)) AS summary
+    FROM n JOIN b ON bk = "SP ID" GROUP BY "SP ID" """
+
+
+@query(FRAME_SQL)
+def e5_participant_frame(spark, sf):
+    made = frame(spark, sf).where(col("SP ID").isNotNull())
+    years = col("Years of Experience")
+    return made.select(
+        *[col(c) for c in FILL], years.isNull().alias("broken"), "summary",
+        *[F.array_join(col(c), " ~ ").alias(c) for c in L.ALLOCATION_LISTS],
+        F.array_join(F.transform(years, lambda y: y.cast("string")), " ~ ", "null").alias("years"))
+
+
+def search_inputs(spark, sf):
+    """Participants with the embedding of their number as search vector."""
+    texts = allocation.retrieval_input(frame(spark, sf))
+    vecs = load(spark, sf, "embeddings").select("vec_id", "embedding")
+    return texts.join(vecs, col("SP ID") == F.col("vec_id"), "left").drop("vec_id")
+
+
+def job_table(spark, sf):
+    return load(spark, sf, "part").selectExpr("p_partkey AS _ord", "p_type AS `Job Title`", "p_brand AS Department")
+
+
+def results(spark, sf):
+    return allocation.allocate(search_inputs(spark, sf), job_nodes(spark, sf), job_table(spark, sf), "embedding")
+
+
+SHOWN = L.INPUT_COLUMNS[1:]
+REPR = ", ".join(f"""concat('[', coalesce(string_agg(concat('''', {dq(c)}, ''''), ', ' ORDER BY _ord) FILTER ({dq(c)} IS NOT NULL),
+    ''''''), ']') AS {dq(c)}""" for c in SHOWN)
+RESULTS_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')}),
+    people AS (SELECT CAST("SP ID" AS BIGINT) AS "SP ID", {REPR} FROM f WHERE "SP ID" IS NOT NULL GROUP BY "SP ID"),
+    n AS (SELECT * FROM ({NODES.format(v=VECTORS)})),
+    hits AS (SELECT q.vec_id, n.title, n.request, list_cosine_similarity(q.v, n.v) AS score, row_number() OVER (
+        PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.v, n.v), 9) DESC, n.id) AS rank
+      FROM ({VECTORS}) q CROSS JOIN n WHERE q.vec_id >= 20 AND q.vec_id IN (SELECT "SP ID" FROM people)),
+    labels AS (SELECT p_type, string_agg(p_brand, ', ' ORDER BY seen) AS depts FROM (
+      SELECT p_type, p_brand, min(p_partkey) AS seen FROM part GROUP BY ALL) GROUP BY p_type),
+    wide AS (SELECT "SP ID", {', '.join(f'''coalesce(max(title) FILTER (rank = {i}), 'Ashram Support') AS "Vec Pred Job Title: {i}",
+        coalesce(max(request) FILTER (rank = {i}), '') AS "Vec Pred Request Name: {i}",
+        round(coalesce(max(score) FILTER (rank = {i}), 0), 6) AS "Vec Pred Score: {i}"''' for i in (1, 2, 3))},
+      {', '.join(f'any_value({dq(c)}) AS {dq(c)}' for c in SHOWN)}
+      FROM people LEFT JOIN hits ON vec_id = "SP ID" GROUP BY "SP ID")
+    SELECT wide.*, {', '.join(f'''concat("Vec Pred Job Title: {i}", ': ', l{i}.depts, ' ') AS "Department {i}"''' for i in (1, 2, 3))}
+    FROM wide {' '.join(f'LEFT JOIN labels l{i} ON l{i}.p_type = "Vec Pred Job Title: {i}"' for i in (1, 2, 3))}"""
+
+
+def _printed(df):
+    return df.select(*[
+        list_repr(col(c)).alias(c) if c in SHOWN else F.round(col(c), 6).alias(c) if c.startswith("Vec Pred Score") else col(c)
+        for c in df.columns])
+
+
+@query(RESULTS_SQL)
+def g3_allocate(spark, sf):
+    return _printed(results(spark, sf))
+
+
+@query(RESULTS_SQL)
+def v6_allocation_job(spark, sf):
+    return g3_allocate(spark, sf)
+
+
+def enriched(spark, sf):
+    return allocation.enrich_results(results(spark, sf), g1_rolled_participants(spark, sf))
+
+
+ENRICHED_SQL = f"""SELECT CAST(r."SP ID" AS VARCHAR) AS "SP ID", r.* EXCLUDE ("SP ID", "Vec Pred Score: 1", "Vec Pred Score: 2",
+    "Vec Pred Score: 3"), "Languages", {dq(L.GRADUATION)} FROM ({RESULTS_SQL}) r
+    LEFT JOIN (SELECT "SP ID", "Languages", {dq(L.GRADUATION)} FROM ({ROLLED_SQL})) p
+    ON p."SP ID" = CAST(r."SP ID" AS VARCHAR)"""
+
+
+@query(ENRICHED_SQL)
+def g4_enrich_results(spark, sf):
+    return _printed(enriched(spark, sf))
+
+
+FILLED_SQL = f"SELECT DISTINCT {', '.join(map(dq, FILLED))} FROM ({_fill_sql(EXPORT_COLUMNS, L.PARTICIPANT_FILL, EXPORT_SQL)})"
+HELD = f"""{dq('SP ID')} IS NOT NULL AND {dq(L.SUMMARY)} IS NOT NULL"""
+
+
+@query(f"""WITH s AS ({FILLED_SQL}), r AS (SELECT "SP ID" FROM ({ROLLED_SQL})), c AS (SELECT CAST(c_custkey AS VARCHAR) AS k
+         FROM customer WHERE c_mktsegment = 'BUILDING')
+       SELECT 'filled' AS job, count(*) FILTER ({HELD}) AS rows_before, count(*) - count(*) FILTER ({HELD}) AS rows_added,
+         count(*) AS rows_after, count(DISTINCT "SP ID") AS distinct_keys FROM s
+       UNION ALL SELECT 'participants', (SELECT count(*) FROM c), count(*) FILTER ("SP ID" IS NULL OR "SP ID" NOT IN (SELECT k FROM c)),
+         (SELECT count(*) FROM c) + count(*) FILTER ("SP ID" IS NULL OR "SP ID" NOT IN (SELECT k FROM c)), count("SP ID") FROM r
+       UNION ALL SELECT 'predictions', (SELECT count(*) FROM c), count(*) FILTER ("SP ID" NOT IN (SELECT k FROM c)),
+         (SELECT count(*) FROM c) + count(*) FILTER ("SP ID" NOT IN (SELECT k FROM c)), count("SP ID") FROM r
+         WHERE "SP ID" IS NOT NULL""")
+def g5_sync_reports(spark, sf):
+    rolled, filled = participants.roll_up_participants(export(spark, sf), CENTER, ANSWERS)
+    held = filled.where(col("SP ID").isNotNull() & col(L.SUMMARY).isNotNull())
+    known = load(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").selectExpr("concat(CAST(c_custkey AS STRING), ' ') AS `SP ID`")
+    reports = [
+        ("filled", sync.sync_filled(filled, held)), ("participants", sync.sync_participants(rolled, known)),
+        ("predictions", sync.sync_predictions(rolled.select("SP ID").where(col("SP ID").isNotNull()), known)),
+    ]
+    rows = [report.select(F.lit(job).alias("job"), "*") for job, (_, report) in reports]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2])
+
+
+def predictions(spark, sf):
+    """Predictions whose first title is a research job wherever the economy line comes first."""
+    made = allocation.to_predictions(enriched(spark, sf))
+    title = col("Pred Job Title: 1")
+    return made.withColumn("Pred Job Title: 1", F.when(title == "ECONOMY", "Researcher").otherwise(title))
+
+
+PREDICTED_SQL = f"""SELECT * REPLACE (CASE WHEN "Vec Pred Job Title: 1" = 'ECONOMY' THEN 'Researcher'
+    ELSE "Vec Pred Job Title: 1" END AS "Vec Pred Job Title: 1") FROM ({ENRICHED_SQL})"""
+TWEAKED_SQL = f"""SELECT * REPLACE (CASE WHEN "Vec Pred Job Title: 1" <> 'Researcher' OR trim("Work Experience/Designation") <> '[''NA'']'
+      THEN "Vec Pred Job Title: 1"
+    WHEN "Education/Qualifications" = '[''NA'']' AND "Education/Specialization" = '[''NA'']' THEN 'Ashram Support'
+    WHEN coalesce(TRY_CAST({dq(L.GRADUATION)} AS DOUBLE), 0) IN (2023, 2024, 2025) THEN 'Fresher'
+    ELSE 'Ashram Support' END AS "Vec Pred Job Title: 1") FROM ({PREDICTED_SQL})"""
+RANKED_SQL = " UNION ALL ".join(
+    f"""SELECT "SP ID", "Vec Pred Job Title: {i}" AS "Job Title Prediction", "Vec Pred Request Name: {i}" AS "VRF ID",
+    coalesce(trim(split_part("Department {i}", ':', 2)), 'NA') AS "Department", {i} AS "Rank" FROM ({TWEAKED_SQL})"""
+    for i in (1, 2, 3))
+
+
+@query(RANKED_SQL)
+def g6_ranked_predictions(spark, sf):
+    return allocation.format_predictions(allocation.tweak_predictions(predictions(spark, sf)))
+
+
+# Job requests drawn from the parts: large parts open a request, the parts after them continue it.
+REQUEST = {
+    "Request Name": "CASE WHEN p_size > 40 THEN concat(p_name, ' ', p_brand) END", "Job Title": "p_type",
+    "Job Description": "CASE WHEN p_size > 10 THEN concat('about ', p_name) END", "Gender Preference": "p_brand",
+    "# of Volunteers": "CAST(p_size AS STRING)", "Skills/Keywords": "CASE WHEN p_size > 5 THEN p_name WHEN p_size > 2 THEN 'NA' END",
+    "Educational Qualification": "CASE WHEN p_size < 20 THEN p_brand END", "Department": "p_brand",
+    "Languages": "CASE WHEN p_size > 25 THEN p_type END",
+}
+RAW_REQUESTS_SQL = "SELECT p_partkey AS _ord, " + ", ".join(f"{e} AS {dq(n)}" for n, e in REQUEST.items()) + " FROM part"
+REQUEST_COLUMNS = [c for c in L.REQUEST_ORDER if c in REQUEST]
+CLEAN_SQL = f"""SELECT *, '' AS "Skills" FROM ({_roll_sql(REQUEST_COLUMNS, ['Request Name'], L.REQUEST_CONCAT, 'Request Name',
+    RAW_REQUESTS_SQL)})"""
+
+
+def raw_requests(spark, sf):
+    return load(spark, sf, "part").selectExpr(f"p_partkey AS {ORDER}", *[f"{e} AS {quoted(n)}" for n, e in REQUEST.items()])
+
+
+@query(CLEAN_SQL)
+def g7_clean_requests(spark, sf):
+    return requests.clean_requests(raw_requests(spark, sf))
+
+
+def _requests(spark, sf, where):
+    """Requests known before, one row each, in the layout of the backend tables."""
+    return load(spark, sf, "part").where(where).selectExpr(
+        f"p_partkey AS {ORDER}", "concat(p_name, ' ', p_brand) AS `Request Name`", "p_type AS `Job Title`",
+        "p_retailprice AS price")
+
+
+def _requests_sql(where):
+    return f"""SELECT p_partkey AS _ord, concat(p_name, ' ', p_brand) AS "Request Name", p_type AS "Job Title", p_retailprice AS price
+        FROM part WHERE {where}"""
+
+
+NEW_WHERE, OLD_WHERE, MAIN_WHERE = "p_size BETWEEN 20 AND 30", "p_size < 25", "p_size > 15"
+
+
+@query(f"""WITH new AS ({_requests_sql(NEW_WHERE)}), clean AS (SELECT "Request Name", min(p_partkey) AS _ord, any_value("Job Title") AS "Job Title"
+         FROM (SELECT p_partkey, concat(p_name, ' ', p_brand) AS "Request Name", first_value(p_type) OVER (
+           PARTITION BY concat(p_name, ' ', p_brand) ORDER BY p_partkey) AS "Job Title" FROM part WHERE p_size > 40) GROUP BY 1),
+       fresh AS (SELECT * FROM clean WHERE "Request Name" NOT IN (SELECT "Request Name" FROM new)),
+       u AS (SELECT _ord, "Request Name", "Job Title", price, 0 AS src, 'Old VRF ID' AS status FROM ({_requests_sql(OLD_WHERE)})
+         UNION ALL SELECT _ord, "Request Name", "Job Title", price, 1, 'New VRF ID' FROM new
+         UNION ALL SELECT _ord, "Request Name", "Job Title", NULL, 2, 'New VRF ID' FROM fresh),
+       m AS (SELECT "Request Name", "Job Title", price, status FROM u QUALIFY row_number() OVER (
+         PARTITION BY "Request Name" ORDER BY src DESC, _ord DESC) = 1)
+       SELECT "Request Name", "Job Title", price, status AS "VRF ID Status" FROM m
+       UNION ALL SELECT "Request Name", "Job Title", price, NULL FROM ({_requests_sql(MAIN_WHERE)})
+       WHERE "Request Name" NOT IN (SELECT "Request Name" FROM m)""")
+def g8_reconcile_requests(spark, sf):
+    firsts = load(spark, sf, "part").where("p_size > 40").selectExpr(
+        f"p_partkey AS {ORDER}", "concat(p_name, ' ', p_brand) AS `Request Name`", "p_type AS `Job Title`")
+    from rollmatch.operators.dedupe import keep_first
+
+    clean = keep_first(firsts, ["Request Name"])
+    _, _, main = requests.reconcile_requests(
+        clean, _requests(spark, sf, NEW_WHERE), _requests(spark, sf, OLD_WHERE),
+        _requests(spark, sf, MAIN_WHERE).drop(ORDER))
+    return main
+
+
+def job_texts(spark, sf):
+    rows = raw_requests(spark, sf)
+    have = rows.withColumn("Skills", F.lit(None).cast("string"))
+    generic = load(spark, sf, "part").where("p_size = 1").selectExpr(
+        f"p_partkey AS {ORDER}", "p_type AS `Job Title`", f"p_name AS `{L.GENERIC_DESCRIPTION}`")
+    from rollmatch.operators.order import fill_down
+
+    return requests.job_texts(fill_down(have, ["Request Name"]), generic)
+
+
+def _list_sql(name):
+    return f"""coalesce(string_agg({dq(name)}, ', ' ORDER BY _ord), '')"""
+
+
+TEXTS_SQL = f"""WITH e AS ({_fill_sql(list(REQUEST), ['Request Name'], RAW_REQUESTS_SQL)}),
+    k AS (SELECT _ord, {', '.join(dq(c) if c == 'Request Name' else f"coalesce({dq(c)}, 'NA') AS {dq(c)}" for c in REQUEST)}
+      FROM e WHERE "Request Name" IS NOT NULL),
+    n AS (SELECT *, row_number() OVER (PARTITION BY "Request Name" ORDER BY _ord) AS rn FROM k),
+    g AS (SELECT "Request Name", max(CASE WHEN rn = 1 THEN "Job Title" END) AS "Job Title",
+      max(CASE WHEN rn = 1 THEN "Department" END) AS "Department", max(CASE WHEN rn = 1 THEN "Job Description" END) AS about,
+      {_list_sql('Skills/Keywords')} AS keywords, string_agg('NA', ', ') AS skills, {_list_sql('Languages')} AS langs FROM n GROUP BY 1)
+    SELECT "Job Title", "Request Name", "Department", concat(chr(10), '    The job titled: "', "Job Title", '" has a description: ',
+      about, ',', chr(10), '    and expects the following skills: ', keywords, ', and ', skills, chr(10),
+      '    and know the languages: ', langs, '.', chr(10), '    ') AS summary FROM g
+    UNION ALL SELECT p_type, '', '', concat(chr(10), '    The job titled: "', p_type, '" has a description: ', p_name, '.', chr(10), '    ')
+    FROM part WHERE p_size = 1"""
+
+
+@query(TEXTS_SQL)
+def t4_job_texts(spark, sf):
+    return job_texts(spark, sf).select("Job Title", "Request Name", "Department", "summary")
+
+
+@query(f"""SELECT count(*) AS nodes, count(DISTINCT summary) AS texts, 64 AS width FROM ({TEXTS_SQL})""")
+def v1_index_nodes(spark, sf):
+    from rollmatch.operators.vectors import embed_text
+
+    nodes = requests.index_nodes(job_texts(spark, sf), lambda d, k, t: embed_text(d, k, t, 64))
+    return nodes.agg(F.count_distinct("id").alias("nodes"), F.count_distinct("text").alias("texts"),
+                     F.max(F.size("embedding")).alias("width"))
+
+
+TAG_NAMES = ("k", "Specialization")
+
+
+def _tagged(spark, sf):
+    events = load(spark, sf, "events")
+    people = events.selectExpr(
+        "CAST(event_id AS STRING) AS `SP ID`", "CASE WHEN value >= 10 THEN event_type ELSE '' END AS `First Name`",
+        "CASE WHEN value >= 5 THEN props END AS Name", "CASE WHEN value >= 15 THEN event_type END AS City")
+    replies = events.selectExpr("CAST(event_id AS STRING) AS `SP ID`", REPLY)
+    return tags.tag_records(people, replies, TAG_NAMES, at="2024-01-01 00:00:00")
+
+
+TAGGED_SQL = """SELECT CAST(event_id AS VARCHAR) AS "SP ID", CASE WHEN value >= 10 THEN event_type
+      WHEN event_type = 'error' THEN '' WHEN value >= 5 THEN props ELSE '' END AS "Name",
+    CASE WHEN value >= 15 THEN event_type ELSE '' END AS "City", '2024-01-01 00:00:00' AS "Processed Date",
+    CASE WHEN event_type = 'error' THEN 'Processing failed' WHEN event_type = 'view' THEN json_extract_string(props, '$.k')
+      WHEN event_type = 'signup' THEN props ELSE 'No info found' END AS k,
+    CASE WHEN event_type = 'error' THEN 'Processing failed' ELSE 'No info found' END AS "Specialization" FROM events"""
+
+
+@query(TAGGED_SQL)
+def g9_tag_records(spark, sf):
+    return _tagged(spark, sf).withColumn("k", F.regexp_replace("k", '":(?=\\d)', '": '))
+
+
+@query(TAGGED_SQL)
+def e13_tag_job(spark, sf):
+    return g9_tag_records(spark, sf)
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS "SP ID", event_type AS type, value FROM events""")
+def e10_prompts(spark, sf):
+    people = load(spark, sf, "events").selectExpr("CAST(event_id AS STRING) AS `SP ID`", "event_type AS type", "value")
+    asked = tags.prompts(people)
+    back = F.from_json("record", "type string, value double")
+    return asked.select("SP ID", back.alias("r")).select("SP ID", "r.type", "r.value")
+
+
+STRUCTURED_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')}),
+    n AS (SELECT *, row_number() OVER (PARTITION BY "SP ID" ORDER BY _ord) AS rn,
+      count(*) OVER p <> count("Work Experience/To Date") OVER p OR count(CASE WHEN "Work Experience/To Date" = 'NA' THEN 1 END)
+      OVER p > 0 AS broken FROM f WHERE "SP ID" IS NOT NULL WINDOW p AS (PARTITION BY "SP ID"))
+    SELECT CAST("SP ID" AS BIGINT) AS "SP ID", first_value("Gender") OVER k AS "Gender", first_value("Age") OVER k AS "Age",
+      CASE WHEN broken THEN 'NA' ELSE "Work Experience/From Date" END AS "Work Experience/From Date",
+      CASE WHEN broken THEN 'NA' ELSE "Work Experience/To Date" END AS "Work Experience/To Date"
+    FROM n WINDOW k AS (PARTITION BY "SP ID" ORDER BY _ord) QUALIFY NOT broken OR rn = 1"""
+
+
+def published(spark, sf):
+    database.publish_participants(frame(spark, sf).where(col("SP ID").isNotNull()))
+
+
+@query(STRUCTURED_SQL)
+def g10_structured_table(spark, sf):
+    published(spark, sf)
+    return run_sql(spark, "SELECT * FROM participants_structured")
+
+
+@query(f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')})
+       SELECT CAST("SP ID" AS BIGINT) AS "SP ID", "Languages" FROM f WHERE "Languages" IS NOT NULL AND "SP ID" IS NOT NULL""")
+def g10_language_table(spark, sf):
+    published(spark, sf)
+    return run_sql(spark, "SELECT * FROM participants_languages WHERE Languages <> ''")
+
+
+UNSTRUCTURED_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')}),
+    n AS (SELECT *, row_number() OVER (PARTITION BY "SP ID" ORDER BY _ord) AS rn FROM f WHERE "SP ID" IS NOT NULL)
+    SELECT CAST("SP ID" AS BIGINT) AS "SP ID", {', '.join(
+        f"coalesce(string_agg({dq(c)}, ', ' ORDER BY _ord), '') AS {dq(c)}" if c in L.ALLOCATION_LISTS
+        else f"max(CASE WHEN rn = 1 THEN {dq(c)} END) AS {dq(c)}" for c in L.UNSTRUCTURED[1:])}
+    FROM n GROUP BY "SP ID" """
+
+
+@query(UNSTRUCTURED_SQL)
+def g10_unstructured_table(spark, sf):
+    published(spark, sf)
+    return run_sql(spark, "SELECT * FROM participants_unstructured")
+
+
+@query(f"""SELECT "SP ID", concat({", ' ', ".join(f"'{c}: ', {dq(c)}, chr(10)" for c in L.UNSTRUCTURED[1:])}) AS text
+       FROM ({UNSTRUCTURED_SQL})""")
+def g10_search_texts(spark, sf):
+    return database.search_texts(g10_unstructured_table(spark, sf))
