@@ -19,8 +19,17 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def cols(names: Iterable[str]) -> list[Column]:
-    return [col(n) for n in names]
+def cols(names: Iterable[str]) -> list[str]:
+    return [quoted(n) for n in names]
+
+
+def listed(names: Iterable[str]) -> str:
+    return ", ".join(cols(names))
+
+
+def text_literal(value: str) -> str:
+    """SQL string literal. Wide tables are expressed in SQL text: one call per column instead of many."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 # Characters stripped from both ends of a key or label.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollmatch.functions.columns import col
+from rollmatch.functions.columns import quoted, text_literal
 
 # Cell texts that mean "missing" in a spreadsheet tab, in a concatenation, and in a CSV file.
 TAB_TOKENS = ("", "nan")
@@ -30,8 +30,10 @@ def without_tokens(value: Column, tokens: Sequence[str]) -> Column:
 def null_tokens(df: DataFrame, tokens: Sequence[str] = TAB_TOKENS, only: Sequence[str] | None = None) -> DataFrame:
     """Turn token texts into null in every string column, or in the named ones."""
     chosen = set(string_columns(df) if only is None else only)
-    return df.select(*[
-        without_tokens(col(c), tokens).alias(c) if c in chosen else col(c) for c in df.columns
+    words = ", ".join(text_literal(t) for t in tokens)
+    return df.selectExpr(*[
+        f"CASE WHEN {quoted(c)} NOT IN ({words}) THEN {quoted(c)} END AS {quoted(c)}" if c in chosen else quoted(c)
+        for c in df.columns
     ])
 
 
@@ -41,8 +43,10 @@ def blank_to_null(value: Column) -> Column:
 
 def fill_constant(df: DataFrame, value: str | int | float, only: Sequence[str] | None = None) -> DataFrame:
     chosen = set(df.columns if only is None else only)
-    return df.select(*[
-        F.coalesce(col(c), F.lit(value).cast(df.schema[c].dataType)).alias(c) if c in chosen else col(c)
+    filler = text_literal(value) if isinstance(value, str) else str(value)
+    kinds = dict(df.dtypes)
+    return df.selectExpr(*[
+        f"coalesce({quoted(c)}, CAST({filler} AS {kinds[c]})) AS {quoted(c)}" if c in chosen else quoted(c)
         for c in df.columns
     ])
 
@@ -50,13 +54,9 @@ def fill_constant(df: DataFrame, value: str | int | float, only: Sequence[str] |
 def fill_keyed_rows(df: DataFrame, key: str, word: str = "NA", only: Sequence[str] | None = None) -> DataFrame:
     """Null or blank cells become `word`, but only on rows whose key is present."""
     chosen = set(df.columns if only is None else only)
-    has_key = col(key).isNotNull()
-    return df.select(*[
-        F.when(has_key, F.coalesce(blank_to_null(col(c).cast("string")), F.lit(word)))
-        .otherwise(col(c).cast("string")).alias(c)
-        if c in chosen else col(c)
-        for c in df.columns
-    ])
+    cell = "CAST({0} AS STRING)"
+    filled = f"CASE WHEN {quoted(key)} IS NOT NULL THEN coalesce(nullif({cell}, ''), {text_literal(word)}) ELSE {cell} END AS {{0}}"
+    return df.selectExpr(*[filled.format(quoted(c)) if c in chosen else quoted(c) for c in df.columns])
 
 
 def is_valid_label(value: Column) -> Column:

@@ -10,75 +10,66 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollmatch.functions.columns import col, cols, integer_div, join_null_safe
+from rollmatch.functions.columns import col, cols, integer_div, join_null_safe, listed, quoted
 
 ORDER = "_ord"
 BLOCK = 1 << 16
 FAN = 1 << 12
 
 
+def _over(keys: Sequence[str], order: str, end: str) -> str:
+    parts = listed(keys) or "0"
+    return f"OVER (PARTITION BY {parts} ORDER BY {quoted(order)} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})"
+
+
 def _before(summary: DataFrame, within: Sequence[str], pos: str, names: Sequence[str], kind: str) -> DataFrame:
     """For each block, the last non-null value (`last`) or the total (`sum`) over all earlier blocks."""
     run = "__run"
-
-    def fold(name: str) -> Column:
-        return F.max_by(col(name), F.when(col(name).isNotNull(), col(pos))) if kind == "last" else F.sum(col(name))
-
-    def scan(name: str) -> Column:
-        return F.last(col(name), ignorenulls=True) if kind == "last" else F.sum(col(name))
+    scan = "last({}, true)" if kind == "last" else "sum({})"
+    fold = f"max_by({{0}}, CASE WHEN {{0}} IS NOT NULL THEN {pos} END)" if kind == "last" else "sum({0})"
+    merge = "coalesce(__i{0}, __t{0})" if kind == "last" else "coalesce(__i{0}, 0) + coalesce(__t{0}, 0)"
+    keys = cols(within)
 
     blocks = summary.withColumn(run, integer_div(col(pos), FAN))
-    runs = blocks.groupBy(*cols(within), col(run)).agg(*[fold(n).alias(n) for n in names])
-    over_runs = Window.partitionBy(*(cols(within) or [F.lit(0)])).orderBy(col(run)).rowsBetween(
-        Window.unboundedPreceding, -1)
-    runs = runs.select(*cols(within), col(run), *[
-        scan(n).over(over_runs).alias(f"__t{i}") for i, n in enumerate(names)])
-    inside = Window.partitionBy(*cols(within), col(run)).orderBy(col(pos)).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(*cols(within), col(pos), col(run), *[
-        scan(n).over(inside).alias(f"__i{i}") for i, n in enumerate(names)])
+    runs = blocks.groupBy(*keys, run).agg(*[F.expr(f"{fold.format(n)} AS {n}") for n in names])
+    over_runs = _over(within, run, "1 PRECEDING")
+    runs = runs.selectExpr(*keys, run, *[f"{scan.format(n)} {over_runs} AS __t{i}" for i, n in enumerate(names)])
+    inside = _over([*within, run], pos, "1 PRECEDING")
+    blocks = blocks.selectExpr(
+        *keys, pos, run, *[f"{scan.format(n)} {inside} AS __i{i}" for i, n in enumerate(names)])
     both = join_null_safe(blocks, runs, [*within, run]) if within else blocks.join(runs, run)
-    if kind == "last":
-        merged = [F.coalesce(F.col(f"__i{i}"), F.col(f"__t{i}")).alias(n) for i, n in enumerate(names)]
-    else:
-        zero = F.lit(0)
-        merged = [
-            (F.coalesce(F.col(f"__i{i}"), zero) + F.coalesce(F.col(f"__t{i}"), zero)).alias(n)
-            for i, n in enumerate(names)
-        ]
-    return both.select(*cols(within), col(pos), *merged)
+    return both.selectExpr(*keys, pos, *[f"{merge.format(i)} AS {n}" for i, n in enumerate(names)])
 
 
 def carry(
     df: DataFrame,
-    values: Mapping[str, Column],
+    values: Mapping[str, str],
     order: str = ORDER,
     within: Sequence[str] = (),
     block: int = BLOCK,
 ) -> DataFrame:
-    """Add, per entry of `values`, its last non-null value at or before the row.
+    """Add, per entry of `values` (name: SQL expression), its last non-null value at or before the row.
 
     With `within`, the search stays inside rows of equal key (null is a key of its own).
     """
     pos = "__block"
     names = [f"__v{i}" for i in range(len(values))]
-    tagged = df.withColumns({
-        pos: integer_div(col(order), block),
-        **{n: expr for n, expr in zip(names, values.values())},
-    })
-    summary = tagged.groupBy(*cols(within), col(pos)).agg(*[
-        F.max_by(F.col(n), F.when(F.col(n).isNotNull(), col(order))).alias(n) for n in names])
-    earlier = _before(summary, within, pos, names, "last").withColumnsRenamed({n: f"{n}_in" for n in names})
-    inside = Window.partitionBy(*cols(within), col(pos)).orderBy(col(order)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    filled = tagged.withColumns({n: F.last(F.col(n), ignorenulls=True).over(inside) for n in names})
+    tagged = df.selectExpr(
+        *cols(df.columns), f"CAST({quoted(order)} AS BIGINT) div {block} AS {pos}",
+        *[f"{expr} AS {n}" for n, expr in zip(names, values.values())])
+    summary = tagged.groupBy(*cols(within), pos).agg(*[
+        F.expr(f"max_by({n}, CASE WHEN {n} IS NOT NULL THEN {quoted(order)} END) AS {n}_in") for n in names])
+    earlier = _before(summary, within, pos, [f"{n}_in" for n in names], "last")
+    inside = _over([*within, pos], order, "CURRENT ROW")
+    filled = tagged.selectExpr(
+        *cols(df.columns), pos, *[f"last({n}, true) {inside} AS {n}" for n in names])
     joined = join_null_safe(filled, earlier, [*within, pos]) if within else filled.join(earlier, pos)
-    kept = [c for c in df.columns if c not in values]
-    return joined.select(*cols(kept), *[
-        F.coalesce(F.col(n), F.col(f"{n}_in")).alias(out) for n, out in zip(names, values)
-    ])
+    return joined.selectExpr(
+        *cols(c for c in df.columns if c not in values),
+        *[f"coalesce({n}, {n}_in) AS {quoted(out)}" for n, out in zip(names, values)])
 
 
 def fill_down(
@@ -92,7 +83,7 @@ def fill_down(
     present = [c for c in columns if c in df.columns and c not in within]
     if not present:
         return df
-    return carry(df, {c: col(c) for c in present}, order, within, block).select(*cols(df.columns))
+    return carry(df, {c: quoted(c) for c in present}, order, within, block).select(*cols(df.columns))
 
 
 def number_rows(df: DataFrame, name: str, order: str = ORDER, start: int = 0, block: int = BLOCK) -> DataFrame:

@@ -59,11 +59,6 @@ def ranked_to_wide(long: DataFrame, key: str, rank: str, values: Mapping[str, st
     return wide.select(col(key), *shown)
 
 
-def _no_value(df: DataFrame, name: str) -> Column:
-    """True when the whole column is null or blank; a scalar subquery, so nothing is joined."""
-    return df.agg((F.count(blank_to_null(col(name))) == 0).alias("none")).scalar()
-
-
 def wide_to_ranked(df: DataFrame, key: str, triples: Sequence[tuple[str, str, str]],
                    names: Sequence[str] = ("Job Title Prediction", "VRF ID", "Department", "Rank")) -> DataFrame:
     """One row per key and rank from (title, id, department) column triples.
@@ -73,14 +68,19 @@ def wide_to_ranked(df: DataFrame, key: str, triples: Sequence[tuple[str, str, st
     """
     title, ident, dept, rank = names
     present = [(n, t) for n, t in enumerate(triples, start=1) if t[0] in df.columns]
+    departments = [t[2] for _, t in present if t[2] in df.columns]
+    # Whether a whole column is null or blank: one scalar subquery over the table, so nothing is joined.
+    blank = {c: f"b{i}" for i, c in enumerate(departments)}
+    if departments:
+        flags = df.agg(F.struct(*[
+            (F.count(blank_to_null(col(c))) == 0).alias(b) for c, b in blank.items()]).alias("flags")).scalar()
+        df = df.withColumn("__blank", flags)
     rows = []
     for n, (job_col, id_col, dept_col) in present:
         id_value = col(id_col) if id_col in df.columns else F.lit("NA")
-        fallback = col(id_col) if id_col in df.columns else F.lit(None).cast("string")
-        if dept_col in df.columns:
-            raw = F.when(_no_value(df, dept_col), fallback).otherwise(col(dept_col))
-        else:
-            raw = fallback
+        raw = col(id_col) if id_col in df.columns else F.lit(None).cast("string")
+        if dept_col in blank:
+            raw = F.when(F.col("__blank")[blank[dept_col]], raw).otherwise(col(dept_col))
         rows.append(F.struct(
             col(job_col).cast("string").alias(title), id_value.cast("string").alias(ident),
             department_label(raw.cast("string")).alias(dept), F.lit(n).alias(rank)))

@@ -12,8 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollmatch.functions.columns import col, cols, integer_div
-from rollmatch.functions.nulls import CONCAT_TOKENS, blank_to_null, fill_keyed_rows, null_tokens, without_tokens
+from rollmatch.functions.columns import col, cols, listed, quoted, text_literal
+from rollmatch.functions.nulls import CONCAT_TOKENS, fill_keyed_rows, null_tokens
 from rollmatch.operators.order import BLOCK, ORDER, carry, fill_down
 
 LIST_SEPARATOR = "/-/"
@@ -25,43 +25,56 @@ def fill_records(df: DataFrame, key: str, order: str = ORDER, block: int = BLOCK
     The order column is left out of the comparison and of a deduplicated result.
     """
     data = [c for c in df.columns if c != order]
-    has_key = blank_to_null(col(key)).isNotNull()
-    carried = carry(df, {"__head": F.when(has_key, F.struct(*cols(data)))}, order, (), block)
-    take = ~has_key & F.col("__head").isNotNull()
-    filled = carried.select(col(order), *[
-        F.when(take, F.coalesce(_empty_to_null(df, c), F.col("__head").getField(c))).otherwise(col(c)).alias(c)
-        for c in data
-    ])
+    empty = _empty_to_null(df)
+    has_key = f"nullif(CAST({quoted(key)} AS STRING), '') IS NOT NULL"
+    carried = carry(df, {"__head": f"CASE WHEN {has_key} THEN struct({listed(data)}) END"}, order, (), block)
+    filled = carried.selectExpr(quoted(order), *[
+        f"CASE WHEN {has_key} OR __head IS NULL THEN {quoted(c)} ELSE coalesce({empty[c]}, __head.{quoted(c)}) END AS {quoted(c)}"
+        for c in data])
     return filled.select(*cols(data)).distinct() if dedupe else filled.select(*cols(df.columns))
 
 
 def fill_from_row_above(df: DataFrame, order: str = ORDER, block: int = BLOCK, dedupe: bool = True) -> DataFrame:
     """Every empty cell takes the filled cell above it; then exact duplicates go."""
     data = [c for c in df.columns if c != order]
-    carried = carry(df, {f"__f{i}": _empty_to_null(df, c) for i, c in enumerate(data)}, order, (), block)
-    filled = carried.select(col(order), *[
-        F.coalesce(F.col(f"__f{i}"), col(c)).alias(c) for i, c in enumerate(data)])
+    empty = _empty_to_null(df)
+    carried = carry(df, {f"__f{i}": empty[c] for i, c in enumerate(data)}, order, (), block)
+    filled = carried.selectExpr(quoted(order), *[
+        f"coalesce(__f{i}, {quoted(c)}) AS {quoted(c)}" for i, c in enumerate(data)])
     return filled.select(*cols(data)).distinct() if dedupe else filled.select(*cols(df.columns))
 
 
-def _empty_to_null(df: DataFrame, name: str) -> Column:
-    return blank_to_null(col(name)) if df.schema[name].dataType.simpleString() == "string" else col(name)
+def _empty_to_null(df: DataFrame) -> dict[str, str]:
+    return {c: f"nullif({quoted(c)}, '')" if kind == "string" else quoted(c) for c, kind in df.dtypes}
 
 
-def _pieces(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], order: str, block: int,
+def _pieces(df: DataFrame, keys: Sequence[str], columns: Sequence[str], tokens: Sequence[str], order: str, block: int,
             extra: Sequence[Column] = ()) -> DataFrame:
-    """Per key and block: the rows' values as one array sorted by row order."""
-    row = F.struct(col(order).alias("o"), *[v.alias(f"v{i}") for i, v in enumerate(values.values())])
-    return df.groupBy(*cols(keys), integer_div(col(order), block).alias("__block")).agg(
-        F.sort_array(F.collect_list(row)).alias("__rows"), *extra)
+    """Per key and block of row order: the rows' texts as one array sorted by row order, tokens as nulls."""
+    words = ", ".join(text_literal(t) for t in tokens)
+    cell = "CAST({0} AS STRING)"
+    kept = f"CASE WHEN {cell} NOT IN ({words}) THEN {cell} END" if tokens else cell
+    fields = ", ".join(f"'v{i}', {kept.format(quoted(c))}" for i, c in enumerate(columns))
+    row = f"named_struct('o', {quoted(order)}, {fields})" if columns else f"named_struct('o', {quoted(order)})"
+    piece = F.expr(f"CAST({quoted(order)} AS BIGINT) div {block} AS piece")
+    return df.groupBy(*cols(keys), piece).agg(F.expr(f"sort_array(collect_list({row})) AS __rows"), *extra)
 
 
-def _field(rows: str, name: str) -> Column:
-    return F.transform(F.col(rows), lambda r: r[name])
+def _present(i: int) -> str:
+    return f"filter(transform(__rows, r -> r.v{i}), v -> v IS NOT NULL)"
 
 
-def _present(i: int) -> Column:
-    return F.filter(_field("__rows", f"v{i}"), lambda v: v.isNotNull())
+def _joined(i: int, sep: str) -> str:
+    """Text of a piece, null when none of its rows has a value."""
+    return f"CASE WHEN exists(__rows, r -> r.v{i} IS NOT NULL) THEN array_join({_present(i)}, {text_literal(sep)}) END"
+
+
+def _whole(i: int, sep: str) -> str:
+    return f"array_join(transform(__all, p -> p.v{i}), {text_literal(sep)})"
+
+
+def _all_pieces(count: int) -> Column:
+    return F.expr(f"sort_array(collect_list(struct({', '.join(['piece', *[f'v{i}' for i in range(count)]])}))) AS __all")
 
 
 def concat_pieces(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str = ORDER,
@@ -70,28 +83,17 @@ def concat_pieces(df: DataFrame, keys: Sequence[str], columns: Sequence[str], or
 
     This is the whole result too, for groups whose text would not fit one cell.
     """
-    values = {c: without_tokens(col(c).cast("string"), tokens) for c in columns}
-    pieces = _pieces(df, keys, values, order, block)
-    return pieces.select(*cols(keys), F.col("__block").alias("piece"), *[
-        F.when(F.size(_present(i)) > 0, F.array_join(_present(i), sep)).alias(c)
-        for i, c in enumerate(columns)
-    ])
+    pieces = _pieces(df, keys, columns, tokens, order, block)
+    return pieces.selectExpr(*cols(keys), "piece", *[f"{_joined(i, sep)} AS {quoted(c)}" for i, c in enumerate(columns)])
 
 
 def concat_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str = ORDER,
                 sep: str = ",", tokens: Sequence[str] = CONCAT_TOKENS, block: int = BLOCK) -> DataFrame:
     """Per key, each column's non-null values joined in row order; an all-null group gives an empty text."""
-    pieces = concat_pieces(df, keys, columns, order, sep, tokens, block)
-    return _join_pieces(pieces, keys, columns, sep)
-
-
-def _join_pieces(pieces: DataFrame, keys: Sequence[str], columns: Sequence[str], sep: str) -> DataFrame:
-    ordered = F.sort_array(F.collect_list(F.struct("piece", *[col(c).alias(f"v{i}") for i, c in enumerate(columns)])))
-    grouped = pieces.groupBy(*cols(keys)).agg(ordered.alias("__all"))
-    return grouped.select(*cols(keys), *[
-        F.array_join(_field("__all", f"v{i}"), sep).alias(c)
-        for i, c in enumerate(columns)
-    ])
+    pieces = _pieces(df, keys, columns, tokens, order, block).selectExpr(
+        *cols(keys), "piece", *[f"{_joined(i, sep)} AS v{i}" for i in range(len(columns))])
+    grouped = pieces.groupBy(*cols(keys)).agg(_all_pieces(len(columns)))
+    return grouped.selectExpr(*cols(keys), *[f"{_whole(i, sep)} AS {quoted(c)}" for i, c in enumerate(columns)])
 
 
 def collect_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str = ORDER,
@@ -105,45 +107,41 @@ def collect_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str], ord
 
 def _collect(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str, sep: str,
              tokens: Sequence[str], block: int, first: Sequence[str]) -> DataFrame:
-    values = {c: without_tokens(col(c).cast("string"), tokens) for c in columns}
-    head = [F.min_by(F.struct(*cols(first)), col(order)).alias("__first")] if first else []
-    pieces = _pieces(df, keys, values, order, block, head)
-    split = re.escape(sep)
-    pieces = pieces.select(*cols(keys), F.col("__block"), *(["__first"] if first else []), *[
-        F.flatten(F.transform(_present(i), lambda v: F.split(v, split))).alias(f"v{i}")
-        for i in range(len(columns))
-    ])
-    ordered = F.sort_array(F.collect_list(F.struct("__block", *[f"v{i}" for i in range(len(columns))])))
-    top = [F.min_by("__first", "__block").alias("__first")] if first else []
-    grouped = pieces.groupBy(*cols(keys)).agg(ordered.alias("__all"), *top)
-    lists = [F.flatten(_field("__all", f"v{i}")) for i in range(len(columns))]
-    return grouped.select(
-        *cols(keys),
-        *[F.col("__first").getField(c).alias(c) for c in first],
-        *[F.when(F.size(v) > 0, v).otherwise(F.array(F.lit(""))).alias(c) for v, c in zip(lists, columns)],
-    )
+    head = [F.expr(f"min_by(struct({listed(first)}), {quoted(order)}) AS __first")] if first else []
+    pieces = _pieces(df, keys, columns, tokens, order, block, head)
+    split = text_literal(re.escape(sep))
+    pieces = pieces.selectExpr(*cols(keys), "piece", *(["__first"] if first else []), *[
+        f"flatten(transform({_present(i)}, v -> split(v, {split}))) AS v{i}" for i in range(len(columns))])
+    top = [F.expr("min_by(__first, piece) AS __first")] if first else []
+    grouped = pieces.groupBy(*cols(keys)).agg(_all_pieces(len(columns)), *top)
+    whole = "flatten(transform(__all, p -> p.v{0}))"
+    return grouped.selectExpr(
+        *cols(keys), *[f"__first.{quoted(c)} AS {quoted(c)}" for c in first],
+        *[f"CASE WHEN exists(__all, p -> size(p.v{i}) > 0) THEN {whole.format(i)} ELSE array('') END AS {quoted(c)}"
+          for i, c in enumerate(columns)])
 
 
 def roll_up_lists(df: DataFrame, fill_columns: Sequence[str], list_columns: Sequence[str], key: str,
-                  order: str = ORDER, word: str = "NA", block: int = BLOCK) -> DataFrame:
+                  order: str = ORDER, word: str = "NA", block: int = BLOCK, keep_order: bool = False) -> DataFrame:
     """One row per record: fill columns from its first row, list columns gathered over its rows.
 
-    Rows before the first key form one record of null key, whose lists are null.
+    Rows before the first key form one record of null key, whose lists are null. With `keep_order` a record keeps
+    the order value of its first row.
     """
     if key not in fill_columns:
         raise ValueError(f"key column {key!r} must be one of the fill columns")
     narrow = df.select(col(order), *cols(fill_columns), *cols(list_columns))
     keyed = fill_keyed_rows(narrow, key, word, only=[*fill_columns, *list_columns])
     filled = fill_down(keyed, fill_columns, order, (), block)
-    others = [c for c in fill_columns if c != key]
-    rolled = _collect(filled, [key], list_columns, order, LIST_SEPARATOR, ("nan",), block, first=others)
-    return rolled.select(*cols(fill_columns), *[
-        F.when(col(key).isNotNull(), col(c)).alias(c) for c in list_columns])
+    kept = [*([order] if keep_order else []), *[c for c in fill_columns if c != key]]
+    rolled = _collect(filled, [key], list_columns, order, LIST_SEPARATOR, ("nan",), block, first=kept)
+    return rolled.selectExpr(*cols([order] if keep_order else []), *cols(fill_columns), *[
+        f"CASE WHEN {quoted(key)} IS NOT NULL THEN {quoted(c)} END AS {quoted(c)}" for c in list_columns])
 
 
 def roll_up_text(df: DataFrame, fill_columns: Sequence[str], concat_columns: Sequence[str], keep: Sequence[str],
                  key: str, order: str = ORDER, sep: str = ",", block: int = BLOCK,
-                 tokens: Sequence[str] = CONCAT_TOKENS, feedback: Mapping[str, Column] | None = None) -> DataFrame:
+                 tokens: Sequence[str] = CONCAT_TOKENS, feedback: Mapping[str, str] | None = None) -> DataFrame:
     """One row per record: columns filled down, some concatenated, the rest from the record's first row.
 
     `feedback` adds extra aggregates per record, computed in the same grouping.
@@ -151,38 +149,31 @@ def roll_up_text(df: DataFrame, fill_columns: Sequence[str], concat_columns: Seq
     filled = null_tokens(fill_down(df, fill_columns, order, (), block), tokens)
     joined = [c for c in keep if c in concat_columns]
     plain = [c for c in keep if c not in concat_columns and c != key]
-    values = {c: col(c).cast("string") for c in joined}
-    extra = [F.min_by(F.struct(F.lit(0).alias("__z"), *cols(plain)), col(order)).alias("__first")]
     named = dict(feedback or {})
+    first = [F.expr(f"min_by(struct({listed(plain)}), {quoted(order)}) AS __first")] if plain else []
     # A last-wins value travels with its row order so that pieces can be compared.
-    extra += [F.max(expr).alias(f"__x{i}") for i, expr in enumerate(named.values())]
-    pieces = _pieces(filled, [key], values, order, block, extra)
-    pieces = pieces.select(
-        col(key), F.col("__block").alias("piece"), "__first", *[f"__x{i}" for i in range(len(named))],
-        *[F.when(F.size(_present(i)) > 0, F.array_join(_present(i), sep))
-          .alias(f"v{i}") for i in range(len(joined))])
-    ordered = F.sort_array(F.collect_list(F.struct("piece", *[f"v{i}" for i in range(len(joined))])))
-    grouped = pieces.groupBy(col(key)).agg(
-        ordered.alias("__all"), F.min_by("__first", "piece").alias("__first"),
-        *[F.max(f"__x{i}").alias(f"__x{i}") for i in range(len(named))])
-    made: dict[str, Column] = {key: col(key)}
-    for i, c in enumerate(joined):
-        text = F.array_join(_field("__all", f"v{i}"), sep)
-        made[c] = F.when(col(key).isNotNull(), text)
-    for c in plain:
-        made[c] = F.col("__first").getField(c)
-    for i, c in enumerate(named):
-        made[c] = F.when(col(key).isNotNull(), F.col(f"__x{i}")["v"])
-    return grouped.select(*[made[c].alias(c) for c in [*keep, *named]])
-
-
-def last_answers(key: str, question: str, picks: Mapping[str, tuple[str, str]], order: str = ORDER) -> dict[str, Column]:
-    """Per output name, the struct (row order, value) of a row answering the named question, else null.
+    extra = [*first, *[F.expr(f"max({text}) AS __x{i}") for i, text in enumerate(named.values())]]
+    pieces = _pieces(filled, [key], joined, (), order, block, extra).selectExpr(
+        quoted(key), "piece", *(["__first"] if plain else []), *[f"__x{i}" for i in range(len(named))],
+        *[f"{_joined(i, sep)} AS v{i}" for i in range(len(joined))])
+    grouped = pieces.groupBy(quoted(key)).agg(
+        _all_pieces(len(joined)), *([F.expr("min_by(__first, piece) AS __first")] if plain else []),
+        *[F.expr(f"max(__x{i}) AS __x{i}") for i in range(len(named))])
+    has_key = f"CASE WHEN {quoted(key)} IS NOT NULL THEN {{}} END"
+    made = {key: quoted(key), **{c: f"__first.{quoted(c)}" for c in plain}}
+    made |= {c: has_key.format(_whole(i, sep)) for i, c in enumerate(joined)}
+    made |= {c: has_key.format(f"__x{i}.v") for i, c in enumerate(named)}
+    return grouped.selectExpr(*[f"{made[c]} AS {quoted(c)}" for c in [*keep, *named]])
+
+
+def last_answers(question: str, picks: Mapping[str, tuple[str, str]], order: str = ORDER) -> dict[str, str]:
+    """Per output name, SQL for the struct (row order, value) of a row answering the named question, else null.
 
     `picks` maps an output name to (question text, value column). The greatest order wins, a null value included.
     """
     return {
-        out: F.when(col(question) == F.lit(text), F.struct(col(order).alias("o"), col(value).alias("v")))
+        out: f"CASE WHEN {quoted(question)} = {text_literal(text)} THEN "
+             f"named_struct('o', {quoted(order)}, 'v', {quoted(value)}) END"
         for out, (text, value) in picks.items()
     }
 

@@ -149,11 +149,14 @@ def retrieve_jobs(queries: DataFrame, nodes: DataFrame, k: int, key: str, vector
     found = described.select(col(key), "rank", *cols(metadata), "score")
     if default is None:
         return found
-    bare = queries.select(col(key)).join(found.select(col(key)).distinct(), key, "left_anti")
-    filler = bare.select(
-        col(key), F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"),
-        *[F.lit(default[o]).cast(found.schema[o].dataType).alias(o) for o in metadata], F.lit(0.0).alias("score"))
-    return found.unionByName(filler)
+    shape = F.struct("rank", *cols(metadata), "score")
+    blank = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.struct(
+        i.alias("rank"), *[F.lit(default[o]).cast(found.schema[o].dataType).alias(o) for o in metadata],
+        F.lit(0.0).alias("score")))
+    asked = queries.select(col(key).alias("__asked"))
+    filled = asked.join(found, F.col("__asked") == col(key), "left").select(
+        F.col("__asked").alias(key), F.explode(F.when(F.col("rank").isNull(), blank).otherwise(F.array(shape))).alias("r"))
+    return filled.select(col(key), "r.*")
 
 
 def term_weights(docs: DataFrame, key: str, text: str) -> DataFrame:

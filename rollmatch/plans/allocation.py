@@ -17,6 +17,7 @@ from rollmatch.operators.rules import adjust_titles
 from rollmatch.operators.schema import drop_columns, move_column, require
 from rollmatch.operators.vectors import retrieve_jobs
 from rollmatch.plans import layouts as L
+from rollmatch.session import cut
 
 
 def retrieval_input(participants: DataFrame, rows: int | None = None, random: bool = False, seed: int = 0,
@@ -38,6 +39,7 @@ def allocate(inputs: DataFrame, nodes: DataFrame, jobs: DataFrame, vector: str,
     `inputs` carries the search vector in column `vector`. A participant whose input lists are all `NA`, or for whom
     nothing is found, gets the default job.
     """
+    inputs = cut(inputs)
     lists = [c for c in L.INPUT_COLUMNS if c != L.KEY]
     nothing = F.lit(True)
     for c in lists:

@@ -14,6 +14,7 @@ from rollmatch.operators.order import ORDER, fill_down
 from rollmatch.operators.rollup import fill_records, last_answers, roll_up_lists, roll_up_text
 from rollmatch.operators.schema import require, select_exact
 from rollmatch.plans import layouts as L
+from rollmatch.session import cut
 
 
 def roll_up_participants(
@@ -24,11 +25,10 @@ def roll_up_participants(
     filled_layout = L.filled_columns(center)
     require(export, [*rolled_layout, *filled_layout])
     narrow = export.select(col(order), *cols(dict.fromkeys([*rolled_layout, *filled_layout])))
-    filled = fill_down(narrow, L.PARTICIPANT_FILL, order)
+    filled = cut(fill_down(narrow, L.PARTICIPANT_FILL, order))
     copy = fill_records(filled.select(col(order), *cols(filled_layout)), L.KEY, order)
-    feedback = last_answers(L.KEY, L.QUESTION, L.FEEDBACK_PICKS, order) if include_feedback else None
-    rolled = roll_up_text(narrow, L.PARTICIPANT_FILL, L.PARTICIPANT_CONCAT, rolled_layout, L.KEY, order,
-                          feedback=feedback)
+    feedback = last_answers(L.QUESTION, L.FEEDBACK_PICKS, order) if include_feedback else None
+    rolled = roll_up_text(filled, (), L.PARTICIPANT_CONCAT, rolled_layout, L.KEY, order, feedback=feedback)
     return rolled, copy
 
 

@@ -18,6 +18,7 @@ from rollmatch.operators.rollup import roll_up_lists, roll_up_text
 from rollmatch.operators.schema import select_preferred
 from rollmatch.operators.vectors import embed_text
 from rollmatch.plans import layouts as L
+from rollmatch.session import cut
 
 
 def clean_requests(raw: DataFrame, order: str = ORDER) -> DataFrame:
@@ -51,11 +52,7 @@ def job_texts(requests: DataFrame, generic: DataFrame, order: str = ORDER, legac
     """
     rows = requests if legacy else requests.where(col(L.REQUEST_KEY).isNotNull())
     fill = list(L.REQUEST_REQUIRED)
-    numbered = rows.select(col(order), *cols(fill), *cols(L.REQUEST_LISTS))
-    rolled = roll_up_lists(numbered, fill, L.REQUEST_LISTS, L.REQUEST_KEY, order)
-    firsts = numbered.where(col(L.REQUEST_KEY).isNotNull()).groupBy(col(L.REQUEST_KEY).alias("__key")).agg(
-        F.min(col(order)).alias(order))
-    placed = rolled.join(firsts, col(L.REQUEST_KEY) == F.col("__key"), "left").drop("__key")
+    placed = roll_up_lists(rows, fill, L.REQUEST_LISTS, L.REQUEST_KEY, order, keep_order=True)
     whole = fill_constant(placed.na.drop(subset=fill), "NA", only=fill)
     texts = {c: newline_cells(col(c)) for c in fill}
     specific = whole.select(
@@ -74,12 +71,11 @@ def index_nodes(jobs: DataFrame, embed: Callable[[DataFrame, str, str], DataFram
 
     Jobs are numbered in (`_src`, order) order; `embed(docs, key, text)` returns (key, embedding).
     """
-    first = jobs.where(F.col("_src") == 0)
-    rest = jobs.where(F.col("_src") == 1)
-    one = number_rows(first, "id", order)
-    count = first.agg(F.count(F.lit(1))).scalar()
-    two = number_rows(rest, "id", order).withColumn("id", F.col("id") + count)
-    nodes = one.unionByName(two).where(F.length("summary") > 0).select(
-        F.col("id").cast("string").alias("id"), F.col("summary").alias("text"), *cols(L.NODE_METADATA))
+    jobs = cut(jobs)
+    first, rest = (number_rows(jobs.where(F.col("_src") == side), "id", order) for side in (0, 1))
+    before = jobs.agg(F.count(F.when(F.col("_src") == 0, 1))).scalar()
+    numbered = first.unionByName(rest.withColumn("id", F.col("id") + before))
+    nodes = cut(numbered.where(F.length("summary") > 0).select(
+        F.col("id").cast("string").alias("id"), F.col("summary").alias("text"), *cols(L.NODE_METADATA)))
     vectors = embed(nodes, "id", "text")
     return nodes.join(vectors.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"), "left").drop("__id")

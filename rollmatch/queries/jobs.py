@@ -12,7 +12,8 @@ from rollmatch.plans import layouts as L
 from rollmatch.queries.matching import NODES, VECTORS, job_nodes
 from rollmatch.queries.registry import query
 from rollmatch.queries.scalars import REPLY
-from rollmatch.session import load
+from rollmatch.session import load, scratch_path
+from rollmatch.sources.sinks import read_snapshot, write_snapshot
 from rollmatch.sources.sqltables import run_sql
 
 CENTER, ANSWERS = "Center", ("Answer 1", "Answer 2")
@@ -96,7 +97,7 @@ def g1_filled_rows(spark, sf):
 
 
 MAPPING = ("CAST(c_custkey AS STRING) AS `SP ID`", "concat('P', CAST(c_custkey AS STRING)) AS `Person Id`", "c_name AS Name")
-MAPPED_SQL = f"""SELECT r.*, coalesce(concat('P', c_custkey), '') AS "Person Id", coalesce(c_name, '') AS "Name"
+MAPPED_SQL = f"""SELECT r.*, CASE WHEN c_custkey IS NULL THEN '' ELSE concat('P', c_custkey) END AS "Person Id", coalesce(c_name, '') AS "Name"
     FROM ({ROLLED_SQL}) r LEFT JOIN customer ON "SP ID" = CAST(c_custkey AS VARCHAR) AND c_mktsegment <> 'BUILDING'"""
 
 
@@ -236,7 +237,10 @@ def v6_allocation_job(spark, sf):
 
 
 def enriched(spark, sf):
-    return allocation.enrich_results(results(spark, sf), g1_rolled_participants(spark, sf))
+    """Results go through their snapshot, the way the next step reads them."""
+    base = scratch_path(spark, "results")
+    write_snapshot(results(spark, sf), base)
+    return allocation.enrich_results(read_snapshot(spark, base), g1_rolled_participants(spark, sf))
 
 
 ENRICHED_SQL = f"""SELECT CAST(r."SP ID" AS VARCHAR) AS "SP ID", r.* EXCLUDE ("SP ID", "Vec Pred Score: 1", "Vec Pred Score: 2",

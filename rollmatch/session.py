@@ -48,5 +48,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/rollmatch/{name}-{uuid.uuid4().hex}"
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    For a table that several later steps read: it is computed once, its lineage ends here, and a lost executor
+    costs no recomputation. The columnar file lets each reader take only its columns.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollmatch.functions.columns import col, cols
+from rollmatch.functions.columns import col, cols, quoted
 from rollmatch.operators.merge import strict_append_rows
 from rollmatch.sources.tabs import CSV_OPTIONS, path_exists
 
@@ -21,8 +21,8 @@ INDEX_PREFIX = "index-"
 
 def as_cells(df: DataFrame, leave_out: Sequence[str] = ()) -> DataFrame:
     """Every column as text, null as an empty text."""
-    return df.select(*[
-        F.coalesce(col(c).cast("string"), F.lit("")).alias(c) for c in df.columns if c not in leave_out])
+    return df.selectExpr(*[
+        f"coalesce(CAST({quoted(c)} AS STRING), '') AS {quoted(c)}" for c in df.columns if c not in leave_out])
 
 
 def _in_order(df: DataFrame, order: str | None) -> DataFrame:
