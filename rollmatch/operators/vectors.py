@@ -38,12 +38,12 @@ def _matrix(vectors: pd.Series, unit: bool) -> np.ndarray:
 
 def _scores(queries: np.ndarray, items: np.ndarray, metric: str) -> np.ndarray:
     if metric == "cosine":
-        return np.round(queries @ items.T, COMPARED)
+        return queries @ items.T
     # Summed differences, not the expanded square, which loses digits for near vectors.
     squared = np.zeros((len(queries), len(items)))
     for d in range(queries.shape[1]):
         squared += np.square(queries[:, d, None] - items[None, :, d])
-    return np.round(-np.sqrt(squared), COMPARED)
+    return -np.sqrt(squared)
 
 
 def _best(queries: np.ndarray, items: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, ...]:
@@ -52,14 +52,15 @@ def _best(queries: np.ndarray, items: np.ndarray, k: int, metric: str) -> tuple[
     step = max(1, SLICE // max(1, len(items)))
     for low in range(0, len(queries), step):
         scores = _scores(queries[low:low + step], items, metric)
+        compared = np.round(scores, COMPARED)
         if scores.shape[1] > k:
-            kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-            q, i = np.nonzero(scores >= kth[:, None])
+            kth = -np.partition(-compared, k - 1, axis=1)[:, k - 1]
+            q, i = np.nonzero(compared >= kth[:, None])
         else:
             q, i = np.nonzero(np.ones_like(scores, dtype=bool))
+        ranked = np.lexsort((i, -compared[q, i], q))
+        q, i = q[ranked], i[ranked]
         s = scores[q, i]
-        ranked = np.lexsort((i, -s, q))
-        q, i, s = q[ranked], i[ranked], s[ranked]
         rank = np.arange(len(q)) - np.searchsorted(q, q)
         top = rank < k
         parts.append((q[top] + low, i[top], s[top], rank[top] + 1))
@@ -87,7 +88,7 @@ def nearest(queries: DataFrame, items: DataFrame, k: int, query_id: str, query_v
     else:
         per_block = max(1, int(block_bytes // (8 * max(1, size["d"] // size["n"]))))
         found = _block_by_block(asked, held, k, metric, schema, size["n"], per_block)
-        by_score = Window.partitionBy("q").orderBy(F.desc("s"), F.asc("i"))
+        by_score = Window.partitionBy("q").orderBy(F.round("s", COMPARED).desc(), F.asc("i"))
         ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select(F.col("q").alias(query_id), "rank", F.col("i").alias(f"near_{item_id}"),
                          F.col("s").alias("score"))

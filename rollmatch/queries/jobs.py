@@ -107,9 +107,9 @@ def g2_mapped_participants(spark, sf):
     return participants.map_ids(g1_rolled_participants(spark, sf), mapping)
 
 
-# Export as the allocation reads it. Users below 20 never say what they did; a missing end date spoils a record's dates.
+# Export as the allocation reads it. Few rows say what was done, so some records never do; a missing end date spoils a record's dates.
 FROM_YEAR = "2000 + CAST(minute(ts) AS INT)"
-KNOWN = "CASE WHEN user_id >= 20 THEN {} END"
+KNOWN = "CASE WHEN value >= 180 THEN {} END"
 RAW = {
     "SP ID": "CASE WHEN event_type = 'view' THEN CAST(user_id AS STRING) END",
     "Work Experience/Company": "CASE WHEN value >= 5 THEN props END",
@@ -119,7 +119,7 @@ RAW = {
     "Work Experience/From Date": f"concat(CAST({FROM_YEAR} AS STRING), '-1-5')",
     "Work Experience/To Date": f"""CASE WHEN value < 300 THEN concat(CAST({FROM_YEAR} + 1 AS STRING), '-',
         CAST(1 + CAST(floor(least(value, 11)) AS INT) AS STRING), '-02') END""",
-    "Education/Qualifications": KNOWN.format("CASE WHEN value >= 2 THEN concat('q ', event_type) END"),
+    "Education/Qualifications": KNOWN.format("CASE WHEN value >= 200 THEN concat('q ', event_type) END"),
     "Education/Specialization": KNOWN.format("concat('s ', event_type)"),
     "Skills": "CASE WHEN value >= 50 THEN concat('skill ', event_type) END",
     "Any Additional Skills": "CASE WHEN value >= 20 THEN props END",
@@ -154,8 +154,8 @@ FRAME_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_C
       {', '.join(f'''CASE WHEN any_value(broken) THEN 'NA' ELSE string_agg({dq(c)}, ' ~ ' ORDER BY _ord) END AS {dq(c)}'''
                  for c in L.ALLOCATION_LISTS if 'Date' in c)},
       CASE WHEN NOT any_value(broken) THEN string_agg(CAST(round(date_diff('day',
-        make_date(CAST("Work Experience/From Date"[1:4] AS INT), 1, 5),
-        make_date(CAST("Work Experience/To Date"[1:4] AS INT), 1 + CAST(floor(least(value, 11)) AS INT), 2)) / 365.0::DOUBLE, 2)
+        make_date(TRY_CAST("Work Experience/From Date"[1:4] AS INT), 1, 5),
+        make_date(TRY_CAST("Work Experience/To Date"[1:4] AS INT), 1 + CAST(floor(least(value, 11)) AS INT), 2)) / 365.0::DOUBLE, 2)
         AS VARCHAR), ' ~ ' ORDER BY _ord) END AS years,
       concat(chr(10), 'Participant ', "SP ID", ' has the following work experience: ',
         CASE WHEN any_value(broken) THEN max(CASE WHEN rn = 1 THEN concat('A ', "Work Experience/Industry",
@@ -203,12 +203,13 @@ def results(spark, sf):
 SHOWN = L.INPUT_COLUMNS[1:]
 REPR = ", ".join(f"""concat('[', coalesce(string_agg(concat('''', {dq(c)}, ''''), ', ' ORDER BY _ord) FILTER ({dq(c)} IS NOT NULL),
     ''''''), ']') AS {dq(c)}""" for c in SHOWN)
+KNOWS = " OR ".join(f"count(*) FILTER ({dq(c)} <> 'NA') > 0" for c in SHOWN)
 RESULTS_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')}),
-    people AS (SELECT CAST("SP ID" AS BIGINT) AS "SP ID", {REPR} FROM f WHERE "SP ID" IS NOT NULL GROUP BY "SP ID"),
+    people AS (SELECT CAST("SP ID" AS BIGINT) AS "SP ID", {REPR}, {KNOWS} AS knows FROM f WHERE "SP ID" IS NOT NULL GROUP BY "SP ID"),
     n AS (SELECT * FROM ({NODES.format(v=VECTORS)})),
     hits AS (SELECT q.vec_id, n.title, n.request, list_cosine_similarity(q.v, n.v) AS score, row_number() OVER (
         PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.v, n.v), 9) DESC, n.id) AS rank
-      FROM ({VECTORS}) q CROSS JOIN n WHERE q.vec_id >= 20 AND q.vec_id IN (SELECT "SP ID" FROM people)),
+      FROM ({VECTORS}) q CROSS JOIN n WHERE q.vec_id IN (SELECT "SP ID" FROM people WHERE knows)),
     labels AS (SELECT p_type, string_agg(p_brand, ', ' ORDER BY seen) AS depts FROM (
       SELECT p_type, p_brand, min(p_partkey) AS seen FROM part GROUP BY ALL) GROUP BY p_type),
     wide AS (SELECT "SP ID", {', '.join(f'''coalesce(max(title) FILTER (rank = {i}), 'Ashram Support') AS "Vec Pred Job Title: {i}",

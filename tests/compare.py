@@ -52,8 +52,9 @@ def check(spark, con, name, sf_dir, queries, oracles):
     a, b = rows_of(df.columns, got), rows_of(names, want)
     if a == b:
         return f"{len(a)} rows", took, bool(a)
-    bad = [(x, y) for x, y in zip(a, b) if x != y][:2]
-    return f"{len(a)} vs {len(b)} rows; first differences {str(bad)[:1500]}", took, False
+    only_a, only_b = sorted(set(a) - set(b), key=str)[:1], sorted(set(b) - set(a), key=str)[:1]
+    cells = [(n, x, y) for p, q in zip(only_a, only_b) for n, x, y in zip(sorted(names), p, q) if x != y]
+    return f"{len(a)} vs {len(b)} rows; first differing cells {str(cells)[:1500]}", took, False
 
 
 if __name__ == "__main__":
