@@ -7,6 +7,7 @@ matched by an equi-join on sampled substrings: a keyword and any text that conta
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import col
+from rollmatch.session import spread_small
 
 try:
     import ahocorasick
@@ -35,6 +37,7 @@ def first_keyword(texts: DataFrame, text: str, keywords: DataFrame, keyword: str
         F.min(col(position)).alias("pos"))
     size = listed.agg(F.coalesce(F.sum(F.length("word") + 8), F.lit(0)).alias("n")).first()["n"]
     source = texts.select(col(key).alias("id"), col(text).alias("text")).where(F.col("text").isNotNull())
+    source = spread_small(source, "id")
     found = _by_automaton(source, listed) if ahocorasick and size <= bound else _by_anchors(source, listed)
     return found.select(F.col("id").alias(key), F.col("word").alias("keyword"))
 
@@ -68,29 +71,34 @@ def _scheme(length: Column) -> Column:
     return picked
 
 
-def _text_anchors(text: str, gram: int, window: int) -> np.ndarray:
-    """Distinct anchors: per window of consecutive substrings, the smallest substring hash."""
-    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+def _text_anchors(points: np.ndarray, gram: int, window: int) -> np.ndarray:
+    """Distinct anchors of a text's code points: per window of substrings, the smallest substring hash."""
     if len(points) < gram + window - 1:
         return np.empty(0, dtype=np.int64)
     with np.errstate(over="ignore"):
-        hashed = np.zeros(len(points) - gram + 1, dtype=np.uint64)
+        hashed = np.full(len(points) - gram + 1, gram, dtype=np.uint64)
         for i in range(gram):
             hashed = hashed * np.uint64(1099511628211) + points[i:len(points) - gram + 1 + i]
         hashed ^= hashed >> np.uint64(29)
         hashed *= np.uint64(0xBF58476D1CE4E5B9)
         hashed ^= hashed >> np.uint64(32)
-    lowest = np.lib.stride_tricks.sliding_window_view(hashed, window).min(axis=1)
+    # Minimum over a window by doubling: a window of 2n is two windows of n, overlapping as needed.
+    lowest, done = hashed, 1
+    while done < window:
+        step = min(done, window - done)
+        lowest = np.minimum(lowest[:-step], lowest[step:])
+        done += step
     return np.unique(lowest).view(np.int64)
 
 
 def _anchors(schemes: list[int]) -> Column:
-    @F.pandas_udf("array<struct<scheme:int,anchor:bigint>>")
+    @F.pandas_udf("array<bigint>")
     def anchors(texts: pd.Series) -> pd.Series:
-        return pd.Series([
-            [{"scheme": s, "anchor": int(a)} for s in schemes for a in _text_anchors(t, *SCHEMES[s][1:])]
-            for t in texts
-        ], dtype=object)
+        def of(text: str) -> np.ndarray:
+            points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+            return np.concatenate([_text_anchors(points, *SCHEMES[s][1:]) for s in schemes])
+
+        return pd.Series([of(t) for t in texts], dtype=object)
 
     return anchors
 
@@ -100,14 +108,16 @@ def _by_anchors(source: DataFrame, listed: DataFrame) -> DataFrame:
     used = sorted(r["own"] for r in listed.select("own").distinct().collect())
     if not used:
         return source.select("id", F.lit(None).cast("string").alias("word")).limit(0)
-    anchors = _anchors(used)
-    offered = listed.select("word", "pos", "own", F.explode(anchors("word")).alias("a")).where(
-        F.col("a.scheme") == F.col("own")).select("word", "pos", "a.scheme", "a.anchor")
+    offered = [
+        listed.where(F.col("own") == s).select("word", "pos", F.explode(_anchors([s])("word")).alias("anchor"))
+        for s in used
+    ]
+    offered = reduce(DataFrame.unionByName, offered)
     # The rarest anchor of a keyword keeps keywords with a common beginning apart.
-    frequency = offered.groupBy("scheme", "anchor").agg(F.count(F.lit(1)).alias("n"))
-    chosen = offered.join(frequency, ["scheme", "anchor"]).groupBy("word", "pos", "scheme").agg(
+    frequency = offered.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    chosen = offered.join(frequency, "anchor").groupBy("word", "pos").agg(
         F.min_by("anchor", F.struct("n", "anchor")).alias("anchor"))
-    asked = source.select("id", F.explode(anchors("text")).alias("a")).select("id", "a.scheme", "a.anchor")
-    candidates = asked.join(chosen, ["scheme", "anchor"]).select("id", "word", "pos")
+    asked = source.select("id", F.explode(_anchors(used)("text")).alias("anchor"))
+    candidates = asked.join(chosen, "anchor").select("id", "word", "pos")
     return candidates.join(source, "id").where(F.contains(F.col("text"), F.col("word"))).groupBy("id").agg(
         F.min_by("word", F.struct("pos", "word")).alias("word"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rollmatch.functions.columns import col, cols, integer_div, join_null_safe, listed, quoted
 
 ORDER = "_ord"
-BLOCK = 1 << 16
+BLOCK = 1 << 13
 FAN = 1 << 12
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollmatch.functions.columns import col, cols
+from rollmatch.session import spread_small
 
 # Largest corpus, in bytes of doubles, that is sent to every task, and the rows of one block beyond that.
 CORPUS_BOUND = 128 * 1024 * 1024
@@ -84,7 +85,7 @@ def nearest(queries: DataFrame, items: DataFrame, k: int, query_id: str, query_v
         T.StructField("q", asked.schema["q"].dataType), T.StructField("i", held.schema["i"].dataType),
         T.StructField("s", T.DoubleType()), T.StructField("rank", T.IntegerType())])
     if size["d"] * 8 <= bound:
-        ranked = _against_all(asked, held, k, metric, schema)
+        ranked = _against_all(spread_small(asked, "q"), held, k, metric, schema)
     else:
         per_block = max(1, int(block_bytes // (8 * max(1, size["d"] // size["n"]))))
         found = _block_by_block(asked, held, k, metric, schema, size["n"], per_block)
@@ -162,7 +163,7 @@ def retrieve_jobs(queries: DataFrame, nodes: DataFrame, k: int, key: str, vector
 
 def term_weights(docs: DataFrame, key: str, text: str) -> DataFrame:
     """TF-IDF rows (key, term, weight): term count times ln((documents + 1) / (documents with the term + 1))."""
-    words = docs.select(col(key), F.explode(F.split(F.lower(col(text)), r"\s+")).alias("term")).where(
+    words = spread_small(docs.select(col(key), col(text)), key).select(col(key), F.explode(F.split(F.lower(col(text)), r"\s+")).alias("term")).where(
         F.col("term") != "")
     counts = words.groupBy(col(key), "term").agg(F.count(F.lit(1)).alias("tf"))
     spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

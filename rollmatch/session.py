@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollmatch.functions.columns import quoted
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -59,5 +61,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spread_small(df: DataFrame, key: str, bound: int = 256 * 1024 * 1024) -> DataFrame:
+    """Spread a table of checked small size over all cores before an expensive step per row.
+
+    A small table may be a single split, which one task would work off alone. A larger one has splits enough and
+    is left as it is, so no big table is ever shuffled for this.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, quoted(key)) if size <= bound else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
