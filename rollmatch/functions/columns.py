@@ -40,9 +40,13 @@ def strip(value: Column) -> Column:
     return F.trim(value, F.lit(WHITESPACE))
 
 
-def integer_div(value: Column, size: int) -> Column:
-    """Exact long division (a double quotient would lose digits above 2^53)."""
-    return F.call_function("div", value.cast("long"), F.lit(size).cast("long"))
+def block_of(order: str, size: int) -> str:
+    """SQL for the block of `size` consecutive values an integer belongs to.
+
+    The division is exact (a double quotient would lose digits above 2^53), and never null, so that a join on the
+    block adds no null filter that would keep two uses of one shuffle from being the same.
+    """
+    return f"coalesce(CAST({quoted(order)} AS BIGINT) div {size}, 0)"
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

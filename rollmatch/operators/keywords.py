@@ -22,8 +22,8 @@ try:
 except ImportError:
     ahocorasick = None
 
-# Longest keyword list, in characters, that is sent to every task.
-LIST_BOUND = 16_000_000
+# Longest keyword list, in characters, that is sent to every task; the automaton takes some 100 bytes per character.
+LIST_BOUND = 2_000_000
 
 # (shortest keyword length, substring length, window): a window of `window` substrings of that length fits
 # into every keyword at least that long, and its smallest hash is taken as an anchor of keyword and text.

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollmatch.functions.columns import col, cols, integer_div, join_null_safe, listed, quoted
+from rollmatch.functions.columns import block_of, col, cols, join_null_safe, listed, quoted
 
 ORDER = "_ord"
 BLOCK = 1 << 13
@@ -33,7 +33,7 @@ def _before(summary: DataFrame, within: Sequence[str], pos: str, names: Sequence
     merge = "coalesce(__i{0}, __t{0})" if kind == "last" else "coalesce(__i{0}, 0) + coalesce(__t{0}, 0)"
     keys = cols(within)
 
-    blocks = summary.withColumn(run, integer_div(col(pos), FAN))
+    blocks = summary.selectExpr("*", f"{block_of(pos, FAN)} AS {run}")
     runs = blocks.groupBy(*keys, run).agg(*[F.expr(f"{fold.format(n)} AS {n}") for n in names])
     over_runs = _over(within, run, "1 PRECEDING")
     runs = runs.selectExpr(*keys, run, *[f"{scan.format(n)} {over_runs} AS __t{i}" for i, n in enumerate(names)])
@@ -58,7 +58,7 @@ def carry(
     pos = "__block"
     names = [f"__v{i}" for i in range(len(values))]
     tagged = df.selectExpr(
-        *cols(df.columns), f"CAST({quoted(order)} AS BIGINT) div {block} AS {pos}",
+        *cols(df.columns), f"{block_of(order, block)} AS {pos}",
         *[f"{expr} AS {n}" for n, expr in zip(names, values.values())])
     summary = tagged.groupBy(*cols(within), pos).agg(*[
         F.expr(f"max_by({n}, CASE WHEN {n} IS NOT NULL THEN {quoted(order)} END) AS {n}_in") for n in names])
@@ -89,7 +89,7 @@ def fill_down(
 def number_rows(df: DataFrame, name: str, order: str = ORDER, start: int = 0, block: int = BLOCK) -> DataFrame:
     """Gap-free row number in the order of a unique integer column."""
     pos = "__block"
-    tagged = df.withColumn(pos, integer_div(col(order), block))
+    tagged = df.selectExpr("*", f"{block_of(order, block)} AS {pos}")
     sizes = tagged.groupBy(col(pos)).agg(F.count(F.lit(1)).alias("__n"))
     offsets = _before(sizes, (), pos, ["__n"], "sum")
     inside = Window.partitionBy(col(pos)).orderBy(col(order))

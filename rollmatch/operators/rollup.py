@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollmatch.functions.columns import col, cols, listed, quoted, text_literal
+from rollmatch.functions.columns import block_of, col, cols, listed, quoted, text_literal
 from rollmatch.functions.nulls import CONCAT_TOKENS, fill_keyed_rows, null_tokens
 from rollmatch.operators.order import BLOCK, ORDER, carry, fill_down
 
@@ -56,7 +56,7 @@ def _pieces(df: DataFrame, keys: Sequence[str], columns: Sequence[str], tokens:
     kept = f"CASE WHEN {cell} NOT IN ({words}) THEN {cell} END" if tokens else cell
     fields = ", ".join(f"'v{i}', {kept.format(quoted(c))}" for i, c in enumerate(columns))
     row = f"named_struct('o', {quoted(order)}, {fields})" if columns else f"named_struct('o', {quoted(order)})"
-    piece = F.expr(f"CAST({quoted(order)} AS BIGINT) div {block} AS piece")
+    piece = F.expr(f"{block_of(order, block)} AS piece")
     return df.groupBy(*cols(keys), piece).agg(F.expr(f"sort_array(collect_list({row})) AS __rows"), *extra)
 
 

@@ -20,9 +20,10 @@ from pyspark.sql import types as T
 from rollmatch.functions.columns import col, cols
 from rollmatch.session import spread_small
 
-# Largest corpus, in bytes of doubles, that is sent to every task, and the rows of one block beyond that.
+# Largest corpus, in bytes of doubles, that is sent to every task, and the size of one block beyond that. The
+# vectors shuffled beyond it are queries x item blocks + items x query blocks, so blocks are as large as a task holds.
 CORPUS_BOUND = 128 * 1024 * 1024
-BLOCK_BYTES = 32 * 1024 * 1024
+BLOCK_BYTES = 128 * 1024 * 1024
 # Numbers in one slice of a score matrix.
 SLICE = 4_000_000
 # Decimals that count when scores are compared, so that summation order cannot swap equal scores.
@@ -31,7 +32,7 @@ COMPARED = 9
 
 def _matrix(vectors: pd.Series, unit: bool) -> np.ndarray:
     rows = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
-    if not unit:
+    if not unit or not len(rows):
         return rows
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)

@@ -46,8 +46,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/rollmatch/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in this application's own part of it."""
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/rollmatch/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once its jobs have written their results."""
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(own, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

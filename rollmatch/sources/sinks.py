@@ -78,24 +78,25 @@ def strict_append(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     strict_append_rows(df, target, columns).write.mode("append").parquet(path)
 
 
-def _stamped(spark: SparkSession, base: str, prefix: str) -> dict[datetime, str]:
-    """Complete versions below a folder by time stamp; folders of other names, or half-written ones, are skipped."""
+def _folders(spark: SparkSession, base: str) -> list[str]:
+    """Names of the folders directly below a folder."""
     if not path_exists(spark, base):
-        return {}
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
+        return []
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+
+
+def _stamped(spark: SparkSession, base: str, prefix: str) -> dict[datetime, str]:
+    """Complete versions below a folder by time stamp; folders of other names, or half-written ones, are skipped."""
     found = {}
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
+    for name in _folders(spark, base):
         match = re.fullmatch(re.escape(prefix) + r"(\d{8}_\d{6})", name)
-        if not match or not status.isDirectory():
-            continue
         try:
-            stamp = datetime.strptime(match.group(1), STAMP)
+            stamp = datetime.strptime(match.group(1), STAMP) if match else None
         except ValueError:
             continue
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}/_SUCCESS")):
+        if stamp and path_exists(spark, f"{base.rstrip('/')}/{name}/_SUCCESS"):
             found[stamp] = name
     return found
 
@@ -133,10 +134,13 @@ def write_run_table(df: DataFrame, path: str, run: str) -> None:
 
 
 def read_latest_run(spark: SparkSession, path: str, run: str) -> DataFrame:
-    """The rows of the greatest run; only its folder is scanned."""
-    runs = spark.read.parquet(path)
-    newest = runs.agg(F.max(col(run)).alias("m")).scalar()
-    return runs.where(col(run) == newest)
+    """The rows of the greatest run. Runs are told by their folders, so no other run's files are opened."""
+    prefix = f"{run}="
+    values = [name.removeprefix(prefix) for name in _folders(spark, path) if name.startswith(prefix)]
+    if not values:
+        raise ValueError(f"no runs below {path}")
+    newest = max(values)
+    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/{prefix}{newest}")
 
 
 def replace_table(df: DataFrame, base: str, order: str | None = None) -> str:
