@@ -62,7 +62,7 @@ def experience_sentences(industries: Column, tasks: Column, starts: Column, ends
     shortest = F.least(F.size(industries), F.size(tasks), F.size(starts), F.size(ends))
 
     def sentence(row: Column) -> Column:
-        months = month_difference(parse_day(row["s"]), parse_day(row["e"]))
+        months = month_difference(row["s"], row["e"])
         return F.concat(
             F.lit("A "), row["i"], F.lit(" in the industry doing "), row["t"], F.lit(" tasks"),
             F.when(months.isNotNull(), F.concat(F.lit(" for "), months.cast("string"), F.lit(" months.")))
@@ -70,7 +70,8 @@ def experience_sentences(industries: Column, tasks: Column, starts: Column, ends
         )
 
     zipped = F.arrays_zip(
-        industries.alias("i"), tasks.alias("t"), starts.alias("s"), ends.alias("e"),
+        industries.alias("i"), tasks.alias("t"),
+        F.transform(starts, parse_day).alias("s"), F.transform(ends, parse_day).alias("e"),
     )
     return F.transform(F.slice(zipped, F.lit(1), shortest), sentence)
 

@@ -81,15 +81,18 @@ def nearest(queries: DataFrame, items: DataFrame, k: int, query_id: str, query_v
         raise ValueError(f"unknown metric {metric!r}")
     asked = queries.select(col(query_id).alias("q"), col(query_vector).alias("v")).where(F.col("v").isNotNull())
     held = items.select(col(item_id).alias("i"), col(item_vector).alias("v")).where(F.col("v").isNotNull())
-    size = held.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("d")).first()
+    # An upper bound of the corpus size: the row count comes from file footers, the width from one vector.
+    n_items, one = items.count(), held.select(F.size("v").alias("width")).first()
+    vector_bytes = 8 * max(1, one["width"] if one else 1)
     schema = T.StructType([
         T.StructField("q", asked.schema["q"].dataType), T.StructField("i", held.schema["i"].dataType),
         T.StructField("s", T.DoubleType()), T.StructField("rank", T.IntegerType())])
-    if size["d"] * 8 <= bound:
+    if n_items * vector_bytes <= bound:
         ranked = _against_all(spread_small(asked, "q"), held, k, metric, schema)
     else:
-        per_block = max(1, int(block_bytes // (8 * max(1, size["d"] // size["n"]))))
-        found = _block_by_block(asked, held, k, metric, schema, size["n"], per_block)
+        per_block = max(1, block_bytes // vector_bytes)
+        item_blocks, query_blocks = (max(1, math.ceil(n / per_block)) for n in (n_items, queries.count()))
+        found = _block_by_block(asked, held, k, metric, schema, item_blocks, query_blocks)
         by_score = Window.partitionBy("q").orderBy(F.round("s", COMPARED).desc(), F.asc("i"))
         ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select(F.col("q").alias(query_id), "rank", F.col("i").alias(f"near_{item_id}"),
@@ -113,9 +116,7 @@ def _against_all(asked: DataFrame, held: DataFrame, k: int, metric: str, schema:
 
 
 def _block_by_block(asked: DataFrame, held: DataFrame, k: int, metric: str, schema: T.StructType,
-                    n_items: int, per_block: int) -> DataFrame:
-    item_blocks = max(1, math.ceil(n_items / per_block))
-    query_blocks = max(1, math.ceil(asked.count() / per_block))
+                    item_blocks: int, query_blocks: int) -> DataFrame:
     unit = metric == "cosine"
 
     def spread(df: DataFrame, ident: str, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:

@@ -71,6 +71,17 @@ def v5_retrieve_or_default(spark, sf):
     return found.withColumn("score", F.round("score", 6))
 
 
+@query(f"""WITH n AS ({NODES.format(v=VECTORS)})
+       SELECT vec_id, CAST(rank AS INTEGER) AS rank, title, request, round(score, 6) AS score FROM (
+         SELECT q.vec_id, n.title, n.request, list_cosine_similarity(q.v, n.v) AS score, row_number() OVER (PARTITION BY q.vec_id
+           ORDER BY round(list_cosine_similarity(q.v, n.v), 9) DESC, n.id) AS rank FROM ({VECTORS}) q CROSS JOIN n)
+       WHERE rank <= 5""")
+def j8_vector_join(spark, sf):
+    found = vectors.retrieve_jobs(load(spark, sf, "embeddings"), job_nodes(spark, sf), 5, "vec_id", "embedding", "id",
+                                  {"title": "Job Title", "request": "Request Name"})
+    return found.withColumn("score", F.round("score", 6))
+
+
 TERMS = r"""WITH w AS (SELECT {key} AS id, unnest(regexp_split_to_array(lower(text), '\s+')) AS term FROM {table}),
     t AS (SELECT id, term, count(*) AS tf FROM w WHERE term <> '' GROUP BY ALL),
     d AS (SELECT term, count(*) AS df FROM t GROUP BY term)

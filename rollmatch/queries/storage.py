@@ -32,7 +32,7 @@ def s2_read_csv(spark, sf):
     rows = load(spark, sf, "events").selectExpr(
         "event_id", "CASE event_type WHEN 'error' THEN 'oops' ELSE CAST(value AS STRING) END AS value",
         "CASE event_type WHEN 'click' THEN 'N/A' ELSE event_type END AS event_type")
-    sinks.write_csv(rows.orderBy("event_id"), [path])
+    sinks.write_csv(rows.withColumn("at", F.col("event_id")), [path], order="at")
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType()),
                            T.StructField("event_type", T.StringType())])
     return tabs.read_csv(spark, path, schema, multi_line=False, order="_ord")
@@ -156,6 +156,21 @@ def x1_run_sql(spark, sf):
         WHERE o_totalprice > :low GROUP BY o_orderpriority ORDER BY n DESC LIMIT 3""", {"low": 100000})
 
 
+@query("SELECT l_partkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_partkey ORDER BY quantity DESC, l_partkey LIMIT 10")
+def l5_sql_limit(spark, sf):
+    sqltables.publish_view(load(spark, sf, "lineitem"), "lineitem_view")
+    return sqltables.run_sql(spark, """SELECT l_partkey, sum(l_quantity) AS quantity FROM lineitem_view GROUP BY l_partkey
+        ORDER BY quantity DESC, l_partkey LIMIT 10""")
+
+
+@query("SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders WHERE o_orderpriority = '5-LOW'")
+def l6_latest_by_name(spark, sf):
+    path = scratch_path(spark, "named")
+    sinks.write_run_table(load(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority"), path,
+                          "o_orderpriority")
+    return sinks.read_latest_run(spark, path, "o_orderpriority")
+
+
 @query("""SELECT c_custkey AS record, 0 AS position, 'c_custkey' AS name, CAST(c_custkey AS VARCHAR) AS value FROM customer
        UNION ALL SELECT c_custkey, 1, 'c_name', c_name FROM customer
        UNION ALL SELECT c_custkey, 2, 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM customer

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import col, cols, quoted
 from rollmatch.operators.merge import strict_append_rows
+from rollmatch.session import cut
 from rollmatch.sources.tabs import CSV_OPTIONS, path_exists
 
 # The time stamp text of a version and the prefixes of its folders.
@@ -39,15 +40,11 @@ def write_tab(df: DataFrame, path: str, order: str | None = None) -> None:
     _csv(as_cells(_in_order(df, order), [order] if order else ()), path)
 
 
-def write_csv(df: DataFrame, paths: Iterable[str], order: str | None = None) -> None:
-    """The same table to several CSV folders, computed once."""
-    ordered = _in_order(df, order)
-    kept = ordered.select(*cols(c for c in df.columns if c != order)).persist()
-    try:
-        for path in paths:
-            _csv(kept, path)
-    finally:
-        kept.unpersist()
+def write_csv(df: DataFrame, paths: Sequence[str], order: str | None = None) -> None:
+    """The same table to each CSV folder, computed once."""
+    table = cut(df) if len(paths) > 1 else df
+    for path in paths:
+        _csv(_in_order(table, order).select(*cols(c for c in df.columns if c != order)), path)
 
 
 def append_rows(df: DataFrame, path: str, by_position: bool = True) -> None:
