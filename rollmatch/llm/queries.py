@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rollmatch.llm.hilbert_shards import assign, name_code, size_code
+from rollmatch.llm.mixing import plan_mix
 from rollmatch.llm.quality_rules import judge
 from rollmatch.queries.registry import Query
 from rollmatch.session import load
@@ -21,3 +24,22 @@ def query(fn: Query) -> Query:
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return judge(docs).drop("text", "lang")
+
+
+@query
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return plan_mix(docs, carry=["doc_id"]).select("doc_id", "size", "source_size", "target",
+                                                   (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = load(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"))
+    placed = assign(docs, [name_code(F.col("lang")), name_code(F.col("source")), size_code(F.col("size"))],
+                    [F.col("doc_id"), F.col("text_crc32")])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
