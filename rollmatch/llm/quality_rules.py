@@ -10,11 +10,13 @@ language, and are joined on the language, never crossed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import quoted
-from rollmatch.llm.common import nested, unnested, words
+from rollmatch.llm.common import ROW, unnested, words
 from rollmatch.session import cut
 
 # Frequent function words of four languages.
@@ -78,26 +80,32 @@ def _repeats(df: DataFrame) -> DataFrame:
     return df.drop("__lines", "__h", "__g", "__s", "__p")
 
 
-def _prepared(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    df = nested(docs, __t=F.coalesce(docs[text_col], F.lit("")), __lang=docs[lang_col].cast("string"))
-    return df.withColumn("__w", words(F.col("__t")))
+def features(docs: DataFrame, carry: Sequence[str] | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The carried columns under ROW, with `lang`, `chars`, the histograms `classes` and `common`, and the counts."""
+    own = F.struct(*[F.col(quoted(c)) for c in carry or docs.columns])
+    df = docs.select(own.alias(ROW), F.coalesce(docs[text_col], F.lit("")).alias("__t"),
+                     docs[lang_col].cast("string").alias("lang"))
+    df = _repeats(_common_counts(_class_counts(df.withColumn("__w", words(F.col("__t"))))))
+    return df.select(ROW, "lang", F.length("__t").alias("chars"), "classes", "common",
+                     F.size("__w").cast("long").alias("n_words"),
+                     (F.length("__t") - F.get("classes", F.lit(SPACES))).cast("long").alias("word_chars"),
+                     F.get("classes", F.lit(SYMBOLS)).alias("n_symbols"), "n_dup_lines", "n_repeat_words")
 
 
-def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def language_references(counted: DataFrame) -> DataFrame:
     """One row per language: smoothed shares of character classes and common words over all its documents.
 
-    A document that carries fewer than MIN_WORDS words adds nothing. Sums combine before the shuffle.
+    counted: a table of features. A document of fewer than MIN_WORDS words adds nothing. Sums combine before the shuffle.
     """
-    df = _common_counts(_class_counts(_prepared(docs, text_col, lang_col))).filter(F.size("__w") >= MIN_WORDS)
-    k, m = len(CLASSES) + 1, len(COMMON_WORDS) + 1
-    sums = df.groupBy("__lang").agg(*[F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(k)],
-                                    *[F.sum(F.get("common", F.lit(i))).alias(f"w{i}") for i in range(m)])
-
-    def shares(prefix: str, n: int) -> Column:
-        total = sum((F.col(f"{prefix}{i}") for i in range(n)), F.lit(0))
-        return F.array(*[(F.col(f"{prefix}{i}") + 0.5) / (total + 0.5 * n) for i in range(n)])
+    def shares(histogram: str, share: str) -> DataFrame:
+        bins = counted.filter(F.col("n_words") >= MIN_WORDS).select("lang", F.posexplode(histogram).alias("bin", "n"))
+        sums = bins.groupBy("lang", "bin").agg(F.sum("n").alias("n")).groupBy("lang").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("bin", "n"))), lambda x: x["n"] + F.lit(0.5)).alias("v"))
+        return sums.select("lang", F.expr("transform(v, x -> x / aggregate(v, 0D, (a, y) -> a + y))").alias(share))
 
-    return sums.select(F.col("__lang").alias("__ref"), shares("c", k).alias("__rc"), shares("w", m).alias("__rw"))
+    known = shares("classes", "class_shares")
+    other = shares("common", "common_shares").withColumnRenamed("lang", "other")
+    return known.join(other, F.col("lang").eqNullSafe(F.col("other"))).drop("other").withColumnRenamed("lang", "known")
 
 
 def _divergence(counts: str, shares: str) -> Column:
@@ -108,34 +116,34 @@ def _divergence(counts: str, shares: str) -> Column:
         "(a, x) -> a + x) / 2".replace("__total", f"aggregate({counts}, 0L, (a, c) -> a + c)"))
 
 
-def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def _judged(docs: DataFrame, carry: Sequence[str] | None, text_col: str, lang_col: str) -> DataFrame:
+    counted = cut(features(docs, carry, text_col, lang_col))  # read for the references, then for the verdicts
+    refs = cut(language_references(counted))
+    # Languages are few: the references are sent to the tasks once their number is known to be small.
+    refs = F.broadcast(refs) if refs.count() <= 4096 else refs
+    df = counted.join(refs, F.col("lang").eqNullSafe(F.col("known")), "left")
+    return (df.withColumn("char_bits", F.when(F.col("chars") >= MIN_CHARS, _divergence("classes", "class_shares")))
+            .withColumn("word_bits", F.when(F.col("n_words") >= MIN_COMPARED_WORDS,
+                                            _divergence("common", "common_shares")))
+            .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
+                        | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
+            .withColumn("kept", ~F.col("base_failed") & (F.coalesce("char_bits", F.lit(0.0)) <= MAX_CHAR_BITS)
+                        & (F.coalesce("word_bits", F.lit(0.0)) <= MAX_WORD_BITS)))
+
+
+def judge(docs: DataFrame, carry: Sequence[str] | None = None, text_col: str = "text",
+          lang_col: str = "lang") -> DataFrame:
     """Every input row with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), char_bits, word_bits
     (double, null where too short to compare), base_failed and kept (boolean).
 
     A null text is an empty one: no words, base_failed. A null language is compared with all documents of null
     language. Repeated rows are judged alike; a column of a result's name is replaced; an empty table gives none.
+    carry: input columns to return, all by default.
     """
-    refs = cut(language_references(docs, text_col, lang_col))
-    df = _repeats(_common_counts(_class_counts(_prepared(docs, text_col, lang_col))))
-    df = (df.withColumn("n_words", F.size("__w").cast("long"))
-          .withColumn("word_chars", F.length("__t") - F.get("classes", F.lit(SPACES)))
-          .withColumn("n_symbols", F.get("classes", F.lit(SYMBOLS)))
-          .withColumn("__chars", F.length("__t")).drop("__t", "__w"))
-    # Language names are few: the references are sent to the tasks once their number is known to be small.
-    refs = F.broadcast(refs) if refs.count() <= 4096 else refs
-    df = df.join(refs, F.col("__lang").eqNullSafe(F.col("__ref")), "left")
-    df = (df.withColumn("char_bits", F.when(F.col("__chars") >= MIN_CHARS, _divergence("classes", "__rc")))
-          .withColumn("word_bits", F.when(F.col("n_words") >= MIN_COMPARED_WORDS, _divergence("common", "__rw")))
-          .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
-                      | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
-          .withColumn("kept", ~F.col("base_failed") & (F.coalesce("char_bits", F.lit(0.0)) <= MAX_CHAR_BITS)
-                      & (F.coalesce("word_bits", F.lit(0.0)) <= MAX_WORD_BITS)))
-    return unnested(df, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_bits", "word_bits",
-                    "base_failed", "kept")
+    return unnested(_judged(docs, carry, text_col, lang_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                    "n_repeat_words", "char_bits", "word_bits", "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The input rows that the rules keep, with the input's columns only."""
-    whole = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("whole"),
-                        docs[text_col].alias("text"), docs[lang_col].alias("lang"))
-    return judge(whole).filter("kept").select("whole.*")
+    return _judged(docs, None, text_col, lang_col).filter("kept").select(f"{ROW}.*")

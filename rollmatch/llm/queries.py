@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmatch.llm.hilbert_shards import assign, name_code, size_code
 from rollmatch.llm.mixing import plan_mix
+from rollmatch.llm.packing import pack_documents
 from rollmatch.llm.quality_rules import judge
 from rollmatch.queries.registry import Query
 from rollmatch.session import load
@@ -20,10 +22,16 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return judge(docs).drop("text", "lang")
+    return judge(docs, carry=["doc_id"])
 
 
 @query
