@@ -11,6 +11,9 @@ Pieces get numbers within their length in slices (length, hash range), so a very
 
 from __future__ import annotations
 
+import functools
+import struct
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -26,51 +29,73 @@ from rollmatch.session import cut
 
 SEQUENCE = 4096
 END_ID = 1
-MARK = "<|endoftext|>"  # fixed value: a special token of the vocabulary
 BIN = 8              # tokens per bin of the fit
 SLICE_ROWS = 16384
-MOST_KNOWN_WORDS = 300_000  # words whose ids a task remembers before it starts anew
+MOST_KNOWN_WORDS = 600_000  # words whose ids a task remembers before it starts anew
+
+
+def _byte_letters() -> list[str]:
+    """How byte-level vocabularies spell a byte: printable Latin-1 as itself, the others from code point 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
 class WordIds:
-    """Token ids of white-space separated words as bytes (little-endian unsigned 32 bit), remembered.
+    """Token ids of words (runs without ASCII white space) as bytes, little-endian unsigned 32 bit, remembered.
 
     The tokenizer splits at white space and handles each part by itself, so a text's ids are its words' ids in a row.
-    Words not met before are encoded together, a special token between them telling them apart.
+    A new word of letters, perhaps with marks after it, is looked up in the model straight away; any other word goes
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer  # loaded in the tasks
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.mark_id = self.tokenizer.token_to_id(MARK)
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def learn(self, new: list[str]) -> None:
-        plain = [w for w in new if MARK not in w]
-        for at in range(0, len(plain), 10_000):
-            group = plain[at:at + 10_000]
-            ids = self._encode(MARK.join(f" {w} " for w in group))
-            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)) * 4
-            data, start = ids.tobytes(), 0
-            for word, end in zip(group, ends.tolist()):
-                self.known[word] = data[start:end]
-                start = end + 4
-        for word in new:
-            if MARK in word:
-                self.known[word] = self._encode(word).tobytes()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.spelling = dict(enumerate(_byte_letters()))
+
+    def _any(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        out = self.parts.get(part)
+        if out is None:
+            spelled = part.encode().decode("latin-1").translate(self.spelling)
+            ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+            out = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+    def _new(self, raw: bytes) -> bytes:
+        word = raw.decode()
+        letters = word.rstrip(".,")
+        low = letters.lower()
+        # Lower case of a Greek capital sigma depends on its place in Python, but not in the tokenizer.
+        if len(low) > 256 or not low.isalpha() or not letters.isalpha() or "\u03a3" in letters or not (
+                low.isascii() or unicodedata.is_normalized("NFC", letters)):
+            return self._any(word)
+        marks = word[len(letters):]
+        return self._part(low) + self._part(marks) if marks else self._part(low)
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 256):
-            parts = [text.split() for text in texts[at:at + 256]]
+        for text in texts:
+            words = text.encode().split()
             if len(self.known) > MOST_KNOWN_WORDS:
                 self.known.clear()
-            new = set().union(*parts).difference(self.known)
-            self.learn(list(new))
-            for words in parts:
-                yield b"".join(map(self.known.__getitem__, words))
+            if len(self.parts) > MOST_KNOWN_WORDS:
+                self.parts.clear()
+            known = self.known
+            for word in set(words).difference(known):
+                known[word] = self._new(word)
+            yield b"".join(map(known.__getitem__, words))
+
+
+@functools.cache
+def word_ids(path: str) -> WordIds:
+    """One memory per Python worker, over its tasks."""
+    return WordIds(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -81,7 +106,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text", with_id
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(tokenizer_path)
+        known = word_ids(tokenizer_path)
         for batch in batches:
             source, out = [], defaultdict(list)
             texts = batch.column("text").fill_null("").to_pylist()
