@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rollmatch.llm.hilbert_shards import assign, name_code, size_code
 from rollmatch.llm.mixing import plan_mix
+from rollmatch.llm.near_dedup import near_groups
 from rollmatch.llm.packing import pack_documents
 from rollmatch.llm.quality_rules import judge
 from rollmatch.queries.registry import Query
@@ -51,3 +52,11 @@ def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                     [F.col("doc_id"), F.col("text_crc32")])
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_groups(docs, carry=["doc_id"])
+    return found.select("doc_id", "n_shingles", "component_id",
+                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
