@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmatch.llm.hilbert_shards import assign, name_code, size_code
+from rollmatch.llm.line_dedup import dedup_lines
 from rollmatch.llm.mixing import plan_mix
 from rollmatch.llm.near_dedup import near_groups
 from rollmatch.llm.packing import pack_documents
@@ -60,3 +61,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_groups(docs, carry=["doc_id"])
     return found.select("doc_id", "n_shingles", "component_id",
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = dedup_lines(docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
