@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollmatch.llm.fingerprints import fingerprints
 from rollmatch.llm.hilbert_shards import assign, name_code, size_code
+from rollmatch.llm.importance import resample
+from rollmatch.llm.language_id import fit as fit_languages, held_out, identify
 from rollmatch.llm.line_dedup import dedup_lines
 from rollmatch.llm.mixing import plan_mix
 from rollmatch.llm.near_dedup import near_groups
@@ -68,3 +71,23 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     kept = dedup_lines(docs)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", held_out(F.col("doc_id")))
+    profiles = fit_languages(docs.filter("NOT held_out"))
+    return identify(docs, profiles, carry=["doc_id", "held_out"])
+
+
+@query
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample(docs, load(spark, sf_dir, "labels"), carry=["doc_id"])
+
+
+@query
+def op9_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprints(docs, carry=["doc_id"])

@@ -65,6 +65,16 @@ def _chunks(texts: Sequence[bytes]) -> Iterator[list[bytes]]:
         yield chunk
 
 
+def chunked_words(texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+    """Hashes of each text's words, in order, A to Z lower-cased."""
+    for chunk in _chunks([(t or "").encode("utf-8", "replace").lower() for t in texts]):
+        data = np.frombuffer(b"\n".join(chunk) + b"\n", dtype=np.uint8)
+        starts, hashes = word_hashes(data)
+        first = np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(t) + 1 for t in chunk])]))
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            yield hashes[a:b]
+
+
 def sets(texts: Sequence[str | None], length: int = SHINGLE) -> Iterator[np.ndarray]:
     """Each text's distinct shingles, sorted. A to Z are lower-cased. A text of fewer words is one shingle, and one
     without words, or null, has none."""
