@@ -11,22 +11,24 @@ from rollmatch.session import cut
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b); root is the smallest node of its component.
 
-    Alternates two steps until nothing moves: every node's larger neighbours are tied to its smallest one, then its
-    smaller neighbours are. Each step is an aggregate and a join, written to the shared folder; only a row count and a
-    checksum come to the driver. A hub's edges are joined, never gathered.
+    Edges point from the larger node u to the smaller node v. Two steps alternate until every u has one v that points
+    nowhere: first each edge is led on to the smallest node its v points to, then all that a u points to is tied to the
+    smallest of them. Each round is written to the shared folder; only a yes or no comes to the driver. A hub's edges
+    are joined, never gathered.
     """
     now = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(mark) == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = tuple(mark)
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+    while not _settled(now):
+        low = now.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
+        led = now.join(low, F.col("v") == F.col("w"), "left").select("u", F.coalesce("m", "v").alias("v"))
+        least = led.groupBy("u").agg(F.min("v").alias("m"))
+        tied = led.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = cut(tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def _settled(now: DataFrame) -> bool:
+    ends = now.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        now.select(F.col("v").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    sums = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return not sums.filter("out > 1 OR (out = 1 AND into = 1)").limit(1).count()

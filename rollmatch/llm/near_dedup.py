@@ -6,7 +6,7 @@ the connected components of the links.
 1. Equal sets are one class; from here on only classes are handled. A class has COORDINATES minimum hashes.
 2. A class is posted under each coordinate-value pair. Values that one class alone has cannot collide and are dropped.
    Two classes are candidates if at least MATCHES coordinates collide; a pair with similarity 0.75 misses that with
-   probability below 1e-7. Prefix: ordered from the rarest pair on, candidates must meet within all but the last
+   probability below 1e-6. Prefix: ordered from the rarest pair on, candidates must meet within all but the last
    MATCHES - 1 of their pairs, so only those are merged and the long postings of shared passages are skipped.
 3. A posting of up to POSTING classes is walked in one task: classes not reached yet are counted against the reached
    one, so a posting of like classes costs about its length. A longer posting ties all to its smallest class uncounted:
@@ -35,8 +35,8 @@ from rollmatch.llm.components import components
 from rollmatch.llm.shingles import mixed, sets
 from rollmatch.session import cut
 
-COORDINATES = 32
-MATCHES = 10
+COORDINATES = 48
+MATCHES = 20
 POSTING = 2048
 BLOCK = 256
 SIMILAR_PERCENT = 75
@@ -50,29 +50,29 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     out = np.empty(COORDINATES, dtype=np.int64)
     for k, salt in enumerate(_SALTS):
         least = ((shingles ^ salt) * (salt | np.uint64(1))).min()
-        out[k] = (int(least) >> 32) << 5 | k
+        out[k] = (int(least) >> 32) << 6 | k
     return out
 
 
 def _sketch(docs: DataFrame, carry: Sequence[str], id_col: str, text_col: str) -> DataFrame:
-    """Carried columns under ROW, id, h1, h2 (hashes of the text), n_shingles, cid (digest of the set, null if it is
-    empty) and pairs (the signature)."""
+    """Carried columns under ROW, id, h1, h2 (hashes of the text), n_shingles, digest (of the set, null if it is empty)
+    and pairs (the signature)."""
     own = F.struct(*[F.col(quoted(c)) for c in carry])
     rows = docs.select(own.alias(ROW), docs[id_col].alias("id"), *_text_hashes(docs[text_col]), docs[text_col].alias("t"))
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, cid, pairs = [], [], []
+            n, digest, pairs = [], [], []
             for found in sets(batch.column("t").to_pylist()):
                 n.append(len(found))
-                cid.append(blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
+                digest.append(blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 pairs.append(signature(found) if len(found) else None)
             yield pa.RecordBatch.from_pydict({
                 **{c: batch.column(c) for c in batch.schema.names if c != "t"}, "n_shingles": pa.array(n, pa.int64()),
-                "cid": pa.array(cid, pa.binary()), "pairs": pa.array(pairs, pa.list_(pa.int64()))})
+                "digest": pa.array(digest, pa.binary()), "pairs": pa.array(pairs, pa.list_(pa.int64()))})
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "t")
-    return rows.mapInArrow(sketched, f"{fields}, n_shingles long, cid binary, pairs array<bigint>")
+    return rows.mapInArrow(sketched, f"{fields}, n_shingles long, digest binary, pairs array<bigint>")
 
 
 def _text_hashes(text: Column) -> list[Column]:
@@ -102,14 +102,14 @@ def _candidate_edges(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
             inner = column.values
             cids = inner.field("cid").to_pylist()
             table = inner.field("pairs").values.to_numpy().reshape(-1, COORDINATES)
-            seen: set[tuple[bytes, bytes]] = set()
+            seen: set[tuple[int, int]] = set()
             for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
                 for x, y in spanning(b - a, lambda i, open_, t=table[a:b]: (t[open_] == t[i]).sum(axis=1) >= MATCHES):
                     seen.add((cids[a + x], cids[a + y]))
-            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in seen], pa.binary()),
-                                              "b": pa.array([y for _, y in seen], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in seen], pa.int64()),
+                                              "b": pa.array([y for _, y in seen], pa.int64())})
 
-    return wide.unionByName(lists.mapInArrow(walked, "a binary, b binary")), kept.select("cid", "weight")
+    return wide.unionByName(lists.mapInArrow(walked, "a long, b long")), kept.select("cid", "weight")
 
 
 def spanning(n: int, linked) -> Iterator[tuple[int, int]]:
@@ -184,14 +184,14 @@ def _confirm_small(group: pd.DataFrame) -> pd.DataFrame:
         one = one.sort_values("cid")
         cids, overlaps = one["cid"].tolist(), Overlaps(one["shingles"].tolist())
         edges += [(cids[i], cids[j]) for i, j in spanning(len(cids), overlaps.linked)]
-    return pd.DataFrame(edges, columns=["a", "b"])
+    return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
 
 def _confirm_blocks(group: pd.DataFrame) -> pd.DataFrame:
     """Links between classes of two blocks, or within one, of a large candidate group, as a spanning forest."""
     group = group.sort_values("cid")
     cids, overlaps = group["cid"].tolist(), Overlaps(group["shingles"].tolist())
-    return pd.DataFrame([(cids[i], cids[j]) for i, j in spanning(len(cids), overlaps.linked)], columns=["a", "b"])
+    return pd.DataFrame([(cids[i], cids[j]) for i, j in spanning(len(cids), overlaps.linked)], columns=["a", "b"], dtype="int64")
 
 
 def _linked_to_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +208,7 @@ def _confirm_large(large: DataFrame) -> DataFrame:
     typical = large.groupBy("root").agg(F.max(F.struct("weight", "cid"))["cid"].alias("leader"))
     leaders = typical.join(large.select(F.col("cid").alias("leader"), F.col("shingles").alias("typical")), "leader")
     told = cut(large.select("root", "cid", "shingles").join(leaders, "root").select("root", "cid", "leader", "shingles", "typical")
-               .mapInArrow(_linked_to_leader, "root binary, cid binary, leader binary, linked boolean"))
+               .mapInArrow(_linked_to_leader, "root long, cid long, leader long, linked boolean"))
     to_leader = told.filter("linked AND cid <> leader").select(F.col("leader").alias("a"), F.col("cid").alias("b"))
     counts = told.groupBy("root").agg(F.sum((~F.col("linked")).cast("long")).alias("others"), F.count("*").alias("n"))
     counts = counts.filter("others > 0").withColumn("blocks", F.expr(f"n div {BLOCK} + 1")).withColumn(
@@ -224,7 +224,7 @@ def _confirm_large(large: DataFrame) -> DataFrame:
             F.transform(F.sequence(F.lit(0), F.col("mine") - 1), lambda k: F.struct(
                 F.least("i", k).cast("long").alias("x"), F.greatest("i", k).cast("long").alias("y")))))
     dealt = rows.select("root", "cid", "shingles", F.explode(met).alias("at")).select("root", "cid", "shingles", "at.*")
-    across = dealt.groupBy("root", "x", "y").applyInPandas(_confirm_blocks, "a binary, b binary")
+    across = dealt.groupBy("root", "x", "y").applyInPandas(_confirm_blocks, "a long, b long")
     return to_leader.unionByName(across)
 
 
@@ -239,32 +239,34 @@ def near_groups(docs: DataFrame, carry: Sequence[str] | None = None, id_col: str
     """
     sketch = cut(_sketch(docs, carry or docs.columns, id_col, text_col))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")
-    classes = cut(sketch.filter("cid IS NOT NULL").groupBy("cid").agg(
-        F.min(order).alias("least"), F.first("pairs").alias("pairs"), F.first("n_shingles").alias("n")))
+    # A class gets a number as its row is written, which the written table then keeps.
+    classes = cut(sketch.filter("digest IS NOT NULL").groupBy("digest").agg(
+        F.min(order).alias("least"), F.first("pairs").alias("pairs"), F.first("n_shingles").alias("n"))
+        .withColumn("cid", F.monotonically_increasing_id()))
     edges, weights = _candidate_edges(classes)
-    candidates = cut(components(edges))
+    candidates = components(edges)
     sizes = candidates.groupBy("root").agg(F.count("*").alias("m"))
     wanted = (candidates.withColumnRenamed("node", "cid").join(sizes, "root").join(weights, "cid")
               .join(classes.select("cid", "least", "n"), "cid")
               .select("cid", "root", "m", "weight", "n", "least.id", "least.h1", "least.h2"))
     full = _fetched_sets(docs, cut(wanted), id_col, text_col)
     small = full.filter(F.col("m") <= BLOCK)
-    tasks = int(full.agg(F.sum("n")).first()[0] or 0) * 8 // TASK_BYTES + 1
+    total, most = full.agg(F.sum("n"), F.max("m")).first()
+    tasks = int(total or 0) * 8 // TASK_BYTES + 1
     links = small.groupBy(F.pmod(F.xxhash64("root"), F.lit(tasks)).alias("task")).applyInPandas(
-        _confirm_small, "a binary, b binary")
-    large = full.filter(F.col("m") > BLOCK)
-    if large.limit(1).count():
-        links = links.unionByName(_confirm_large(large))
-    groups = cut(components(links))
+        _confirm_small, "a long, b long")
+    if (most or 0) > BLOCK:
+        links = links.unionByName(_confirm_large(full.filter(F.col("m") > BLOCK)))
+    groups = components(links)
     roots = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "cid", F.coalesce("root", "cid").alias("root"), "least")
+        "digest", F.coalesce("root", "cid").alias("root"), "least")
     leasts = roots.groupBy("root").agg(F.min("least").alias("group_least"))
-    of_class = cut(roots.join(leasts, "root").select("cid", "group_least"))
-    has = sketch.filter("cid IS NOT NULL").join(of_class, "cid")
-    none = sketch.filter("cid IS NULL").withColumn("group_least", order)
+    of_class = cut(roots.join(leasts, "root").select("digest", "group_least"))
+    has = sketch.filter("digest IS NOT NULL").join(of_class, "digest")
+    none = sketch.filter("digest IS NULL").withColumn("group_least", order)
     both = all_of([has.select(*none.columns), none])
     both = both.withColumn("component_id", F.col("group_least.id")).withColumn(
-        "first", order.eqNullSafe(F.col("group_least")) | F.col("cid").isNull())
+        "first", order.eqNullSafe(F.col("group_least")) | F.col("digest").isNull())
     return unnested(both, "n_shingles", "component_id", "first")
 
 
