@@ -32,10 +32,17 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words, without building them."""
-    plain = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))
-    return F.when(plain == "", F.lit(0)).otherwise(
-        F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit(""))) + 1).cast("long")
+    """Number of words, without building them: blanks are counted, and only a text with blanks in a row is tidied first."""
+    plain = F.coalesce(text, F.lit(""))
+    for space in "\t\n\x0b\f\r":
+        plain = F.replace(plain, F.lit(space), F.lit(" "))
+    plain = F.trim(plain)
+
+    def blanks(value: Column) -> Column:
+        return F.octet_length(value) - F.octet_length(F.replace(value, F.lit(" "), F.lit("")))
+
+    return (F.when(plain == "", F.lit(0)).when(F.contains(plain, F.lit("  ")), blanks(F.regexp_replace(plain, " +", " ")) + 1)
+            .otherwise(blanks(plain) + 1).cast("long"))
 
 
 def all_of(frames: list[DataFrame]) -> DataFrame:

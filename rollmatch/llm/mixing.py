@@ -147,8 +147,9 @@ def _planned(docs: DataFrame, carried: Sequence[str], id_col: str = "doc_id", te
     """
     key = F.concat_ws("|", docs[id_col].cast("string"), F.hex(F.xxhash64(docs[text_col])))
     own = F.struct(*[F.col(quoted(c)) for c in carried])
-    rows = docs.select(own.alias(ROW), word_count(docs[text_col]).alias("words"),
-                       docs[source_col].cast("string").alias("source_key"), key.alias("key"))
+    # Words are counted once; the sums, the leaves and the result read the written table.
+    rows = cut(docs.select(own.alias(ROW), word_count(docs[text_col]).alias("words"),
+                           docs[source_col].cast("string").alias("source_key"), key.alias("key")))
     sources = cut(_sources(rows, weights, share, most))
     # One row per source, sent to the tasks once their number is known to be small.
     small = F.broadcast(sources) if sources.count() <= 100_000 else sources
