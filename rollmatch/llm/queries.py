@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rollmatch.llm.fingerprints import fingerprints
 from rollmatch.llm.hilbert_shards import assign, name_code, size_code
 from rollmatch.llm.importance import resample
@@ -14,6 +15,7 @@ from rollmatch.llm.line_dedup import dedup_lines
 from rollmatch.llm.mixing import plan_mix
 from rollmatch.llm.near_dedup import near_groups
 from rollmatch.llm.packing import pack_documents
+from rollmatch.llm.pii import find_personal_data
 from rollmatch.llm.quality_rules import judge
 from rollmatch.queries.registry import Query
 from rollmatch.session import load
@@ -27,6 +29,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_personal_data(docs, carry=["doc_id"])
+
+
 @query
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,3 +99,8 @@ def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return fingerprints(docs, carry=["doc_id"])
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
