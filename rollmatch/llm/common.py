@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rollmatch.functions.columns import quoted
 
@@ -49,6 +51,11 @@ def all_of(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def with_fields(df: DataFrame, names: Sequence[str], more: str) -> StructType:
+    """A schema of the named columns of a table and further ones; StructType keeps names that a DDL text would break on."""
+    return StructType([df.schema[n] for n in names] + StructType.fromDDL(more).fields)
+
+
 def unit_interval(value: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit hashes to numbers strictly between 0 and 1."""
     return ((value >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53

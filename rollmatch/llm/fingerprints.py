@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from rollmatch.functions.columns import quoted
-from rollmatch.llm.common import ROW, unnested
+from rollmatch.llm.common import ROW, unnested, with_fields
 from rollmatch.session import cut
 
 LANES = 64
@@ -146,9 +146,8 @@ def fingerprints(docs: DataFrame, carry: Sequence[str] | None = None, id_col: st
         if held is not None:
             yield made([held], [(len(held[1]), None, str(held[2]), None, None, None)])
 
-    row = rows.schema[ROW].dataType.simpleString()
-    table = cut(dealt.mapInArrow(
-        walked, f"{ROW} {row}, {_RESULTS}, part int, is_first boolean, is_last boolean, t string"))
+    table = cut(dealt.mapInArrow(walked, with_fields(
+        rows, [ROW], f"{_RESULTS}, part int, is_first boolean, is_last boolean, t string")))
     parts = sorted(r.part for r in table.filter("is_first").select("part").collect())  # one number per range
     following = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, next_part int")
     firsts = table.filter("is_first").select(F.col("part").alias("next_part"), F.col("t").alias("next_t"))
@@ -164,5 +163,5 @@ def fingerprints(docs: DataFrame, carry: Sequence[str] | None = None, id_col: st
             yield pa.RecordBatch.from_pydict({ROW: batch.column(ROW), **{
                 name: pa.array([x[k] for x in results]) for k, name in enumerate(_NAMES)}})
 
-    ends = lasts.select(ROW, "t", "next_t").mapInArrow(closed, f"{ROW} {row}, {_RESULTS}")
+    ends = lasts.select(ROW, "t", "next_t").mapInArrow(closed, with_fields(lasts, [ROW], _RESULTS))
     return unnested(table.filter("NOT is_last").select(ROW, *_NAMES).unionByName(ends), *_NAMES)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import quoted
-from rollmatch.llm.common import ROW, unit_interval, unnested
+from rollmatch.llm.common import ROW, unit_interval, unnested, with_fields
 from rollmatch.llm.shingles import chunked_words, mixed
 from rollmatch.session import cut
 
@@ -78,8 +78,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray, carry: Sequence[str], id_col: str
             yield pa.RecordBatch.from_pydict({ROW: batch.column(ROW), "log_weight": pa.array(weight),
                                               "noisy": pa.array(weight + noise)})
 
-    row = rows.schema[ROW].dataType.simpleString()
-    return rows.mapInArrow(weighed, f"{ROW} {row}, log_weight double, noisy double")
+    return rows.mapInArrow(weighed, with_fields(rows, [ROW], "log_weight double, noisy double"))
 
 
 def kth_largest(values: DataFrame, column: str, k: int) -> float:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import quoted
-from rollmatch.llm.common import ROW, unnested
+from rollmatch.llm.common import ROW, unnested, with_fields
 from rollmatch.session import cut
 
 TOP = 300
@@ -136,5 +136,5 @@ def identify(docs: DataFrame, profiles: Profiles, carry: Sequence[str] | None =
             yield pa.RecordBatch.from_pydict({ROW: batch.column(ROW), "lang_pred": pa.array([x for x, _ in out], pa.string()),
                                               "score": pa.array([x for _, x in out], pa.float64())})
 
-    row = rows.schema[ROW].dataType.simpleString()
-    return unnested(rows.mapInArrow(predicted, f"{ROW} {row}, lang_pred string, score double"), "lang_pred", "score")
+    schema = with_fields(rows, [ROW], "lang_pred string, score double")
+    return unnested(rows.mapInArrow(predicted, schema), "lang_pred", "score")

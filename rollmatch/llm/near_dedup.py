@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import quoted
-from rollmatch.llm.common import ROW, all_of, unnested
+from rollmatch.llm.common import ROW, all_of, unnested, with_fields
 from rollmatch.llm.components import components
 from rollmatch.llm.shingles import mixed, sets
 from rollmatch.session import cut
@@ -62,17 +62,17 @@ def _sketch(docs: DataFrame, carry: Sequence[str], id_col: str, text_col: str) -
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digest, pairs = [], [], []
-            for found in sets(batch.column("t").to_pylist()):
-                n.append(len(found))
-                digest.append(blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                pairs.append(signature(found) if len(found) else None)
-            yield pa.RecordBatch.from_pydict({
-                **{c: batch.column(c) for c in batch.schema.names if c != "t"}, "n_shingles": pa.array(n, pa.int64()),
-                "digest": pa.array(digest, pa.binary()), "pairs": pa.array(pairs, pa.list_(pa.int64()))})
+            for at in range(0, batch.num_rows, 1000):
+                part, n, digest, pairs = batch.slice(at, 1000), [], [], []
+                for found in sets(part.column("t").to_pylist()):
+                    n.append(len(found))
+                    digest.append(blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
+                    pairs.append(signature(found) if len(found) else None)
+                yield pa.RecordBatch.from_pydict({
+                    **{c: part.column(c) for c in part.schema.names if c != "t"}, "n_shingles": pa.array(n, pa.int64()),
+                    "digest": pa.array(digest, pa.binary()), "pairs": pa.array(pairs, pa.list_(pa.int64()))})
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "t")
-    return rows.mapInArrow(sketched, f"{fields}, n_shingles long, digest binary, pairs array<bigint>")
+    return rows.mapInArrow(sketched, with_fields(rows, rows.columns[:-1], "n_shingles long, digest binary, pairs array<bigint>"))
 
 
 def _text_hashes(text: Column) -> list[Column]:
@@ -173,8 +173,7 @@ def _fetched_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
                     **{c: part.column(c) for c in names},
                     "shingles": pa.array([s.tobytes() for s in sets(part.column("t").to_pylist())], pa.binary())})
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema.fields if f.name != "t")
-    return cut(found.mapInArrow(packed, f"{fields}, shingles binary"))
+    return cut(found.mapInArrow(packed, with_fields(found, names, "shingles binary")))
 
 
 def _confirm_small(group: pd.DataFrame) -> pd.DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import quoted
-from rollmatch.llm.common import ROW
+from rollmatch.llm.common import ROW, with_fields
 from rollmatch.session import cut
 
 SEQUENCE = 4096
@@ -127,9 +127,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text", with_id
                 columns["ids"] = pa.array(out["ids"], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
 
-    row = rows.schema[ROW].dataType.simpleString()
     more = ", ids array<int>" if with_ids else ""
-    return rows.mapInArrow(cut_up, f"{ROW} {row}, piece int, start long, length long, ids_crc32 long{more}")
+    return rows.mapInArrow(cut_up, with_fields(rows, [ROW], f"piece int, start long, length long, ids_crc32 long{more}"))
 
 
 def patterns(bins: int) -> np.ndarray:
@@ -309,8 +308,8 @@ def pack(parts: DataFrame, tie: list[str]) -> DataFrame:
                 **{c: batch.column(c) for c in batch.schema.names if c != "number"},
                 "sequence_id": pa.array(runs[run, 2] + number - runs[run, 1]), "offset": pa.array(runs[run, 3])})
 
-    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in numbered.schema.fields if f.name != "number")
-    return numbered.mapInArrow(laid, f"{fields}, sequence_id long, offset long")
+    names = [c for c in numbered.columns if c != "number"]
+    return numbered.mapInArrow(laid, with_fields(numbered, names, "sequence_id long, offset long"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_col: str = "doc_id",

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import quoted
-from rollmatch.llm.common import ROW, unnested
+from rollmatch.llm.common import ROW, unnested, with_fields
 from rollmatch.llm.sequence_model import PADDING, Tagger, encode
 from rollmatch.session import cut
 
@@ -241,8 +241,7 @@ def _scan(docs: DataFrame, carry: Sequence[str], text_col: str) -> DataFrame:
                 "bad": pa.array(bad, numbers), "starts": pa.array(starts, numbers),
                 "windows": pa.array(windows, pa.list_(pa.string()))})
 
-    row = rows.schema[ROW].dataType.simpleString()
-    return rows.mapInArrow(scanned, f"{ROW} {row}, h long, {_FOUND}")
+    return rows.mapInArrow(scanned, with_fields(rows, [ROW, "h"], _FOUND))
 
 
 def fit(scanned: DataFrame) -> Tagger | None:
@@ -290,8 +289,7 @@ def find_personal_data(docs: DataFrame, carry: Sequence[str] | None = None, text
                 ROW: batch.column(ROW), **{f"n_{k}": pa.array(counts[:, j]) for j, k in enumerate(KINDS)},
                 "base_sha256": pa.array(digests, pa.string()), "spans": pa.array(spans, pa.string())})
 
-    row = table.schema[ROW].dataType.simpleString()
     names = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
-    out = table.drop("h").mapInArrow(tagged, f"{ROW} {row}, " + ", ".join(f"n_{k} long" for k in KINDS)
-                                     + ", base_sha256 string, spans string")
+    more = ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string"
+    out = table.drop("h").mapInArrow(tagged, with_fields(table, [ROW], more))
     return unnested(out, *names)
