@@ -36,12 +36,12 @@ def _letters() -> np.ndarray:
 def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Codes of a text's n-grams, ascending, and their counts; none if the text has no letter."""
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), dtype="<u4")
-    points = np.where(_letters()[points], points, 0).astype(np.uint64)
-    points = np.concatenate([[0], points, [0]]).astype(np.uint64)
-    points = points[np.concatenate([[True], (points[1:] | points[:-1]) != 0])]  # blanks in a row are one
-    if not points.any():
+    blank = np.uint64(32)
+    points = np.concatenate([[blank], np.where(_letters()[points], points, blank), [blank]]).astype(np.uint64)
+    points = points[np.concatenate([[True], (points[1:] != blank) | (points[:-1] != blank)])]  # blanks in a row are one
+    one = points[points != blank]
+    if not len(one):
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    one = points[points > 0]
     two = points[:-1] << np.uint64(21) | points[1:]
     three = two[:-1] << np.uint64(21) | points[2:]
     return np.unique(np.concatenate([one, two, three]), return_counts=True)
