@@ -3,7 +3,7 @@
 Rows carry a unique integer order column. It is cut into blocks of `block` consecutive values, so no window
 ever holds more than `block` rows, whatever the data looks like. What a block needs from the rows before it
 (the last value seen, the number of rows) is found on one summary row per block, and the summary rows are
-cut once more into runs of `FAN` blocks.
+cut into runs of `FAN` places, and these again, until one run holds them all.
 """
 
 from __future__ import annotations
@@ -25,18 +25,32 @@ def _over(keys: Sequence[str], order: str, end: str) -> str:
     return f"OVER (PARTITION BY {parts} ORDER BY {quoted(order)} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})"
 
 
-def _before(summary: DataFrame, within: Sequence[str], pos: str, names: Sequence[str], kind: str) -> DataFrame:
-    """For each block, the last non-null value (`last`) or the total (`sum`) over all earlier blocks."""
-    run = "__run"
+def _places(df: DataFrame, order: str, block: int) -> int:
+    """How many blocks the order column spans; values may lie far apart, so this can be more than there are rows."""
+    low, high = df.agg(F.min(col(order)), F.max(col(order))).first()
+    return 1 if low is None else int(high) // block - int(low) // block + 2
+
+
+def _before(summary: DataFrame, within: Sequence[str], pos: str, names: Sequence[str], kind: str, places: int,
+            level: int = 0) -> DataFrame:
+    """For each block, the last non-null value (`last`) or the total (`sum`) over all earlier blocks.
+
+    A table that spans up to FAN places is one window per key. A longer one is cut into runs of FAN places: what a run
+    needs from earlier runs is found in the same way, one level up, so no window ever holds more than FAN rows,
+    however far apart the values of the order column lie.
+    """
     scan = "last({}, true)" if kind == "last" else "sum({})"
+    keys = cols(within)
+    if places <= FAN:
+        over = _over(within, pos, "1 PRECEDING")
+        return summary.selectExpr(*keys, pos, *[f"{scan.format(n)} {over} AS {n}" for n in names])
+    run = f"__run{level}"
     fold = f"max_by({{0}}, CASE WHEN {{0}} IS NOT NULL THEN {pos} END)" if kind == "last" else "sum({0})"
     merge = "coalesce(__i{0}, __t{0})" if kind == "last" else "coalesce(__i{0}, 0) + coalesce(__t{0}, 0)"
-    keys = cols(within)
-
     blocks = summary.selectExpr("*", f"{block_of(pos, FAN)} AS {run}")
     runs = blocks.groupBy(*keys, run).agg(*[F.expr(f"{fold.format(n)} AS {n}") for n in names])
-    over_runs = _over(within, run, "1 PRECEDING")
-    runs = runs.selectExpr(*keys, run, *[f"{scan.format(n)} {over_runs} AS __t{i}" for i, n in enumerate(names)])
+    runs = _before(runs, within, run, names, kind, places // FAN + 2, level + 1)
+    runs = runs.selectExpr(*keys, run, *[f"{n} AS __t{i}" for i, n in enumerate(names)])
     inside = _over([*within, run], pos, "1 PRECEDING")
     blocks = blocks.selectExpr(
         *keys, pos, run, *[f"{scan.format(n)} {inside} AS __i{i}" for i, n in enumerate(names)])
@@ -62,7 +76,7 @@ def carry(
         *[f"{expr} AS {n}" for n, expr in zip(names, values.values())])
     summary = tagged.groupBy(*cols(within), pos).agg(*[
         F.expr(f"max_by({n}, CASE WHEN {n} IS NOT NULL THEN {quoted(order)} END) AS {n}_in") for n in names])
-    earlier = _before(summary, within, pos, [f"{n}_in" for n in names], "last")
+    earlier = _before(summary, within, pos, [f"{n}_in" for n in names], "last", _places(df, order, block))
     inside = _over([*within, pos], order, "CURRENT ROW")
     filled = tagged.selectExpr(
         *cols(df.columns), pos, *[f"last({n}, true) {inside} AS {n}" for n in names])
@@ -91,11 +105,11 @@ def number_rows(df: DataFrame, name: str, order: str = ORDER, start: int = 0, bl
     pos = "__block"
     tagged = df.selectExpr("*", f"{block_of(order, block)} AS {pos}")
     sizes = tagged.groupBy(col(pos)).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = _before(sizes, (), pos, ["__n"], "sum")
+    offsets = _before(sizes, (), pos, ["__n"], "sum", _places(df, order, block))
     inside = Window.partitionBy(col(pos)).orderBy(col(order))
     numbered = tagged.withColumn("__k", F.row_number().over(inside)).join(offsets, pos)
     return numbered.select(
-        *cols(df.columns), (F.col("__n") + F.col("__k") - 1 + F.lit(start)).cast("long").alias(name))
+        *cols(df.columns), (F.coalesce("__n", F.lit(0)) + F.col("__k") - 1 + F.lit(start)).cast("long").alias(name))
 
 
 def with_file_order(df: DataFrame, name: str = ORDER) -> DataFrame:

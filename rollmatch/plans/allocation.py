@@ -78,7 +78,7 @@ def tweak_predictions(predictions: DataFrame) -> DataFrame:
         "Education/Specialization", L.GRADUATION)
 
 
-def format_predictions(predictions: DataFrame) -> DataFrame:
-    """Ranked rows, sorted by key and rank."""
-    return fill_constant(wide_to_ranked(predictions, L.KEY, L.PREDICTION_TRIPLES), "NA", only=[L.KEY]).orderBy(
+def format_predictions(predictions: DataFrame, k: int = 3) -> DataFrame:
+    """Ranked rows of all k ranks, sorted by key and rank."""
+    return fill_constant(wide_to_ranked(predictions, L.KEY, L.prediction_triples(k)), "NA", only=[L.KEY]).orderBy(
         col(L.KEY), "Rank")

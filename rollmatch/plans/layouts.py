@@ -88,7 +88,13 @@ NODE_METADATA = ("Job Title", "Request Name", "Department")
 TITLE_HEADING, REQUEST_HEADING, SCORE_HEADING = "Vec Pred Job Title", "Vec Pred Request Name", "Vec Pred Score"
 RANKED = (("title", TITLE_HEADING), ("request", REQUEST_HEADING), ("score", SCORE_HEADING))
 DEFAULT_RESULT = {"title": "Ashram Support", "request": ""}
-PREDICTION_TRIPLES = tuple((f"Pred Job Title: {i}", f"Pred VRF ID: {i}", f"Department {i}") for i in (1, 2, 3))
+
+
+def prediction_triples(k: int) -> tuple[tuple[str, str, str], ...]:
+    """Title, request and department columns of ranks 1 to k."""
+    return tuple((f"Pred Job Title: {i}", f"Pred VRF ID: {i}", f"Department {i}") for i in range(1, k + 1))
+
+
 GRADUATION = "Education/Year of Passing/Graduation"
 
 

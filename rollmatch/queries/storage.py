@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollmatch.queries.registry import query
-from rollmatch.session import load, scratch_path
+from rollmatch.session import cut, load, scratch_path
 from rollmatch.sources import logs, sinks, sqltables, tabs
 
 # Document cells hold commas, quotes and line breaks.
@@ -95,7 +95,9 @@ def s8_save_sql_table(spark, sf):
     name = f"saved_orders_{uuid.uuid4().hex}"
     path = scratch_path(spark, "sql")
     sqltables.save_sql_table(load(spark, sf, "orders"), name, path)
-    return sqltables.run_sql(spark, f"SELECT o_orderstatus, count(*) AS n FROM {name} GROUP BY o_orderstatus")
+    counted = cut(sqltables.run_sql(spark, f"SELECT o_orderstatus, count(*) AS n FROM {name} GROUP BY o_orderstatus"))
+    spark.sql(f"DROP TABLE {name}")
+    return counted
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'")
@@ -118,14 +120,27 @@ def s10_read_version(spark, sf):
     return sinks.read_snapshot(spark, base, sinks.INDEX_PREFIX, "20240103_123000")
 
 
-@query("""SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y%m') AS run FROM orders
-       WHERE strftime(o_orderdate, '%Y%m') = (SELECT max(strftime(o_orderdate, '%Y%m')) FROM orders)""")
+# A run per year, numbered from 8 on so that their numbers do not sort as texts; urgent orders are in no run.
+RUN = "CASE WHEN o_orderpriority <> '1-URGENT' THEN {year} - min({year}) OVER () + 8 END AS run"
+
+
+@query(f"""WITH r AS (SELECT o_orderkey, o_totalprice, {RUN.format(year='year(o_orderdate)')} FROM orders)
+       SELECT o_orderkey, o_totalprice, run FROM r WHERE run = (SELECT max(run) FROM r)""")
 def s10_read_latest_run(spark, sf):
     path = scratch_path(spark, "runs")
-    rows = load(spark, sf, "orders").select(
-        "o_orderkey", "o_totalprice", F.concat(F.lit("m"), F.date_format("o_orderdate", "yyyyMM")).alias("run"))
-    sinks.write_run_table(rows, path, "run")
-    return sinks.read_latest_run(spark, path, "run").withColumn("run", F.substring("run", 2, 6))
+    orders = load(spark, sf, "orders")
+    first = orders.agg(F.min(F.year("o_orderdate"))).first()[0]
+    run = F.when(F.col("o_orderpriority") != "1-URGENT", F.year("o_orderdate") - first + 8)
+    sinks.write_run_table(orders.select("o_orderkey", "o_totalprice", run.alias("run")), path, "run")
+    return sinks.read_latest_run(spark, path, "run")
+
+
+@query("""SELECT o_orderkey, concat('to: ', o_orderpriority, ' /') AS run FROM orders WHERE o_orderpriority = '5-LOW'""")
+def s10_read_latest_escaped_run(spark, sf):
+    path = scratch_path(spark, "escaped")
+    run = F.concat(F.lit("to: "), F.col("o_orderpriority"), F.lit(" /"))
+    sinks.write_run_table(load(spark, sf, "orders").select("o_orderkey", run.alias("run")), path, "run")
+    return sinks.read_latest_run(spark, path, "run")
 
 
 @query("SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings")

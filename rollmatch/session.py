@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rollmatch.functions.columns import quoted
 
+_SHIPPED: set[str] = set()
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,13 +29,33 @@ def build_session(app: str = "rollmatch", master: str | None = None, **extra: st
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship(session)
+    return session
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="rollmatch-code-"), "rollmatch.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.relpath(file, os.path.dirname(package)))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
 
-    Only a session that names none (a local test) gets a folder of its own.
+    A local session that names none (a test) gets a folder of its own; on a cluster, where each machine would write to
+    a disk of its own, that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -40,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
     set_before = spark.sparkContext.getCheckpointDir()
     if set_before:
         return set_before
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     own = tempfile.mkdtemp(prefix="rollmatch-")
     spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir()

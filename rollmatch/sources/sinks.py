@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from rollmatch.sources.tabs import CSV_OPTIONS, path_exists
 STAMP = "%Y%m%d_%H%M%S"
 RESULTS_PREFIX = "results-"
 INDEX_PREFIX = "index-"
+NULL_RUN = "__HIVE_DEFAULT_PARTITION__"
 
 
 def as_cells(df: DataFrame, leave_out: Sequence[str] = ()) -> DataFrame:
@@ -131,13 +133,21 @@ def write_run_table(df: DataFrame, path: str, run: str) -> None:
 
 
 def read_latest_run(spark: SparkSession, path: str, run: str) -> DataFrame:
-    """The rows of the greatest run. Runs are told by their folders, so no other run's files are opened."""
+    """The rows of the greatest run; rows of a null run are in none.
+
+    Runs are told by their folders, so no other run's files are opened, and compared as values of the run column's
+    type: 10 comes after 9. An escaped name stands for its value.
+    """
     prefix = f"{run}="
-    values = [name.removeprefix(prefix) for name in _folders(spark, path) if name.startswith(prefix)]
+    names = [name for name in _folders(spark, path) if name.startswith(prefix)]
+    kind = spark.read.parquet(path).schema[run].dataType if names else None
+    values = [(name, unquote(name.removeprefix(prefix))) for name in names if name != prefix + NULL_RUN]
     if not values:
         raise ValueError(f"no runs below {path}")
-    newest = max(values)
-    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/{prefix}{newest}")
+    newest = spark.createDataFrame(values, "name string, value string").agg(
+        F.max_by("name", F.col("value").cast(kind))).first()[0]
+    rows = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/{newest}")
+    return rows.withColumn(run, col(run).cast(kind))
 
 
 def replace_table(df: DataFrame, base: str, order: str | None = None) -> str:

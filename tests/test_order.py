@@ -68,3 +68,33 @@ def test_sample_is_exact_and_repeatable(spark):
     one, two = (rows(order.sample_rows(df.repartition(n), 25, "id", seed=3)) for n in (2, 7))
     assert len(one) == 25 and one == two
     assert one != rows(order.sample_rows(df, 25, "id", seed=4))
+
+
+@pytest.mark.parametrize("within", [(), ("k",)])
+@pytest.mark.parametrize("gap", [1_000_003, 1 << 49])
+def test_values_far_apart(spark, within, gap, monkeypatch):
+    monkeypatch.setattr(order, "FAN", 16)
+    sparse = spark.range(3000).selectExpr(
+        f"(id - 1500) * {gap} AS o", "id % 7 AS k", "IF(id % 50 = 3, CAST(id AS STRING), NULL) AS v")
+    w = Window.partitionBy(*within).orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    assert rows(order.fill_down(sparse, ["v"], "o", within)) == rows(
+        sparse.withColumn("v", F.last("v", ignorenulls=True).over(w)))
+    numbered = order.number_rows(sparse, "n", "o").orderBy("o").select("n").collect()
+    assert [r.n for r in numbered] == list(range(3000))
+
+
+def test_no_window_sees_more_than_a_block_or_a_run(spark, monkeypatch):
+    """Each level's windows are over at most FAN places, so over at most FAN rows."""
+    monkeypatch.setattr(order, "FAN", 16)
+    seen = []
+    whole = order._before
+
+    def watched(summary, within, pos, names, kind, places, level=0):
+        if places <= order.FAN:
+            seen.append(summary.count())
+        return whole(summary, within, pos, names, kind, places, level)
+
+    monkeypatch.setattr(order, "_before", watched)
+    sparse = spark.range(2000).selectExpr("id * 1000003 AS o", "CAST(id AS STRING) AS v")
+    order.fill_down(sparse, ["v"], "o", block=64).count()
+    assert seen and max(seen) <= 16
