@@ -52,6 +52,14 @@ def label_text(title: Column, labels: Column) -> Column:
         F.concat(title, F.lit(": "), F.coalesce(labels, F.lit("")), F.lit(" ")))
 
 
+def attach_label(ranked: DataFrame, jobs: DataFrame, title: str, label: str, predicted: str, out: str,
+                 order: str = ORDER) -> DataFrame:
+    """The text `title: label, label ` for a title per row: one join, also where a record has many predictions."""
+    lists = label_lists(jobs, title, label, order)
+    joined = ranked.join(lists, col(predicted) == F.col("__title"), "left")
+    return joined.withColumn(out, label_text(col(predicted), F.col("__labels"))).drop("__title", "__labels")
+
+
 def attach_labels(results: DataFrame, jobs: DataFrame, title: str, label: str, predicted: Sequence[str],
                   out: Sequence[str], order: str = ORDER) -> DataFrame:
     """For each predicted title column, the text `title: label, label `; NA for a missing title."""

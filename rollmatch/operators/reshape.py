@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from rollmatch.functions.columns import col, cols
 from rollmatch.functions.nulls import blank_to_null, is_valid_label
 from rollmatch.functions.text import department_label
+from rollmatch.session import cut
 
 
 def explode_paired(df: DataFrame, paired: Sequence[str]) -> DataFrame:
@@ -69,9 +70,10 @@ def wide_to_ranked(df: DataFrame, key: str, triples: Sequence[tuple[str, str, st
     title, ident, dept, rank = names
     present = [(n, t) for n, t in enumerate(triples, start=1) if t[0] in df.columns]
     departments = [t[2] for _, t in present if t[2] in df.columns]
-    # Whether a whole column is null or blank: one scalar subquery over the table, so nothing is joined.
+    # Whether a whole column is null or blank: a scalar subquery. It reads these columns of the written table only.
     blank = {c: f"b{i}" for i, c in enumerate(departments)}
     if departments:
+        df = cut(df)
         flags = df.agg(F.struct(*[
             (F.count(blank_to_null(col(c))) == 0).alias(b) for c, b in blank.items()]).alias("flags")).scalar()
         df = df.withColumn("__blank", flags)

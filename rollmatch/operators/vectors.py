@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollmatch.functions.columns import col, cols
-from rollmatch.session import spread_small
+from rollmatch.session import cut, spread_small
 
 # Largest corpus, in bytes of doubles, that is sent to every task, and the size of one block beyond that. The
 # vectors shuffled beyond it are queries x item blocks + items x query blocks, so blocks are as large as a task holds.
@@ -81,7 +81,7 @@ def nearest(queries: DataFrame, items: DataFrame, k: int, query_id: str, query_v
         raise ValueError(f"unknown metric {metric!r}")
     asked = queries.select(col(query_id).alias("q"), col(query_vector).alias("v")).where(F.col("v").isNotNull())
     held = items.select(col(item_id).alias("i"), col(item_vector).alias("v")).where(F.col("v").isNotNull())
-    # An upper bound of the corpus size: the row count comes from file footers, the width from one vector.
+    # An upper bound of the corpus size from its row count and the width of one vector.
     n_items, one = items.count(), held.select(F.size("v").alias("width")).first()
     vector_bytes = 8 * max(1, one["width"] if one else 1)
     schema = T.StructType([
@@ -143,8 +143,11 @@ def retrieve_jobs(queries: DataFrame, nodes: DataFrame, k: int, key: str, vector
     """Ranked retrieval with metadata: (key, rank, <metadata columns>, score).
 
     `metadata` maps output columns to node columns. Queries that are not `searchable`, or find nothing, get k rows
-    of `default` (one value per output column) with score 0 when a default is given.
+    of `default` (one value per output column) with score 0 when a default is given. Of several queries with one
+    key, one is answered. The nodes may be the result of joins; they are computed once.
     """
+    queries = queries.dropDuplicates([key])
+    nodes = cut(nodes.select(*cols(dict.fromkeys([node_id, vector, *metadata.values()]))))
     able = queries if searchable is None else queries.where(searchable)
     hits = nearest(able, nodes, k, key, vector, node_id, vector, **options)
     described = hits.join(
@@ -163,11 +166,29 @@ def retrieve_jobs(queries: DataFrame, nodes: DataFrame, k: int, key: str, vector
     return filled.select(col(key), "r.*")
 
 
+def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, tf): how often each lower-case word stands in a text."""
+    words = spread_small(docs.select(col(key), col(text)), key).select(
+        col(key), F.explode(F.split(F.lower(col(text)), r"\s+")).alias("term")).where(F.col("term") != "")
+    return words.groupBy(col(key), "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def fit_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(term, idf): ln((documents + 1) / (documents with the term + 1)), from the corpus that is searched."""
+    spread = term_counts(docs, key, text).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return spread.select("term", F.ln((total + 1) / (F.col("df") + 1)).alias("idf"))
+
+
+def weigh_terms(docs: DataFrame, key: str, text: str, fitted: DataFrame) -> DataFrame:
+    """(key, term, weight) of other texts in the weights of a fitted corpus; a term it does not have has none."""
+    return term_counts(docs, key, text).join(fitted, "term").select(
+        col(key), "term", (F.col("tf") * F.col("idf")).alias("weight"))
+
+
 def term_weights(docs: DataFrame, key: str, text: str) -> DataFrame:
     """TF-IDF rows (key, term, weight): term count times ln((documents + 1) / (documents with the term + 1))."""
-    words = spread_small(docs.select(col(key), col(text)), key).select(col(key), F.explode(F.split(F.lower(col(text)), r"\s+")).alias("term")).where(
-        F.col("term") != "")
-    counts = words.groupBy(col(key), "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = term_counts(docs, key, text)
     spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     return counts.join(spread, "term").select(
@@ -176,14 +197,25 @@ def term_weights(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def hashed_vectors(weights: DataFrame, key: str, width: int = 256) -> DataFrame:
-    """Dense vectors (key, embedding) from term weights, terms hashed into `width` places."""
-    placed = weights.groupBy(
-        col(key), F.pmod(F.xxhash64("term"), F.lit(width)).cast("int").alias("place")).agg(F.sum("weight").alias("w"))
-    packed = placed.groupBy(col(key)).agg(F.map_from_entries(F.collect_list(F.struct("place", "w"))).alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda p: F.coalesce(F.col("m")[p], F.lit(0.0)))
-    return packed.select(col(key), dense.cast("array<float>").alias("embedding"))
+    """Dense vectors (key, embedding) from term weights. A term's place is its md5's leading 32 bits modulo `width`."""
+    place = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long") % width
+    placed = weights.groupBy(col(key), place.cast("int").alias("place")).agg(F.sum("weight").alias("w"))
+    packed = placed.groupBy(col(key)).agg(F.collect_list(F.struct("place", "w")).alias("m"))
+
+    @F.pandas_udf("array<float>")
+    def dense(places: pd.Series, sums: pd.Series) -> pd.Series:
+        rows = np.zeros((len(places), width), dtype=np.float32)
+        for row, p, w in zip(rows, places, sums):
+            row[p] = w
+        return pd.Series(list(rows))
+
+    return packed.select(col(key), dense(F.col("m.place"), F.col("m.w")).alias("embedding"))
 
 
-def embed_text(docs: DataFrame, key: str, text: str, width: int = 256) -> DataFrame:
-    """Built-in embedding of texts; a column of model embeddings can take its place."""
-    return hashed_vectors(term_weights(docs, key, text), key, width)
+def embed_text(docs: DataFrame, key: str, text: str, width: int = 256, fitted: DataFrame | None = None) -> DataFrame:
+    """Built-in embedding of texts; a column of model embeddings can take its place.
+
+    Texts to search with are embedded with the weights of the corpus (`fit_terms`), so that both sides compare.
+    """
+    weights = term_weights(docs, key, text) if fitted is None else weigh_terms(docs, key, text, fitted)
+    return hashed_vectors(weights, key, width)

@@ -87,6 +87,8 @@ NODE_METADATA = ("Job Title", "Request Name", "Department")
 # Predictions.
 TITLE_HEADING, REQUEST_HEADING, SCORE_HEADING = "Vec Pred Job Title", "Vec Pred Request Name", "Vec Pred Score"
 RANKED = (("title", TITLE_HEADING), ("request", REQUEST_HEADING), ("score", SCORE_HEADING))
+# The department text of a rank for which no job was found.
+NO_DEPARTMENT = "NA:  "
 DEFAULT_RESULT = {"title": "Ashram Support", "request": ""}
 
 

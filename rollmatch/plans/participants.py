@@ -17,19 +17,40 @@ from rollmatch.plans import layouts as L
 from rollmatch.session import cut
 
 
+def rolled_participants(export: DataFrame, center: str, answers: Sequence[str] = (), include_feedback: bool = False,
+                        order: str = ORDER) -> DataFrame:
+    """One row per participant from the multi-row export; nothing is written on the way."""
+    layout = L.rolled_columns(center, tuple(answers))
+    require(export, layout)
+    filled = fill_down(export.select(col(order), *cols(layout)), L.PARTICIPANT_FILL, order)
+    return _rolled(filled, layout, include_feedback, order)
+
+
+def filled_rows(export: DataFrame, center: str, order: str = ORDER) -> DataFrame:
+    """The filled-down copy without exact duplicates."""
+    layout = L.filled_columns(center)
+    require(export, layout)
+    needed = dict.fromkeys([*layout, *[c for c in L.PARTICIPANT_FILL if c in export.columns]])
+    filled = fill_down(export.select(col(order), *cols(needed)), L.PARTICIPANT_FILL, order)
+    return fill_records(filled.select(col(order), *cols(layout)), L.KEY, order)
+
+
+def _rolled(filled: DataFrame, layout: Sequence[str], include_feedback: bool, order: str) -> DataFrame:
+    feedback = last_answers(L.QUESTION, L.FEEDBACK_PICKS, order) if include_feedback else None
+    return roll_up_text(filled, (), L.PARTICIPANT_CONCAT, layout, L.KEY, order, feedback=feedback)
+
+
 def roll_up_participants(
     export: DataFrame, center: str, answers: Sequence[str] = (), include_feedback: bool = False, order: str = ORDER,
 ) -> tuple[DataFrame, DataFrame]:
-    """(one row per participant, filled-down copy without exact duplicates) from the multi-row export."""
+    """(one row per participant, filled-down copy without exact duplicates): the filled table, which both read, is written."""
     rolled_layout = L.rolled_columns(center, tuple(answers))
     filled_layout = L.filled_columns(center)
     require(export, [*rolled_layout, *filled_layout])
     narrow = export.select(col(order), *cols(dict.fromkeys([*rolled_layout, *filled_layout])))
     filled = cut(fill_down(narrow, L.PARTICIPANT_FILL, order))
     copy = fill_records(filled.select(col(order), *cols(filled_layout)), L.KEY, order)
-    feedback = last_answers(L.QUESTION, L.FEEDBACK_PICKS, order) if include_feedback else None
-    rolled = roll_up_text(filled, (), L.PARTICIPANT_CONCAT, rolled_layout, L.KEY, order, feedback=feedback)
-    return rolled, copy
+    return _rolled(filled, rolled_layout, include_feedback, order), copy
 
 
 def map_ids(rolled: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -180,9 +180,19 @@ def l2_first_rows(spark, sf):
     return order.first_rows(load(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 20, "o_orderkey")
 
 
-@query()
+@query("SELECT 20 AS n, 20 AS keys, 20 AS known, true AS agree, true AS other_differs")
 def l3_sample_rows(spark, sf):
-    return order.sample_rows(load(spark, sf, "orders"), 20, "o_orderkey", seed=7)
+    """Rows drawn, distinct keys, keys that the table has; whether one seed draws the same again, and another differs."""
+    orders = load(spark, sf, "orders").select("o_orderkey")
+    first, again, other = (order.sample_rows(orders, 20, "o_orderkey", seed).withColumn(name, F.lit(1))
+                           for seed, name in ((7, "a"), (7, "b"), (8, "c")))
+    drawn = first.join(again, "o_orderkey", "full").join(other, "o_orderkey", "full")
+    known = drawn.join(orders, "o_orderkey", "left_semi")
+    counts = known.agg(F.count("a").alias("n"), F.count_distinct(F.when(F.col("a") == 1, F.col("o_orderkey"))).alias("keys"),
+                       F.count(F.when(F.col("a") == 1, 1)).alias("known"), F.count(F.when(F.col("a") == F.col("b"), 1)).alias("both"),
+                       F.count(F.when(F.col("a") == F.col("c"), 1)).alias("shared"))
+    return counts.select(*[F.col(c).cast("int").alias(c) for c in ("n", "keys", "known")], (F.col("both") == 20).alias("agree"),
+                         (F.col("shared") < 20).alias("other_differs"))
 
 
 @query("""SELECT id, doc_id, n FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, doc_id,

@@ -78,7 +78,7 @@ ROLLED_SQL = _roll_sql(ROLLED, L.PARTICIPANT_FILL, L.PARTICIPANT_CONCAT, "SP ID"
 
 @query(ROLLED_SQL)
 def g1_rolled_participants(spark, sf):
-    return participants.roll_up_participants(export(spark, sf), CENTER, ANSWERS)[0]
+    return participants.rolled_participants(export(spark, sf), CENTER, ANSWERS)
 
 
 PICKED = ", ".join(
@@ -89,13 +89,13 @@ PICKED = ", ".join(
 @query(f"""WITH f AS ({_fill_sql(ROLLED, L.PARTICIPANT_FILL, EXPORT_SQL)}), k AS (SELECT DISTINCT "SP ID" FROM f)
        SELECT "SP ID", {PICKED} FROM k""")
 def g1_interviewer_feedback(spark, sf):
-    rolled, _ = participants.roll_up_participants(export(spark, sf), CENTER, ANSWERS, include_feedback=True)
+    rolled = participants.rolled_participants(export(spark, sf), CENTER, ANSWERS, include_feedback=True)
     return rolled.select(col("SP ID"), *[col(c) for c in L.FEEDBACK_PICKS])
 
 
 @query(f"SELECT DISTINCT {', '.join(map(dq, FILLED))} FROM ({_fill_sql(EXPORT_COLUMNS, L.PARTICIPANT_FILL, EXPORT_SQL)})")
 def g1_filled_rows(spark, sf):
-    return participants.roll_up_participants(export(spark, sf), CENTER, ANSWERS)[1]
+    return participants.filled_rows(export(spark, sf), CENTER)
 
 
 MAPPING = ("CAST(c_custkey AS STRING) AS `SP ID`", "concat('P', CAST(c_custkey AS STRING)) AS `Person Id`", "c_name AS Name")

@@ -8,11 +8,12 @@ from rollmatch.operators import merge
 from rollmatch.queries.registry import query
 from rollmatch.session import load
 
-# Overlapping sides: the old one by date, the new one by status; some old keys are blank, some new ones null.
-OLD_WHERE = "o_orderdate < TIMESTAMP '1999-01-01'"
-NEW_WHERE = "o_orderstatus = 'O'"
+# Overlapping sides; some old keys are blank, some new ones null.
+# Both sides hold every order; those that are not open have keys of their own on the new side.
+OLD_WHERE = NEW_WHERE = "true"
 OLD_KEY = "CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN ' ' ELSE CAST(o_orderkey AS STRING) END AS k"
-NEW_KEY = "CASE WHEN o_totalprice > 490000 THEN NULL ELSE CAST(o_orderkey AS STRING) END AS k"
+NEW_KEY = """CASE WHEN o_totalprice > 490000 THEN NULL WHEN o_orderstatus <> 'O' THEN concat('n', CAST(o_orderkey AS STRING))
+    ELSE CAST(o_orderkey AS STRING) END AS k"""
 OLD_COLS = (OLD_KEY, "o_totalprice AS price", "o_orderpriority AS label", "o_orderkey AS ord")
 NEW_COLS = (NEW_KEY, "o_totalprice + 1 AS price", "o_custkey AS cust", "o_orderkey AS ord")
 

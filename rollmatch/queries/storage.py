@@ -114,7 +114,7 @@ def s9_write_snapshot(spark, sf):
 def s10_read_version(spark, sf):
     base = scratch_path(spark, "versions")
     orders = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    for day, status in ((3, "F"), (5, "O")):
+    for day, status in ((3, "F"), (4, "P"), (5, "O")):
         sinks.write_snapshot(orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus"), base, sinks.INDEX_PREFIX,
                              at=datetime(2024, 1, day, 12, 30, 0))
     return sinks.read_snapshot(spark, base, sinks.INDEX_PREFIX, "20240103_123000")
