@@ -60,16 +60,17 @@ def map_ids(rolled: DataFrame, mapping: DataFrame) -> DataFrame:
     return select_exact(joined, [L.KEY, *added, *[c for c in rolled.columns if c != L.KEY]])
 
 
-def participant_frame(raw: DataFrame, order: str = ORDER) -> DataFrame:
-    """Typed participants: lists rolled up, date lists repaired, years per job, summary text."""
+def participant_frame(raw: DataFrame, order: str = ORDER, keep_order: bool = False) -> DataFrame:
+    """Typed participants: lists rolled up, date lists repaired, years per job, summary text; on request with the order
+    of each one's first row."""
     narrow = raw.select(col(order), *cols(L.ALLOCATION_COLUMNS))
     fill = [c for c in L.ALLOCATION_COLUMNS if c not in L.ALLOCATION_LISTS]
-    rolled = roll_up_lists(narrow, fill, L.ALLOCATION_LISTS, L.KEY, order)
+    rolled = roll_up_lists(narrow, fill, L.ALLOCATION_LISTS, L.KEY, order, keep_order=keep_order)
     start, end = "Work Experience/From Date", "Work Experience/To Date"
     starts, ends = repair_date_lists(col(start), col(end))
     repaired = rolled.withColumns({L.KEY: col(L.KEY).cast("long"), start: starts, end: ends})
     return repaired.select(
-        *cols(fill), *cols(L.ALLOCATION_LISTS),
+        *([col(order)] if keep_order else []), *cols(fill), *cols(L.ALLOCATION_LISTS),
         years_between_lists(col(start), col(end)).alias("Years of Experience"),
         participant_summary(
             col(L.KEY), col("Work Experience/Industry"), col("Work Experience/Tasks"), col(start), col(end),

@@ -19,6 +19,7 @@ from rollmatch.operators.schema import select_preferred
 from rollmatch.operators.vectors import embed_text
 from rollmatch.plans import layouts as L
 from rollmatch.session import cut
+from rollmatch.sources.sinks import read_table, write_vectors
 
 
 def clean_requests(raw: DataFrame, order: str = ORDER) -> DataFrame:
@@ -79,3 +80,17 @@ def index_nodes(jobs: DataFrame, embed: Callable[[DataFrame, str, str], DataFram
         F.col("id").cast("string").alias("id"), F.col("summary").alias("text"), *cols(L.NODE_METADATA)))
     vectors = embed(nodes, "id", "text")
     return nodes.join(vectors.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"), "left").drop("__id")
+
+
+def requests_job(clean: DataFrame, new: DataFrame, old: DataFrame, main: DataFrame, generic: DataFrame, table: str,
+                 embed: Callable[[DataFrame, str, str], DataFrame] = embed_text, order: str = ORDER) -> dict[str, DataFrame]:
+    """Reconcile, combine, index: the rows to append, the merged rows, the updated main table, and the vector table.
+
+    `clean`, `new`, `old` and `generic` are request rows in one layout with a row order; the vector table at `table` is
+    overwritten by the texts of the combined requests and of the generic jobs.
+    """
+    to_append, merged, updated = reconcile_requests(clean, new, old, main, order)
+    combined = combine_requests(new, old, generic, order)
+    write_vectors(index_nodes(job_texts(combined, generic, order), embed, order), table)
+    return {"to_append": to_append, "merged": merged, "main": updated,
+            "nodes": read_table(clean.sparkSession, table)}

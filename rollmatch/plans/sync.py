@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from rollmatch.operators.merge import new_key_rows, new_rows, sync_aligned
 from rollmatch.operators.rollup import count_report
 from rollmatch.plans import layouts as L
+from rollmatch.session import cut
+from rollmatch.sources.sinks import append_rows
 
 
 def sync_filled(filled: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -25,3 +27,16 @@ def sync_predictions(results: DataFrame, target: DataFrame) -> tuple[DataFrame,
     """(rows of unseen keys in the source's layout, to be appended by position, report)."""
     added = new_key_rows(results, target, L.KEY)
     return added, count_report(target, added, results, L.KEY)
+
+
+def append_predictions(results: DataFrame, path: str) -> DataFrame:
+    """Append the predictions of unseen keys to their table, by position; returns the report.
+
+    The table's first column is its key, whatever its heading. Rows and report are settled before anything is written.
+    """
+    target = results.sparkSession.read.parquet(path)
+    named = target.withColumnRenamed(target.columns[0], L.KEY)
+    added, report = sync_predictions(results, named)
+    added, report = cut(added), cut(report)
+    append_rows(added, path)
+    return report

@@ -11,6 +11,8 @@ from rollmatch.functions.columns import col, join_null_safe
 from rollmatch.functions.jsontext import first_filled, json_object, row_json, tag_value
 from rollmatch.functions.nulls import blank_to_null
 from rollmatch.plans import layouts as L
+from rollmatch.session import cut
+from rollmatch.sources.sinks import strict_append
 
 
 def prompts(candidates: DataFrame, key: str = L.KEY) -> DataFrame:
@@ -37,3 +39,10 @@ def tag_records(candidates: DataFrame, replies: DataFrame, tags: Sequence[str],
     return parsed.select(
         col(key), shown.alias("Name"), city.alias("City"), stamp.alias("Processed Date"),
         *[tag_value(F.col("__tags"), t, reply).alias(t) for t in tags])
+
+
+def append_tags(candidates: DataFrame, replies: DataFrame, path: str, tags: Sequence[str], key: str = L.KEY,
+                at: str | None = None) -> None:
+    """Tag the candidates and append those that the tag table lacks, in exactly its columns."""
+    made = tag_records(candidates, replies, tags, key, at)
+    strict_append(cut(made), path, [key, *L.TAG_FIXED[1:], *tags])

@@ -208,10 +208,7 @@ REPR = ", ".join(f"""concat('[', coalesce(string_agg(concat('''', {dq(c)}, '''')
 KNOWS = " OR ".join(f"count(*) FILTER ({dq(c)} <> 'NA') > 0" for c in SHOWN)
 RESULTS_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')}),
     people AS (SELECT CAST("SP ID" AS BIGINT) AS "SP ID", {REPR}, {KNOWS} AS knows FROM f WHERE "SP ID" IS NOT NULL GROUP BY "SP ID"),
-    n AS (SELECT * FROM ({NODES.format(v=VECTORS)})),
-    hits AS (SELECT q.vec_id, n.title, n.request, list_cosine_similarity(q.v, n.v) AS score, row_number() OVER (
-        PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.v, n.v), 9) DESC, n.id) AS rank
-      FROM ({VECTORS}) q CROSS JOIN n WHERE q.vec_id IN (SELECT "SP ID" FROM people WHERE knows)),
+    {{HITS}},
     labels AS (SELECT p_type, string_agg(p_brand, ', ' ORDER BY seen) AS depts FROM (
       SELECT p_type, p_brand, min(p_partkey) AS seen FROM part GROUP BY ALL) GROUP BY p_type),
     wide AS (SELECT "SP ID", {', '.join(f'''coalesce(max(title) FILTER (rank = {i}), 'Ashram Support') AS "Vec Pred Job Title: {i}",
@@ -223,6 +220,14 @@ RESULTS_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION
     FROM wide {' '.join(f'LEFT JOIN labels l{i} ON l{i}.p_type = "Vec Pred Job Title: {i}"' for i in (1, 2, 3))}"""
 
 
+HITS_SQL = f"""n AS (SELECT * FROM ({NODES.format(v=VECTORS)})),
+    hits AS (SELECT q.vec_id, n.title, n.request, list_cosine_similarity(q.v, n.v) AS score, row_number() OVER (
+        PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.v, n.v), 9) DESC, n.id) AS rank
+      FROM ({VECTORS}) q CROSS JOIN n WHERE q.vec_id IN (SELECT "SP ID" FROM people WHERE knows))"""
+ALLOCATED_SQL = RESULTS_SQL
+RESULTS_SQL = ALLOCATED_SQL.replace("{HITS}", HITS_SQL)
+
+
 def _printed(df):
     return df.select(*[
         list_repr(col(c)).alias(c) if c in SHOWN else F.round(col(c), 6).alias(c) if c.startswith("Vec Pred Score") else col(c)
@@ -234,11 +239,6 @@ def g3_allocate(spark, sf):
     return _printed(results(spark, sf))
 
 
-@query(RESULTS_SQL)
-def v6_allocation_job(spark, sf):
-    return g3_allocate(spark, sf)
-
-
 def enriched(spark, sf):
     """Results go through their snapshot, the way the next step reads them."""
     base = scratch_path(spark, "results")
@@ -367,12 +367,17 @@ def g8_reconcile_requests(spark, sf):
     return main
 
 
-def job_texts(spark, sf):
-    rows = raw_requests(spark, sf)
-    have = rows.withColumn("Skills", F.lit(None).cast("string"))
-    generic = load(spark, sf, "part").where("p_size = 1").selectExpr(
+def filled_requests(spark, sf):
+    return fill_down(raw_requests(spark, sf).withColumn("Skills", F.lit(None).cast("string")), ["Request Name"])
+
+
+def generic_jobs(spark, sf):
+    return load(spark, sf, "part").where("p_size = 1").selectExpr(
         f"p_partkey AS {ORDER}", "p_type AS `Job Title`", f"p_name AS `{L.GENERIC_DESCRIPTION}`")
-    return requests.job_texts(fill_down(have, ["Request Name"]), generic)
+
+
+def job_texts(spark, sf):
+    return requests.job_texts(filled_requests(spark, sf), generic_jobs(spark, sf))
 
 
 def _list_sql(name):
@@ -383,38 +388,97 @@ TEXTS_SQL = f"""WITH e AS ({_fill_sql(list(REQUEST), ['Request Name'], RAW_REQUE
     k AS (SELECT _ord, {', '.join(dq(c) if c == 'Request Name' else f"coalesce({dq(c)}, 'NA') AS {dq(c)}" for c in REQUEST)}
       FROM e WHERE "Request Name" IS NOT NULL),
     n AS (SELECT *, row_number() OVER (PARTITION BY "Request Name" ORDER BY _ord) AS rn FROM k),
-    g AS (SELECT "Request Name", max(CASE WHEN rn = 1 THEN "Job Title" END) AS "Job Title",
+    g AS (SELECT "Request Name", min(_ord) AS seen, max(CASE WHEN rn = 1 THEN "Job Title" END) AS "Job Title",
       max(CASE WHEN rn = 1 THEN "Department" END) AS "Department", max(CASE WHEN rn = 1 THEN "Job Description" END) AS about,
       {_list_sql('Skills/Keywords')} AS keywords, string_agg('NA', ', ') AS skills, {_list_sql('Languages')} AS langs FROM n GROUP BY 1)
     SELECT "Job Title", "Request Name", "Department", concat(chr(10), '    The job titled: "', "Job Title", '" has a description: ',
       about, ',', chr(10), '    and expects the following skills: ', keywords, ', and ', skills, chr(10),
-      '    and know the languages: ', langs, '.', chr(10), '    ') AS summary FROM g
-    UNION ALL SELECT p_type, '', '', concat(chr(10), '    The job titled: "', p_type, '" has a description: ', p_name, '.', chr(10), '    ')
-    FROM part WHERE p_size = 1"""
+      '    and know the languages: ', langs, '.', chr(10), '    ') AS summary, 0 AS src, seen FROM g
+    UNION ALL SELECT p_type, '', '', concat(chr(10), '    The job titled: "', p_type, '" has a description: ', p_name, '.', chr(10), '    '),
+      1, p_partkey FROM part WHERE p_size = 1"""
 
 
-@query(TEXTS_SQL)
+@query(f"""SELECT "Job Title", "Request Name", "Department", summary FROM ({TEXTS_SQL})""")
 def t4_job_texts(spark, sf):
     return job_texts(spark, sf).select("Job Title", "Request Name", "Department", "summary")
 
 
-@query(f"""SELECT count(*) AS nodes, count(DISTINCT summary) AS texts, 64 AS width FROM ({TEXTS_SQL})""")
+# The vector table: jobs numbered in row order, requests first, and the weights of their terms summed by place.
+WIDTH = 64
+PLACED_SQL = f"""places AS (SELECT id, ('0x' || substr(md5(term), 1, 8))::BIGINT % {WIDTH} AS place, sum(tf * idf)::FLOAT AS w FROM (
+      SELECT id, term, tf, ln(((SELECT count(*) FROM nodes) + 1) / (count(*) OVER (PARTITION BY term) + 1)) AS idf FROM (
+        SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(regexp_split_to_array(lower(text), '\\s+')) AS term FROM nodes)
+        WHERE term <> '' GROUP BY ALL)) GROUP BY ALL)"""
+NODES_SQL = f"""nodes AS (SELECT CAST(row_number() OVER (ORDER BY src, seen) - 1 AS VARCHAR) AS id, summary AS text, "Job Title",
+      "Request Name", "Department" FROM ({TEXTS_SQL})), {PLACED_SQL}"""
+
+
+@query(f"""WITH {NODES_SQL} SELECT id, text, "Job Title", "Request Name", "Department", CAST(place AS INTEGER) AS place,
+       round(w::DOUBLE, 4) AS x FROM nodes JOIN places USING (id) WHERE round(w::DOUBLE, 4) <> 0""")
 def v1_index_nodes(spark, sf):
-    nodes = requests.index_nodes(job_texts(spark, sf), lambda d, k, t: embed_text(d, k, t, 64))
-    return nodes.agg(F.count_distinct("id").alias("nodes"), F.count_distinct("text").alias("texts"),
-                     F.max(F.size("embedding")).alias("width"))
+    nodes = requests.index_nodes(job_texts(spark, sf), lambda d, k, t: embed_text(d, k, t, WIDTH))
+    cells = nodes.select(*[col(c) for c in nodes.columns if c != "embedding"], F.posexplode("embedding").alias("place", "x"))
+    return cells.withColumn("x", F.round(F.col("x").cast("double"), 4)).where("x <> 0")
+
+
+# Participants meet the indexed jobs by their search texts, in the weights of the job texts.
+_LISTS = ", ".join(f"coalesce(list({dq(c)} ORDER BY _ord) FILTER ({dq(c)} IS NOT NULL), ['NA']) AS c{i}"
+                   for i, c in enumerate(L.INPUT_COLUMNS[1:]))
+FOUND_SQL = f"""{NODES_SQL},
+    lists AS (SELECT CAST("SP ID" AS BIGINT) AS k, {_LISTS} FROM f WHERE "SP ID" IS NOT NULL GROUP BY "SP ID"),
+    heads AS (SELECT *, concat(' Participant ', k, ' worked with designations: ', array_to_string(
+      list_transform(c0, lambda d: concat(d, ', ')), '')) AS head FROM lists),
+    texts AS (SELECT k, concat(head, left(head, length(head) - 2), '. ', array_to_string(list_transform(
+      range(1, least(len(c1), len(c2)) + 1), lambda i: concat(' The participant has a ', c1[i], ' education specialized in ',
+      c2[i], '. ')), '')) AS input FROM heads),
+    idfs AS (SELECT term, ln(((SELECT count(*) FROM nodes) + 1) / (count(DISTINCT id) + 1)) AS idf FROM (
+      SELECT id, unnest(regexp_split_to_array(lower(text), '\\s+')) AS term FROM nodes) WHERE term <> '' GROUP BY term),
+    asked AS (SELECT k, ('0x' || substr(md5(term), 1, 8))::BIGINT % {WIDTH} AS place, sum(tf * idf)::FLOAT AS w FROM (
+      SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(regexp_split_to_array(lower(input), '\\s+')) AS term FROM texts)
+      GROUP BY ALL) JOIN idfs USING (term) GROUP BY ALL),
+    dots AS (SELECT k, id, sum(a.w::DOUBLE * b.w::DOUBLE) AS dot FROM asked a JOIN places b USING (place) GROUP BY ALL),
+    sizes AS (SELECT k, sqrt(sum(w::DOUBLE * w::DOUBLE)) AS n FROM asked GROUP BY k),
+    lengths AS (SELECT id, sqrt(sum(w::DOUBLE * w::DOUBLE)) AS n FROM places GROUP BY id),
+    hits AS (SELECT k AS vec_id, "Job Title" AS title, "Request Name" AS request, score, row_number() OVER (
+        PARTITION BY k ORDER BY round(score, 9) DESC, id) AS rank FROM (
+      SELECT s.k, n.id, "Job Title", "Request Name", coalesce(dot / (s.n * l.n), 0) AS score FROM sizes s CROSS JOIN nodes n
+        JOIN lengths l ON l.id = n.id LEFT JOIN dots d ON d.k = s.k AND d.id = n.id
+      WHERE s.k IN (SELECT "SP ID" FROM people WHERE knows)))"""
+
+
+# Departments of the raw requests, as the job lists them per title.
+DEPARTMENTS_SQL = f"""labels AS (SELECT "Job Title" AS p_type, string_agg("Department", ', ' ORDER BY seen) AS depts FROM (
+      SELECT "Job Title", "Department", min(_ord) AS seen FROM ({RAW_REQUESTS_SQL}) GROUP BY 1, 2) GROUP BY 1),
+    """
+
+
+def _v6_sql():
+    start, end = ALLOCATED_SQL.index("labels AS ("), ALLOCATED_SQL.index("wide AS (")
+    return (ALLOCATED_SQL[:start] + DEPARTMENTS_SQL + ALLOCATED_SQL[end:]).replace("{HITS}", FOUND_SQL)
+
+
+@query(_v6_sql())
+def v6_allocation_job(spark, sf):
+    return _printed(allocation.allocation_job(
+        frame(spark, sf), filled_requests(spark, sf), generic_jobs(spark, sf), scratch_path(spark, "vectors"),
+        scratch_path(spark, "results"), width=WIDTH))
 
 
 TAG_NAMES = ("k", "Specialization")
 
 
-def _tagged(spark, sf):
-    events = load(spark, sf, "events")
-    people = events.selectExpr(
+def _people(spark, sf):
+    return load(spark, sf, "events").selectExpr(
         "CAST(event_id AS STRING) AS `SP ID`", "CASE WHEN value >= 10 THEN event_type ELSE '' END AS `First Name`",
         "CASE WHEN value >= 5 THEN props END AS Name", "CASE WHEN value >= 15 THEN event_type END AS City")
-    replies = events.selectExpr("CAST(event_id AS STRING) AS `SP ID`", REPLY)
-    return tags.tag_records(people, replies, TAG_NAMES, at="2024-01-01 00:00:00")
+
+
+def _replies(spark, sf):
+    return load(spark, sf, "events").selectExpr("CAST(event_id AS STRING) AS `SP ID`", REPLY)
+
+
+def _tagged(spark, sf):
+    return tags.tag_records(_people(spark, sf), _replies(spark, sf), TAG_NAMES, at="2024-01-01 00:00:00")
 
 
 TAGGED_SQL = """SELECT CAST(event_id AS VARCHAR) AS "SP ID", CASE WHEN value >= 10 THEN event_type
@@ -432,7 +496,12 @@ def g9_tag_records(spark, sf):
 
 @query(TAGGED_SQL)
 def e13_tag_job(spark, sf):
-    return g9_tag_records(spark, sf)
+    """Tags appended in two runs, the second over all candidates; each is in the table once."""
+    people, replies = _people(spark, sf), _replies(spark, sf)
+    path = scratch_path(spark, "tags")
+    tags.append_tags(people.where("Name IS NOT NULL"), replies, path, TAG_NAMES, at="2024-01-01 00:00:00")
+    tags.append_tags(people, replies, path, TAG_NAMES, at="2024-01-01 00:00:00")
+    return spark.read.parquet(path).withColumn("k", F.regexp_replace("k", '":(?=\\d)', '": '))
 
 
 @query("""SELECT CAST(event_id AS VARCHAR) AS "SP ID", event_type AS type, value FROM events""")
