@@ -105,6 +105,17 @@ def collect_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str], ord
     return _collect(df, keys, columns, order, sep, tokens, block, first=())
 
 
+def collect_pieces(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str = ORDER,
+                   sep: str = LIST_SEPARATOR, tokens: Sequence[str] = ("nan",), block: int = BLOCK) -> DataFrame:
+    """The lists of `collect_rows` in pieces: one row per key and block of rows, numbered by `piece` in row order.
+
+    For groups too long for one cell. A piece without values is an empty list.
+    """
+    split = text_literal(re.escape(sep))
+    return _pieces(df, keys, columns, tokens, order, block).selectExpr(*cols(keys), "piece", *[
+        f"flatten(transform({_present(i)}, v -> split(v, {split}))) AS {quoted(c)}" for i, c in enumerate(columns)])
+
+
 def _collect(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str, sep: str,
              tokens: Sequence[str], block: int, first: Sequence[str]) -> DataFrame:
     head = [F.expr(f"min_by(struct({listed(first)}), {quoted(order)}) AS __first")] if first else []

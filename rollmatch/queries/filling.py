@@ -37,25 +37,86 @@ def a2_fill_down_per_key(spark, sf):
     return order.fill_down(export(spark, sf), ["kind", "note"], "ord", within=["user_id"])
 
 
-@query(f"""WITH e AS ({EXPORT_SQL}),
+FILL_RECORDS_SQL = f"""WITH e AS ({EXPORT_SQL}),
        h AS (SELECT *, max(CASE WHEN rec <> '' THEN ord END) OVER (ORDER BY ord) AS at FROM e)
        SELECT DISTINCT coalesce(nullif(h.rec, ''), p.rec, h.rec) AS rec,
          CASE WHEN h.rec <> '' OR h.at IS NULL THEN h.kind ELSE coalesce(nullif(h.kind, ''), p.kind) END AS kind,
          CASE WHEN h.rec <> '' OR h.at IS NULL THEN h.note ELSE coalesce(nullif(h.note, ''), p.note) END AS note
-       FROM h LEFT JOIN e p ON p.ord = h.at""")
+       FROM h LEFT JOIN e p ON p.ord = h.at"""
+
+
+@query(FILL_RECORDS_SQL)
 def a3_fill_records(spark, sf):
     return rollup.fill_records(export(spark, sf).drop("user_id"), "rec", "ord")
 
 
-@query(f"""WITH e AS ({EXPORT_SQL}) SELECT DISTINCT
+ROW_ABOVE_SQL = f"""WITH e AS ({EXPORT_SQL}) SELECT DISTINCT
        coalesce(last_value(nullif(rec, '') IGNORE NULLS) OVER w, rec) AS rec,
        coalesce(last_value(nullif(kind, '') IGNORE NULLS) OVER w, kind) AS kind,
        coalesce(last_value(nullif(note, '') IGNORE NULLS) OVER w, note) AS note, user_id
-       FROM e WINDOW w AS (ORDER BY ord)""")
+       FROM e WINDOW w AS (ORDER BY ord)"""
+
+
+@query(ROW_ABOVE_SQL)
 def a4_fill_from_row_above(spark, sf):
     return rollup.fill_from_row_above(export(spark, sf), "ord")
 
 
+# The same rows with an order column whose values lie far apart.
+GAP = 1_000_003
+
+
+def sparse(df, name="ord"):
+    return df.withColumn(name, F.col(name) * GAP)
+
+
+def _dense(df, name="ord"):
+    return df.withColumn(name, (F.col(name) / GAP).cast("long"))
+
+
+@query(f"""SELECT ord, user_id, last_value(rec IGNORE NULLS) OVER w AS rec, last_value(kind IGNORE NULLS) OVER w AS kind,
+       note FROM ({EXPORT_SQL}) WINDOW w AS (ORDER BY ord)""")
+def a1_fill_down_sparse(spark, sf):
+    return _dense(order.fill_down(sparse(export(spark, sf)), ["rec", "kind"], "ord"))
+
+
+@query(f"""SELECT ord, user_id, rec, last_value(kind IGNORE NULLS) OVER w AS kind, last_value(note IGNORE NULLS) OVER w
+       AS note FROM ({EXPORT_SQL}) WINDOW w AS (PARTITION BY user_id ORDER BY ord)""")
+def a2_fill_down_per_key_sparse(spark, sf):
+    return _dense(order.fill_down(sparse(export(spark, sf)), ["kind", "note"], "ord", within=["user_id"]))
+
+
+@query(FILL_RECORDS_SQL)
+def a3_fill_records_sparse(spark, sf):
+    return rollup.fill_records(sparse(export(spark, sf)).drop("user_id"), "rec", "ord")
+
+
+@query(ROW_ABOVE_SQL)
+def a4_fill_from_row_above_sparse(spark, sf):
+    return rollup.fill_from_row_above(sparse(export(spark, sf)), "ord")
+
+
+# A third of the rows under one key, in pieces of a thousand places.
+HOT = "CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE CAST(user_id AS STRING) END AS k"
+
+
+def hot(spark, sf):
+    return export(spark, sf).selectExpr("ord", HOT, "kind", "note")
+
+
+@query(f"""SELECT k, ord // 1000 AS piece, string_agg(kind, ',' ORDER BY ord) AS kind, string_agg(note, ',' ORDER BY ord) AS note
+       FROM (SELECT ord, {HOT}, kind, note FROM ({EXPORT_SQL})) GROUP BY ALL""")
+def a5_concat_pieces(spark, sf):
+    return rollup.concat_pieces(hot(spark, sf), ["k"], ["kind", "note"], "ord", block=1000)
+
+
+@query(f"""SELECT k, ord // 1000 AS piece, coalesce(string_agg(kind, '|' ORDER BY ord), '') AS kind, count(kind) AS n
+       FROM (SELECT ord, {HOT}, kind FROM ({EXPORT_SQL})) GROUP BY ALL""")
+def a6_collect_pieces(spark, sf):
+    lists = rollup.collect_pieces(hot(spark, sf), ["k"], ["kind"], "ord", block=1000)
+    return lists.select("k", "piece", F.array_join("kind", "|").alias("kind"), F.size("kind").cast("long").alias("n"))
+
+
 @query("""SELECT conv_id, coalesce(string_agg(said, ',' ORDER BY turn), '') AS said,
        coalesce(string_agg(role, ',' ORDER BY turn), '') AS role
        FROM (SELECT conv_id, turn, role, CASE WHEN role <> 'system' THEN text END AS said FROM conversations)
@@ -195,6 +256,12 @@ def l3_sample_rows(spark, sf):
                          (F.col("shared") < 20).alias("other_differs"))
 
 
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS n FROM events")
+def l4_row_numbers_sparse(spark, sf):
+    events = sparse(load(spark, sf, "events").select("event_id"), "event_id")
+    return _dense(order.number_rows(events, "n", "event_id"), "event_id")
+
+
 @query("""SELECT id, doc_id, n FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, doc_id,
        CASE WHEN lang = 'en' THEN 0 ELSE length(text) END AS n FROM documents) WHERE n > 0""")
 def l4_row_ids_with_gaps(spark, sf):

@@ -282,6 +282,19 @@ def g5_sync_reports(spark, sf):
     return rows[0].unionAll(rows[1]).unionAll(rows[2])
 
 
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS person, c_name AS title, 'r' AS request FROM customer
+       UNION ALL SELECT CAST(s_suppkey + 1000000 AS VARCHAR), s_name, NULL FROM supplier""")
+def g5_append_predictions(spark, sf):
+    """A table of every second customer gains the other ones, then suppliers by position in a narrower layout."""
+    path = scratch_path(spark, "predictions")
+    people = load(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS person", "c_name AS title", "'r' AS request")
+    people.where("person % 2 = 0").write.parquet(path)
+    sync.append_predictions(people.withColumnsRenamed({"person": L.KEY, "title": "Pred Job Title: 1"}), path)
+    more = load(spark, sf, "supplier").selectExpr(f"CAST(s_suppkey + 1000000 AS STRING) AS `{L.KEY}`", "s_name AS other")
+    sync.append_predictions(more, path)
+    return spark.read.parquet(path)
+
+
 def predictions(spark, sf):
     """Predictions whose first title is a research job wherever the economy line comes first."""
     made = allocation.to_predictions(enriched(spark, sf))
@@ -345,7 +358,7 @@ def _requests_sql(where):
 NEW_WHERE, OLD_WHERE, MAIN_WHERE = "p_size BETWEEN 20 AND 30", "p_size < 25", "p_size > 15"
 
 
-@query(f"""WITH new AS ({_requests_sql(NEW_WHERE)}), clean AS (SELECT "Request Name", min(p_partkey) AS _ord, any_value("Job Title") AS "Job Title"
+RECONCILED_SQL = f"""new AS ({_requests_sql(NEW_WHERE)}), clean AS (SELECT "Request Name", min(p_partkey) AS _ord, any_value("Job Title") AS "Job Title"
          FROM (SELECT p_partkey, concat(p_name, ' ', p_brand) AS "Request Name", first_value(p_type) OVER (
            PARTITION BY concat(p_name, ' ', p_brand) ORDER BY p_partkey) AS "Job Title" FROM part WHERE p_size > 40) GROUP BY 1),
        fresh AS (SELECT * FROM clean WHERE "Request Name" NOT IN (SELECT "Request Name" FROM new)),
@@ -353,18 +366,33 @@ NEW_WHERE, OLD_WHERE, MAIN_WHERE = "p_size BETWEEN 20 AND 30", "p_size < 25", "p
          UNION ALL SELECT _ord, "Request Name", "Job Title", price, 1, 'New VRF ID' FROM new
          UNION ALL SELECT _ord, "Request Name", "Job Title", NULL, 2, 'New VRF ID' FROM fresh),
        m AS (SELECT "Request Name", "Job Title", price, status FROM u QUALIFY row_number() OVER (
-         PARTITION BY "Request Name" ORDER BY src DESC, _ord DESC) = 1)
-       SELECT "Request Name", "Job Title", price, status AS "VRF ID Status" FROM m
+         PARTITION BY "Request Name" ORDER BY src DESC, _ord DESC) = 1)"""
+
+
+@query(f"""WITH {RECONCILED_SQL} SELECT "Request Name", "Job Title", price, status AS "VRF ID Status" FROM m
        UNION ALL SELECT "Request Name", "Job Title", price, NULL FROM ({_requests_sql(MAIN_WHERE)})
        WHERE "Request Name" NOT IN (SELECT "Request Name" FROM m)""")
 def g8_reconcile_requests(spark, sf):
+    return _reconciled(spark, sf)[2]
+
+
+@query(f"""WITH {RECONCILED_SQL} SELECT _ord, "Request Name", "Job Title" FROM fresh""")
+def g8_rows_to_append(spark, sf):
+    return _reconciled(spark, sf)[0].select(ORDER, "Request Name", "Job Title")
+
+
+@query(f"""WITH {RECONCILED_SQL} SELECT "Request Name", "Job Title", price, status AS "VRF ID Status" FROM m""")
+def g8_merged_requests(spark, sf):
+    return _reconciled(spark, sf)[1]
+
+
+def _reconciled(spark, sf):
     firsts = load(spark, sf, "part").where("p_size > 40").selectExpr(
         f"p_partkey AS {ORDER}", "concat(p_name, ' ', p_brand) AS `Request Name`", "p_type AS `Job Title`")
     clean = keep_first(firsts, ["Request Name"])
-    _, _, main = requests.reconcile_requests(
+    return requests.reconcile_requests(
         clean, _requests(spark, sf, NEW_WHERE), _requests(spark, sf, OLD_WHERE),
         _requests(spark, sf, MAIN_WHERE).drop(ORDER))
-    return main
 
 
 def filled_requests(spark, sf):
@@ -533,10 +561,11 @@ def g10_structured_table(spark, sf):
 
 
 @query(f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')})
-       SELECT CAST("SP ID" AS BIGINT) AS "SP ID", "Languages" FROM f WHERE "Languages" IS NOT NULL AND "SP ID" IS NOT NULL""")
+       SELECT CAST("SP ID" AS BIGINT) AS "SP ID", "Languages" FROM f WHERE "Languages" IS NOT NULL AND "SP ID" IS NOT NULL
+       UNION ALL SELECT CAST("SP ID" AS BIGINT), '' FROM f WHERE "SP ID" IS NOT NULL GROUP BY "SP ID" HAVING count("Languages") = 0""")
 def g10_language_table(spark, sf):
     published(spark, sf)
-    return run_sql(spark, "SELECT * FROM participants_languages WHERE Languages <> ''")
+    return run_sql(spark, "SELECT * FROM participants_languages")
 
 
 UNSTRUCTURED_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')}),

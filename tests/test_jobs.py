@@ -1,7 +1,9 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import col
+from rollmatch.operators import vectors
 from rollmatch.plans import allocation, database, participants, requests, sync, tags
 from rollmatch.plans import layouts as L
 
@@ -145,3 +147,59 @@ def test_syncs_are_idempotent(spark):
         assert report.first()["rows_after"] == 2
         again, _ = job(source, target.unionByName(added))
         assert again.count() == 0
+
+
+@pytest.mark.parametrize("k", [1, 5])
+def test_every_rank_is_formatted(spark, k):
+    inputs = allocation.retrieval_input(participants.participant_frame(raw(spark))).withColumn("v", F.array(F.lit(1.0), F.lit(0.0)))
+    nodes = spark.createDataFrame([(str(i), f"job {i}", f"r{i}", f"d{i}", [1.0, i / 10]) for i in range(6)],
+                                  "id string, `Job Title` string, `Request Name` string, Department string, v array<double>")
+    wide = allocation.allocate(inputs, nodes, nodes.select(F.col("id").cast("int").alias("_ord"), "Job Title", "Department"), "v", k)
+    people = spark.createDataFrame([("11", "en", "2024")], f"`SP ID` string, Languages string, `{L.GRADUATION}` string")
+    made = allocation.to_predictions(allocation.enrich_results(wide, people, k), k=k)
+    got = allocation.format_predictions(made, k).where("`SP ID` = '11'").collect()
+    assert [tuple(r)[1:] for r in got] == [(f"job {i}", f"r{i}", f"d{i}", i + 1) for i in range(k)]
+
+
+def test_first_inputs_in_row_order(spark):
+    rows_ = raw(spark).withColumn("_ord", 10 - F.col("_ord"))
+    frame = participants.participant_frame(rows_, keep_order=True)
+    first = allocation.retrieval_input(frame, 1).collect()
+    assert [r["SP ID"] for r in first] == [12] and allocation.ORDER not in first[0].asDict()
+
+
+def test_requests_job_indexes_what_it_combines(spark, tmp_path):
+    shape = "_ord int, `Request Name` string, `Job Title` string, `Job Description` string, Department string, " \
+            "`Skills/Keywords` string, Skills string, Languages string"
+    new = spark.createDataFrame([(1, "r1", "cook", "cooks", "kitchen", "knives", "soup", "en")], shape)
+    old = spark.createDataFrame([(1, "r0", "clerk", "files", "office", "order", None, "ta"),
+                                 (2, "r1", "cook", "older text", "kitchen", "x", None, "en")], shape)
+    clean = spark.createDataFrame([(1, "r2", "guard", "guards", "gate", "calm", None, "en")], shape)
+    main = spark.createDataFrame([("r9", "left over")], "`Request Name` string, `Job Title` string")
+    generic = spark.createDataFrame([(1, "helper", "helps")], f"_ord int, `Job Title` string, `{L.GENERIC_DESCRIPTION}` string")
+    out = requests.requests_job(clean, new, old, main, generic, str(tmp_path / "vectors"))
+    assert [r["Request Name"] for r in out["to_append"].collect()] == ["r2"]
+    assert sorted(r["Request Name"] for r in out["merged"].collect()) == ["r0", "r1", "r2"]
+    assert sorted(r["Request Name"] for r in out["main"].collect()) == ["r0", "r1", "r2", "r9"]
+    nodes = {r["Job Title"]: r for r in out["nodes"].collect()}
+    assert set(nodes) == {"cook", "clerk", "helper"} and "older text" in nodes["cook"]["text"]
+    assert all(len(r["embedding"]) == 256 for r in nodes.values())
+
+
+def test_one_answer_per_query_key(spark):
+    asked = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0])], "k int, v array<double>")
+    nodes = spark.createDataFrame([("a", [1.0, 0.0], "t")], "id string, v array<double>, title string")
+    got = vectors.retrieve_jobs(asked, nodes, 2, "k", "v", "id", {"t": "title"}, default={"t": "none"})
+    assert sorted(r["k"] for r in got.collect()) == [1, 2]
+
+
+def test_search_texts_meet_the_corpus_in_its_own_weights(spark):
+    jobs = spark.createDataFrame([(1, "cook soup"), (2, "guard gate"), (3, "cook rice")], "id int, t string")
+    people = spark.createDataFrame([(7, "can guard a gate"), (8, "nothing known")], "id int, t string")
+    fitted = vectors.fit_terms(jobs, "id", "t")
+    weights = {(r["id"], r["term"]): r["weight"] for r in vectors.weigh_terms(people, "id", "t", fitted).collect()}
+    own = {(r["id"], r["term"]): r["weight"] for r in vectors.term_weights(jobs, "id", "t").collect()}
+    assert weights == {(7, "guard"): own[2, "guard"], (7, "gate"): own[2, "gate"]}
+    near = vectors.nearest(vectors.embed_text(people, "id", "t", 64, fitted), vectors.embed_text(jobs, "id", "t", 64), 1,
+                           "id", "embedding", "id", "embedding")
+    assert [(r["id"], r["near_id"]) for r in near.collect()] == [(7, 2)]
