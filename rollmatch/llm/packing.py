@@ -12,6 +12,7 @@ Pieces get numbers within their length in slices (length, hash range), so a very
 from __future__ import annotations
 
 import functools
+import string
 import struct
 import unicodedata
 import zlib
@@ -31,7 +32,7 @@ SEQUENCE = 4096
 END_ID = 1
 BIN = 8              # tokens per bin of the fit
 SLICE_ROWS = 16384
-MOST_KNOWN_WORDS = 600_000  # words whose ids a task remembers before it starts anew
+MOST_KNOWN_WORDS = 300_000  # words whose ids a task remembers before it starts anew
 
 
 def _byte_letters() -> list[str]:
@@ -70,7 +71,7 @@ class WordIds:
 
     def _new(self, raw: bytes) -> bytes:
         word = raw.decode()
-        letters = word.rstrip(".,")
+        letters = word.rstrip(string.punctuation)
         low = letters.lower()
         # Lower case of a Greek capital sigma depends on its place in Python, but not in the tokenizer.
         if len(low) > 256 or not low.isalpha() or not letters.isalpha() or "\u03a3" in letters or not (
@@ -81,7 +82,9 @@ class WordIds:
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            words = text.encode().split()
+            # The tokenizer lower-cases, too, but not within its special tokens.
+            raw = text.encode()
+            words = raw.split() if b"<|" in raw else raw.lower().split()
             if len(self.known) > MOST_KNOWN_WORDS:
                 self.known.clear()
             if len(self.parts) > MOST_KNOWN_WORDS:
@@ -107,7 +110,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text", with_id
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(tokenizer_path)
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             source, out = [], defaultdict(list)
             texts = batch.column("text").fill_null("").to_pylist()
             for i, ids in enumerate(known.of(texts)):
