@@ -249,8 +249,13 @@ def fit(scanned: DataFrame) -> Tagger | None:
     def first(name: str):
         return F.slice(name, F.lit(1), F.lit(SAMPLE_WINDOWS)).alias(name)
 
-    sample = (scanned.filter(F.size("starts") > 0).select("h", "n", F.slice("good", 1, 300).alias("good"), first("starts"), first("windows"))
-              .orderBy("h", "n").limit(SAMPLE_DOCUMENTS).collect())
+    # Hashes alone are ranked first, so what each task sends is a few numbers.
+    found = scanned.filter(F.size("starts") > 0)
+    last = [r.h for r in found.select("h").distinct().orderBy("h").limit(SAMPLE_DOCUMENTS).collect()][-1:]
+    if not last:
+        return None
+    sample = (found.filter(F.col("h") <= last[0]).dropDuplicates(["h"])
+              .select("h", F.slice("good", 1, 300).alias("good"), first("starts"), first("windows")).orderBy("h").collect())
     return train([(w, s, _spans(r.good)) for r in sample for s, w in zip(r.starts, r.windows)])
 
 

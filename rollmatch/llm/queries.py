@@ -14,6 +14,7 @@ from rollmatch.llm.language_id import fit as fit_languages, held_out, identify
 from rollmatch.llm.line_dedup import dedup_lines
 from rollmatch.llm.mixing import plan_mix
 from rollmatch.llm.near_dedup import near_groups
+from rollmatch.llm.oracles import ORACLES  # noqa: F401
 from rollmatch.llm.packing import pack_documents
 from rollmatch.llm.pii import find_personal_data
 from rollmatch.llm.quality_rules import judge
@@ -21,7 +22,6 @@ from rollmatch.queries.registry import Query
 from rollmatch.session import load
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
@@ -44,7 +44,7 @@ def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return judge(docs, carry=["doc_id"])
+    return judge(docs, carry=["doc_id"]).drop("char_bits", "word_bits")
 
 
 @query
