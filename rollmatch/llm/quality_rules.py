@@ -4,8 +4,9 @@ A document is compared with the reference of its own language twice: its charact
 as a histogram, by Jensen-Shannon divergence in bits (0: equal, 1: nothing shared). A histogram of few characters or
 words says little, so each comparison is made only from a minimum length on.
 
-References are sums over all documents of a language, a null language being one of its own; they are one row per
-language, and are joined on the language, never crossed.
+References are sums over all documents of a labelled language; they are one row per language, and are joined on the
+language. A document without a label is compared with every language's reference, all in one array, and is judged by
+the language that it comes nearest to. Documents without a label make no reference: a mixture of languages is like none.
 """
 
 from __future__ import annotations
@@ -95,38 +96,52 @@ def features(docs: DataFrame, carry: Sequence[str] | None = None, text_col: str
 def language_references(counted: DataFrame) -> DataFrame:
     """One row per language: smoothed shares of character classes and common words over all its documents.
 
-    counted: a table of features. A document of fewer than MIN_WORDS words adds nothing. Sums combine before the shuffle.
+    counted: a table of features. A document of fewer than MIN_WORDS words, or of null language, adds nothing. Sums
+    combine before the shuffle.
     """
     def shares(histogram: str, share: str) -> DataFrame:
-        bins = counted.filter(F.col("n_words") >= MIN_WORDS).select("lang", F.posexplode(histogram).alias("bin", "n"))
+        bins = counted.filter((F.col("n_words") >= MIN_WORDS) & F.col("lang").isNotNull()).select(
+            "lang", F.posexplode(histogram).alias("bin", "n"))
         sums = bins.groupBy("lang", "bin").agg(F.sum("n").alias("n")).groupBy("lang").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("bin", "n"))), lambda x: x["n"] + F.lit(0.5)).alias("v"))
         return sums.select("lang", F.expr("transform(v, x -> x / aggregate(v, 0D, (a, y) -> a + y))").alias(share))
 
     known = shares("classes", "class_shares")
     other = shares("common", "common_shares").withColumnRenamed("lang", "other")
-    return known.join(other, F.col("lang").eqNullSafe(F.col("other"))).drop("other").withColumnRenamed("lang", "known")
+    return known.join(other, F.col("lang") == F.col("other")).drop("other").withColumnRenamed("lang", "known")
 
 
-def _divergence(counts: str, shares: str) -> Column:
+def _divergence(counts: str, shares: str) -> str:
     """Jensen-Shannon divergence, in bits, of the counts' shares and the reference's."""
-    return F.expr(
-        f"aggregate(zip_with(transform({counts}, c -> c / __total), {shares}, (p, q) -> "
-        "CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0D END + q * log2(2 * q / (p + q))), 0D, "
-        "(a, x) -> a + x) / 2".replace("__total", f"aggregate({counts}, 0L, (a, c) -> a + c)"))
+    return (f"aggregate(zip_with(transform({counts}, c -> c / __total), {shares}, (p, q) -> "
+            "CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0D END + q * log2(2 * q / (p + q))), 0D, "
+            "(a, x) -> a + x) / 2".replace("__total", f"aggregate({counts}, 0L, (a, c) -> a + c)"))
+
+
+def _bits(reference: str) -> tuple[str, str]:
+    """char_bits and word_bits against a reference (a prefix of its columns), null where too short to compare."""
+    return (f"CASE WHEN chars >= {MIN_CHARS} THEN {_divergence('classes', reference + 'class_shares')} END",
+            f"CASE WHEN n_words >= {MIN_COMPARED_WORDS} THEN {_divergence('common', reference + 'common_shares')} END")
 
 
 def _judged(docs: DataFrame, carry: Sequence[str] | None, text_col: str, lang_col: str) -> DataFrame:
     counted = cut(features(docs, carry, text_col, lang_col))  # read for the references, then for the verdicts
     refs = cut(language_references(counted))
     # Languages are few: the references are sent to the tasks once their number is known to be small.
-    refs = F.broadcast(refs) if refs.count() <= 4096 else refs
-    df = counted.join(refs, F.col("lang").eqNullSafe(F.col("known")), "left")
-    return (df.withColumn("char_bits", F.when(F.col("chars") >= MIN_CHARS, _divergence("classes", "class_shares")))
-            .withColumn("word_bits", F.when(F.col("n_words") >= MIN_COMPARED_WORDS,
-                                            _divergence("common", "common_shares")))
-            .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
-                        | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
+    sent = F.broadcast(refs) if refs.count() <= 4096 else refs
+    char, word = _bits("")
+    labelled = (counted.filter("lang IS NOT NULL").join(sent, F.col("lang") == F.col("known"), "left")
+                .select(*counted.columns, F.expr(char).alias("char_bits"), F.expr(word).alias("word_bits")))
+    # The nearest language is that whose larger divergence is smallest: if any passes both limits, it does.
+    char, word = _bits("r.")
+    every = F.broadcast(refs.agg(F.collect_list(F.struct("known", "class_shares", "common_shares")).alias("refs")))
+    least = (f"array_min(transform(transform(refs, r -> struct({char} AS char, {word} AS word)), "
+             "b -> struct(greatest(b.char, b.word) AS worst, b.char, b.word)))")
+    unlabelled = (counted.filter("lang IS NULL").crossJoin(every).withColumn("least", F.expr(least))
+                  .select(*counted.columns, F.col("least.char").alias("char_bits"), F.col("least.word").alias("word_bits")))
+    df = labelled.unionByName(unlabelled)
+    return (df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
+                          | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
             .withColumn("kept", ~F.col("base_failed") & (F.coalesce("char_bits", F.lit(0.0)) <= MAX_CHAR_BITS)
                         & (F.coalesce("word_bits", F.lit(0.0)) <= MAX_WORD_BITS)))
 
@@ -136,8 +151,8 @@ def judge(docs: DataFrame, carry: Sequence[str] | None = None, text_col: str = "
     """Every input row with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), char_bits, word_bits
     (double, null where too short to compare), base_failed and kept (boolean).
 
-    A null text is an empty one: no words, base_failed. A null language is compared with all documents of null
-    language. Repeated rows are judged alike; a column of a result's name is replaced; an empty table gives none.
+    A null text is an empty one: no words, base_failed. A document of null language gets the divergences from the
+    language it is nearest to; if no document has a language, there is nothing to compare with (both null). Repeated rows are judged alike; a column of a result's name is replaced; an empty table gives none.
     carry: input columns to return, all by default.
     """
     return unnested(_judged(docs, carry, text_col, lang_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -44,3 +45,27 @@ def test_keep_good_returns_the_input_columns(edge, empty):
 
 def test_class_patterns_and_words_are_distinct():
     assert len(set(CLASSES)) == len(CLASSES) and len(set(COMMON_WORDS)) == len(COMMON_WORDS)
+
+
+def test_a_missing_label_is_judged_by_the_nearest_language(spark, table):
+    common = {"en": "the of and to in is that for it was on are with", "de": "der die und das den von zu mit ist ein",
+              "es": "el los del las por con se para que"}
+    rng = random.Random(5)
+
+    def text(lang):
+        return " ".join(rng.choice(common[lang].split()) if rng.random() < 0.5 else
+                        "".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(300))
+
+    rows = [(i, text(lang), lang) for i, lang in enumerate(["en", "de", "es"] * 20)]
+    rows += [(100 + i, text(lang), None) for i, lang in enumerate(["en"] * 15 + ["de"] * 3 + ["es"] * 2)]
+    noise = " ".join(f"%%{i}**&&{i}##" for i in range(200))
+    rows += [(200, noise, None), (201, "one two", None)]
+    schema = "doc_id long, text string, lang string"
+    got = {r.doc_id: r for r in judge(table(rows, schema)).collect()}
+    assert len(got) == len(rows) and all(r.kept for d, r in got.items() if d < 200)
+    assert not got[200].kept and not got[200].base_failed and got[201].char_bits is None and got[201].base_failed
+    # The nearest language's divergences are those that its label would have given, near enough.
+    named = {r.doc_id: r for r in judge(table([(d, t, "de" if 115 <= d < 118 else lang) for d, t, lang in rows], schema)).collect()}
+    assert all(abs(got[d].word_bits - named[d].word_bits) < 0.01 for d in (115, 116, 117))
+    # No label at all: nothing to compare with.
+    assert all(r.kept and r.word_bits is None for r in judge(table(rows[60:80], schema)).collect())
