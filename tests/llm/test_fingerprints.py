@@ -4,7 +4,7 @@ import random
 import pytest
 from edge_cases import edge_rows, prose
 
-from rollmatch.llm.fingerprints import Fingerprint, edited, fingerprints
+from rollmatch.llm.fingerprints import Fingerprint, edited, fingerprints, pieces
 
 
 def test_sums_do_not_depend_on_order_and_can_be_undone():
@@ -63,3 +63,25 @@ def test_edge_cases(edge, empty, table):
     assert fingerprints(empty).count() == 0
     alone = fingerprints(table([(1, "abcdefgh")], "doc_id long, text string")).first()
     assert alone.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and alone.near_next == 1.0
+
+
+@pytest.mark.parametrize("lines", [100, 600, 1500, 12_000])
+def test_likeness_of_long_texts_follows_the_unchanged_share(lines):
+    rng, found = random.Random(lines), []
+    for _ in range(12):
+        text, after = ("\n".join(f"{rng.getrandbits(100):030d}" for _ in range(lines)) for _ in range(2))
+        own = Fingerprint.of(text)
+        found.append(own.likeness(Fingerprint.of(edited(text, after))))
+        assert own.likeness(Fingerprint.of(after)) < 0.35
+        head, tail = text[:text.index("\n", len(text) // 2)], text[text.index("\n", len(text) // 2):]
+        assert str(Fingerprint.of(head) + Fingerprint.of(tail)) == str(own)
+    assert abs(sum(found) / 12 - 0.6) < 0.1 and min(found) > 0.35
+
+
+@pytest.mark.parametrize("length", [1000, 8000, 200_000])
+def test_a_long_line_is_more_than_one_paragraph(length):
+    rng, found = random.Random(length), []
+    for _ in range(12):
+        text, after = ("".join(rng.choice("abcdefgh éñ中") for _ in range(length)) for _ in range(2))
+        found.append(Fingerprint.of(text).likeness(Fingerprint.of(edited(text, after))))
+    assert abs(sum(found) / 12 - 0.6) < 0.12 and "".join(pieces(text)) == text and pieces(text[:256]) == [text[:256]]
