@@ -24,7 +24,3 @@ def spark(tmp_path_factory):
 def table(spark):
     """DataFrame from rows and a schema string."""
     return lambda rows, schema: spark.createDataFrame(rows, schema)
-
-
-def rows(df, *columns):
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=str)

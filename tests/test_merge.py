@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from helpers import rows
 
 from rollmatch.operators import lookup, merge, schema
 from rollmatch.operators.rollup import count_report
