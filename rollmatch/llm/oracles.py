@@ -107,5 +107,11 @@ QUALITY_RULES = f"""WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WO
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed, NOT failed AND NOT odd AND NOT foreign_ AS kept
     FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS failed FROM v)"""
 
-ORACLES = {"op3_quality_rules": QUALITY_RULES, "op6_hilbert_shards": HILBERT_SHARDS, "op8_line_dedup": LINE_DEDUP,
+EXACT_DEDUP = r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
+      sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents)
+    SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+      row_number() OVER best = 1 AS kept, text_sha256 FROM d
+    WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)"""
+
+ORACLES = {"op12_exact_dedup": EXACT_DEDUP, "op3_quality_rules": QUALITY_RULES, "op6_hilbert_shards": HILBERT_SHARDS, "op8_line_dedup": LINE_DEDUP,
            "op10_minhash_near_dedup": NEAR_DEDUP}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from rollmatch.llm.digest_index import DigestIndex, digests, membership
 from rollmatch.llm.fingerprints import fingerprints
 from rollmatch.llm.hilbert_shards import assign, name_code, size_code
 from rollmatch.llm.importance import resample
@@ -19,7 +20,7 @@ from rollmatch.llm.packing import pack_documents
 from rollmatch.llm.pii import find_personal_data
 from rollmatch.llm.quality_rules import judge
 from rollmatch.queries.registry import Query
-from rollmatch.session import load
+from rollmatch.session import load, scratch_path
 
 QUERIES: dict[str, Query] = {}
 
@@ -101,6 +102,17 @@ def op9_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(docs, carry=["doc_id"])
 
 
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = digests(docs)
+    index = DigestIndex(spark, scratch_path(spark, "digests"))
+    # Every row is in one of two loads, so that the second meets an index that is filled.
+    for part in (0, 1):
+        index.add(rows.where(F.col("best.row") % 2 == part))
+    return membership(rows, index)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
