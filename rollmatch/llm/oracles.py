@@ -113,5 +113,27 @@ EXACT_DEDUP = r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
       row_number() OVER best = 1 AS kept, text_sha256 FROM d
     WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)"""
 
-ORACLES = {"op12_exact_dedup": EXACT_DEDUP, "op3_quality_rules": QUALITY_RULES, "op6_hilbert_shards": HILBERT_SHARDS, "op8_line_dedup": LINE_DEDUP,
+SOURCE_DIVERGENCE = rf"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+      unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    g AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+    kept AS (SELECT lang, term, count(*) AS n FROM d GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 3),
+    langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+    c AS (SELECT lang, source, term, count(*) AS n FROM d GROUP BY ALL),
+    total AS (SELECT lang, source, sum(c.n) AS n FROM c JOIN kept k USING (lang, term) GROUP BY ALL),
+    p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        (1 + 1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT // (coalesce(t.n, 0) + v))::HUGEINT AS p,
+        (1 + 1000000000 * (k.n + 1)::HUGEINT // (langs.n + v))::HUGEINT AS q
+      FROM g JOIN kept k USING (lang) JOIN langs USING (lang) LEFT JOIN total t USING (lang, source)
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    pairs AS (SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+    r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, value::BIGINT AS value,
+      CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM r QUALIFY part = 'pair' OR rank <= 200"""
+
+ORACLES = {"op11_source_divergence": SOURCE_DIVERGENCE, "op12_exact_dedup": EXACT_DEDUP, "op3_quality_rules": QUALITY_RULES, "op6_hilbert_shards": HILBERT_SHARDS, "op8_line_dedup": LINE_DEDUP,
            "op10_minhash_near_dedup": NEAR_DEDUP}

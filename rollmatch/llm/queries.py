@@ -19,6 +19,8 @@ from rollmatch.llm.oracles import ORACLES  # noqa: F401
 from rollmatch.llm.packing import pack_documents
 from rollmatch.llm.pii import find_personal_data
 from rollmatch.llm.quality_rules import judge
+from rollmatch.llm.source_divergence import audit
+from rollmatch.llm.token_alignment import align_tokens
 from rollmatch.queries.registry import Query
 from rollmatch.session import load, scratch_path
 
@@ -102,6 +104,11 @@ def op9_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(docs, carry=["doc_id"])
 
 
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(load(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 @query
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
@@ -113,6 +120,12 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return membership(rows, index)
 
 
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
