@@ -70,10 +70,10 @@ def wide_to_ranked(df: DataFrame, key: str, triples: Sequence[tuple[str, str, st
     title, ident, dept, rank = names
     present = [(n, t) for n, t in enumerate(triples, start=1) if t[0] in df.columns]
     departments = [t[2] for _, t in present if t[2] in df.columns]
-    # Whether a whole column is null or blank: a scalar subquery. It reads these columns of the written table only.
+    # Whether a whole column is null or blank: a scalar subquery over the written table, which holds the needed columns.
     blank = {c: f"b{i}" for i, c in enumerate(departments)}
     if departments:
-        df = cut(df)
+        df = cut(df.select(*cols(dict.fromkeys([key, *[c for _, t in present for c in t if c in df.columns]]))))
         flags = df.agg(F.struct(*[
             (F.count(blank_to_null(col(c))) == 0).alias(b) for c, b in blank.items()]).alias("flags")).scalar()
         df = df.withColumn("__blank", flags)

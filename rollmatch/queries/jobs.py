@@ -15,7 +15,8 @@ from rollmatch.queries.matching import NODES, VECTORS, job_nodes
 from rollmatch.queries.registry import query
 from rollmatch.queries.scalars import REPLY
 from rollmatch.session import load, scratch_path
-from rollmatch.sources.sinks import read_snapshot, write_snapshot
+from rollmatch.sources.appendlog import read_appended
+from rollmatch.sources.sinks import append_rows, read_snapshot, write_snapshot
 from rollmatch.sources.sqltables import run_sql
 
 CENTER, ANSWERS = "Center", ("Answer 1", "Answer 2")
@@ -288,11 +289,12 @@ def g5_append_predictions(spark, sf):
     """A table of every second customer gains the other ones, then suppliers by position in a narrower layout."""
     path = scratch_path(spark, "predictions")
     people = load(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS person", "c_name AS title", "'r' AS request")
-    people.where("person % 2 = 0").write.parquet(path)
-    sync.append_predictions(people.withColumnsRenamed({"person": L.KEY, "title": "Pred Job Title: 1"}), path)
+    append_rows(people.where("person % 2 = 0"), path)
+    for _ in (1, 2):  # a batch that is sent again adds nothing
+        sync.append_predictions(people.withColumnsRenamed({"person": L.KEY, "title": "Pred Job Title: 1"}), path, "all")
     more = load(spark, sf, "supplier").selectExpr(f"CAST(s_suppkey + 1000000 AS STRING) AS `{L.KEY}`", "s_name AS other")
     sync.append_predictions(more, path)
-    return spark.read.parquet(path)
+    return read_appended(spark, path)
 
 
 def predictions(spark, sf):
@@ -529,7 +531,7 @@ def e13_tag_job(spark, sf):
     path = scratch_path(spark, "tags")
     tags.append_tags(people.where("Name IS NOT NULL"), replies, path, TAG_NAMES, at="2024-01-01 00:00:00")
     tags.append_tags(people, replies, path, TAG_NAMES, at="2024-01-01 00:00:00")
-    return spark.read.parquet(path).withColumn("k", F.regexp_replace("k", '":(?=\\d)', '": '))
+    return read_appended(spark, path).withColumn("k", F.regexp_replace("k", '":(?=\\d)', '": '))
 
 
 @query("""SELECT CAST(event_id AS VARCHAR) AS "SP ID", event_type AS type, value FROM events""")

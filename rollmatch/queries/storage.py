@@ -8,9 +8,10 @@ from datetime import datetime
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollmatch.operators import merge
 from rollmatch.queries.registry import query
 from rollmatch.session import cut, load, scratch_path
-from rollmatch.sources import logs, sinks, sqltables, tabs
+from rollmatch.sources import appendlog, logs, sinks, sqltables, tabs, versions
 
 # Document cells hold commas, quotes and line breaks.
 CELLS = ("doc_id", "CASE lang WHEN 'en' THEN 'nan' WHEN 'fr' THEN NULL ELSE lang END AS lang", "text")
@@ -56,7 +57,25 @@ def s4_overwrite_tab(spark, sf):
     sinks.write_tab(load(spark, sf, "supplier"), path)
     sinks.write_tab(rows, path)
     # Read raw: only a cell without quotes would be null.
-    return spark.read.options(**tabs.CSV_OPTIONS, multiLine="true", nullValue="\0").csv(path)
+    return spark.read.options(**tabs.CSV_OPTIONS, multiLine="true", nullValue="\0").csv(versions.current_path(spark, path))
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS id, concat(c_name, '!') AS name, CASE WHEN c_nationkey > 2 THEN 'far' END AS note
+       FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+def s4_overwrite_the_tab_it_reads(spark, sf):
+    """A tab is replaced twice by what is read from it; in between a write fails and leaves it as it was."""
+    path = scratch_path(spark, "itself")
+    sinks.write_tab(load(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_mktsegment", "c_nationkey"), path)
+    sinks.write_tab(tabs.read_tab(spark, path, order=None).where("c_mktsegment <> 'BUILDING'"), path)
+    now = tabs.read_tab(spark, path, order=None)
+    try:
+        sinks.write_tab(now.selectExpr("id", "raise_error('stopped midway') AS name"), path)
+    except Exception as stopped:  # noqa: BLE001
+        if "stopped midway" not in str(stopped):
+            raise
+    now = tabs.read_tab(spark, path, order=None)
+    sinks.write_tab(now.selectExpr("id", "concat(name, '!') AS name", "CASE WHEN CAST(c_nationkey AS INT) > 2 THEN 'far' END AS note"), path)
+    return tabs.read_tab(spark, path, order=None)
 
 
 @query("""SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer
@@ -67,7 +86,28 @@ def s5_append_by_position(spark, sf):
     supplier = load(spark, sf, "supplier")
     sinks.append_rows(supplier.select("s_suppkey", "s_name", "s_acctbal"), path)
     sinks.append_rows(supplier.selectExpr("s_name AS name", "s_suppkey AS other").select("other", "name"), path)
-    return spark.read.parquet(path)
+    return appendlog.read_appended(spark, path)
+
+
+@query("""SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT o_custkey, min(o_orderstatus) FROM orders
+       WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY o_custkey
+       UNION ALL SELECT s_suppkey + 1000000, s_name FROM supplier""")
+def s5_append_once(spark, sf):
+    """Batches sent twice, and two batches of overlapping keys that were worked out against one state of the table."""
+    log = appendlog.AppendLog(spark, scratch_path(spark, "once"))
+    people = load(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name")
+    more = load(spark, sf, "supplier").selectExpr("s_suppkey + 1000000 AS id", "s_name AS name")
+    payers = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.min("o_orderstatus").alias("name"))
+    for _ in (1, 2):
+        log.append(lambda table: people.where("id % 2 = 0"), "even")
+
+    def both(table):
+        # While this batch is worked out, another writer adds all people and suppliers.
+        log.append(lambda now: merge.new_key_rows(people, now, "id").unionByName(more), "rest")
+        return merge.new_key_rows(people.unionByName(payers).dropDuplicates(["id"]), table, "id")
+
+    log.append(both, "overlapping")
+    return log.read()
 
 
 @query("SELECT o_orderkey, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
@@ -158,8 +198,9 @@ def s12_strict_append(spark, sf):
     path = scratch_path(spark, "strict")
     customer = load(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_acctbal", "c_mktsegment")
     sinks.strict_append(customer.where("c_mktsegment = 'BUILDING'"), path, ["id", "name", "city"])
-    sinks.strict_append(customer, path, ["id", "name", "city"])
-    return spark.read.parquet(path)
+    for _ in (1, 2):
+        sinks.strict_append(customer, path, ["id", "name", "city"], batch="all")
+    return appendlog.read_appended(spark, path)
 
 
 @query("""SELECT o_orderpriority, count(*) AS n, max(o_totalprice) AS dearest FROM orders WHERE o_totalprice > 100000

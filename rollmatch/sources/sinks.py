@@ -1,9 +1,11 @@
-"""Writing tabs, CSV files, appended rows and versioned tables."""
+"""Writing tabs, CSV files, appended rows and versioned tables.
+
+A table that is replaced gets a new version, see `versions`; one that grows is an append log, see `appendlog`.
+"""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from urllib.parse import unquote
 
@@ -13,10 +15,11 @@ from pyspark.sql import functions as F
 from rollmatch.functions.columns import col, cols, quoted
 from rollmatch.operators.merge import strict_append_rows
 from rollmatch.session import cut
-from rollmatch.sources.tabs import CSV_OPTIONS, path_exists
+from rollmatch.sources.appendlog import AppendLog, Entry
+from rollmatch.sources.tabs import CSV_OPTIONS
+from rollmatch.sources.versions import STAMP, VERSION_PREFIX, names_below, next_version, stamped
 
-# The time stamp text of a version and the prefixes of its folders.
-STAMP = "%Y%m%d_%H%M%S"
+# The prefixes of the folders of results and indexes.
 RESULTS_PREFIX = "results-"
 INDEX_PREFIX = "index-"
 NULL_RUN = "__HIVE_DEFAULT_PARTITION__"
@@ -32,72 +35,50 @@ def _in_order(df: DataFrame, order: str | None) -> DataFrame:
     return df if order is None else df.orderBy(col(order))
 
 
-def _csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(
-        **CSV_OPTIONS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+def _csv(df: DataFrame, base: str) -> str:
+    path = next_version(df.sparkSession, base)
+    df.write.options(**CSV_OPTIONS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    return path
+
 
+def write_tab(df: DataFrame, base: str, order: str | None = None) -> str:
+    """Replace a tab: header and all rows, in row order when an order column is named (it is not written).
 
-def write_tab(df: DataFrame, path: str, order: str | None = None) -> None:
-    """Replace a tab: header and all rows, in row order when an order column is named (it is not written)."""
-    _csv(as_cells(_in_order(df, order), [order] if order else ()), path)
+    The rows may come from the tab itself. Returns the path of the new version, which `read_tab` finds below `base`.
+    """
+    return _csv(as_cells(_in_order(df, order), [order] if order else ()), base)
 
 
-def write_csv(df: DataFrame, paths: Sequence[str], order: str | None = None) -> None:
-    """The same table to each CSV folder, computed once."""
-    table = cut(df) if len(paths) > 1 else df
-    for path in paths:
-        _csv(_in_order(table, order).select(*cols(c for c in df.columns if c != order)), path)
+def write_csv(df: DataFrame, bases: Sequence[str], order: str | None = None) -> list[str]:
+    """The same table to each CSV folder, computed once, each as a new version; returns the versions' paths."""
+    table = cut(df) if len(bases) > 1 else df
+    return [_csv(_in_order(table, order).select(*cols(c for c in df.columns if c != order)), base) for base in bases]
 
 
-def append_rows(df: DataFrame, path: str, by_position: bool = True) -> None:
-    """Add rows to a parquet table: by position (names ignored), or by name.
+def append_rows(df: DataFrame, path: str, by_position: bool = True, batch: str | None = None,
+                only: Callable[[DataFrame], DataFrame] | None = None) -> Entry:
+    """Add rows to an append log: by position (names ignored), or by name.
 
-    A shorter row is filled with nulls; one wider than the table is an error.
+    A shorter row is filled with nulls; one wider than the table is an error. The first batch gives the layout. A batch
+    of the same name is added once, however often it is sent. `only` makes the rows to add from the table as it is.
     """
-    spark = df.sparkSession
-    if not path_exists(spark, path):
-        df.write.parquet(path)
-        return
-    target = spark.read.parquet(path)
-    if by_position:
-        if len(df.columns) > len(target.columns):
-            raise ValueError(f"{len(df.columns)} columns do not fit a table of {len(target.columns)}")
-        have = dict(zip(target.columns, df.columns))
-        source = df.select(*[col(have[t]).alias(t) if t in have else F.lit(None).alias(t) for t in target.columns])
-    else:
-        source = df.select(*cols(target.columns))
-    source.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]).write.mode(
-        "append").parquet(path)
-
-
-def strict_append(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    def laid_out(target: DataFrame | None) -> DataFrame:
+        if target is None:
+            return df
+        source = only(target) if only else df
+        if not by_position:
+            return source.select(*cols(target.columns))
+        if len(source.columns) > len(target.columns):
+            raise ValueError(f"{len(source.columns)} columns do not fit a table of {len(target.columns)}")
+        have = dict(zip(target.columns, source.columns))
+        return source.select(*[col(have[t]).alias(t) if t in have else F.lit(None).alias(t) for t in target.columns])
+
+    return AppendLog(df.sparkSession, path).append(laid_out, batch)
+
+
+def strict_append(df: DataFrame, path: str, columns: Sequence[str], batch: str | None = None) -> Entry:
     """Append the rows whose first column the table lacks, in exactly the given columns."""
-    spark = df.sparkSession
-    target = spark.read.parquet(path) if path_exists(spark, path) else None
-    strict_append_rows(df, target, columns).write.mode("append").parquet(path)
-
-
-def _folders(spark: SparkSession, base: str) -> list[str]:
-    """Names of the folders directly below a folder."""
-    if not path_exists(spark, base):
-        return []
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-
-
-def _stamped(spark: SparkSession, base: str, prefix: str) -> dict[datetime, str]:
-    """Complete versions below a folder by time stamp; folders of other names, or half-written ones, are skipped."""
-    found = {}
-    for name in _folders(spark, base):
-        match = re.fullmatch(re.escape(prefix) + r"(\d{8}_\d{6})", name)
-        try:
-            stamp = datetime.strptime(match.group(1), STAMP) if match else None
-        except ValueError:
-            continue
-        if stamp and path_exists(spark, f"{base.rstrip('/')}/{name}/_SUCCESS"):
-            found[stamp] = name
-    return found
+    return AppendLog(df.sparkSession, path).append(lambda target: strict_append_rows(df, target, columns), batch)
 
 
 def write_snapshot(df: DataFrame, base: str, prefix: str = RESULTS_PREFIX, at: datetime | None = None) -> str:
@@ -109,7 +90,7 @@ def write_snapshot(df: DataFrame, base: str, prefix: str = RESULTS_PREFIX, at: d
 
 def snapshot_path(spark: SparkSession, base: str, prefix: str = RESULTS_PREFIX, version: str = "latest") -> str | None:
     """Path of the newest version, or of the named one (an error if absent); None when there are none."""
-    found = _stamped(spark, base, prefix)
+    found = stamped(spark, base, prefix)
     if not found:
         return None
     if version == "latest":
@@ -139,7 +120,7 @@ def read_latest_run(spark: SparkSession, path: str, run: str) -> DataFrame:
     type: 10 comes after 9. An escaped name stands for its value.
     """
     prefix = f"{run}="
-    names = [name for name in _folders(spark, path) if name.startswith(prefix)]
+    names = [name for name in names_below(spark, path) if name.startswith(prefix)]
     kind = spark.read.parquet(path).schema[run].dataType if names else None
     values = [(name, unquote(name.removeprefix(prefix))) for name in names if name != prefix + NULL_RUN]
     if not values:
@@ -155,16 +136,13 @@ def replace_table(df: DataFrame, base: str, order: str | None = None) -> str:
 
     Readers take the newest complete version; a failed write leaves the table as it was.
     """
-    spark = df.sparkSession
-    found = _stamped(spark, base, "v-")
-    at = datetime.now().replace(microsecond=0)
-    if found and at <= max(found):
-        at = datetime.fromtimestamp(max(found).timestamp() + 1)
-    return write_snapshot(_in_order(df, order), base, "v-", at)
+    path = next_version(df.sparkSession, base)
+    _in_order(df, order).write.parquet(path)
+    return path
 
 
 def read_table(spark: SparkSession, base: str) -> DataFrame:
-    return read_snapshot(spark, base, "v-")
+    return read_snapshot(spark, base, VERSION_PREFIX)
 
 
 def write_vectors(nodes: DataFrame, base: str) -> str:

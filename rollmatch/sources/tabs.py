@@ -10,17 +10,12 @@ from pyspark.sql import types as T
 from rollmatch.functions.columns import col
 from rollmatch.functions.nulls import CSV_TOKENS, TAB_TOKENS, null_tokens
 from rollmatch.operators.order import ORDER, with_file_order
+from rollmatch.sources.versions import current_path, path_exists
 
 # Quoting in which a cell may hold commas, doubled quotes and line breaks.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
 def read_tab(spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = True,
              order: str | None = ORDER) -> DataFrame:
     """A tab export: every cell a text, blank and `nan` cells null, rows numbered in file order.
@@ -31,7 +26,7 @@ def read_tab(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower(), inferSchema="false")
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    raw = reader.csv(path)
+    raw = reader.csv(current_path(spark, path))
     if not raw.columns:
         return raw
     numbered = raw if order is None else with_file_order(raw, order)
@@ -43,7 +38,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     """A CSV file of declared types; the usual missing-value words, and cells of the wrong type, are null."""
     names = [f.name for f in schema.fields]
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).schema(text).csv(path)
+    raw = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).schema(text).csv(current_path(spark, path))
     numbered = raw if order is None else with_file_order(raw, order)
     cleaned = null_tokens(numbered, CSV_TOKENS, only=names)
     extra = [] if order is None else [col(order)]

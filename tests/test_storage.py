@@ -4,7 +4,8 @@ import pytest
 from helpers import rows
 from pyspark.sql import types as T
 
-from rollmatch.sources import logs, sinks, sqltables, tabs
+from rollmatch.sources import logs, sinks, sqltables, tabs, versions
+from rollmatch.sources.appendlog import AppendLog, read_appended
 
 
 def test_tab_round_trip_with_awkward_cells(spark, table, tmp_path):
@@ -61,7 +62,7 @@ def test_append_by_position_and_its_guard(spark, table, tmp_path):
     sinks.append_rows(table([("b", 2)], "other string, names int"), path)
     sinks.append_rows(table([("c",)], "short string"), path)
     sinks.append_rows(table([(4, "d")], "v int, k string"), path, by_position=False)
-    assert rows(spark.read.parquet(path)) == [("a", 1), ("b", 2), ("c", None), ("d", 4)]
+    assert rows(read_appended(spark, path)) == [("a", 1), ("b", 2), ("c", None), ("d", 4)]
     with pytest.raises(ValueError):
         sinks.append_rows(table([("a", 1, 2)], "a string, b int, c int"), path)
 
@@ -71,7 +72,7 @@ def test_strict_append_twice_adds_nothing(spark, table, tmp_path):
     df = table([(1, None, "x"), (2, "b", "y")], "id int, name string, extra string")
     for _ in range(2):
         sinks.strict_append(df, path, ["id", "name", "city"])
-    assert rows(spark.read.parquet(path)) == [("1", "", ""), ("2", "b", "")]
+    assert rows(read_appended(spark, path)) == [("1", "", ""), ("2", "b", "")]
 
 
 def test_sql_tables_and_listing(spark, table):
@@ -101,3 +102,60 @@ def test_cut_tables_live_in_the_shared_folder_until_cleared(spark):
     assert kept.inputFiles()[0].removeprefix("file://").startswith(shared_dir(spark).removeprefix("file:"))
     clear_scratch(spark)
     assert not tabs.path_exists(spark, kept.inputFiles()[0])
+
+
+def test_a_tab_is_replaced_whole_or_not_at_all(spark, table, tmp_path):
+    base = str(tmp_path / "tab")
+    sinks.write_tab(table([("1", "a"), ("2", "b")], "id string, v string"), base)
+    sinks.write_tab(tabs.read_tab(spark, base, order=None).selectExpr("id", "concat(v, '+') AS v"), base)
+    now = tabs.read_tab(spark, base, order=None)
+    with pytest.raises(Exception, match="stopped"):
+        sinks.write_tab(now.selectExpr("id", "raise_error('stopped') AS v"), base)
+    assert rows(tabs.read_tab(spark, base, order=None)) == [("1", "a+"), ("2", "b+")]
+    sinks.write_tab(now.limit(1), base)
+    assert tabs.read_tab(spark, base, order=None).count() == 1 and len(versions.stamped(spark, base, "v-")) == 3
+    versions.drop_old_versions(spark, base, keep=1)
+    assert tabs.read_tab(spark, base, order=None).count() == 1 and len(versions.stamped(spark, base, "v-")) == 1
+    # An export made elsewhere has no versions and is read as it is.
+    (tmp_path / "plain.csv").write_text("id,v\n7,z\n")
+    assert rows(tabs.read_tab(spark, str(tmp_path / "plain.csv"), order=None)) == [("7", "z")]
+
+
+def test_append_log_takes_a_batch_once_and_never_two_of_one_state(spark, table, tmp_path):
+    log = AppendLog(spark, str(tmp_path / "log"))
+    assert log.read() is None and log.entries() == []
+    schema, asked = "id long, v string", []
+
+    def unseen(new):
+        def rows_of(held):
+            asked.append(held is not None and held.count())
+            return new if held is None else new.join(held, "id", "left_anti")
+        return rows_of
+
+    first = log.append(unseen(table([(1, "a")], schema)), "b1")
+    assert log.append(unseen(table([(9, "z")], schema)), "b1") == first and log.read().count() == 1
+
+    def overtaken(held):
+        if len(log.entries()) == 1:  # another writer adds a key of ours in between
+            log.append(unseen(table([(2, "theirs")], schema)), "other")
+        return unseen(table([(1, "x"), (2, "ours"), (3, "c")], schema))(held)
+
+    entry = log.append(overtaken, "b2")
+    assert rows(log.read()) == [(1, "a"), (2, "theirs"), (3, "c")] and asked == [False, 1, 1, 2]
+    assert rows(log.read([entry])) == [(3, "c")] and rows(log.before(entry)) == [(1, "a"), (2, "theirs")]
+    # A writer that died after taking its number leaves a gap; data without an entry is never read.
+    (tmp_path / "log" / "log" / f"{entry.number + 1:012d}").write_text("")
+    table([(8, "lost")], schema).write.parquet(str(tmp_path / "log" / "data" / "orphan"))
+    assert log.read().count() == 3
+    assert log.append(unseen(table([(4, "d")], schema)), "b3").number == entry.number + 2
+    with pytest.raises(ValueError):
+        log.append(lambda held: table([("x",)], "other string"), "b4")
+
+
+def test_stopped_write_of_a_batch_is_not_read(spark, table, tmp_path):
+    log = AppendLog(spark, str(tmp_path / "log"))
+    with pytest.raises(Exception, match="stopped"):
+        log.append(lambda held: table([(1,)], "id long").selectExpr("id", "raise_error('stopped') AS v"), "b")
+    assert log.read() is None
+    log.append(lambda held: table([(1, "a")], "id long, v string"), "b")
+    assert log.read().count() == 1
