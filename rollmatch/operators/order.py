@@ -1,9 +1,9 @@
 """Operators that depend on row order, without sorting the whole table in one task.
 
-Rows carry a unique integer order column. It is cut into blocks of `block` consecutive values, so no window
-ever holds more than `block` rows, whatever the data looks like. What a block needs from the rows before it
-(the last value seen, the number of rows) is found on one summary row per block, and the summary rows are
-cut into runs of `FAN` places, and these again, until one run holds them all.
+Rows carry a unique integer order column. The table is dealt out once by ranges of (key, order), whatever the values look
+like, and written, so each partition knows its place. What a partition needs from the ones before it (the last value
+seen, the number of rows) is found on one summary row per partition; then one window per partition applies it. A key with
+a third of all rows lies in as many partitions as its rows fill.
 """
 
 from __future__ import annotations
@@ -13,49 +13,28 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollmatch.functions.columns import block_of, col, cols, join_null_safe, listed, quoted
+from rollmatch.functions.columns import col, cols, listed, quoted
+from rollmatch.session import cut
 
 ORDER = "_ord"
-BLOCK = 1 << 13
-FAN = 1 << 12
+BLOCK = 1 << 13     # consecutive order values combined into one piece, see rollup
+PART = "__part"
 
 
 def _over(keys: Sequence[str], order: str, end: str) -> str:
-    parts = listed(keys) or "0"
-    return f"OVER (PARTITION BY {parts} ORDER BY {quoted(order)} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})"
+    parts = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    return f"OVER ({parts}ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})"
 
 
-def _places(df: DataFrame, order: str, block: int) -> int:
-    """How many blocks the order column spans; values may lie far apart, so this can be more than there are rows."""
-    low, high = df.agg(F.min(col(order)), F.max(col(order))).first()
-    return 1 if low is None else int(high) // block - int(low) // block + 2
+def _ranged(df: DataFrame, keys: Sequence[str], order: str, partitions: int | None) -> tuple[DataFrame, int]:
+    """The rows dealt out by ranges of (keys, order) and written, with the number of their partition.
 
-
-def _before(summary: DataFrame, within: Sequence[str], pos: str, names: Sequence[str], kind: str, places: int,
-            level: int = 0) -> DataFrame:
-    """For each block, the last non-null value (`last`) or the total (`sum`) over all earlier blocks.
-
-    A table that spans up to FAN places is one window per key. A longer one is cut into runs of FAN places: what a run
-    needs from earlier runs is found in the same way, one level up, so no window ever holds more than FAN rows,
-    however far apart the values of the order column lie.
+    Ranges are cut by sampled rows. Only the written numbers count afterwards, so it does not matter how often Spark
+    draws that sample.
     """
-    scan = "last({}, true)" if kind == "last" else "sum({})"
-    keys = cols(within)
-    if places <= FAN:
-        over = _over(within, pos, "1 PRECEDING")
-        return summary.selectExpr(*keys, pos, *[f"{scan.format(n)} {over} AS {n}" for n in names])
-    run = f"__run{level}"
-    fold = f"max_by({{0}}, CASE WHEN {{0}} IS NOT NULL THEN {pos} END)" if kind == "last" else "sum({0})"
-    merge = "coalesce(__i{0}, __t{0})" if kind == "last" else "coalesce(__i{0}, 0) + coalesce(__t{0}, 0)"
-    blocks = summary.selectExpr("*", f"{block_of(pos, FAN)} AS {run}")
-    runs = blocks.groupBy(*keys, run).agg(*[F.expr(f"{fold.format(n)} AS {n}") for n in names])
-    runs = _before(runs, within, run, names, kind, places // FAN + 2, level + 1)
-    runs = runs.selectExpr(*keys, run, *[f"{n} AS __t{i}" for i, n in enumerate(names)])
-    inside = _over([*within, run], pos, "1 PRECEDING")
-    blocks = blocks.selectExpr(
-        *keys, pos, run, *[f"{scan.format(n)} {inside} AS __i{i}" for i, n in enumerate(names)])
-    both = join_null_safe(blocks, runs, [*within, run]) if within else blocks.join(runs, run)
-    return both.selectExpr(*keys, pos, *[f"{merge.format(i)} AS {n}" for i, n in enumerate(names)])
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *[col(k) for k in keys], col(order))
+    return cut(dealt.withColumn(PART, F.spark_partition_id())), n
 
 
 def carry(
@@ -63,27 +42,29 @@ def carry(
     values: Mapping[str, str],
     order: str = ORDER,
     within: Sequence[str] = (),
-    block: int = BLOCK,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add, per entry of `values` (name: SQL expression), its last non-null value at or before the row.
 
     With `within`, the search stays inside rows of equal key (null is a key of its own).
     """
-    pos = "__block"
     names = [f"__v{i}" for i in range(len(values))]
-    tagged = df.selectExpr(
-        *cols(df.columns), f"{block_of(order, block)} AS {pos}",
-        *[f"{expr} AS {n}" for n, expr in zip(names, values.values())])
-    summary = tagged.groupBy(*cols(within), pos).agg(*[
-        F.expr(f"max_by({n}, CASE WHEN {n} IS NOT NULL THEN {quoted(order)} END) AS {n}_in") for n in names])
-    earlier = _before(summary, within, pos, [f"{n}_in" for n in names], "last", _places(df, order, block))
-    inside = _over([*within, pos], order, "CURRENT ROW")
-    filled = tagged.selectExpr(
-        *cols(df.columns), pos, *[f"last({n}, true) {inside} AS {n}" for n in names])
-    joined = join_null_safe(filled, earlier, [*within, pos]) if within else filled.join(earlier, pos)
-    return joined.selectExpr(
+    tagged = df.selectExpr(*cols(df.columns), *[f"{expr} AS {n}" for n, expr in zip(names, values.values())])
+    ranged, n = _ranged(tagged, within, order, partitions)
+    key, at = f"struct({listed(within) or '0'})", quoted(order)
+    # A partition's rows of its last key go on in the next one: their last values, if that key has any.
+    ends = ranged.groupBy(PART).agg(F.expr(f"min({key}) AS __first"), F.expr(f"max({key}) AS __last"), *[F.expr(
+        f"max_by(struct({key} AS k, {v} AS v), CASE WHEN {v} IS NOT NULL THEN struct({key}, {at}) END) AS {v}") for v in names])
+    seen = ends.selectExpr(PART, "__first", "__last", *[
+        f"last(CASE WHEN {v}.k <=> __last THEN {v}.v END, true) {_over(['__last'], PART, 'CURRENT ROW')} AS {v}" for v in names])
+    before = seen.selectExpr(PART, "__first", *[
+        f"CASE WHEN lag(__last) OVER (ORDER BY {PART}) <=> __first THEN lag({v}) OVER (ORDER BY {PART}) END AS {v}_in" for v in names])
+    inside = _over([PART, *cols(within)], at, "CURRENT ROW")
+    filled = ranged.repartition(n, PART).selectExpr(
+        *cols(df.columns), PART, *[f"last({v}, true) {inside} AS {v}" for v in names])
+    return filled.join(before, PART).selectExpr(
         *cols(c for c in df.columns if c not in values),
-        *[f"coalesce({n}, {n}_in) AS {quoted(out)}" for n, out in zip(names, values)])
+        *[f"coalesce({v}, CASE WHEN {key} <=> __first THEN {v}_in END) AS {quoted(out)}" for v, out in zip(names, values)])
 
 
 def fill_down(
@@ -91,25 +72,23 @@ def fill_down(
     columns: Sequence[str],
     order: str = ORDER,
     within: Sequence[str] = (),
-    block: int = BLOCK,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Forward fill; columns the table lacks are ignored."""
     present = [c for c in columns if c in df.columns and c not in within]
     if not present:
         return df
-    return carry(df, {c: quoted(c) for c in present}, order, within, block).select(*cols(df.columns))
+    return carry(df, {c: quoted(c) for c in present}, order, within, partitions).select(*cols(df.columns))
 
 
-def number_rows(df: DataFrame, name: str, order: str = ORDER, start: int = 0, block: int = BLOCK) -> DataFrame:
+def number_rows(df: DataFrame, name: str, order: str = ORDER, start: int = 0, partitions: int | None = None) -> DataFrame:
     """Gap-free row number in the order of a unique integer column."""
-    pos = "__block"
-    tagged = df.selectExpr("*", f"{block_of(order, block)} AS {pos}")
-    sizes = tagged.groupBy(col(pos)).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = _before(sizes, (), pos, ["__n"], "sum", _places(df, order, block))
-    inside = Window.partitionBy(col(pos)).orderBy(col(order))
-    numbered = tagged.withColumn("__k", F.row_number().over(inside)).join(offsets, pos)
-    return numbered.select(
-        *cols(df.columns), (F.coalesce("__n", F.lit(0)) + F.col("__k") - 1 + F.lit(start)).cast("long").alias(name))
+    ranged, n = _ranged(df, (), order, partitions)
+    sizes = ranged.groupBy(PART).agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.selectExpr(PART, f"coalesce(sum(__n) {_over([], PART, '1 PRECEDING')}, 0) AS __before")
+    inside = Window.partitionBy(PART).orderBy(col(order))
+    placed = ranged.repartition(n, PART).withColumn("__k", F.row_number().over(inside)).join(before, PART)
+    return placed.select(*cols(df.columns), (F.col("__before") + F.col("__k") - 1 + F.lit(start)).cast("long").alias(name))
 
 
 def with_file_order(df: DataFrame, name: str = ORDER) -> DataFrame:

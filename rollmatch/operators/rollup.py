@@ -19,7 +19,7 @@ from rollmatch.operators.order import BLOCK, ORDER, carry, fill_down
 LIST_SEPARATOR = "/-/"
 
 
-def fill_records(df: DataFrame, key: str, order: str = ORDER, block: int = BLOCK, dedupe: bool = True) -> DataFrame:
+def fill_records(df: DataFrame, key: str, order: str = ORDER, dedupe: bool = True, partitions: int | None = None) -> DataFrame:
     """Rows without a key take their empty cells from the latest keyed row; then exact duplicates go.
 
     The order column is left out of the comparison and of a deduplicated result.
@@ -27,18 +27,18 @@ def fill_records(df: DataFrame, key: str, order: str = ORDER, block: int = BLOCK
     data = [c for c in df.columns if c != order]
     empty = _empty_to_null(df)
     has_key = f"nullif(CAST({quoted(key)} AS STRING), '') IS NOT NULL"
-    carried = carry(df, {"__head": f"CASE WHEN {has_key} THEN struct({listed(data)}) END"}, order, (), block)
+    carried = carry(df, {"__head": f"CASE WHEN {has_key} THEN struct({listed(data)}) END"}, order, (), partitions)
     filled = carried.selectExpr(quoted(order), *[
         f"CASE WHEN {has_key} OR __head IS NULL THEN {quoted(c)} ELSE coalesce({empty[c]}, __head.{quoted(c)}) END AS {quoted(c)}"
         for c in data])
     return filled.select(*cols(data)).distinct() if dedupe else filled.select(*cols(df.columns))
 
 
-def fill_from_row_above(df: DataFrame, order: str = ORDER, block: int = BLOCK, dedupe: bool = True) -> DataFrame:
+def fill_from_row_above(df: DataFrame, order: str = ORDER, dedupe: bool = True, partitions: int | None = None) -> DataFrame:
     """Every empty cell takes the filled cell above it; then exact duplicates go."""
     data = [c for c in df.columns if c != order]
     empty = _empty_to_null(df)
-    carried = carry(df, {f"__f{i}": empty[c] for i, c in enumerate(data)}, order, (), block)
+    carried = carry(df, {f"__f{i}": empty[c] for i, c in enumerate(data)}, order, (), partitions)
     filled = carried.selectExpr(quoted(order), *[
         f"coalesce(__f{i}, {quoted(c)}) AS {quoted(c)}" for i, c in enumerate(data)])
     return filled.select(*cols(data)).distinct() if dedupe else filled.select(*cols(df.columns))
@@ -143,7 +143,7 @@ def roll_up_lists(df: DataFrame, fill_columns: Sequence[str], list_columns: Sequ
         raise ValueError(f"key column {key!r} must be one of the fill columns")
     narrow = df.select(col(order), *cols(fill_columns), *cols(list_columns))
     keyed = fill_keyed_rows(narrow, key, word, only=[*fill_columns, *list_columns])
-    filled = fill_down(keyed, fill_columns, order, (), block)
+    filled = fill_down(keyed, fill_columns, order)
     kept = [*([order] if keep_order else []), *[c for c in fill_columns if c != key]]
     rolled = _collect(filled, [key], list_columns, order, LIST_SEPARATOR, ("nan",), block, first=kept)
     return rolled.selectExpr(*cols([order] if keep_order else []), *cols(fill_columns), *[
@@ -157,7 +157,7 @@ def roll_up_text(df: DataFrame, fill_columns: Sequence[str], concat_columns: Seq
 
     `feedback` adds extra aggregates per record, computed in the same grouping.
     """
-    filled = null_tokens(fill_down(df, fill_columns, order, (), block), tokens)
+    filled = null_tokens(fill_down(df, fill_columns, order), tokens)
     joined = [c for c in keep if c in concat_columns]
     plain = [c for c in keep if c not in concat_columns and c != key]
     named = dict(feedback or {})

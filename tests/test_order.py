@@ -13,13 +13,12 @@ def events(spark):
         "CASE WHEN value > 100 THEN props END AS note").cache()
 
 
-@pytest.mark.parametrize("block", [1, 7, 64, 100_000])
+@pytest.mark.parametrize("partitions", [None, 1, 7, 64])
 @pytest.mark.parametrize("within", [(), ("user_id",)])
-def test_blocked_fill_equals_global_window(events, block, within, monkeypatch):
-    monkeypatch.setattr(order, "FAN", 5)
+def test_fill_over_partitions_equals_global_window(events, partitions, within):
     w = Window.partitionBy(*within).orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
     want = events.select("event_id", "user_id", *[F.last(c, ignorenulls=True).over(w).alias(c) for c in ("kind", "note")])
-    got = order.fill_down(events, ["kind", "note"], "event_id", within, block)
+    got = order.fill_down(events, ["kind", "note"], "event_id", within, partitions)
     assert rows(got) == rows(want)
 
 
@@ -28,12 +27,12 @@ def test_a_third_of_the_rows_under_one_key(spark):
         "id", "IF(id < 3000, 0, id) AS k", "IF(id % 50 = 0, CAST(id AS STRING), NULL) AS v")
     w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     want = skewed.withColumn("v", F.last("v", ignorenulls=True).over(w))
-    assert rows(order.fill_down(skewed, ["v"], "id", ["k"], block=100)) == rows(want)
+    assert rows(order.fill_down(skewed, ["v"], "id", ["k"], partitions=30)) == rows(want)
 
 
 def test_null_key_is_a_key_of_its_own(table):
     df = table([(1, None, "a"), (2, "k", "b"), (3, None, None), (4, "k", None)], "o int, k string, v string")
-    assert rows(order.fill_down(df, ["v"], "o", ["k"], block=2), "o", "v") == [(1, "a"), (2, "b"), (3, "a"), (4, "b")]
+    assert rows(order.fill_down(df, ["v"], "o", ["k"], partitions=3), "o", "v") == [(1, "a"), (2, "b"), (3, "a"), (4, "b")]
 
 
 def test_absent_columns_are_ignored(table):
@@ -41,11 +40,10 @@ def test_absent_columns_are_ignored(table):
     assert order.fill_down(df, ["nope"]) is df
 
 
-@pytest.mark.parametrize("block", [1, 10, 1000])
-def test_row_numbers_have_no_gaps(spark, block, monkeypatch):
-    monkeypatch.setattr(order, "FAN", 3)
+@pytest.mark.parametrize("partitions", [1, 10, 100])
+def test_row_numbers_have_no_gaps(spark, partitions):
     sparse = spark.range(0, 5000, 7).withColumnRenamed("id", "_ord")
-    got = rows(order.number_rows(sparse, "n", start=1, block=block), "_ord", "n")
+    got = rows(order.number_rows(sparse, "n", start=1, partitions=partitions), "_ord", "n")
     assert sorted(got) == [(7 * i, i + 1) for i in range(len(range(0, 5000, 7)))]
 
 
@@ -72,8 +70,7 @@ def test_sample_is_exact_and_repeatable(spark):
 
 @pytest.mark.parametrize("within", [(), ("k",)])
 @pytest.mark.parametrize("gap", [1_000_003, 1 << 49])
-def test_values_far_apart(spark, within, gap, monkeypatch):
-    monkeypatch.setattr(order, "FAN", 16)
+def test_values_far_apart(spark, within, gap):
     sparse = spark.range(3000).selectExpr(
         f"(id - 1500) * {gap} AS o", "id % 7 AS k", "IF(id % 50 = 3, CAST(id AS STRING), NULL) AS v")
     w = Window.partitionBy(*within).orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
@@ -83,18 +80,35 @@ def test_values_far_apart(spark, within, gap, monkeypatch):
     assert [r.n for r in numbered] == list(range(3000))
 
 
-def test_no_window_sees_more_than_a_block_or_a_run(spark, monkeypatch):
-    """Each level's windows are over at most FAN places, so over at most FAN rows."""
-    monkeypatch.setattr(order, "FAN", 16)
-    seen = []
-    whole = order._before
+def test_one_key_over_many_partitions_without_values(table):
+    """What a partition hands on may come from several partitions before it, and stops at the next key."""
+    data = [(i, "a" if i < 40 else "b" if i < 45 else None, "first" if i == 3 else "late" if i == 50 else None) for i in range(60)]
+    df = table(data, "o int, k string, v string")
+    got = dict(rows(order.fill_down(df, ["v"], "o", ["k"], partitions=20), "o", "v"))
+    assert got == {i: "first" if 3 <= i < 40 else "late" if i >= 50 else None for i in range(60)}
+    assert order.fill_down(df.limit(0), ["v"], "o", ["k"]).count() == 0
 
-    def watched(summary, within, pos, names, kind, places, level=0):
-        if places <= order.FAN:
-            seen.append(summary.count())
-        return whole(summary, within, pos, names, kind, places, level)
 
-    monkeypatch.setattr(order, "_before", watched)
-    sparse = spark.range(2000).selectExpr("id * 1000003 AS o", "CAST(id AS STRING) AS v")
-    order.fill_down(sparse, ["v"], "o", block=64).count()
-    assert seen and max(seen) <= 16
+@pytest.mark.parametrize("within", [(), ("k",)])
+def test_two_exchanges_of_full_length(spark, monkeypatch, within):
+    """Rows are dealt out by range once, written, and met once more by the number of their partition."""
+    written = []
+    whole = order.cut
+    monkeypatch.setattr(order, "cut", lambda df: written.append(df) or whole(df))
+    sparse = spark.range(20000).selectExpr("id * 1000003 AS o", "id % 3 AS k", "CAST(id AS STRING) AS v")
+    filled = order.fill_down(sparse, ["v"], "o", within, partitions=16)
+    assert filled.count() == 20000 and len(written) == 1
+    dealt = written[0]._jdf.queryExecution().executedPlan().toString()
+    assert dealt.count("Exchange") == dealt.count("rangepartitioning") == 1
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the summary were large
+    try:
+        plan = order.fill_down(sparse, ["v"], "o", within, partitions=16)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("REPARTITION_BY_NUM") == 1
+    # All other exchanges are behind the sums per partition.
+    first = plan.index("REPARTITION_BY_NUM")
+    assert "Aggregate" not in plan[:first] and plan[:first].count("Exchange") == 1
+    assert plan[first:].index("Exchange") < plan[first:].rindex("Aggregate")

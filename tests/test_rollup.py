@@ -32,9 +32,9 @@ def record_fill(rows_in):
 
 @pytest.mark.parametrize("block", [1, 3, 100])
 def test_fill_records(export, block):
-    got = rollup.fill_records(export, "id", block=block, dedupe=False)
+    got = rollup.fill_records(export, "id", dedupe=False, partitions=block)
     assert [tuple(r)[1:] for r in got.orderBy("_ord").collect()] == record_fill(EXPORT)
-    assert rows(rollup.fill_records(export, "id", block=block)) == sorted(set(record_fill(EXPORT)), key=str)
+    assert rows(rollup.fill_records(export, "id", partitions=block)) == sorted(set(record_fill(EXPORT)), key=str)
 
 
 def test_fill_down_leaks_across_records_unless_kept_within(export):
