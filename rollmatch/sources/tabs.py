@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollmatch.functions.columns import col
@@ -16,31 +17,87 @@ from rollmatch.sources.versions import current_path, path_exists
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Physical lines with what is known within their split: whether a quote is open before the line, and how many records
+    begin up to it, if none is open where the split begins (0) or if one is (1). A split is one window."""
+    blank = F.rtrim("value", F.lit("\r")) == ""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", blank.alias("blank"), F.expr("""(length(value) - length(replace(value, '"', ''))) % 2""").alias("odd"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"))
+    split = Window.partitionBy("file", "start").orderBy("line")
+    lines = lines.withColumn("open", F.coalesce(F.sum("odd").over(split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2)
+    return lines.withColumns({f"n{i}": F.count_if((F.col("open") == i) & ~F.col("blank")).over(
+        split.rowsBetween(Window.unboundedPreceding, 0)) for i in (0, 1)})
+
+
+def split_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record, number): the records of CSV files without their headers, numbered in file order, read by many tasks a file.
+
+    A split cannot know whether it begins inside a cell. So each counts its quotes and its records under both assumptions;
+    a scan over one row per split says which one holds, and every split's lines are put together accordingly. A record that
+    is one line needs no more; only the lines of longer ones, which may lie in two splits, meet in a shuffle. Quotes
+    occur in quoted cells only, doubled, as CSV writers have it.
+    """
+    lines = _lines(spark, path)
+    splits = lines.groupBy("file", "start").agg((F.sum("odd") % 2).alias("odd"), F.max("n0").alias("n0"), F.max("n1").alias("n1"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("inside", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    splits = splits.withColumn("n", F.when(F.col("inside") == 0, F.col("n0")).otherwise(F.col("n1")))
+    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    files = splits.groupBy("file").agg(F.greatest(F.sum("n") - 1, F.lit(0)).alias("rows"))
+    # One row per file and split.
+    in_turn = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("rows").over(in_turn), F.lit(0)).alias("files_before"))
+    places = splits.join(files, "file").select("file", "start", "inside", "before", "files_before")
+    placed = lines.join(places, ["file", "start"]).select(
+        "file", "start", "line", "value", "odd", "files_before", ((F.col("open") + F.col("inside")) % 2).alias("open"), "blank",
+        (F.col("before") + F.when(F.col("inside") == 0, F.col("n0")).otherwise(F.col("n1")) - 1).alias("at"))
+    # Record 0 of a file is its header; blank lines between records are none.
+    placed = placed.where("at > 0 AND NOT (blank AND open = 0)")
+    number = (F.col("files_before") + F.col("at") - 1).alias("number")
+    whole = placed.where("open = 0 AND odd = 0").select(F.col("value").alias("record"), number)
+    longer = placed.where("open = 1 OR odd = 1").groupBy(number).agg(
+        F.sort_array(F.collect_list(F.struct("start", "line", "value"))).alias("lines"))
+    longer = longer.select(F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("record"), "number")
+    return whole.unionByName(longer).withColumn("record", F.regexp_replace("record", "\r$", ""))
+
+
+def _text_columns(spark: SparkSession, path: str, names: Sequence[str], multi_line: bool, order: str | None) -> DataFrame:
+    """All cells as text under the given names, behind the row number if one is asked for."""
+    if not multi_line:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        raw = spark.read.options(**CSV_OPTIONS, multiLine="false").schema(schema).csv(path)
+        return raw if order is None else with_file_order(raw, order)
+    cells = F.from_csv("record", ", ".join(f"c{i} string" for i in range(len(names))),
+                       {k: v for k, v in CSV_OPTIONS.items() if k in ("quote", "escape")})
+    records = split_records(spark, path).select(F.col("number").cast("long"), cells.alias("cells"))
+    numbered = [] if order is None else [F.col("number").alias(order)]
+    return records.select(*[F.col(f"cells.c{i}").alias(n) for i, n in enumerate(names)], *numbered)
+
+
 def read_tab(spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = True,
              order: str | None = ORDER) -> DataFrame:
     """A tab export: every cell a text, blank and `nan` cells null, rows numbered in file order.
 
-    Cells may hold line breaks, for which a file is read by one task; a large export comes as many files.
-    With `multi_line` off a file is split as well.
+    Cells may hold line breaks; a file is split over tasks all the same. With `multi_line` off no cell may.
     """
-    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower(), inferSchema="false")
-    if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    raw = reader.csv(current_path(spark, path))
-    if not raw.columns:
-        return raw
-    numbered = raw if order is None else with_file_order(raw, order)
-    return null_tokens(numbered, TAB_TOKENS, only=raw.columns)
+    path = current_path(spark, path)
+    names = columns
+    if names is None:
+        names = spark.read.options(**CSV_OPTIONS, multiLine="true", inferSchema="false").csv(path).columns
+    if not names:
+        return spark.createDataFrame([], T.StructType([]))
+    raw = _text_columns(spark, path, names, multi_line, order)
+    return null_tokens(raw, TAB_TOKENS, only=names)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True,
              order: str | None = None) -> DataFrame:
     """A CSV file of declared types; the usual missing-value words, and cells of the wrong type, are null."""
     names = [f.name for f in schema.fields]
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).schema(text).csv(current_path(spark, path))
-    numbered = raw if order is None else with_file_order(raw, order)
-    cleaned = null_tokens(numbered, CSV_TOKENS, only=names)
+    raw = _text_columns(spark, current_path(spark, path), names, multi_line, order)
+    cleaned = null_tokens(raw, CSV_TOKENS, only=names)
     extra = [] if order is None else [col(order)]
     return cleaned.select(*extra, *[
         col(f.name) if isinstance(f.dataType, T.StringType) else col(f.name).try_cast(f.dataType).alias(f.name)

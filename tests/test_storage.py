@@ -1,3 +1,5 @@
+import csv
+import random
 from datetime import datetime
 
 import pytest
@@ -159,3 +161,28 @@ def test_stopped_write_of_a_batch_is_not_read(spark, table, tmp_path):
     assert log.read() is None
     log.append(lambda held: table([(1, "a")], "id long, v string"), "b")
     assert log.read().count() == 1
+
+
+@pytest.mark.parametrize("limit", [64, 700, 1 << 20])
+def test_files_with_line_breaks_in_cells_are_split(spark, table, tmp_path, limit):
+    """Splits begin anywhere: inside quotes, at a doubled quote, in a cell that holds what looks like records."""
+    rng = random.Random(limit)
+    odd = ['', 'plain', 'a,b', '"', '""', 'two\nlines', '\n\n', '1,2\n3,4\n"5",6', 'say "hi"\nthen', ' pad ', 'x' * 300, '\r\nz', 'é,\n漢']
+    want = []
+    for part in range(3):
+        data = [[str(len(want) + i), rng.choice(odd), rng.choice(odd)] for i in range(40 * part)]
+        with open(tmp_path / f"part-{part}.csv", "w", newline="", encoding="utf-8") as f:
+            writer = csv.writer(f, lineterminator="\r\n" if part == 2 else "\n")
+            writer.writerows([["n", "a", "b\nof two lines"], *data])
+            f.write("\n" if part == 1 else "")
+        want += [(int(n), n, a or None, b or None) for n, a, b in data]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(limit))
+    try:
+        got = tabs.read_tab(spark, str(tmp_path))
+        assert got.columns == ["n", "a", "b\nof two lines", "_ord"]
+        assert sorted((r[3], r[0], r[1], r[2]) for r in got.collect()) == want
+        tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert limit > 1000 or tasks > 3  # several tasks a file
