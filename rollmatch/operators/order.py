@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import col, cols, listed, quoted
@@ -19,6 +19,7 @@ from rollmatch.session import cut
 ORDER = "_ord"
 BLOCK = 1 << 13     # consecutive order values combined into one piece, see rollup
 PART = "__part"
+FEW = 100_000       # rows that a sort with a limit may bring to one task
 
 
 def _over(keys: Sequence[str], order: str, end: str) -> str:
@@ -118,14 +119,45 @@ def with_file_order(df: DataFrame, name: str = ORDER) -> DataFrame:
         *cols(df.columns), (F.col("__offset") + F.col(here)).alias(name))
 
 
+def lowest_rows(df: DataFrame, n: int, value: Column, tie: Column, few: int = FEW) -> DataFrame:
+    """Exactly the n rows of the lowest values (64-bit integers); of equal values those that `tie` puts first.
+
+    Up to `few` rows are kept by a sort with a limit, which brings them to one task. More are cut off at the n-th value, which
+    is found by counting: rows per leading 16 bits, then per next 16 bits of those that share the bits found so far. At most
+    four counts of one column, of at most 65,536 groups each; the rows themselves are only filtered. `df` is read several times
+    and has to be the same each time, so it comes from files. A row without a value is not among them.
+    """
+    if n <= few:
+        return df.orderBy(value, tie).limit(n)
+    # Unsigned order: the sign bit turned round.
+    value = value.cast("long")
+    bits = value.bitwiseXOR(F.lit(-(1 << 63)))
+    low, left, within = 0, n, value.isNotNull()
+    for shift in (48, 32, 16, 0):
+        counted = df.where(within).groupBy(F.shiftrightunsigned(bits, shift).bitwiseAND(0xFFFF).alias("digit")).agg(
+            F.count(F.lit(1)).alias("n")).collect()
+        for digit, count in sorted((r["digit"], r["n"]) for r in counted):
+            if count >= left:
+                break
+            left -= count
+        else:
+            return df.where(value.isNotNull())  # no more than n rows
+        low += digit << shift
+        first, last = (x - (1 << 63) for x in (low, low + (1 << shift) - 1))
+        within = value.between(F.lit(first), F.lit(last))
+        if count == left:
+            return df.where(value <= F.lit(last))
+    return df.where(value < F.lit(first)).unionByName(df.where(within).orderBy(tie).limit(left))
+
+
 def first_rows(df: DataFrame, n: int, order: str = ORDER) -> DataFrame:
     """The first n rows in row order."""
-    return df.orderBy(col(order)).limit(n)
+    return lowest_rows(df, n, col(order), col(order))
 
 
-def sample_rows(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, key: str, seed: int = 0, few: int = FEW) -> DataFrame:
     """Exactly n rows drawn without replacement.
 
     The draw ranks rows by a seeded hash of a unique key, so a re-run of a lost task draws the same rows.
     """
-    return df.orderBy(F.xxhash64(F.lit(seed), col(key)), col(key)).limit(n)
+    return lowest_rows(df, n, F.xxhash64(F.lit(seed), col(key)), col(key), few)

@@ -241,6 +241,24 @@ def l2_first_rows(spark, sf):
     return order.first_rows(load(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 20, "o_orderkey")
 
 
+@query("SELECT l_orderkey, l_extendedprice FROM lineitem ORDER BY l_orderkey * 8 + l_linenumber, l_extendedprice LIMIT (SELECT count(*) // 3 FROM lineitem)")
+def l2_first_third(spark, sf):
+    """A third of the line items in row order, cut off at a counted value; ties are there to be told apart."""
+    items = load(spark, sf, "lineitem").selectExpr("l_orderkey", "l_extendedprice", "l_orderkey * 8 + l_linenumber AS at")
+    found = order.lowest_rows(items, items.count() // 3, F.col("at"), F.col("l_extendedprice"), few=0)
+    return found.drop("at")
+
+
+@query("SELECT count(*) // 3 AS n, true AS agree FROM lineitem")
+def l3_sample_third(spark, sf):
+    """A third of the line items drawn by a key that repeats: exactly that many, and the same ones again."""
+    items = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    n = items.count() // 3
+    marks = [order.sample_rows(items, n, "l_orderkey", seed=3, few=0).select(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("l_orderkey").cast("decimal(38,0)")).alias("mark")) for _ in (1, 2)]
+    return marks[0].crossJoin(marks[1].toDF("m", "other")).select("n", ((F.col("n") == F.col("m")) & (F.col("mark") == F.col("other"))).alias("agree"))
+
+
 @query("SELECT 20 AS n, 20 AS keys, 20 AS known, true AS agree, true AS other_differs")
 def l3_sample_rows(spark, sf):
     """Rows drawn, distinct keys, keys that the table has; whether one seed draws the same again, and another differs."""

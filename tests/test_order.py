@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from helpers import rows
 from pyspark.sql import Window
@@ -112,3 +114,25 @@ def test_two_exchanges_of_full_length(spark, monkeypatch, within):
     first = plan.index("REPARTITION_BY_NUM")
     assert "Aggregate" not in plan[:first] and plan[:first].count("Exchange") == 1
     assert plan[first:].index("Exchange") < plan[first:].rindex("Aggregate")
+
+
+@pytest.mark.parametrize("n", [1, 100, 333, 999, 1000, 5000])
+def test_lowest_rows_are_counted_off(spark, n):
+    """Values of both signs and far apart, ties at the end, more rows asked for than there are."""
+    rng = random.Random(n)
+    data = [(rng.choice((-(1 << 63), -5, 0, 7, (1 << 63) - 1, rng.randrange(-(1 << 62), 1 << 62))), i) for i in range(1000)]
+    df = spark.createDataFrame(data, "v long, t int")
+    found = order.lowest_rows(df, n, F.col("v"), F.col("t"), few=0)
+    assert sorted(map(tuple, found.collect())) == sorted(data)[:n]
+    assert sorted(map(tuple, order.lowest_rows(df, n, F.col("v"), F.col("t")).collect())) == sorted(data)[:n]
+
+
+def test_many_rows_are_drawn_without_a_sort(spark, tmp_path):
+    spark.range(9000).selectExpr("id", "id % 1000 AS k").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for found in (order.sample_rows(df, 3000, "id", few=0), order.lowest_rows(df, 3000, F.col("id"), F.lit(0), few=0)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 3000 and "TakeOrdered" not in plan and "Exchange" not in plan and "Sort" not in plan
+    assert order.sample_rows(df, 3001, "k", few=0).count() == 3001  # keys of nine rows each
+    again = [sorted(r.id for r in order.sample_rows(df.repartition(p), 3000, "id", few=0).collect()) for p in (2, 5)]
+    assert again[0] == again[1] and len(set(again[0])) == 3000
