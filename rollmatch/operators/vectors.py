@@ -1,9 +1,9 @@
 """Embeddings and exact nearest-neighbour retrieval.
 
-Every query meets every item, which exact retrieval asks for, but no pair is ever a row: tasks multiply blocks of
-vectors and emit at most k items per query and block. A corpus of checked size is sent to the tasks once; a larger
-one is cut into blocks, every block of queries meets every block of items in a task of its own, and the k best per
-block are merged.
+No pair is ever a row: tasks multiply blocks of vectors and emit at most k items per query and block. A corpus of checked
+size is sent to the tasks once. A larger one is dealt into cells around pivots, and a query goes to its own cell first;
+then only to those cells that, by the triangle inequality, can hold an item as good as its k-th best so far. An item is
+shuffled once, a query once per cell that it visits.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +22,14 @@ from pyspark.sql import types as T
 from rollmatch.functions.columns import col, cols
 from rollmatch.session import cut, spread_small
 
-# Largest corpus, in bytes of doubles, that is sent to every task, and the size of one block beyond that. The
-# vectors shuffled beyond it are queries x item blocks + items x query blocks, so blocks are as large as a task holds.
+# Largest corpus, in bytes of doubles, that is sent to every task, and the most vectors of a cell that a task holds.
 CORPUS_BOUND = 128 * 1024 * 1024
 BLOCK_BYTES = 128 * 1024 * 1024
+# Cells, and visits of a cell that one task answers: a cell with more visits is copied to as many tasks as that takes.
+MOST_PIVOTS = 1024
+VISITS = 1_000_000
+# What rounding can do to a distance, and to a score.
+SLACK, NEAR = 1e-6, 1e-8
 # Numbers in one slice of a score matrix.
 SLICE = 4_000_000
 # Decimals that count when scores are compared, so that summation order cannot swap equal scores.
@@ -90,9 +96,7 @@ def nearest(queries: DataFrame, items: DataFrame, k: int, query_id: str, query_v
     if n_items * vector_bytes <= bound:
         ranked = _against_all(spread_small(asked, "q"), held, k, metric, schema)
     else:
-        per_block = max(1, block_bytes // vector_bytes)
-        item_blocks, query_blocks = (max(1, math.ceil(n / per_block)) for n in (n_items, queries.count()))
-        found = _block_by_block(asked, held, k, metric, schema, item_blocks, query_blocks)
+        found = _by_pivots(asked, held, k, metric, schema, max(1, block_bytes // vector_bytes), n_items)
         by_score = Window.partitionBy("q").orderBy(F.round("s", COMPARED).desc(), F.asc("i"))
         ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select(F.col("q").alias(query_id), "rank", F.col("i").alias(f"near_{item_id}"),
@@ -115,26 +119,139 @@ def _against_all(asked: DataFrame, held: DataFrame, k: int, metric: str, schema:
     return asked.mapInPandas(score, schema)
 
 
-def _block_by_block(asked: DataFrame, held: DataFrame, k: int, metric: str, schema: T.StructType,
-                    item_blocks: int, query_blocks: int) -> DataFrame:
-    unit = metric == "cosine"
+def _vectors(column: pa.ChunkedArray | pa.Array, unit: bool) -> np.ndarray:
+    """Vectors of one width as rows of a matrix."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    rows = flat.reshape(len(column), -1)
+    if not unit:
+        return rows
+    norms = np.linalg.norm(rows, axis=1, keepdims=True)
+    return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
+
+
+def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    squared = (rows * rows).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * rows @ pivots.T
+    return np.sqrt(np.maximum(squared, 0))
 
-    def spread(df: DataFrame, ident: str, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        return df.select(
-            "*", F.pmod(F.xxhash64(ident), F.lit(own_blocks)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))).alias(other))
 
-    left = spread(asked, "q", "qb", query_blocks, "ib", item_blocks).groupBy("qb", "ib")
-    right = spread(held, "i", "ib", item_blocks, "qb", query_blocks).groupBy("qb", "ib")
+def _home(distance: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
+    """Per query, whether a cell is one of the nearest ones that hold k items between them."""
+    nearest_first = np.argsort(distance, axis=1, kind="stable")
+    earlier = np.cumsum(count[nearest_first], axis=1) - count[nearest_first]
+    home = np.zeros(distance.shape, dtype=bool)
+    np.put_along_axis(home, nearest_first, earlier < k, axis=1)
+    return home & (count > 0)
 
-    def score(q_rows: pd.DataFrame, i_rows: pd.DataFrame) -> pd.DataFrame:
-        if not len(q_rows) or not len(i_rows):
-            return pd.DataFrame({"q": [], "i": [], "s": [], "rank": []})
-        i_rows = i_rows.sort_values("i", kind="stable")
-        q, i, s, rank = _best(_matrix(q_rows["v"], unit), _matrix(i_rows["v"], unit), k, metric)
-        return pd.DataFrame({"q": q_rows["q"].to_numpy()[q], "i": i_rows["i"].to_numpy()[i], "s": s, "rank": rank})
 
-    return left.cogroup(right).applyInPandas(score, schema)
+def _by_pivots(asked: DataFrame, held: DataFrame, k: int, metric: str, schema: T.StructType, per_block: int,
+               n_items: int) -> DataFrame:
+    """The k best items of every cell that a query visits; the k best of all are among them.
+
+    An item at distance r of its pivot p is at least |d(q, p) - r| away from q, so a cell whose items lie between `near` and
+    `far` of its pivot is left out when even that distance gives a score below the query's k-th best one.
+    """
+    spark, unit = held.sparkSession, metric == "cosine"
+    n_pivots = max(1, min(MOST_PIVOTS, math.ceil(n_items / per_block)))
+    asked, held = cut(asked), cut(held)
+    # At most MOST_PIVOTS vectors come to the driver, drawn by a hash of their ids.
+    drawn = held.orderBy(F.xxhash64("i"), "i").limit(n_pivots).toPandas()
+    if not len(drawn):
+        return spark.createDataFrame([], schema)
+    pivots = spark.sparkContext.broadcast(_matrix(drawn["v"], unit))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                distance = _distances(_vectors(batch.column("v"), unit), pivots.value)
+                cell = distance.argmin(1)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(distance[np.arange(len(cell)), cell])],
+                    names=[*batch.schema.names, "cell", "r"])
+
+    items = cut(held.mapInArrow(place, T.StructType(held.schema.fields + _fields("cell int, r double"))))
+    stats = items.groupBy("cell").agg(F.count("*").alias("n"), F.min("r").alias("near"), F.max("r").alias("far")).collect()
+    count, near, far = np.zeros(len(drawn), np.int64), np.zeros(len(drawn)), np.zeros(len(drawn))
+    for row in stats:
+        count[row["cell"]], near[row["cell"]], far[row["cell"]] = row["n"], row["near"], row["far"]
+
+    def visits(queries: DataFrame, first: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                rows = _vectors(batch.column("v"), unit)
+                distance = _distances(rows, pivots.value)
+                go = _home(distance, count, k)
+                if not first:
+                    least = np.maximum(np.maximum(distance - far, near - distance) - SLACK, 0)
+                    most = ((rows * rows).sum(1)[:, None] + 1 - least * least) / 2 if unit else -least
+                    known = batch.column("kth").to_numpy(zero_copy_only=False).astype(np.float64)
+                    go = ~go & (count > 0) & ~(most < known[:, None] - NEAR)  # nothing is below an unknown one
+                q, cell = np.nonzero(go)
+                chosen = pa.array(q)
+                yield pa.RecordBatch.from_arrays([batch.column("q").take(chosen), batch.column("v").take(chosen),
+                                                  pa.array(cell.astype(np.int32))], names=["q", "v", "cell"])
+
+        shape = [queries.schema["q"], queries.schema["v"], *_fields("cell int")]
+        return cut(queries.mapInArrow(run, T.StructType(shape)))
+
+    parts = [max(1, math.ceil(n / per_block)) for n in count.tolist()]
+    one = cut(_meet(visits(asked, True), items, parts, k, metric, schema))
+    kth = one.groupBy("q").agg(F.sort_array(F.collect_list(F.col("s")), asc=False).alias("all")).select(
+        F.col("q").alias("asked"), F.get("all", F.lit(k - 1)).alias("kth"))
+    again = asked.join(kth, F.col("q").eqNullSafe(F.col("asked")), "left").select("q", "v", "kth")
+    return one.unionByName(_meet(visits(again, False), items, parts, k, metric, schema))
+
+
+def _fields(ddl: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(ddl).fields
+
+
+def _meet(visits: DataFrame, items: DataFrame, parts: list[int], k: int, metric: str, schema: T.StructType) -> DataFrame:
+    """Every visit meets all parts of its cell. A part's items stand in front of its visits, so that a task holds one part
+    and reads its visits batch by batch."""
+    unit = metric == "cosine"
+    asked = {r["cell"]: math.ceil(r["n"] / VISITS) for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    copies = [asked.get(cell, 0) for cell in range(len(parts))]
+
+    def by_cell(numbers: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(n) for n in numbers]), F.col("cell") + 1)
+
+    no_q, no_i = (F.lit(None).cast(schema[c].dataType).alias(c) for c in ("q", "i"))
+    vector = F.col("v").cast("array<double>").alias("v")
+    left = items.where(by_cell(copies) > 0).select(
+        "cell", F.pmod(F.xxhash64("i"), by_cell(parts)).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), by_cell(copies) - 1)).alias("copy"), F.lit(0).alias("kind"), no_q, "i", vector)
+    right = visits.select("cell", F.explode(F.sequence(F.lit(0), by_cell(parts) - 1)).alias("part"),
+                          F.pmod(F.xxhash64("q"), by_cell(copies)).cast("int").alias("copy"), F.lit(1).alias("kind"), "q", no_i, vector)
+    place = ["cell", "part", "copy"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, rows, ready = None, [], [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in (*place, "kind")])
+            starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(0)]))
+            for low, high in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+                part = batch.slice(low, high - low)
+                if tuple(keys[:3, low]) != now:
+                    now, ids, rows, ready = tuple(keys[:3, low]), [], [], None
+                if keys[3, low] == 0:
+                    ids.append(part.column("i"))
+                    rows.append(_vectors(part.column("v"), unit))
+                elif ids:
+                    if ready is None:
+                        known = pa.concat_arrays(ids)
+                        order = pc.sort_indices(known)
+                        ready = known.take(order), np.concatenate(rows)[order.to_numpy()]
+                        rows = [ready[1]]
+                    q, i, s, rank = _best(_vectors(part.column("v"), unit), ready[1], k, metric)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("q").take(pa.array(q)), ready[0].take(pa.array(i)), pa.array(s), pa.array(rank.astype(np.int32))],
+                        names=["q", "i", "s", "rank"])
+
+    return left.unionByName(right).repartition(*place).sortWithinPartitions(*place, "kind").mapInArrow(run, schema)
 
 
 def retrieve_jobs(queries: DataFrame, nodes: DataFrame, k: int, key: str, vector: str, node_id: str,

@@ -37,6 +37,47 @@ def test_nearest_equals_brute_force(data, metric, options, monkeypatch):
     assert sorted((r[0], r[1], r[2], round(r[3], 8) + 0.0) for r in got) == brute(queries, items, 3, metric)
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_cells_with_zero_vectors_copies_and_few_items(spark, metric, monkeypatch):
+    monkeypatch.setattr(vectors, "VISITS", 7)
+    rng = np.random.default_rng(8)
+    items = [(i, rng.normal(size=4).round(1).tolist()) for i in range(60)] + [(60 + i, [0.0] * 4) for i in range(30)]
+    queries = [(q, rng.normal(size=4).round(1).tolist()) for q in range(25)] + [(25, [0.0] * 4), (26, items[3][1])]
+    q, i = (spark.createDataFrame(r, "id bigint, v array<double>") for r in (queries, items))
+    for k in (1, 5, 200):
+        got = vectors.nearest(q, i, k, "id", "v", "id", "v", metric, bound=0, block_bytes=32 * 4).collect()
+        scored = sorted((r[0], r[1], r[2]) for r in got)
+        if metric == "l2":
+            assert scored == [r[:3] for r in brute(queries, items, k, "l2")]
+        else:  # a vector of length zero scores 0 with every other one
+            unit = lambda v: np.array(v) / (np.linalg.norm(v) or 1)
+            want = []
+            for a, av in queries:
+                ranked = sorted((-round(float(unit(av) @ unit(bv)), 9) + 0.0, b) for b, bv in items)[:k]
+                want += [(a, r + 1, b) for r, (_, b) in enumerate(ranked)]
+            assert scored == sorted(want)
+
+
+def test_a_query_visits_few_cells_and_an_item_moves_once(spark, monkeypatch):
+    """Twenty clusters: no more than four visits a query on average, of twenty cells; no item is copied."""
+    rng = np.random.default_rng(3)
+    middle = rng.normal(size=(20, 16)) * 20
+    item = [(i, (middle[i % 20] + rng.normal(size=16)).tolist()) for i in range(1000)]
+    query = [(q, (middle[q % 20] + rng.normal(size=16)).tolist()) for q in range(200)]
+    q, i = (spark.createDataFrame(r, "id bigint, v array<double>") for r in (query, item))
+    seen = []
+    meet = vectors._meet
+
+    def watched(visits, items, parts, k, *rest):
+        seen.append((visits.count(), sum(parts), items.count()))
+        return meet(visits, items, parts, k, *rest)
+
+    monkeypatch.setattr(vectors, "_meet", watched)
+    got = vectors.nearest(q, i, 3, "id", "v", "id", "v", "l2", bound=0, block_bytes=8 * 16 * 50)
+    assert sorted((r[0], r[1], r[2]) for r in got.collect()) == [r[:3] for r in brute(query, item, 3, "l2")]
+    assert len(seen) == 2 and sum(s[0] for s in seen) <= 4 * 200 and all(s[2] == 1000 for s in seen)
+
+
 def test_fewer_items_than_k_and_missing_vectors(spark, data):
     _, _, q, i = data
     few = i.where("id >= 118")
