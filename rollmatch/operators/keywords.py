@@ -1,44 +1,45 @@
 """Containment join: each text with the first listed keyword it contains.
 
-A keyword list of checked size goes to every task as one automaton, and a text is read once. A longer list is
-matched by an equi-join on sampled substrings: a keyword and any text that contains it share at least one.
+Matched by an equi-join on sampled substrings (anchors): a keyword and any text that contains it share at least one. A text's
+anchors meet a bit array of all keywords' anchors before they become rows, so what is shuffled are true hits of anchors
+and one in SPARE of the others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import col
-from rollmatch.session import spread_small
+from rollmatch.session import cut, spread_small
 
-try:
-    import ahocorasick
-except ImportError:
-    ahocorasick = None
-
-# Longest keyword list, in characters, that is sent to every task; the automaton takes some 100 bytes per character.
-LIST_BOUND = 2_000_000
+# Bits of the array per keyword, and its largest size in bits (16 MB): beyond 8 million keywords more anchors pass it.
+SPARE = 16
+MOST_BITS = 1 << 27
 
 # (shortest keyword length, substring length, window): a window of `window` substrings of that length fits
 # into every keyword at least that long, and its smallest hash is taken as an anchor of keyword and text.
 SCHEMES = tuple((n, n, 1) for n in range(1, 8)) + ((8, 4, 5), (32, 8, 25))
 
 
-def first_keyword(texts: DataFrame, text: str, keywords: DataFrame, keyword: str, position: str,
-                  key: str, bound: int = LIST_BOUND) -> DataFrame:
+def first_keyword(texts: DataFrame, text: str, keywords: DataFrame, keyword: str, position: str, key: str) -> DataFrame:
     """(key, text's first keyword by list position); texts without one are left out. `key` is unique per text."""
     listed = keywords.where(F.length(col(keyword)) > 0).groupBy(col(keyword).alias("word")).agg(
         F.min(col(position)).alias("pos"))
-    size = listed.agg(F.coalesce(F.sum(F.length("word") + 8), F.lit(0)).alias("n")).first()["n"]
     source = texts.select(col(key).alias("id"), col(text).alias("text")).where(F.col("text").isNotNull())
-    source = spread_small(source, "id")
-    found = _by_automaton(source, listed) if ahocorasick and size <= bound else _by_anchors(source, listed)
+    chosen, used = _chosen_anchors(listed)
+    if not used:
+        found = source.select("id", F.lit(None).cast("string").alias("word")).limit(0)
+    else:
+        source = spread_small(source, "id")
+        candidates = _text_anchor_rows(source, chosen, used).join(chosen, "anchor").select("id", "word", "pos")
+        found = candidates.join(source, "id").where(F.contains(F.col("text"), F.col("word"))).groupBy("id").agg(
+            F.min_by("word", F.struct("pos", "word")).alias("word"))
     return found.select(F.col("id").alias(key), F.col("word").alias("keyword"))
 
 
@@ -46,24 +47,6 @@ def distinct_keywords(matches: DataFrame) -> DataFrame:
     return matches.select("keyword").distinct()
 
 
-def _by_automaton(source: DataFrame, listed: DataFrame) -> DataFrame:
-    words = [r["word"] for r in listed.orderBy("pos", "word").collect()]
-    shared = source.sparkSession.sparkContext.broadcast(words)
-
-    @F.pandas_udf("string")
-    def first_hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = ahocorasick.Automaton()
-        for rank, word in enumerate(shared.value):
-            machine.add_word(word, rank)
-        if shared.value:
-            machine.make_automaton()
-        for batch in batches:
-            hits = [min((r for _, r in machine.iter(t)), default=-1) if shared.value else -1 for t in batch]
-            yield pd.Series([shared.value[h] if h >= 0 else None for h in hits], dtype=object)
-
-    return source.select("id", first_hit("text").alias("word")).where(F.col("word").isNotNull())
-
-
 def _scheme(length: Column) -> Column:
     picked = F.lit(None).cast("int")
     for i, (least, _, _) in enumerate(SCHEMES):
@@ -91,33 +74,56 @@ def _text_anchors(points: np.ndarray, gram: int, window: int) -> np.ndarray:
     return np.unique(lowest).view(np.int64)
 
 
-def _anchors(schemes: list[int]) -> Column:
+def _anchors(schemes: list[int], bits: Broadcast | None = None) -> Column:
+    """Anchors of each text by all given schemes; with a bit array, only those whose bit is set."""
     @F.pandas_udf("array<bigint>")
     def anchors(texts: pd.Series) -> pd.Series:
+        known = None if bits is None else np.frombuffer(bits.value, dtype=np.uint8)
+
         def of(text: str) -> np.ndarray:
             points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-            return np.concatenate([_text_anchors(points, *SCHEMES[s][1:]) for s in schemes])
+            found = np.concatenate([_text_anchors(points, *SCHEMES[s][1:]) for s in schemes])
+            if known is None:
+                return found
+            place = found & (8 * len(known) - 1)
+            return found[(known[place >> 3] >> (place & 7)) & 1 == 1]
 
         return pd.Series([of(t) for t in texts], dtype=object)
 
     return anchors
 
 
-def _by_anchors(source: DataFrame, listed: DataFrame) -> DataFrame:
+def _chosen_anchors(listed: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(word, pos, anchor), written: each keyword's rarest anchor, which keeps keywords with a common beginning apart; and
+    the schemes in use."""
     listed = listed.withColumn("own", _scheme(F.length("word")))
     used = sorted(r["own"] for r in listed.select("own").distinct().collect())
     if not used:
-        return source.select("id", F.lit(None).cast("string").alias("word")).limit(0)
-    offered = [
-        listed.where(F.col("own") == s).select("word", "pos", F.explode(_anchors([s])("word")).alias("anchor"))
-        for s in used
-    ]
-    offered = reduce(DataFrame.unionByName, offered)
-    # The rarest anchor of a keyword keeps keywords with a common beginning apart.
+        return listed, used
+    offered = reduce(DataFrame.unionByName, [
+        listed.where(F.col("own") == s).select("word", "pos", F.explode(_anchors([s])("word")).alias("anchor")) for s in used])
+    offered = cut(offered)
     frequency = offered.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    chosen = offered.join(frequency, "anchor").groupBy("word", "pos").agg(
-        F.min_by("anchor", F.struct("n", "anchor")).alias("anchor"))
-    asked = source.select("id", F.explode(_anchors(used)("text")).alias("anchor"))
-    candidates = asked.join(chosen, "anchor").select("id", "word", "pos")
-    return candidates.join(source, "id").where(F.contains(F.col("text"), F.col("word"))).groupBy("id").agg(
-        F.min_by("word", F.struct("pos", "word")).alias("word"))
+    return cut(offered.join(frequency, "anchor").groupBy("word", "pos").agg(
+        F.min_by("anchor", F.struct("n", "anchor")).alias("anchor"))), used
+
+
+def _bit_array(chosen: DataFrame) -> bytes:
+    """A bit per anchor, at its leading places; the array is a power of two of at least SPARE bits per keyword."""
+    n_bits = 1 << 16
+    wanted = SPARE * chosen.count()
+    while n_bits < wanted and n_bits < MOST_BITS:
+        n_bits *= 2
+    place = F.col("anchor").bitwiseAND(n_bits - 1)
+    # At most one row per byte of the array comes to the driver.
+    held = chosen.groupBy(F.shiftright(place, 3).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1, CAST(anchor & 7 AS INT))")).alias("bits")).toPandas()
+    array = np.zeros(n_bits // 8, dtype=np.uint8)
+    array[held["at"].to_numpy()] = held["bits"].to_numpy()
+    return array.tobytes()
+
+
+def _text_anchor_rows(source: DataFrame, chosen: DataFrame, used: list[int]) -> DataFrame:
+    """(id, anchor) of the texts' anchors that pass the bit array."""
+    bits = source.sparkSession.sparkContext.broadcast(_bit_array(chosen))
+    return source.select("id", F.explode(_anchors(used, bits)("text")).alias("anchor"))
