@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollmatch.operators import vectors
+from rollmatch.operators import sparse, vectors
 from rollmatch.queries.registry import query
 from rollmatch.session import load
 
@@ -105,3 +105,24 @@ def v2_term_weights_documents(spark, sf):
 def v2_embed_text(spark, sf):
     made = vectors.embed_text(load(spark, sf, "benchmark"), "item_id", "text", 64)
     return made.select("item_id", F.size("embedding").alias("width"))
+
+
+@query(r"""WITH w AS (SELECT doc_id AS i, unnest(regexp_split_to_array(lower(text), '\s+')) AS term FROM documents),
+    f AS (SELECT i, term, count(*) AS tf FROM w WHERE term <> '' GROUP BY ALL),
+    idf AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf FROM f GROUP BY term),
+    held AS (SELECT i, term, tf * idf AS v FROM f JOIN idf USING (term) WHERE idf > 0),
+    asked AS (SELECT q, term, tf * idf AS w FROM (SELECT q, term, count(*) AS tf FROM (
+      SELECT item_id AS q, unnest(regexp_split_to_array(lower(text), '\s+')) AS term FROM benchmark) GROUP BY ALL)
+      JOIN idf USING (term) WHERE idf > 0),
+    dots AS (SELECT q, i, sum(w * v) AS dot FROM asked JOIN held USING (term) GROUP BY ALL),
+    nq AS (SELECT q, sqrt(sum(w * w)) AS n FROM asked GROUP BY q), ni AS (SELECT i, sqrt(sum(v * v)) AS n FROM held GROUP BY i),
+    r AS (SELECT q, i, dot / (nq.n * ni.n) AS score FROM dots JOIN nq USING (q) JOIN ni USING (i))
+    SELECT q AS item_id, CAST(rank AS INTEGER) AS rank, i AS near_doc_id, round(score, 6) AS score FROM (
+      SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(score, 9) DESC, i) AS rank FROM r) WHERE rank <= 5""")
+def v3_nearest_by_terms(spark, sf):
+    """The passages against all documents, by their term weights themselves."""
+    docs = load(spark, sf, "documents")
+    fitted = vectors.fit_terms(docs, "doc_id", "text")
+    asked = vectors.weigh_terms(load(spark, sf, "benchmark"), "item_id", "text", fitted)
+    found = sparse.nearest_by_terms(asked, vectors.term_weights(docs, "doc_id", "text"), 5, "item_id", "doc_id")
+    return found.withColumn("score", F.round("score", 6))
