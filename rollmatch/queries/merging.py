@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rollmatch.operators import merge
-from rollmatch.queries.registry import query
-from rollmatch.session import load
+from rollmatch.queries.registry import ORACLES, query
+from rollmatch.session import cut, load, scratch_path
+from rollmatch.sources.keyed import KeyedTable
 
 # Overlapping sides; some old keys are blank, some new ones null.
 # Both sides hold every order; those that are not open have keys of their own on the new side.
@@ -65,6 +66,15 @@ def m2_upsert_with_orphans(spark, sf):
     return merge.upsert_with_orphans(m1_merge_old_new(spark, sf), main, "k")
 
 
+@query(ORACLES["m2_upsert_with_orphans"])
+def m2_upsert_bucketed(spark, sf):
+    """The main table lies in buckets of its key and is replaced by a new version, read back."""
+    table = KeyedTable(spark, scratch_path(spark, "main"), ["k"], buckets=8)
+    table.replace(load(spark, sf, "orders").selectExpr(*MAIN))
+    table.upsert(cut(m1_merge_old_new(spark, sf)))
+    return table.rows()
+
+
 PARTS = {
     "new": ("p_name AS request", "p_type AS title", "p_brand AS dept", "p_partkey AS ord"),
     "old": ("p_name AS request", "p_type AS title", "p_size AS size", "p_partkey AS ord"),
@@ -110,6 +120,24 @@ def j4_new_rows(spark, sf):
     return merge.new_rows(rows.drop("value"), target)
 
 
+@query(ORACLES["j3_new_key_rows"])
+def j3_new_key_rows_bucketed(spark, sf):
+    known = KeyedTable(spark, scratch_path(spark, "known"), ["o_custkey"], buckets=8)
+    known.replace(load(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").selectExpr(
+        "concat(' ', CAST(c_custkey AS STRING)) AS o_custkey"))
+    return known.unseen(load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
+
+
+@query(ORACLES["j4_new_rows"])
+def j4_new_rows_bucketed(spark, sf):
+    rows = load(spark, sf, "events").selectExpr(
+        "event_id", "user_id", "value", "CASE WHEN event_type <> 'error' THEN event_type END AS kind",
+        "CASE WHEN value >= 10 THEN props END AS note")
+    target = KeyedTable(spark, scratch_path(spark, "rows"), ["kind", "note", "user_id"], buckets=8)
+    target.replace(rows.where("value < 15").selectExpr("note", "user_id", "kind", "value AS other"))
+    return target.unseen(rows.drop("value"))
+
+
 @query("""SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS id, '' AS status FROM customer
        WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)""")
 def j3_sync_aligned(spark, sf):
