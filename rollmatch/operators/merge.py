@@ -41,13 +41,18 @@ def _last_of_stack(union: DataFrame, keys: Sequence[str], order: str) -> DataFra
     return keep_last(marked, keys, "__at").drop("__at")
 
 
+def drop_blank_keys(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is more than blanks; a null key stays."""
+    return df.where(F.coalesce(key_text(col(key)), F.lit("<NA>")) != "")
+
+
 def merge_old_new(old: DataFrame, new: DataFrame, status: str, old_label: str, new_label: str,
                   order: str = ORDER) -> DataFrame:
     """Tag both sides, stack them, keep the last row per first column, drop blank ids (a null id stays)."""
     key = next(c for c in old.columns if c != order)
     union = stack_tables([tag_column(old, status, old_label), tag_column(new, status, new_label)])
     merged = _last_of_stack(union, [key], order)
-    return merged.where(F.coalesce(key_text(col(key)), F.lit("<NA>")) != "").drop(SOURCE)
+    return drop_blank_keys(merged, key).drop(SOURCE)
 
 
 def upsert_with_orphans(merged: DataFrame, main: DataFrame, key: str) -> DataFrame:

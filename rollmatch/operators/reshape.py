@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,19 +70,19 @@ def wide_to_ranked(df: DataFrame, key: str, triples: Sequence[tuple[str, str, st
     title, ident, dept, rank = names
     present = [(n, t) for n, t in enumerate(triples, start=1) if t[0] in df.columns]
     departments = [t[2] for _, t in present if t[2] in df.columns]
-    # Whether a whole column is null or blank: a scalar subquery over the written table, which holds the needed columns.
-    blank = {c: f"b{i}" for i, c in enumerate(departments)}
+    # Whether a whole column is null or blank is observed while the needed columns are written.
+    blank: set[str] = set()
     if departments:
-        df = cut(df.select(*cols(dict.fromkeys([key, *[c for _, t in present for c in t if c in df.columns]]))))
-        flags = df.agg(F.struct(*[
-            (F.count(blank_to_null(col(c))) == 0).alias(b) for c, b in blank.items()]).alias("flags")).scalar()
-        df = df.withColumn("__blank", flags)
+        seen = Observation()
+        needed = df.select(*cols(dict.fromkeys([key, *[c for _, t in present for c in t if c in df.columns]])))
+        df = cut(needed.observe(seen, *[F.count(blank_to_null(col(c))).alias(f"n{i}") for i, c in enumerate(departments)]))
+        blank = {c for i, c in enumerate(departments) if not seen.get[f"n{i}"]}
     rows = []
     for n, (job_col, id_col, dept_col) in present:
         id_value = col(id_col) if id_col in df.columns else F.lit("NA")
         raw = col(id_col) if id_col in df.columns else F.lit(None).cast("string")
-        if dept_col in blank:
-            raw = F.when(F.col("__blank")[blank[dept_col]], raw).otherwise(col(dept_col))
+        if dept_col in departments and dept_col not in blank:
+            raw = col(dept_col)
         rows.append(F.struct(
             col(job_col).cast("string").alias(title), id_value.cast("string").alias(ident),
             department_label(raw.cast("string")).alias(dept), F.lit(n).alias(rank)))

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollmatch.functions.columns import col, strip
 from rollmatch.functions.nulls import fill_constant, fill_keyed_rows, is_valid_label, null_tokens
 from rollmatch.functions.text import newline_cells, newlines_to_spaces
 from rollmatch.operators import schema as S
-from rollmatch.operators.merge import new_key_rows
+from rollmatch.operators.merge import drop_blank_keys, new_key_rows
 from rollmatch.operators.rollup import collect_rows
 from rollmatch.queries.registry import query
 from rollmatch.session import load
@@ -142,8 +141,7 @@ def f3_drop_null_rows(spark, sf):
 
 @query(f"SELECT event_id, note FROM ({GAPS_SQL}) WHERE trim(coalesce(note, '<NA>')) <> ''")
 def f4_non_blank_key(spark, sf):
-    gaps = load(spark, sf, "events").selectExpr(*GAPS)
-    return gaps.where(strip(F.coalesce(col("note"), F.lit("<NA>"))) != "").select("event_id", "note")
+    return drop_blank_keys(load(spark, sf, "events").selectExpr(*GAPS), "note").select("event_id", "note")
 
 
 @query("""SELECT event_id, kind FROM (SELECT event_id, CASE event_type WHEN 'error' THEN 'NA' WHEN 'view' THEN ''

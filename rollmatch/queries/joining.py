@@ -53,6 +53,20 @@ def j6_attach_labels(spark, sf):
     return lookup.attach_labels(results, jobs, "p_type", "dept", ["t1", "t2"], ["Department 1", "Department 2"], "ord")
 
 
+@query(f"""WITH d AS (SELECT p_type, {DEPTS} AS dept, min(p_partkey) AS seen FROM part WHERE {DEPTS} IS NOT NULL GROUP BY 1, 2),
+       l AS (SELECT p_type, string_agg(dept, ', ' ORDER BY seen) AS depts FROM d GROUP BY p_type),
+       r AS (SELECT o_orderkey, 1 AS rank, t1 AS title FROM (SELECT {', '.join(TITLES)} FROM orders)
+         UNION ALL SELECT o_orderkey, 2, t2 FROM (SELECT {', '.join(TITLES)} FROM orders))
+       SELECT o_orderkey, rank, title, CASE WHEN title IS NULL THEN 'NA' ELSE concat(title, ': ', depts, ' ') END AS department
+       FROM r LEFT JOIN l ON p_type = title""")
+def j6_attach_label_per_rank(spark, sf):
+    """The same over ranked rows: one join, however many ranks there are."""
+    jobs = load(spark, sf, "part").selectExpr("p_type", f"{DEPTS} AS dept", "p_partkey AS ord")
+    titles = load(spark, sf, "orders").selectExpr(*TITLES)
+    ranked = titles.selectExpr("o_orderkey", "stack(2, 1, t1, 2, t2) AS (rank, title)")
+    return lookup.attach_label(ranked, jobs, "p_type", "dept", "title", "department", "ord")
+
+
 FIRST_KEYWORD = """SELECT doc_id, arg_min(b.text, item_id) AS keyword FROM documents d JOIN benchmark b
     ON contains(d.text, b.text) GROUP BY doc_id"""
 

@@ -101,10 +101,16 @@ def v2_term_weights_documents(spark, sf):
     return found.withColumn("weight", F.round("weight", 6))
 
 
-@query("""SELECT item_id, 64 AS width FROM benchmark""")
+@query(r"""WITH w AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '\s+')) AS term FROM benchmark),
+    t AS (SELECT item_id, term, count(*) AS tf FROM w WHERE term <> '' GROUP BY ALL),
+    d AS (SELECT term, ln(((SELECT count(*) FROM benchmark) + 1) / (count(*) + 1)) AS idf FROM t GROUP BY term),
+    p AS (SELECT item_id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 64 AS place, sum(tf * idf)::FLOAT::DOUBLE AS x
+      FROM t JOIN d USING (term) GROUP BY ALL)
+    SELECT item_id, CAST(place AS INTEGER) AS place, round(x, 4) AS x FROM p WHERE round(x, 4) <> 0""")
 def v2_embed_text(spark, sf):
     made = vectors.embed_text(load(spark, sf, "benchmark"), "item_id", "text", 64)
-    return made.select("item_id", F.size("embedding").alias("width"))
+    cells = made.select("item_id", F.posexplode("embedding").alias("place", "x"))
+    return cells.withColumn("x", F.round(F.col("x").cast("double"), 4)).where("x <> 0")
 
 
 @query(r"""WITH w AS (SELECT doc_id AS i, unnest(regexp_split_to_array(lower(text), '\s+')) AS term FROM documents),
