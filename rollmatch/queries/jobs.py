@@ -175,12 +175,15 @@ FRAME_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_C
         max(CASE WHEN rn = 1 THEN "Computer Skills" END), ' and know the following languages: ',
         coalesce(string_agg("Languages", '.' ORDER BY _ord), ''), '.', chr(10), 'The participant is a ',
         max(CASE WHEN rn = 1 THEN "Gender" END), ' and ', max(CASE WHEN rn = 1 THEN "Age" END), ' years old.', chr(10)) AS summary
-    FROM n JOIN b ON bk = "SP ID" GROUP BY "SP ID" """
+    FROM n JOIN b ON bk = "SP ID" GROUP BY "SP ID"
+    UNION ALL SELECT NULL, true, {', '.join(f"max(CASE WHEN rn = 1 THEN {dq(c)} END)" for c in FILL if c != 'SP ID')},
+      {', '.join('NULL' for _ in L.ALLOCATION_LISTS)}, NULL, NULL FROM n WHERE "SP ID" IS NULL HAVING count(*) > 0"""
 
 
 @query(FRAME_SQL)
 def e5_participant_frame(spark, sf):
-    made = frame(spark, sf).where(col("SP ID").isNotNull())
+    """The rows before the first key are a record of null key, without lists."""
+    made = frame(spark, sf)
     years = col("Years of Experience")
     return made.select(
         *[col(c) for c in FILL], years.isNull().alias("broken"), "summary",
@@ -268,16 +271,15 @@ HELD = f"""{dq('SP ID')} IS NOT NULL AND {dq(L.SUMMARY)} IS NOT NULL"""
          count(*) AS rows_after, count(DISTINCT "SP ID") AS distinct_keys FROM s
        UNION ALL SELECT 'participants', (SELECT count(*) FROM c), count(*) FILTER ("SP ID" IS NULL OR "SP ID" NOT IN (SELECT k FROM c)),
          (SELECT count(*) FROM c) + count(*) FILTER ("SP ID" IS NULL OR "SP ID" NOT IN (SELECT k FROM c)), count("SP ID") FROM r
-       UNION ALL SELECT 'predictions', (SELECT count(*) FROM c), count(*) FILTER ("SP ID" NOT IN (SELECT k FROM c)),
-         (SELECT count(*) FROM c) + count(*) FILTER ("SP ID" NOT IN (SELECT k FROM c)), count("SP ID") FROM r
-         WHERE "SP ID" IS NOT NULL""")
+       UNION ALL SELECT 'predictions', (SELECT count(*) FROM c), count(*) FILTER ("SP ID" IS NULL OR "SP ID" NOT IN (SELECT k FROM c)),
+         (SELECT count(*) FROM c) + count(*) FILTER ("SP ID" IS NULL OR "SP ID" NOT IN (SELECT k FROM c)), count("SP ID") FROM r""")
 def g5_sync_reports(spark, sf):
     rolled, filled = participants.roll_up_participants(export(spark, sf), CENTER, ANSWERS)
     held = filled.where(col("SP ID").isNotNull() & col(L.SUMMARY).isNotNull())
     known = load(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").selectExpr("concat(CAST(c_custkey AS STRING), ' ') AS `SP ID`")
     reports = [
         ("filled", sync.sync_filled(filled, held)), ("participants", sync.sync_participants(rolled, known)),
-        ("predictions", sync.sync_predictions(rolled.select("SP ID").where(col("SP ID").isNotNull()), known)),
+        ("predictions", sync.sync_predictions(rolled.select("SP ID"), known)),
     ]
     rows = [report.select(F.lit(job).alias("job"), "*") for job, (_, report) in reports]
     return rows[0].unionAll(rows[1]).unionAll(rows[2])
@@ -549,11 +551,13 @@ STRUCTURED_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCAT
     SELECT CAST("SP ID" AS BIGINT) AS "SP ID", first_value("Gender") OVER k AS "Gender", first_value("Age") OVER k AS "Age",
       CASE WHEN broken THEN 'NA' ELSE "Work Experience/From Date" END AS "Work Experience/From Date",
       CASE WHEN broken THEN 'NA' ELSE "Work Experience/To Date" END AS "Work Experience/To Date"
-    FROM n WINDOW k AS (PARTITION BY "SP ID" ORDER BY _ord) QUALIFY NOT broken OR rn = 1"""
+    FROM n WINDOW k AS (PARTITION BY "SP ID" ORDER BY _ord) QUALIFY NOT broken OR rn = 1
+    UNION ALL SELECT NULL, coalesce(arg_min_null("Gender", _ord), 'NA'), coalesce(arg_min_null("Age", _ord), 'NA'), 'NA', 'NA' FROM f
+    WHERE "SP ID" IS NULL HAVING count(*) > 0"""
 
 
 def published(spark, sf):
-    database.publish_participants(frame(spark, sf).where(col("SP ID").isNotNull()))
+    database.publish_participants(frame(spark, sf))
 
 
 @query(STRUCTURED_SQL)
@@ -564,7 +568,8 @@ def g10_structured_table(spark, sf):
 
 @query(f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')})
        SELECT CAST("SP ID" AS BIGINT) AS "SP ID", "Languages" FROM f WHERE "Languages" IS NOT NULL AND "SP ID" IS NOT NULL
-       UNION ALL SELECT CAST("SP ID" AS BIGINT), '' FROM f WHERE "SP ID" IS NOT NULL GROUP BY "SP ID" HAVING count("Languages") = 0""")
+       UNION ALL SELECT CAST("SP ID" AS BIGINT), '' FROM f WHERE "SP ID" IS NOT NULL GROUP BY "SP ID" HAVING count("Languages") = 0
+       UNION ALL SELECT NULL, 'NA' FROM f WHERE "SP ID" IS NULL HAVING count(*) > 0""")
 def g10_language_table(spark, sf):
     published(spark, sf)
     return run_sql(spark, "SELECT * FROM participants_languages")
@@ -575,7 +580,9 @@ UNSTRUCTURED_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOC
     SELECT CAST("SP ID" AS BIGINT) AS "SP ID", {', '.join(
         f"coalesce(string_agg({dq(c)}, ', ' ORDER BY _ord), '') AS {dq(c)}" if c in L.ALLOCATION_LISTS
         else f"max(CASE WHEN rn = 1 THEN {dq(c)} END) AS {dq(c)}" for c in L.UNSTRUCTURED[1:])}
-    FROM n GROUP BY "SP ID" """
+    FROM n GROUP BY "SP ID"
+    UNION ALL SELECT NULL, {', '.join('NULL' if c in L.ALLOCATION_LISTS else f"arg_min_null({dq(c)}, _ord)" for c in L.UNSTRUCTURED[1:])}
+    FROM f WHERE "SP ID" IS NULL HAVING count(*) > 0"""
 
 
 @query(UNSTRUCTURED_SQL)
@@ -585,6 +592,6 @@ def g10_unstructured_table(spark, sf):
 
 
 @query(f"""SELECT "SP ID", concat({", ' ', ".join(f"'{c}: ', {dq(c)}, chr(10)" for c in L.UNSTRUCTURED[1:])}) AS text
-       FROM ({UNSTRUCTURED_SQL})""")
+       FROM ({UNSTRUCTURED_SQL}) WHERE "SP ID" IS NOT NULL""")
 def g10_search_texts(spark, sf):
-    return database.search_texts(g10_unstructured_table(spark, sf))
+    return database.search_texts(g10_unstructured_table(spark, sf).where(col("SP ID").isNotNull()))
