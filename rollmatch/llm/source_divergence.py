@@ -4,10 +4,15 @@ Texts become arrays of terms; CountVectorizer with a minimum document count and
 learns each language's vocabulary and turns every text into its exact sparse vector. The vectors are added up per
 (language, source), and pairs of sources are evaluated on these sparse sums.
 
-A term is tagged with its language, so that one fit learns the vocabularies of all languages at once. CountVectorizer
-brings its vocabulary to the driver, so terms are dealt over slices by their hash, one slice for each SLICE_BYTES of text,
-each with a fit of its own: a kept term occurs at least `min_df` times, so a slice's vocabulary is at most a third
-of the text in it, and in a natural language far less. Slices share no terms; together they cover every term.
+Three things keep this cheap and bounded, and change no result:
+
+* A term is tagged with its language, so that one fit learns the vocabularies of all languages at once.
+* CountVectorizer brings its vocabulary to the driver, so terms are dealt over slices by their hash, one slice for each
+  SLICE_BYTES of text, each with a fit of its own: a kept term occurs at least `min_df` times, so a slice's vocabulary is
+  at most a third of the text in it, and in a natural language far less. Slices share no terms; together they cover all.
+* A text's terms are handed over once per binary digit of their counts, and its vector is the sum of 2^k times the vector
+  of digit k. For the fit, texts worked on together are handed over as `min_df` layers, layer j with the terms that
+  more than j of them hold: whether at least `min_df` texts hold a term is seen as well from these.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,11 +34,14 @@ from rollmatch.sources.tabs import path_exists
 MIN_DF = 3
 SLICE_BYTES = 512 << 20   # of text
 MOST_SLICES = 4096
-FLUSH_BYTES = 4 << 20     # of text worked on at a time
+FLUSH_BYTES = 8 << 20     # of text worked on at a time
+FLUSH_ENTRIES = 4_000_000  # of vectors added up at a time
 MOST_TERMS = 2 ** 31 - 1
 SCALE = 1_000_000_000
 TOP = 200
-TERMS = "slice int, source string, terms array<string>"
+FIT, VECTOR = 0, 1
+TERMS = "kind int, slice int, lang string, source string, weight long, terms array<string>"
+SUMS = "lang string, source string, index int, n long"
 
 # A to Z become small letters, letters and all bytes beyond ASCII stay, everything else separates terms.
 _LETTERS = bytes(c | 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -57,27 +66,42 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
         yield held
 
 
-def _dealt(terms: pa.Array, lengths: np.ndarray, tag: str, slices: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """(document, slice, tagged terms) of each part of a document that falls into a slice."""
-    coded = terms.dictionary_encode()
+def _runs(key: np.ndarray, codes: np.ndarray, tagged: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """First places of the runs of equal keys, and each run's terms as a list."""
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    return starts, pa.ListArray.from_arrays(pa.array(np.append(starts, len(codes)), pa.int32()), tagged.take(pa.array(codes)))
+
+
+def _handed_over(found: list[list[bytes]], tag: str, slices: int, min_df: int):
+    """(kind, slice, document, weight, terms) columns for some texts of one language."""
+    lengths = np.array([len(f) for f in found], dtype=np.int64)
+    coded = pa.array([t for f in found for t in f], pa.binary()).dictionary_encode()
     known = coded.dictionary.to_pylist()
-    codes = coded.indices.to_numpy()
+    part = np.array([zlib.crc32(t) % slices for t in known], dtype=np.int64)
+    # Terms are numbered slice by slice, so that a text's sorted terms lie slice by slice.
+    order = np.argsort(part, kind="stable")
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.arange(len(order))
+    part = part[order]
+    tagged = pa.array([known[i].decode() + tag for i in order.tolist()], pa.string())
     document = np.repeat(np.arange(len(lengths)), lengths)
-    part = np.array([zlib.crc32(t) % slices for t in known], dtype=np.int64)[codes]
-    place = document * slices + part
-    if slices > 1:
-        order = np.argsort(place, kind="stable")
-        place, codes = place[order], codes[order]
-    starts = np.flatnonzero(np.diff(place, prepend=-1))
-    tagged = pa.array([t.decode() + tag for t in known], pa.string())
-    values = tagged.take(pa.array(codes))
-    lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(codes)), pa.int32()), values)
-    return place[starts] // slices, place[starts] % slices, lists
-
-
-def tagged_terms(docs: DataFrame, slices: int, text_col: str = "text", lang_col: str = "lang",
+    held, times = np.unique(document * len(known) + number[coded.indices.to_numpy()], return_counts=True)
+    document, code = held // len(known), held % len(known)
+    for k in range(int(times.max()).bit_length()):
+        rows = np.flatnonzero(times >> k & 1)
+        key = document[rows] * slices + part[code[rows]]
+        starts, lists = _runs(key, code[rows], tagged)
+        yield VECTOR, key[starts] % slices, key[starts] // slices, 1 << k, lists
+    texts = np.bincount(code, minlength=len(known))
+    for layer in range(min(min_df, int(texts.max()))):
+        rows = np.flatnonzero(texts > layer)
+        starts, lists = _runs(part[rows], rows, tagged)
+        yield FIT, part[rows][starts], np.zeros(len(starts), np.int64), 0, lists
+
+
+def tagged_terms(docs: DataFrame, slices: int, min_df: int = MIN_DF, text_col: str = "text", lang_col: str = "lang",
                  source_col: str = "source") -> DataFrame:
-    """(slice, source, terms): the terms of each text that fall into a slice, tagged with the language.
+    """(kind, slice, lang, source, weight, terms): what the fit and the vectors of each slice are made from.
 
     Terms are runs of characters other than U+0000-0040, 005B-0060 and 007B-007F, with A to Z as small letters. The tag
     begins with a tab, which is in no term. Null text, language and source are empty; a text without terms gives no row.
@@ -89,14 +113,15 @@ def tagged_terms(docs: DataFrame, slices: int, text_col: str = "text", lang_col:
                 by_lang.setdefault(lang, []).append(i)
             for lang, rows in by_lang.items():
                 found = [texts[i].translate(_LETTERS).split() for i in rows]
-                lengths = np.array([len(f) for f in found], dtype=np.int64)
-                if not lengths.sum():
+                if not any(found):
                     continue
-                flat = pa.array([t for f in found for t in f], pa.binary())
-                document, part, lists = _dealt(flat, lengths, "\t" + lang, slices)
-                source = pa.array([sources[i] for i in rows], pa.string()).take(pa.array(document))
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), source, lists],
-                                                 names=["slice", "source", "terms"])
+                named = pa.array([sources[i] for i in rows], pa.string())
+                for kind, part, document, weight, lists in _handed_over(found, "\t" + lang, slices, min_df):
+                    n = len(lists)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, kind, np.int32)), pa.array(part.astype(np.int32)), pa.array([lang] * n, pa.string()),
+                         named.take(pa.array(document)), pa.array(np.full(n, weight, np.int64)), lists],
+                        names=["kind", "slice", "lang", "source", "weight", "terms"])
 
     text = [F.coalesce(col(c).cast("string"), F.lit("")) for c in (lang_col, source_col, text_col)]
     return docs.select(*[t.alias(f"c{i}") for i, t in enumerate(text)]).mapInArrow(run, TERMS)
@@ -107,41 +132,77 @@ def _slices(docs: DataFrame, text_col: str = "text") -> int:
     return max(1, min(MOST_SLICES, -(-size // SLICE_BYTES)))
 
 
-def _slice_counts(part: DataFrame, number: int, min_df: int) -> DataFrame:
-    """(lang, source, id, term, n) of one slice: its vectors' sums per source."""
-    spark = part.sparkSession
+def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of sparse vectors per language and source."""
+    groups: dict[tuple[str, str], int] = {}
+    keys, counts, held = [], [], 0
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        nonlocal keys, counts, held
+        if held:
+            key, count = np.concatenate(keys), np.concatenate(counts)
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            starts = np.flatnonzero(np.diff(key, prepend=-1))
+            sums, key = np.add.reduceat(count[order], starts), key[starts]
+            owner = pa.array(key >> 32)
+            names = [pa.array([g[i] for g in groups], pa.string()).take(owner) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*names, pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)],
+                                             names=["lang", "source", "index", "n"])
+        keys, counts, held = [], [], 0
+
+    for batch in batches:
+        lang, source, weight, indices, values = batch.columns
+        group = np.array([groups.setdefault(g, len(groups)) for g in zip(lang.to_pylist(), source.to_pylist())], dtype=np.int64)
+        n = pa.compute.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64)
+        keys.append(np.repeat(group << 32, n) | indices.flatten().to_numpy())
+        counts.append(np.repeat(weight.to_numpy(), n) * values.flatten().to_numpy().astype(np.int64))
+        held += int(n.sum())
+        if held >= FLUSH_ENTRIES:
+            yield from flushed()
+    yield from flushed()
+
+
+def _slice_tables(fit: DataFrame, vectors: DataFrame, number: int, min_df: int) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, id, n), the sums of a slice's vectors, and (id, term), its vocabulary."""
+    spark = fit.sparkSession
     # An empty term in enough rows: a fit of terms that are all too rare would otherwise be an error.
     guard = spark.range(min_df).select(F.array(F.lit("")).alias("terms"))
     fitted = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MOST_TERMS).fit(
-        part.select("terms").unionByName(guard))
-    # At most a slice's vocabulary, which is on the driver already.
-    vocabulary = spark.createDataFrame(pa.table({
-        "index": pa.array(np.arange(len(fitted.vocabulary), dtype=np.int32)), "tagged": pa.array(fitted.vocabulary)}))
+        fit.select("terms").unionByName(guard))
+    # The model's own file, so that the vocabulary does not pass through Python.
+    saved = scratch_path(spark, "model")
+    fitted.save(saved)
+    vocabulary = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("index", "tagged")).select(
+        (F.col("index") + F.lit(number << 32)).alias("id"), F.substring_index("tagged", "\t", 1).alias("term"))
     vector = F.unwrap_udt("vector")
-    sums = (fitted.transform(part).select("source", F.inline(F.arrays_zip(
-        vector["indices"].alias("index"), vector["values"].cast("array<bigint>").alias("n")))).toDF("source", "index", "n")
-        .groupBy("source", "index").agg(F.sum("n").alias("n")))
-    term = F.substring_index("tagged", "\t", 1)
-    return sums.join(F.broadcast(vocabulary.where("tagged <> ''")), "index").select(
-        F.expr("substring(tagged, length(substring_index(tagged, '\t', 1)) + 2)").alias("lang"), "source",
-        (F.col("index") + F.lit(number << 32)).alias("id"), term.alias("term"), "n")
+    sums = (fitted.transform(vectors).select("lang", "source", "weight", vector["indices"].alias("indices"),
+                                             vector["values"].alias("values")).mapInArrow(_added_up, SUMS)
+            .groupBy("lang", "source", "index").agg(F.sum("n").alias("n")))
+    return (sums.select("lang", "source", (F.col("index") + F.lit(number << 32)).alias("id"), "n"),
+            vocabulary.where("term <> ''"))
 
 
-def term_counts(docs: DataFrame, min_df: int = MIN_DF, slices: int | None = None, **columns: str) -> DataFrame:
-    """(lang, source, id, term, n): how often a source uses each term that at least `min_df` texts of its language hold.
+def term_counts(docs: DataFrame, min_df: int = MIN_DF, slices: int | None = None, **columns: str) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, id, n): how often a source uses each term that at least `min_df` texts of its language hold; and
+    (id, term), the vocabulary.
 
-    Written, slice by slice. `id` numbers terms; two languages' terms of one spelling have two numbers.
+    Both written, slice by slice. Two languages' terms of one spelling have two numbers.
     """
     spark = docs.sparkSession
     slices = slices or _slices(docs, columns.get("text_col", "text"))
-    dealt, sums = scratch_path(spark, "terms"), scratch_path(spark, "sums")
-    tagged_terms(docs, slices, **columns).write.partitionBy("slice").option("compression", "zstd").parquet(dealt)
+    dealt, sums, known = (scratch_path(spark, name) for name in ("terms", "sums", "vocabulary"))
+    tagged_terms(docs, slices, min_df, **columns).write.partitionBy("kind", "slice").parquet(dealt)
+    schema = "lang string, source string, weight long, terms array<string>"
     for number in range(slices):
-        if path_exists(spark, f"{dealt}/slice={number}"):
-            part = spark.read.schema("source string, terms array<string>").parquet(f"{dealt}/slice={number}")
-            _slice_counts(part, number, min_df).write.mode("append").parquet(sums)
-    schema = "lang string, source string, id long, term string, n long"
-    return spark.read.schema(schema).parquet(sums) if path_exists(spark, sums) else spark.createDataFrame([], schema)
+        fit, vectors = (f"{dealt}/kind={kind}/slice={number}" for kind in (FIT, VECTOR))
+        if path_exists(spark, vectors):
+            tables = _slice_tables(*(spark.read.schema(schema).parquet(path) for path in (fit, vectors)), number, min_df)
+            for table, path in zip(tables, (sums, known)):
+                table.write.mode("append").parquet(path)
+    shapes = (sums, "lang string, source string, id long, n long"), (known, "id long, term string")
+    return tuple(spark.read.schema(s).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], s)
+                 for path, s in shapes)
 
 
 def _share(count: str, total: str, scale: int, add: int) -> str:
@@ -155,44 +216,44 @@ def _gap(p: str, q: str) -> str:
 
 def group_sizes(docs: DataFrame, counts: DataFrame, scale: int = SCALE, add: int = 1, lang_col: str = "lang",
                 source_col: str = "source") -> tuple[DataFrame, DataFrame]:
-    """Per (lang, source) that occurs: `total` = its words plus the smoothing, `none` = share of an unused term, `used` terms
-    and `v`, the language's vocabulary; and per (lang, id) the language's own share `q`."""
+    """Per (lang, source) that occurs: its number `group`, `total` = its words plus the smoothing, `none` = share
+    of an unused term, `used` terms and `v`, the language's vocabulary; and per id the language's own share `q`."""
     text = [F.coalesce(col(c).cast("string"), F.lit("")) for c in (lang_col, source_col)]
-    groups = docs.select(text[0].alias("lang"), text[1].alias("source")).distinct()
+    groups = cut(docs.select(text[0].alias("lang"), text[1].alias("source")).distinct()).withColumn(
+        "group", F.monotonically_increasing_id())
     terms = counts.groupBy("lang", "id").agg(F.sum("n").alias("n"))
     langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n"))
     own = counts.groupBy("lang", "source").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("used"))
     sized = (groups.join(own, ["lang", "source"], "left").join(langs.select("lang", "v"), "lang", "left")
-             .select("lang", "source", F.coalesce("used", F.lit(0)).alias("used"), F.coalesce("v", F.lit(0)).alias("v"),
+             .select("lang", "source", "group", F.coalesce("used", F.lit(0)).alias("used"), F.coalesce("v", F.lit(0)).alias("v"),
                      F.expr(f"coalesce(n, 0) + {add} * coalesce(v, 0)").alias("total"))
              .withColumn("none", F.expr(_share("0", "total", scale, add))))
     shares = terms.join(langs.selectExpr("lang", f"n + {add} * v AS total"), "lang").select(
-        "lang", "id", F.expr(_share("n", "total", scale, add)).alias("q"))
+        "id", F.expr(_share("n", "total", scale, add)).alias("q"))
     return cut(sized), shares
 
 
 def source_pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value) for every ordered pair of sources of a language, over all of its kept terms.
 
-    shares: (lang, source, id, p) of used terms. The sum over all terms is that over the terms the one uses, as if the
+    shares: (group, id, p, none) of used terms. The sum over all terms is that over the terms the one uses, as if the
     other used none, plus the same the other way round, plus that of the terms neither uses; terms that both use are
     met by a join and corrected. So work follows the terms in use, not vocabulary times pairs.
     """
-    one = shares.selectExpr("lang", "id", "source", "p", "none")
-    two = shares.selectExpr("lang", "id", "source AS item", "p AS q", "none AS q_none")
-    both = (one.join(two, ["lang", "id"]).where("source <> item").groupBy("lang", "source", "item").agg(F.sum(F.expr(
+    one = shares.select("id", "group", "p", "none")
+    two = shares.selectExpr("id", "group AS other", "p AS q", "none AS q_none")
+    both = (one.join(two, "id").where("group <> other").groupBy("group", "other").agg(F.sum(F.expr(
         f"{_gap('p', 'q')} - {_gap('p', 'q_none')} - {_gap('none', 'q')} + {_gap('none', 'q_none')}")).alias("shared")))
     # Terms of one share count alike, so a source is met with the others by its distinct shares only.
-    levels = shares.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("terms"))
-    others = groups.selectExpr("lang", "source AS item", "none")
-    alone = (levels.join(others, "lang").where("source <> item").groupBy("lang", "source", "item").agg(
+    levels = shares.groupBy("group", "p").agg(F.count(F.lit(1)).alias("terms")).join(groups.select("group", "lang"), "group")
+    others = groups.selectExpr("lang", "group AS other", "none")
+    alone = (levels.join(others, "lang").where("group <> other").groupBy("group", "other").agg(
         F.sum(F.expr(f"terms * ({_gap('p', 'none')})")).alias("ahead"),
         F.sum(F.expr(f"terms * ({_gap('none', 'p')})")).alias("behind")))
-    pairs = groups.join(groups.selectExpr("lang", "source AS item", "used AS q_used", "none AS q_none"), "lang").where(
-        "source <> item")
-    met = (pairs.join(alone.select("lang", "source", "item", "ahead"), ["lang", "source", "item"], "left")
-           .join(alone.selectExpr("lang", "item AS source", "source AS item", "behind"), ["lang", "source", "item"], "left")
-           .join(both, ["lang", "source", "item"], "left"))
+    pairs = groups.join(groups.selectExpr("lang", "source AS item", "group AS other", "used AS q_used", "none AS q_none"), "lang")
+    met = (pairs.where("group <> other").join(alone.select("group", "other", "ahead"), ["group", "other"], "left")
+           .join(alone.selectExpr("other AS group", "group AS other", "behind"), ["group", "other"], "left")
+           .join(both, ["group", "other"], "left"))
     rest = f"(v - used - q_used) * ({_gap('none', 'q_none')})"
     return met.select("lang", "source", "item", F.expr(
         f"CASE WHEN v = 0 THEN 0 ELSE coalesce(ahead, 0) + coalesce(behind, 0) + coalesce(shared, 0) + {rest} END").alias("value"))
@@ -206,13 +267,16 @@ def audit(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, scale: int = SC
     source uses beyond its language's share. Equal values are ranked by the item's bytes. A source without terms
     has its pairs, a language of one source has none; an empty table gives no rows. Other columns are not read.
     """
-    counts = term_counts(docs, min_df, slices)
+    counts, vocabulary = term_counts(docs, min_df, slices)
     groups, shares = group_sizes(docs, counts, scale, add)
-    p = F.expr(_share("n", "total", scale, add)).alias("p")
-    own = counts.join(groups.select("lang", "source", "total", "none"), ["lang", "source"])
-    pairs = source_pairs(cut(own.select("lang", "source", "id", "none", p)), groups)
-    terms = (own.select("lang", "source", "id", "term", p).join(shares, ["lang", "id"]).where("p > q")
-             .select("lang", "source", F.col("term").alias("item"), F.expr(_gap("p", "q")).alias("value")))
+    own = cut(counts.join(groups.select("lang", "source", "group", "total", "none"), ["lang", "source"]).select(
+        "group", "id", "none", F.expr(_share("n", "total", scale, add)).alias("p")))
+    pairs = source_pairs(own, groups)
+    # Ties at the last rank are told apart by their terms, so all of them meet the vocabulary, and no others do.
+    by_value = Window.partitionBy("group").orderBy(F.desc("value"))
+    high = (own.join(shares, "id").where("p > q").select("group", "id", F.expr(_gap("p", "q")).alias("value"))
+            .withColumn("place", F.rank().over(by_value)).where(F.col("place") <= top))
+    terms = high.join(vocabulary, "id").join(groups, "group").select("lang", "source", F.col("term").alias("item"), "value")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = [found.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit(part))
               for part, found in (("pair", pairs), ("term", terms))]

@@ -40,6 +40,7 @@ def mixed_rows():
 def test_equals_brute_force(table, edge):
     rows = mixed_rows()
     df = table(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    assert S.tagged_terms(df, 2).where("kind = 0").count() > 0
     assert sorted(map(tuple, S.audit(df, slices=2).collect())) == brute(rows)
     assert sorted(map(tuple, S.audit(edge).collect())) == brute(edge_rows())
 
@@ -56,7 +57,7 @@ def test_only_the_top_terms_and_terms_of_each_slice_once(table):
     rows = [(i, " ".join(f"w{chr(97 + k)}{chr(97 + j)}" for k in range(20) for j in range(20)) + (" more" if i < 4 else ""),
              "en", "ab"[i % 2]) for i in range(6)]
     df = table(rows, "doc_id long, text string, lang string, source string")
-    counts = S.term_counts(df, slices=3)
-    assert counts.select("id").distinct().count() == counts.select("term").distinct().count() == 401
+    counts, vocabulary = S.term_counts(df, slices=3)
+    assert counts.select("id").distinct().count() == vocabulary.select("term").distinct().count() == vocabulary.count() == 401
     got = sorted(map(tuple, S.audit(df, top=3).collect()))
     assert got == brute(rows, top=3) and max(r[5] for r in got if r[2] == "term") <= 3
