@@ -1,7 +1,7 @@
 """Operators that depend on row order, without sorting the whole table in one task.
 
 Rows carry a unique integer order column. The table is dealt out once by ranges of (key, order), whatever the values look
-like, and written, so each partition knows its place. What a partition needs from the ones before it (the last value
+like, and each partition knows its place. What a partition needs from the ones before it (the last value
 seen, the number of rows) is found on one summary row per partition; then one window per partition applies it. A key with
 a third of all rows lies in as many partitions as its rows fill.
 """
@@ -19,6 +19,7 @@ from rollmatch.session import cut
 ORDER = "_ord"
 BLOCK = 1 << 13     # consecutive order values combined into one piece, see rollup
 PART = "__part"
+CLOSE = 4           # order values per row, on average, up to which ranges of equal width are even enough
 FEW = 100_000       # rows that a sort with a limit may bring to one task
 
 
@@ -28,12 +29,18 @@ def _over(keys: Sequence[str], order: str, end: str) -> str:
 
 
 def _ranged(df: DataFrame, keys: Sequence[str], order: str, partitions: int | None) -> tuple[DataFrame, int]:
-    """The rows dealt out by ranges of (keys, order) and written, with the number of their partition.
+    """The rows with the number of the range of (keys, order) they are in, and the number of ranges.
 
-    Ranges are cut by sampled rows. Only the written numbers count afterwards, so it does not matter how often Spark
-    draws that sample.
+    Order values that lie close together, as row numbers do, are divided into ranges of equal width, which a row finds by
+    itself. Others are dealt out by Spark's sampled ranges and written: only the written numbers count afterwards, so it
+    does not matter how often that sample is drawn.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not keys:
+        low, high, count = df.agg(F.min(col(order)), F.max(col(order)), F.count(F.lit(1))).first()
+        if count and high - low < CLOSE * count:
+            width = (high - low) // n + 1
+            return df.withColumn(PART, F.expr(f"CAST((CAST({quoted(order)} AS BIGINT) - {low}L) div {width}L AS INT)")), n
     dealt = df.repartitionByRange(n, *[col(k) for k in keys], col(order))
     return cut(dealt.withColumn(PART, F.spark_partition_id())), n
 

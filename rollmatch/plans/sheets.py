@@ -79,7 +79,7 @@ def _written(table: DataFrame, tab: str, csv: Sequence[str] = ()) -> dict[str, s
 
 def publish_rolled(spark: SparkSession, at: ParticipantSheets, center: str, answers: Sequence[str] = ()) -> dict[str, str]:
     """Roll the export up: one row per participant, and the filled-down copy."""
-    rolled, filled = roll_up_participants(read_tab(spark, at.export), center, answers)
+    rolled, filled = roll_up_participants(cut(read_tab(spark, at.export)), center, answers)
     return {"rolled": write_tab(rolled, at.rolled), "filled": write_tab(filled, at.filled)}
 
 
@@ -91,7 +91,7 @@ def publish_final(spark: SparkSession, at: ParticipantSheets) -> dict[str, str]:
 
 def publish_results(spark: SparkSession, at: ParticipantSheets, k: int = 3, width: int = 256) -> dict[str, str]:
     """Index the job texts, allocate every participant: a new snapshot."""
-    people = participant_frame(read_tab(spark, at.final), keep_order=True)
+    people = participant_frame(cut(read_tab(spark, at.final)), keep_order=True)
     allocation_job(people, read_tab(spark, at.requests), read_tab(spark, at.generic), at.vectors, at.results, k, width)
     return {"results": snapshot_path(spark, at.results)}
 
@@ -146,7 +146,7 @@ def participants_job(spark: SparkSession, at: ParticipantSheets, manifest: str,
 
 def publish_clean(spark: SparkSession, at: RequestSheets) -> dict[str, str]:
     """One row per request; the tab and its CSV copies."""
-    return _written(clean_requests(read_tab(spark, at.requests)), at.clean, at.clean_csv)
+    return _written(clean_requests(cut(read_tab(spark, at.requests))), at.clean, at.clean_csv)
 
 
 def sync_new_requests(spark: SparkSession, at: RequestSheets, batch: str | None = None) -> dict[str, str]:

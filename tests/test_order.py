@@ -136,3 +136,16 @@ def test_many_rows_are_drawn_without_a_sort(spark, tmp_path):
     assert order.sample_rows(df, 3001, "k", few=0).count() == 3001  # keys of nine rows each
     again = [sorted(r.id for r in order.sample_rows(df.repartition(p), 3000, "id", few=0).collect()) for p in (2, 5)]
     assert again[0] == again[1] and len(set(again[0])) == 3000
+
+
+def test_one_exchange_and_no_write_for_row_numbers(spark, monkeypatch):
+    """Order values close together: each row tells its range, so the table is dealt out once, to its window."""
+    monkeypatch.setattr(order, "cut", lambda df: 1 / 0)
+    close = spark.range(20000).selectExpr("id * 3 - 70 AS o", "IF(id % 90 = 5, CAST(id AS STRING), NULL) AS v")
+    w = Window.partitionBy(F.lit(0)).orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    filled = order.fill_down(close, ["v"], "o", partitions=16)
+    assert rows(filled) == rows(close.withColumn("v", F.last("v", ignorenulls=True).over(w)))
+    numbered = order.number_rows(close, "n", "o", partitions=16)
+    assert [r.n for r in numbered.orderBy("o").select("n").collect()] == list(range(20000))
+    for made in (filled, numbered):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
