@@ -93,17 +93,20 @@ QUALITY_RULES = f"""WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WO
     rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM p, range(5) q(k) GROUP BY doc_id),
     c AS (SELECT doc_id, lang, t, w, [{_CLASS}]::DOUBLE[] AS c FROM {_classes()}),
     m AS (SELECT *, list_append(k, len(w) - list_sum(k))::DOUBLE[] AS m FROM (SELECT *, [{_COMMON}] AS k FROM c)),
-    sums AS (SELECT lang, 'c' AS kind, i, sum(c[i]) AS n FROM m, range(1, {len(CLASSES) + 2}) r(i) WHERE len(w) >= {MIN_WORDS} GROUP BY ALL
-      UNION ALL SELECT lang, 'm', i, sum(m[i]) FROM m, range(1, {len(COMMON_WORDS) + 2}) r(i) WHERE len(w) >= {MIN_WORDS} GROUP BY ALL),
+    sums AS (SELECT lang, 'c' AS kind, i, sum(c[i]) AS n FROM m, range(1, {len(CLASSES) + 2}) r(i) WHERE len(w) >= {MIN_WORDS} AND lang IS NOT NULL GROUP BY ALL
+      UNION ALL SELECT lang, 'm', i, sum(m[i]) FROM m, range(1, {len(COMMON_WORDS) + 2}) r(i) WHERE len(w) >= {MIN_WORDS} AND lang IS NOT NULL GROUP BY ALL),
     ref AS (SELECT lang, kind, list((n + 0.5::DOUBLE) / total ORDER BY i) AS s FROM (
       SELECT *, sum(n + 0.5::DOUBLE) OVER (PARTITION BY lang, kind) AS total FROM sums) GROUP BY lang, kind),
+    bits AS (SELECT m.doc_id, CASE WHEN length(t) >= {COMPARED_CHARS} THEN {_bits('c', 'a.s')} END AS cb,
+      CASE WHEN len(w) >= {MIN_COMPARED_WORDS} THEN {_bits('m', 'b.s')} END AS wb FROM m
+      JOIN ref a ON a.kind = 'c' AND (m.lang IS NULL OR a.lang = m.lang) JOIN ref b ON b.kind = 'm' AND b.lang = a.lang),
+    near AS (SELECT doc_id, min(struct_pack(worst := greatest(cb, wb), cb := cb, wb := wb)) AS least FROM bits GROUP BY doc_id),
     v AS (SELECT m.doc_id, len(w) AS n_words, length(t) - c[{SPACES + 1}]::BIGINT AS word_chars, c[{SYMBOLS + 1}]::BIGINT AS n_symbols,
       len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))
         - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS n_dup_lines,
-      coalesce(rep.n, 0) AS n_repeat_words, coalesce(length(t) >= {COMPARED_CHARS} AND {_bits('c', 'a.s')} > {MAX_CHAR_BITS}, false) AS odd,
-      coalesce(len(w) >= {MIN_COMPARED_WORDS} AND {_bits('m', 'b.s')} > {MAX_WORD_BITS}, false) AS foreign_
-      FROM m LEFT JOIN rep USING (doc_id) LEFT JOIN ref a ON a.kind = 'c' AND a.lang IS NOT DISTINCT FROM m.lang
-      LEFT JOIN ref b ON b.kind = 'm' AND b.lang IS NOT DISTINCT FROM m.lang)
+      coalesce(rep.n, 0) AS n_repeat_words, coalesce(least.cb > {MAX_CHAR_BITS}, false) AS odd,
+      coalesce(least.wb > {MAX_WORD_BITS}, false) AS foreign_
+      FROM m LEFT JOIN rep USING (doc_id) LEFT JOIN near USING (doc_id))
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed, NOT failed AND NOT odd AND NOT foreign_ AS kept
     FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS failed FROM v)"""
 

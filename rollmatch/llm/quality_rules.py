@@ -31,6 +31,7 @@ COMMON_WORDS = (
 CLASSES = ("[a-z]+", r"[ \t-\r]+", r"[^\x00-\x7F]+", "[A-Z]+", "[0-9]+", r"[.,;:!?'\"()\-]+", "[#*$%&|<>]+")
 SPACES, SYMBOLS = 1, 6
 
+SENT = 4096             # references sent to the tasks at a time
 MIN_WORDS = 10          # fewer words fail
 REPEAT_PERCENT = 20     # a larger share of words in repeated five-word windows fails
 WINDOW = 5
@@ -128,17 +129,24 @@ def _judged(docs: DataFrame, carry: Sequence[str] | None, text_col: str, lang_co
     counted = cut(features(docs, carry, text_col, lang_col))  # read for the references, then for the verdicts
     refs = cut(language_references(counted))
     # Languages are few: the references are sent to the tasks once their number is known to be small.
-    sent = F.broadcast(refs) if refs.count() <= 4096 else refs
+    n_refs = refs.count()
+    sent = F.broadcast(refs) if n_refs <= SENT else refs
     char, word = _bits("")
     labelled = (counted.filter("lang IS NOT NULL").join(sent, F.col("lang") == F.col("known"), "left")
                 .select(*counted.columns, F.expr(char).alias("char_bits"), F.expr(word).alias("word_bits")))
     # The nearest language is that whose larger divergence is smallest: if any passes both limits, it does.
     char, word = _bits("r.")
-    every = F.broadcast(refs.agg(F.collect_list(F.struct("known", "class_shares", "common_shares")).alias("refs")))
     least = (f"array_min(transform(transform(refs, r -> struct({char} AS char, {word} AS word)), "
              "b -> struct(greatest(b.char, b.word) AS worst, b.char, b.word)))")
-    unlabelled = (counted.filter("lang IS NULL").crossJoin(every).withColumn("least", F.expr(least))
-                  .select(*counted.columns, F.col("least.char").alias("char_bits"), F.col("least.word").alias("word_bits")))
+    unlabelled = counted.filter("lang IS NULL")
+    # All references meet a document, SENT at a time: one row of them, of bounded size, is sent to the tasks.
+    parts = max(1, -(-n_refs // SENT))
+    for i in range(parts):
+        some = refs.filter(F.pmod(F.xxhash64("known"), F.lit(parts)) == i)
+        row = F.broadcast(some.agg(F.collect_list(F.struct("known", "class_shares", "common_shares")).alias("refs")))
+        unlabelled = unlabelled.crossJoin(row).withColumn(f"least{i}", F.expr(least)).drop("refs")
+    unlabelled = unlabelled.withColumn("least", F.array_min(F.array(*[f"least{i}" for i in range(parts)]))).select(
+        *counted.columns, F.col("least.char").alias("char_bits"), F.col("least.word").alias("word_bits"))
     df = labelled.unionByName(unlabelled)
     return (df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                           | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
@@ -152,7 +160,8 @@ def judge(docs: DataFrame, carry: Sequence[str] | None = None, text_col: str = "
     (double, null where too short to compare), base_failed and kept (boolean).
 
     A null text is an empty one: no words, base_failed. A document of null language gets the divergences from the
-    language it is nearest to; if no document has a language, there is nothing to compare with (both null). Repeated rows are judged alike; a column of a result's name is replaced; an empty table gives none.
+    language it is nearest to; if no document has a language, there is nothing to compare with (both null). Repeated
+    rows are judged alike; a column of a result's name is replaced; an empty table gives none.
     carry: input columns to return, all by default.
     """
     return unnested(_judged(docs, carry, text_col, lang_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",

@@ -2,8 +2,12 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 from edge_cases import edge_rows
+from pyspark.sql import functions as F
 
+from rollmatch.llm import quality_rules as Q
+from rollmatch.llm.oracles import ORACLES
 from rollmatch.llm.quality_rules import CLASSES, COMMON_WORDS, judge, keep_good
 
 
@@ -69,3 +73,19 @@ def test_a_missing_label_is_judged_by_the_nearest_language(spark, table):
     assert all(abs(got[d].word_bits - named[d].word_bits) < 0.01 for d in (115, 116, 117))
     # No label at all: nothing to compare with.
     assert all(r.kept and r.word_bits is None for r in judge(table(rows[60:80], schema)).collect())
+
+
+def test_the_sql_agrees_where_labels_are_missing(spark, tmp_path, monkeypatch):
+    """Every seventh label is null; references in blocks of one language and all at once give the same."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    path = str(tmp_path / "documents")
+    docs.withColumn("lang", F.when(F.col("doc_id") % 7 != 3, F.col("lang"))).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    con.execute(ORACLES["op3_quality_rules"])
+    want = [dict(zip([d[0] for d in con.description], r)) for r in con.fetchall()]
+    altered = spark.read.parquet(path).select("doc_id", "text", "lang")
+    for sent in (Q.SENT, 1):
+        monkeypatch.setattr(Q, "SENT", sent)
+        got = judge(altered, carry=["doc_id"]).drop("char_bits", "word_bits").collect()
+        assert sorted(str(sorted(r.asDict().items())) for r in got) == sorted(str(sorted(r.items())) for r in want)
