@@ -24,6 +24,7 @@ from rollmatch.llm.common import ROW, unnested, with_fields
 from rollmatch.session import cut
 
 TOP = 300
+SLICES = 16
 SAMPLE = 400
 UNKNOWN = "und"
 
@@ -87,9 +88,12 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
     """
     rows = labelled.select(labelled[text_col].alias("t"), labelled[lang_col].cast("string").alias("lang"),
                            F.xxhash64(labelled[text_col]).alias("h")).filter("t IS NOT NULL AND lang IS NOT NULL")
+    # The smallest hashes of each slice of a language first: a language of a third of all texts is many windows.
+    slice_ = F.pmod(F.xxhash64("h"), F.lit(SLICES))
+    some = rows.select("lang", "h").distinct().withColumn(
+        "k", F.row_number().over(Window.partitionBy("lang", slice_).orderBy("h"))).filter(F.col("k") <= sample)
     first = Window.partitionBy("lang").orderBy("h")
-    picked = cut(rows.select("lang", "h").distinct().withColumn("k", F.row_number().over(first))
-                 .filter(F.col("k") <= sample).select("lang", "h"))
+    picked = cut(some.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= sample).select("lang", "h"))
     # sample rows per language; languages are few, and the size is checked.
     chosen = rows.join(F.broadcast(picked) if picked.count() <= 1_000_000 else picked, ["lang", "h"])
 
