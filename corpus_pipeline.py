@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollmatch.functions.columns import quoted
 from rollmatch.llm.line_dedup import dedup_lines
 from rollmatch.llm.mixing import mix
 from rollmatch.llm.near_dedup import keep_one
@@ -31,8 +32,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents without lines that stand earlier in the corpus; n_chars follows the text."""
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """The documents without lines that stand earlier in the corpus; n_chars follows the text.
+
+    A document that loses its last word with these lines goes; a null text, which has no lines, stays as it is.
+    """
+    left = dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return left.filter("n_dropped = 0 OR text RLIKE '[^ \\t-\\r]'").select(*[quoted(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
