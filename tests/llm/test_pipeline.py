@@ -10,7 +10,7 @@ from rollmatch.llm.queries import ORACLES, QUERIES
 
 
 def test_registered_queries():
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(ORACLES) <= set(QUERIES) and len(corpus_pipeline.STAGES) == 5
 
 
@@ -28,8 +28,9 @@ def test_stages_return_documents_and_take_effect(spark, folder):
     rng = random.Random(3)
     copy = prose(rng, 200)
     rows = edge_rows() + [row(300, "short one"), row(301, copy), row(302, copy.replace("the", "THE", 1), source="c"),
-                          row(303, "a line of its own, long enough\n" + prose(rng, 60)),
-                          row(304, "a line of its own, long enough\n" + prose(rng, 60))]
+                          row(303, "a line of its own, long enough\nanother one that stands in two documents\n" + prose(rng, 60)),
+                          row(304, "a line of its own, long enough\n" + prose(rng, 60)),
+                          row(305, "a line of its own, long enough\nanother one that stands in two documents\n \n")]
     path = folder(rows)
     docs = spark.read.parquet(f"{path}/documents.parquet")
     seen = {}
@@ -40,7 +41,9 @@ def test_stages_return_documents_and_take_effect(spark, folder):
             assert docs.columns == corpus_pipeline.COLUMNS and docs.count() <= (3 if name == "mixing" else 1) * before.count()
     ids = {name: [r.doc_id for r in df.select("doc_id").collect()] for name, df in seen.items()}
     assert 300 not in ids["quality_rules"] and {301, 302, 303, 304} <= set(ids["quality_rules"])
-    assert sorted(map(str, ids["line_dedup"])) == sorted(map(str, ids["quality_rules"]))
+    # Only documents that lost every word with their lines go.
+    gone = set(ids["quality_rules"]) - set(ids["line_dedup"])
+    assert 305 in gone and 304 not in gone and all((r.text or "").split() for r in seen["line_dedup"].collect())
     lines = {r.doc_id: r.text for r in seen["line_dedup"].collect()}
     assert lines[303].startswith("a line of its own") and not lines[304].startswith("a line of its own")
     assert set(ids["near_dedup"]) <= set(ids["line_dedup"]) and set(ids["mixing"]) <= set(ids["near_dedup"])
