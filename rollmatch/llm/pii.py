@@ -3,10 +3,14 @@
 Patterns find the base spans. A character-level bidirectional LSTM with CRF transitions, trained on base spans and
 rewritten forms of them, adds spans that the patterns miss (numbers without a plus, other separators).
 
-The model reads windows of WINDOW characters, one every STRIDE. Each character's label is taken from the window in which
-it lies most centrally, so the labels of a text are one sequence again, and spans are read off that. A window without
-a digit or an at sign is outside as a whole and is not read. An added span must have its kind's form (see
-`plausible`), and must not touch anything a pattern matched, whether that was accepted or not.
+The model reads windows of WINDOW characters, one every STRIDE. Where windows overlap, their scores of a character are
+averaged, each weighing more the more centrally the character lies in it; one best label path is then found over each
+connected stretch of windows, so no transition is cut by a window's end. A window without a digit or an at sign is outside
+as a whole and is not read.
+
+An added span must have its kind's form (see `plausible`) and must not touch a match that the patterns accepted. It may lie
+within one that failed its check: patterns are greedy, and a card with its expiry date behind it, or two numbers in a row,
+are one failed match. Of a labelled stretch that has no such form, its longest parts between blanks that have it are taken.
 """
 
 from __future__ import annotations
@@ -30,7 +34,10 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 96, 48
 SAMPLE_DOCUMENTS = 1500   # with windows, by smallest text hash: what the model is trained on
 SAMPLE_WINDOWS = 12       # of each of these
-STEPS, BATCH = 260, 48
+STEPS, BATCH = 400, 48
+EXAMPLES, MOST_FORMS = 3000, 16
+MOST_PARTS = 8            # between blanks, in one added span
+CELLS = 60_000            # characters whose labels are found together
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -68,22 +75,21 @@ def _emails(text: str) -> Iterator[Span]:
         at = text.find("@", max(at + 1, end))
 
 
-def base_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Accepted matches by kind and start, and those of their kind's length that failed their check."""
-    good, bad = list(_emails(text)) if "@" in text else [], []
+def base_spans(text: str) -> list[Span]:
+    """The patterns' matches that pass their check, by kind and start."""
+    good = list(_emails(text)) if "@" in text else []
     if not _SIGN.search(text):
-        return good, bad
+        return good
     for m in _IP.finditer(text):
-        parts = m.group().split(".")
-        (good if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts) else bad).append((1, *m.span()))
+        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            good.append((1, *m.span()))
     for m in _CARD.finditer(text):
         number = _digits(m.group())
-        if len(number) >= 13:  # a shorter run of digits is no card, but may be part of something else
-            (good if len(number) <= 19 and luhn(number) else bad).append((2, *m.span()))
+        if 13 <= len(number) <= 19 and luhn(number):
+            good.append((2, *m.span()))
     if "+" in text:
-        for m in _PHONE.finditer(text):
-            (good if 9 <= len(_digits(m.group())) <= 15 else bad).append((3, *m.span()))
-    return good, bad
+        good += [(3, *m.span()) for m in _PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
+    return good
 
 
 def plausible(kind: int, text: str) -> bool:
@@ -115,12 +121,66 @@ def window_count(length: int) -> int:
     return 1 + max(0, -(-(length - WINDOW) // STRIDE))
 
 
-def owned(start: int, length: int) -> tuple[int, int]:
-    """The part of the text whose labels come from the window at `start`."""
-    margin = (WINDOW - STRIDE) // 2
-    low = start + margin if start else 0
-    last = (window_count(length) - 1) * STRIDE
-    return low, length if start == last else start + margin + STRIDE
+def stretches(starts: Sequence[int]) -> list[list[int]]:
+    """Windows that overlap, in a row."""
+    found: list[list[int]] = []
+    for start in starts:
+        if found and start - found[-1][-1] < WINDOW:
+            found[-1].append(start)
+        else:
+            found.append([start])
+    return found
+
+
+# How much a window's score of a character weighs, by the character's place in the window.
+_WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
+
+
+def merged_scores(windows: Sequence[tuple[int, str]], scores: Sequence[np.ndarray]) -> np.ndarray:
+    """Scores of each character of a stretch, from those of its windows (start, text)."""
+    first, (start, text) = windows[0][0], windows[-1]
+    total = np.zeros((start + len(text) - first, scores[0].shape[1]), dtype=np.float32)
+    weight = np.zeros(len(total), dtype=np.float32)
+    for (at, text), e in zip(windows, scores):
+        low, n = at - first, len(text)
+        total[low:low + n] += e[:n] * _WEIGHT[:n, None]
+        weight[low:low + n] += _WEIGHT[:n]
+    return total / weight[:, None]
+
+
+def label_paths(tagger: Tagger, texts: Sequence[Sequence[tuple[int, str]]]) -> list[list[tuple[int, str, np.ndarray]]]:
+    """Per text, given as its windows (start, text): (start, text, labels) of each of its stretches that has a label."""
+    found: list[list[tuple[int, str, np.ndarray]]] = [[] for _ in texts]
+    todo = [(i, s, w) for i, windows in enumerate(texts) for s, w in windows]
+    scores: dict[tuple[int, int], np.ndarray] = {}
+    for at in range(0, len(todo), 512):
+        group = todo[at:at + 512]
+        e = tagger.emissions(np.array([encode(w) + [PADDING] * (WINDOW - len(w)) for _, _, w in group]))
+        scores.update({(i, s): x for (i, s, _), x in zip(group, e)})
+    whole = []
+    for i, windows in enumerate(texts):
+        text_of = dict(windows)
+        for run in stretches([s for s, _ in windows]):
+            parts = [(s, text_of[s]) for s in run]
+            text = "".join(w[:STRIDE] for _, w in parts[:-1]) + parts[-1][1]
+            whole.append((i, run[0], text, merged_scores(parts, [scores[i, s] for s in run])))
+    whole.sort(key=lambda x: len(x[2]))
+    at = 0
+    while at < len(whole):
+        # Stretches of like length go together, some CELLS characters at a time.
+        high = at + 1
+        while high < len(whole) and (high + 1 - at) * len(whole[high][2]) <= CELLS:
+            high += 1
+        group = whole[at:high]
+        lengths = np.array([len(t) for _, _, t, _ in group])
+        e = np.zeros((len(group), lengths.max(), group[0][3].shape[1]), dtype=np.float32)
+        for row, (_, _, _, x) in zip(e, group):
+            row[:len(x)] = x
+        for (i, start, text, _), path in zip(group, tagger.best_paths(e, lengths)):
+            if path.any():
+                found[i].append((start, text, path[:len(text)]))
+        at = high
+    return [sorted(f, key=lambda x: x[0]) for f in found]
 
 
 def labelled(text: str, offset: int, spans: Sequence[Span]) -> list[int]:
@@ -131,8 +191,15 @@ def labelled(text: str, offset: int, spans: Sequence[Span]) -> list[int]:
     return out
 
 
+def _new_card(rng: random.Random, span: str) -> str:
+    """As many digits, beginning alike, that pass the check."""
+    digits = _digits(span)
+    made = digits[:2] + "".join(rng.choice("0123456789") for _ in digits[3:])
+    return next(made + d for d in "0123456789" if luhn(made + d))
+
+
 def _rewritten(rng: random.Random, text: str, spans: Sequence[Span], offset: int) -> tuple[str, list[int]]:
-    """The window with its whole spans in another form, and its labels."""
+    """The window with its whole spans in another form and of other digits, and its labels."""
     out, labels, at = "", [], 0
     for kind, a, b in sorted(spans, key=lambda s: s[1]):
         a, b = a - offset, b - offset
@@ -140,16 +207,24 @@ def _rewritten(rng: random.Random, text: str, spans: Sequence[Span], offset: int
             continue
         span = text[a:b]
         if kind == 3:
-            number = _digits(span)[-10:]
+            number = "".join(rng.choice("0123456789") for _ in range(10))
             mark = rng.choice("-. ")
-            span = rng.choice([f"({number[:3]}) {number[3:6]}-{number[6:]}", mark.join((number[:3], number[3:6], number[6:]))])
+            span = rng.choice([f"({number[:3]}) {number[3:6]}-{number[6:]}", mark.join((number[:3], number[3:6], number[6:])),
+                               f"00{rng.randint(20, 69)} {number[:2]} {number[2:6]} {number[6:]}"])
         elif kind == 2:
-            number, mark = _digits(span), rng.choice("./_")
+            number, mark = _new_card(rng, span), rng.choice([".", "/", "_", " ", " ", "", ""])
             span = mark.join(number[i:i + 4] for i in range(0, len(number), 4))
+            # What patterns swallow with a card: its expiry date or check digits, or the number once more.
+            behind = rng.choice(["" if mark else " " + span, " " + span, f" {rng.randint(100, 999)}",
+                                 f" {rng.randint(1, 12):02d}/{rng.randint(24, 32)}"])
         elif kind == 0 and rng.random() < 0.5:
             span = span.replace("@", " @ ")
         out += text[at:a] + span
-        labels += [0] * (a - at) + [1 + 2 * kind] + [2 + 2 * kind] * (len(span) - 1)
+        mine = [1 + 2 * kind] + [2 + 2 * kind] * (len(span) - 1)
+        labels += [0] * (a - at) + mine
+        if kind == 2 and behind:
+            out += behind
+            labels += [0] + (mine if behind[1:] == span else [0] * (len(behind) - 1))
         at = b
     out, labels = out + text[at:], labels + [0] * (len(text) - at)
     return out[:WINDOW], labels[:WINDOW]
@@ -158,11 +233,13 @@ def _rewritten(rng: random.Random, text: str, spans: Sequence[Span], offset: int
 def train(examples: Sequence[tuple[str, int, list[Span]]], seed: int = 1) -> Tagger | None:
     """A tagger from windows (text, offset, accepted spans of the document); None if none of them holds a span."""
     rng, ids, labels = random.Random(seed), [], []
-    for text, offset, spans in examples:
-        inside = [s for s in spans if s[1] < offset + len(text) and s[2] > offset]
+    held = [[s for s in spans if s[1] < offset + len(text) and s[2] > offset] for text, offset, spans in examples]
+    # Few windows with spans are rewritten more often.
+    times = max(2, min(MOST_FORMS, EXAMPLES // max(1, sum(map(bool, held)))))
+    for (text, offset, _), inside in zip(examples, held):
         forms = [(text, labelled(text, offset, inside))]
         if inside:
-            forms += [_rewritten(rng, text, inside, offset) for _ in range(2)]
+            forms += [_rewritten(rng, text, inside, offset) for _ in range(times)]
         for form, marks in forms:
             fill = WINDOW - len(form)
             ids.append(encode(form) + [PADDING] * fill)
@@ -174,32 +251,42 @@ def train(examples: Sequence[tuple[str, int, list[Span]]], seed: int = 1) -> Tag
     return tagger
 
 
-def added_spans(text_of: dict[int, str], length: int, paths: dict[int, np.ndarray], taken: Sequence[Span]) -> list[Span]:
-    """Spans of the reconciled labels, from windows by start, that have their kind's form and touch nothing taken."""
-    spans: list[list[int]] = []
-    characters: dict[int, str] = {}
-    last = -2
-    for start in sorted(paths):
-        low, high = owned(start, length)
-        path, text = paths[start], text_of[start]
-        for k in np.flatnonzero(path[low - start:min(high, start + len(text)) - start]).tolist():
-            i = low + k
-            label = int(path[i - start]) - 1
-            characters[i] = text[i - start]
-            if spans and last == i - 1 and spans[-1][0] == label // 2 and label % 2:
-                spans[-1][2] = i + 1
-            else:
-                spans.append([label // 2, i, i + 1])
-            last = i
+def fitting(kind: int, text: str) -> list[tuple[int, int]]:
+    """The text itself if it has the kind's form; else its longest parts between blanks that have it, from the left."""
+    low, high = 0, len(text)
+    while low < high and not (text[low].isalnum() or text[low] == "("):
+        low += 1
+    while high > low and not text[high - 1].isalnum():
+        high -= 1
+    if high == low or plausible(kind, text[low:high]):
+        return [(low, high)] if high > low else []
+    parts = [(m.start() + low, m.end() + low) for m in re.finditer(r"[^ ,;:]+", text[low:high])]
+    found, at = [], 0
+    while at < len(parts):
+        for end in range(min(len(parts), at + MOST_PARTS) - 1, at - 1, -1):
+            if plausible(kind, text[parts[at][0]:parts[end][1]]):
+                found.append((parts[at][0], parts[end][1]))
+                at = end
+                break
+        at += 1
+    return found
+
+
+def added_spans(labels: Sequence[tuple[int, str, np.ndarray]], taken: Sequence[Span]) -> list[Span]:
+    """Spans of the labelled stretches (start, text, labels) of a text that have their kind's form and touch nothing taken."""
     blocked = sorted((a, b) for _, a, b in taken)
     out = []
-    for kind, a, b in spans:
-        while a < b and not (characters[a].isalnum() or characters[a] == "("):
-            a += 1
-        while b > a and not characters[b - 1].isalnum():
-            b -= 1
-        if plausible(kind, "".join(characters[i] for i in range(a, b))) and not any(x < b and a < y for x, y in blocked):
-            out.append((kind, a, b))
+    for start, text, path in labels:
+        inside = np.flatnonzero(path)
+        firsts = np.flatnonzero(np.concatenate([[True], np.diff(inside) > 1]))
+        for low, high in zip(firsts.tolist(), [*firsts[1:].tolist(), len(inside)]):
+            a, b = int(inside[low]), int(inside[high - 1]) + 1
+            # The kind that most labels name and whose form there is.
+            for kind in (int(k) for k in np.argsort(-np.bincount((path[a:b] - 1) // 2, minlength=len(KINDS)), kind="stable")):
+                if (kind == (path[a:b] - 1) // 2).any() and (parts := fitting(kind, text[a:b])):
+                    out += [(kind, x + a + start, y + a + start) for x, y in parts
+                            if not any(p < y + a + start and x + a + start < q for p, q in blocked)]
+                    break
     return out
 
 
@@ -215,7 +302,7 @@ def _spans(flat: Sequence[int]) -> list[Span]:
     return list(zip(flat[::3], flat[1::3], flat[2::3]))
 
 
-_FOUND = "n long, good array<bigint>, bad array<bigint>, starts array<bigint>, windows array<string>"
+_FOUND = "good array<bigint>, starts array<bigint>, windows array<string>"
 
 
 def _scan(docs: DataFrame, carry: Sequence[str], text_col: str) -> DataFrame:
@@ -226,19 +313,15 @@ def _scan(docs: DataFrame, carry: Sequence[str], text_col: str) -> DataFrame:
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = pa.list_(pa.int64())
         for batch in batches:
-            n, good, bad, starts, windows = [], [], [], [], []
+            good, starts, windows = [], [], []
             for value in batch.column("t"):
                 text = value.as_py() or ""
-                accepted, failed = base_spans(text)
                 at = window_starts(text)
-                n.append(len(text))
-                good.append(_flat(accepted))
-                bad.append(_flat(failed))
+                good.append(_flat(base_spans(text)))
                 starts.append(at)
                 windows.append([text[s:s + WINDOW] for s in at])
             yield pa.RecordBatch.from_pydict({
-                ROW: batch.column(ROW), "h": batch.column("h"), "n": pa.array(n, pa.int64()), "good": pa.array(good, numbers),
-                "bad": pa.array(bad, numbers), "starts": pa.array(starts, numbers),
+                ROW: batch.column(ROW), "h": batch.column("h"), "good": pa.array(good, numbers), "starts": pa.array(starts, numbers),
                 "windows": pa.array(windows, pa.list_(pa.string()))})
 
     return rows.mapInArrow(scanned, with_fields(rows, [ROW, "h"], _FOUND))
@@ -254,8 +337,12 @@ def fit(scanned: DataFrame) -> Tagger | None:
     last = [r.h for r in found.select("h").distinct().orderBy("h").limit(SAMPLE_DOCUMENTS).collect()][-1:]
     if not last:
         return None
+    # Of the accepted spans, all that begin before the last window of the sample ends.
+    near = F.expr(f"""CASE WHEN size(good) > 0 THEN flatten(transform(filter(sequence(0, size(good) div 3 - 1),
+        i -> good[3 * i + 1] < starts[least(size(starts), {SAMPLE_WINDOWS}) - 1] + {WINDOW}), i -> slice(good, 3 * i + 1, 3)))
+        ELSE good END""").alias("good")
     sample = (found.filter(F.col("h") <= last[0]).dropDuplicates(["h"])
-              .select("h", F.slice("good", 1, 300).alias("good"), first("starts"), first("windows")).orderBy("h").collect())
+              .select("h", near, first("starts"), first("windows")).orderBy("h").collect())
     return train([(w, s, _spans(r.good)) for r in sample for s, w in zip(r.starts, r.windows)])
 
 
@@ -271,21 +358,14 @@ def find_personal_data(docs: DataFrame, carry: Sequence[str] | None = None, text
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [dict(zip(("n", "good", "bad", "starts", "windows"), r)) for r in zip(
-                *(batch.column(c).to_pylist() for c in ("n", "good", "bad", "starts", "windows")))]
-            paths: list[dict[int, np.ndarray]] = [{} for _ in rows]
-            todo = [(i, s, w) for i, r in enumerate(rows) for s, w in zip(r["starts"], r["windows"])] if tagger else []
-            for at in range(0, len(todo), 512):
-                group = todo[at:at + 512]
-                ids = np.array([encode(w) + [PADDING] * (WINDOW - len(w)) for _, _, w in group])
-                for (i, s, w), path in zip(group, tagger.decode(ids)):
-                    if path.any():
-                        paths[i][s] = path
+            rows = [dict(zip(("good", "starts", "windows"), r)) for r in zip(
+                *(batch.column(c).to_pylist() for c in ("good", "starts", "windows")))]
+            paths = label_paths(tagger, [list(zip(r["starts"], r["windows"])) for r in rows]) if tagger else [[] for _ in rows]
             counts = np.zeros((len(rows), len(KINDS)), dtype=np.int64)
             digests, spans = [], []
             for i, r in enumerate(rows):
                 good = _spans(r["good"])
-                more = added_spans(dict(zip(r["starts"], r["windows"])), r["n"], paths[i], good + _spans(r["bad"])) if paths[i] else []
+                more = added_spans(paths[i], good)
                 for kind, _, _ in good + more:
                     counts[i, kind] += 1
                 digests.append(hashlib.sha256(spelled(good).encode()).hexdigest())

@@ -68,17 +68,26 @@ class Tagger:
         return (scores, (both, x, states, kept, h)) if keep else scores
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
-        """Best label path of each window (Viterbi)."""
-        e, move = self.emissions(ids), self.weights["move"]
-        score, back = e[:, 0], np.zeros(ids.shape + (LABELS,), dtype=np.int8)
-        for t in range(1, ids.shape[1]):
+        """Best label path of each window."""
+        return self.best_paths(self.emissions(ids), np.full(len(ids), ids.shape[1]))
+
+    def best_paths(self, e: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Best label path (Viterbi) of each sequence of scores, of which the first `lengths` count; zeros behind."""
+        move, (batch, time) = self.weights["move"], e.shape[:2]
+        score, back = e[:, 0], np.zeros((batch, time, LABELS), dtype=np.int8)
+        last = np.where(lengths == 1, score.argmax(axis=1), 0)
+        for t in range(1, time):
             each = score[:, :, None] + move[None]
             back[:, t] = each.argmax(axis=1)
             score = each.max(axis=1) + e[:, t]
-        path = np.zeros(ids.shape, dtype=np.int8)
-        path[:, -1] = score.argmax(axis=1)
-        for t in range(ids.shape[1] - 1, 0, -1):
-            path[:, t - 1] = np.take_along_axis(back[:, t], path[:, t, None].astype(np.int64), axis=1)[:, 0]
+            ends = lengths == t + 1
+            last[ends] = score[ends].argmax(axis=1)
+        path = np.zeros((batch, time), dtype=np.int8)
+        path[np.arange(batch), lengths - 1] = last
+        for t in range(time - 1, 0, -1):
+            inside = t < lengths
+            before = np.take_along_axis(back[:, t], path[:, t, None].astype(np.int64), axis=1)[:, 0]
+            path[inside, t - 1] = before[inside]
         return path
 
     def _crf(self, e: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
