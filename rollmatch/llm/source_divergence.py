@@ -242,8 +242,13 @@ def source_pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
     """
     one = shares.select("id", "group", "p", "none")
     two = shares.selectExpr("id", "group AS other", "p AS q", "none AS q_none")
-    both = (one.join(two, "id").where("group <> other").groupBy("group", "other").agg(F.sum(F.expr(
-        f"{_gap('p', 'q')} - {_gap('p', 'q_none')} - {_gap('none', 'q')} + {_gap('none', 'q_none')}")).alias("shared")))
+    # Each pair is met once, for both of its directions.
+    there = f"{_gap('p', 'q')} - {_gap('p', 'q_none')} - {_gap('none', 'q')} + {_gap('none', 'q_none')}"
+    back = f"{_gap('q', 'p')} - {_gap('q', 'none')} - {_gap('q_none', 'p')} + {_gap('q_none', 'none')}"
+    both = one.join(two, "id").where("group < other").groupBy("group", "other").agg(
+        F.sum(F.expr(there)).alias("there"), F.sum(F.expr(back)).alias("back"))
+    both = both.select(F.inline(F.array(F.struct("group", "other", F.col("there").alias("shared")),
+                                        F.struct(F.col("other").alias("group"), F.col("group").alias("other"), F.col("back").alias("shared")))))
     # Terms of one share count alike, so a source is met with the others by its distinct shares only.
     levels = shares.groupBy("group", "p").agg(F.count(F.lit(1)).alias("terms")).join(groups.select("group", "lang"), "group")
     others = groups.selectExpr("lang", "group AS other", "none")
