@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import block_of, col, cols, listed, quoted, text_literal
 from rollmatch.functions.nulls import CONCAT_TOKENS, fill_keyed_rows, null_tokens
 from rollmatch.operators.order import BLOCK, ORDER, carry, fill_down
+from rollmatch.session import cut
 
 LIST_SEPARATOR = "/-/"
 
@@ -150,6 +152,34 @@ def roll_up_lists(df: DataFrame, fill_columns: Sequence[str], list_columns: Sequ
         f"CASE WHEN {quoted(key)} IS NOT NULL THEN {quoted(c)} END AS {quoted(c)}" for c in list_columns])
 
 
+def roll_up_items(df: DataFrame, fill_columns: Sequence[str], list_columns: Sequence[str], key: str, order: str = ORDER,
+                  word: str = "NA", block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """`roll_up_lists` for records of any length: (one row per record with its fill columns, its list items).
+
+    Items are rows (key, name of the list column, at = place in the list from 0, value), so no cell holds more than the
+    rows of one block. A list without values is one empty text; the record of null key has no items.
+    """
+    if key not in fill_columns:
+        raise ValueError(f"key column {key!r} must be one of the fill columns")
+    narrow = df.select(col(order), *cols(fill_columns), *cols(list_columns))
+    filled = cut(fill_down(fill_keyed_rows(narrow, key, word, only=[*fill_columns, *list_columns]), fill_columns, order))
+    records = filled.groupBy(col(key)).agg(F.expr(
+        f"min_by(struct({listed(c for c in fill_columns if c != key)}), {quoted(order)}) AS r"))
+    records = records.select(*[col(c) if c == key else F.col("r").getField(c).alias(c) for c in fill_columns])
+    pieces = cut(collect_pieces(filled.where(col(key).isNotNull()), [key], list_columns, order, block=block))
+    # A record has one row per block here, so its window is its number of rows over the block's size.
+    before = Window.partitionBy(col(key)).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.select("*", *[
+        F.coalesce(F.sum(F.size(col(c))).over(before), F.lit(0)).alias(f"__before{i}") for i, c in enumerate(list_columns)])
+    items = []
+    for i, c in enumerate(list_columns):
+        items.append(placed.select(col(key), F.lit(c).alias("name"), F.col(f"__before{i}").alias("b"), F.posexplode(col(c)).alias(
+            "p", "value")).select(col(key), "name", (F.col("b") + F.col("p")).cast("long").alias("at"), "value"))
+        none = pieces.groupBy(col(key)).agg(F.sum(F.size(col(c))).alias("n")).where("n = 0")
+        items.append(none.select(col(key), F.lit(c).alias("name"), F.lit(0).cast("long").alias("at"), F.lit("").alias("value")))
+    return records, reduce(DataFrame.unionAll, items)
+
+
 def roll_up_text(df: DataFrame, fill_columns: Sequence[str], concat_columns: Sequence[str], keep: Sequence[str],
                  key: str, order: str = ORDER, sep: str = ",", block: int = BLOCK,
                  tokens: Sequence[str] = CONCAT_TOKENS, feedback: Mapping[str, str] | None = None) -> DataFrame:

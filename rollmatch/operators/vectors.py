@@ -260,26 +260,26 @@ def retrieve_jobs(queries: DataFrame, nodes: DataFrame, k: int, key: str, vector
     """Ranked retrieval with metadata: (key, rank, <metadata columns>, score).
 
     `metadata` maps output columns to node columns. Queries that are not `searchable`, or find nothing, get k rows
-    of `default` (one value per output column) with score 0 when a default is given. Of several queries with one
-    key, one is answered. The nodes may be the result of joins; they are computed once.
+    of `default` (one value per output column) with score 0 when a default is given. Every query row is answered: of
+    several rows with one key, each by its own vector. The nodes may be the result of joins; they are computed once.
     """
-    queries = queries.dropDuplicates([key])
+    row, able = "__row", F.lit(True) if searchable is None else searchable
+    asked = cut(queries.select(col(key), col(vector), able.alias("__able"), F.monotonically_increasing_id().alias(row)))
     nodes = cut(nodes.select(*cols(dict.fromkeys([node_id, vector, *metadata.values()]))))
-    able = queries if searchable is None else queries.where(searchable)
-    hits = nearest(able, nodes, k, key, vector, node_id, vector, **options)
+    hits = nearest(asked.where("__able"), nodes, k, row, vector, node_id, vector, **options)
     described = hits.join(
         nodes.select(col(node_id).alias(f"near_{node_id}"), *[col(c).alias(o) for o, c in metadata.items()]),
         f"near_{node_id}")
-    found = described.select(col(key), "rank", *cols(metadata), "score")
+    found = described.select(row, "rank", *cols(metadata), "score")
+    keys = asked.select(row, col(key))
     if default is None:
-        return found
+        return found.join(keys, row).select(col(key), "rank", *cols(metadata), "score")
     shape = F.struct("rank", *cols(metadata), "score")
     blank = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.struct(
         i.alias("rank"), *[F.lit(default[o]).cast(found.schema[o].dataType).alias(o) for o in metadata],
         F.lit(0.0).alias("score")))
-    asked = queries.select(col(key).alias("__asked"))
-    filled = asked.join(found, F.col("__asked") == col(key), "left").select(
-        F.col("__asked").alias(key), F.explode(F.when(F.col("rank").isNull(), blank).otherwise(F.array(shape))).alias("r"))
+    filled = keys.join(found, row, "left").select(
+        col(key), F.explode(F.when(F.col("rank").isNull(), blank).otherwise(F.array(shape))).alias("r"))
     return filled.select(col(key), "r.*")
 
 

@@ -12,7 +12,7 @@ from rollmatch.operators.vectors import embed_text
 from rollmatch.plans import allocation, database, participants, requests, sync, tags
 from rollmatch.plans import layouts as L
 from rollmatch.queries.matching import NODES, VECTORS, job_nodes
-from rollmatch.queries.registry import query
+from rollmatch.queries.registry import ORACLES, query
 from rollmatch.queries.scalars import REPLY
 from rollmatch.session import load, scratch_path
 from rollmatch.sources.appendlog import read_appended
@@ -575,6 +575,17 @@ def g10_language_table(spark, sf):
     return run_sql(spark, "SELECT * FROM participants_languages")
 
 
+@query(ORACLES["g10_structured_table"])
+def g10_structured_rows(spark, sf):
+    """The same from list items, in blocks of fewer rows than most records have."""
+    return database.structured_rows(*database.participant_items(raw_participants(spark, sf), block=64))
+
+
+@query(ORACLES["g10_language_table"])
+def g10_language_rows(spark, sf):
+    return database.language_rows(*database.participant_items(raw_participants(spark, sf), block=64))
+
+
 UNSTRUCTURED_SQL = f"""WITH w AS ({WORDED}), f AS ({_fill_sql(['value', *L.ALLOCATION_COLUMNS], FILL, 'w')}),
     n AS (SELECT *, row_number() OVER (PARTITION BY "SP ID" ORDER BY _ord) AS rn FROM f WHERE "SP ID" IS NOT NULL)
     SELECT CAST("SP ID" AS BIGINT) AS "SP ID", {', '.join(

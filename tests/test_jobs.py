@@ -186,11 +186,13 @@ def test_requests_job_indexes_what_it_combines(spark, tmp_path):
     assert all(len(r["embedding"]) == 256 for r in nodes.values())
 
 
-def test_one_answer_per_query_key(spark):
-    asked = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0])], "k int, v array<double>")
-    nodes = spark.createDataFrame([("a", [1.0, 0.0], "t")], "id string, v array<double>, title string")
-    got = vectors.retrieve_jobs(asked, nodes, 2, "k", "v", "id", {"t": "title"}, default={"t": "none"})
-    assert sorted(r["k"] for r in got.collect()) == [1, 2]
+def test_every_query_row_is_answered(spark):
+    asked = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, None)], "k int, v array<double>")
+    nodes = spark.createDataFrame([("a", [1.0, 0.0], "right"), ("b", [0.0, 1.0], "up")], "id string, v array<double>, title string")
+    got = vectors.retrieve_jobs(asked, nodes, 1, "k", "v", "id", {"t": "title"}, default={"t": "none"})
+    assert rows(got, "k", "t") == [(1, "right"), (1, "up"), (2, "right"), (3, "none")]
+    plain = vectors.retrieve_jobs(asked, nodes, 1, "k", "v", "id", {"t": "title"})
+    assert rows(plain, "k", "t") == [(1, "right"), (1, "up"), (2, "right")]
 
 
 def test_search_texts_meet_the_corpus_in_its_own_weights(spark):

@@ -113,3 +113,24 @@ def test_count_report(table):
     assert rows(got) == [(2, 2, 4, 2)]
     empty = one.where(F.lit(False))
     assert rows(rollup.count_report(empty, empty, empty, "k")) == [(0, 0, 0, 0)]
+
+
+def test_items_are_the_lists_and_no_cell_is_long(spark, monkeypatch):
+    """A record of 30,000 rows among short ones: the same lists, from pieces of at most one block of rows."""
+    df = spark.range(30100).selectExpr(
+        "id AS _ord", "CASE WHEN id < 3 THEN NULL WHEN id < 30003 THEN IF(id = 3, 'big', NULL) WHEN id % 10 = 3 THEN concat('k', id) END AS k",
+        "IF(id % 7 = 0, NULL, IF(id % 11 = 0, concat('a', id, '/-/b'), CAST(id AS STRING))) AS v", "IF(id > 30050, 'x', NULL) AS w")
+    longest = []
+    whole = rollup.cut
+    monkeypatch.setattr(rollup, "cut", lambda d: longest.append(d) or whole(d))
+    records, items = rollup.roll_up_items(df, ["k"], ["v", "w"], "k", block=1000)
+    got = {}
+    for r in items.collect():
+        got.setdefault((r["k"], r["name"]), []).append((r["at"], r["value"]))
+    lists = {r["k"]: r for r in rollup.roll_up_lists(df, ["k"], ["v", "w"], "k").collect()}
+    assert rows(records, "k") == sorted([(k,) for k in lists], key=str)
+    assert None in lists and {k for k, _ in got} == set(lists) - {None}
+    for (k, name), held in got.items():
+        assert sorted(held) == list(enumerate(lists[k][name]))
+    pieces = next(d for d in longest if "piece" in d.columns)
+    assert pieces.selectExpr("max(size(v))").first()[0] <= 2 * 1000 and len(lists["big"]["v"]) > 25000
