@@ -102,3 +102,35 @@ def test_term_weights_and_dense_vectors(spark):
     assert got == {(1, "a"): round(2 * np.log(4 / 2), 6), (1, "b"): round(np.log(4 / 3), 6), (2, "b"): round(np.log(4 / 3), 6)}
     dense = {r["id"]: r["embedding"] for r in vectors.embed_text(docs, "id", "t", 8).collect()}
     assert set(dense) == {1, 2} and all(len(v) == 8 for v in dense.values())
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_a_query_is_sent_once_per_group_of_cells_and_few_pairs_are_scored_exactly(spark, metric, monkeypatch):
+    """Vectors without clusters: every query is compared with every one of some thirty cells."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=32).tolist()) for i in range(600)]
+    table = spark.createDataFrame(rows, "id bigint, v array<double>")
+    seen, meet = [], vectors._meet
+
+    def watched(visits, *rest):
+        seen.append(visits.count())
+        return meet(visits, *rest)
+
+    monkeypatch.setattr(vectors, "_meet", watched)
+    got = vectors.nearest(table, table, 3, "id", "v", "id", "v", metric, bound=0, block_bytes=8 * 32 * 20)
+    assert sorted((r[0], r[1], r[2], round(r[3], 8) + 0.0) for r in got.collect()) == brute(rows, rows, 3, metric)
+    assert sum(seen) <= 2 * 600
+
+    pairs, exact = [], vectors._exact
+
+    def counted(queries, items, q, i, metric):
+        pairs.append(len(q))
+        return exact(queries, items, q, i, metric)
+
+    monkeypatch.setattr(vectors, "_exact", counted)
+    matrix = vectors._matrix([r[1] for r in rows], metric == "cosine")
+    best = vectors._Best(matrix, 3, metric)
+    best.add(matrix, vectors._single(matrix, metric, True))
+    q, i, _, rank = best.rows()
+    assert sorted(zip(q.tolist(), rank.tolist(), i.tolist())) == [r[:3] for r in brute(rows, rows, 3, metric)]
+    assert sum(pairs) <= 4 * 600
