@@ -25,7 +25,7 @@ from rollmatch.session import cut, spread_small
 
 # Largest corpus, in bytes of doubles, that is sent to every task; the most bytes of items that a cell is meant to hold, and
 # that a task holds of several cells.
-CORPUS_BOUND = 128 * 1024 * 1024
+CORPUS_BOUND = 32 * 1024 * 1024
 BLOCK_BYTES = 128 * 1024 * 1024
 HELD_BYTES = 32 * 1024 * 1024
 # Cells, and visits that one task answers: items with more visits are copied to as many tasks as that takes.
