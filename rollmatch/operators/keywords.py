@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 from rollmatch.functions.columns import col
 from rollmatch.session import cut, spread_small
 
-# Bits of the array per keyword, and its largest size in bits (16 MB): beyond 8 million keywords more anchors pass it.
-SPARE = 16
+# Bits of the array per keyword, and its largest size in bits (16 MB): beyond 2 million keywords more anchors pass it.
+SPARE = 64
 MOST_BITS = 1 << 27
 
 # (shortest keyword length, substring length, window): a window of `window` substrings of that length fits
-# into every keyword at least that long, and its smallest hash is taken as an anchor of keyword and text.
-SCHEMES = tuple((n, n, 1) for n in range(1, 8)) + ((8, 4, 5), (32, 8, 25))
+# into every keyword at least that long, and its smallest hash is taken as an anchor of keyword and text. The substring is
+# as much of the keyword as sampling allows: a short one stands in many texts that do not hold the keyword, and those are
+# more with every keyword and every text.
+SCHEMES = tuple((n, n, 1) for n in range(1, 8)) + ((8, 7, 2), (16, 12, 5), (24, 16, 9), (32, 20, 13))
 
 
 def first_keyword(texts: DataFrame, text: str, keywords: DataFrame, keyword: str, position: str, key: str) -> DataFrame:

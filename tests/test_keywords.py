@@ -47,3 +47,18 @@ def test_few_anchors_of_texts_become_rows(spark, tmp_path):
     found = keywords.first_keyword(source, "text", words, "word", "pos", "id")
     assert rows(found) == sorted(((i, next(w for w in listed if w in t)) for i, t in enumerate(texts)
                                   if any(w in t for w in listed)), key=str)
+
+
+def test_candidates_of_short_keywords_are_texts_that_hold_most_of_them(spark):
+    """Keywords and texts of few syllables share all short substrings; candidates do not grow with every pair of them."""
+    rng = random.Random(9)
+    made = lambda n: "".join(rng.choice(("the", "ing", "on ", "and", "ea ", "re ")) for _ in range(n))
+    texts, listed = [made(150) for _ in range(100)], [made(9) for _ in range(100)]
+    source = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    words = spark.createDataFrame([(w, i) for i, w in enumerate(listed)], "word string, pos int")
+    chosen, used = keywords._chosen_anchors(words)
+    candidates = keywords._text_anchor_rows(source, chosen, used).join(chosen, "anchor").count()
+    assert candidates <= 400  # of 10,000 pairs
+    found = keywords.first_keyword(source, "text", words, "word", "pos", "id")
+    assert rows(found) == sorted(((i, next(w for w in listed if w in t)) for i, t in enumerate(texts)
+                                  if any(w in t for w in listed)), key=str)
