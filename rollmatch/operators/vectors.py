@@ -34,6 +34,8 @@ VISITS = 1_000_000
 PAIRS, MOST_TASKS = 200_000_000, 2000
 # What rounding can do to a distance, and to a score.
 SLACK, NEAR = 1e-6, 1e-8
+# Size of the texts whose words one task counts, as the table's files have it.
+PART_BYTES = 16 * 1024 * 1024
 # Numbers in one slice of a score matrix.
 SLICE = 4_000_000
 # Decimals that count when scores are compared, so that summation order cannot swap equal scores.
@@ -417,11 +419,19 @@ def retrieve_jobs(queries: DataFrame, nodes: DataFrame, k: int, key: str, vector
     return filled.select(col(key), "r.*")
 
 
+def _counts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(part, key, term, tf). The texts of a key move to one of as many parts as their size asks for; the words of a part are
+    counted where they are."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    n = max(docs.sparkSession.sparkContext.defaultParallelism, min(MOST_TASKS, math.ceil(size / PART_BYTES)))
+    moved = docs.select(col(key), col(text), F.pmod(F.xxhash64(col(key)), F.lit(n)).alias("__part")).repartition(n, "__part")
+    words = moved.select("__part", col(key), F.explode(F.split(F.lower(col(text)), r"\s+")).alias("term")).where(F.col("term") != "")
+    return words.groupBy("__part", col(key), "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf): how often each lower-case word stands in a text."""
-    words = spread_small(docs.select(col(key), col(text)), key).select(
-        col(key), F.explode(F.split(F.lower(col(text)), r"\s+")).alias("term")).where(F.col("term") != "")
-    return words.groupBy(col(key), "term").agg(F.count(F.lit(1)).alias("tf"))
+    return _counts(docs, key, text).drop("__part")
 
 
 def fit_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -439,12 +449,17 @@ def weigh_terms(docs: DataFrame, key: str, text: str, fitted: DataFrame) -> Data
 
 def term_weights(docs: DataFrame, key: str, text: str) -> DataFrame:
     """TF-IDF rows (key, term, weight): term count times ln((documents + 1) / (documents with the term + 1))."""
-    counts = term_counts(docs, key, text)
-    spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # A term meets its count as one row per part, with the keys that hold it, not as a row per key.
+    lists = _counts(docs, key, text).groupBy("__part", "term").agg(
+        F.collect_list(F.struct(col(key).alias("k"), "tf")).alias("found"))
     total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counts.join(spread, "term").select(
-        col(key), "term",
-        (F.col("tf") * F.ln((total + 1) / (F.col("df") + 1))).alias("weight"))
+    df = F.sum(F.size("k")).over(Window.partitionBy("term"))
+    # Keys and counts as two plain arrays take a third of the room of an array of rows.
+    lists = lists.select("term", F.transform("found", lambda f: f["k"]).alias("k"), F.transform("found", lambda f: f["tf"].cast(
+        "int")).alias("tf"))
+    weighed = lists.select("term", "k", "tf", F.ln((total + 1) / (df + 1)).alias("idf"))
+    return weighed.select("term", "idf", F.explode(F.arrays_zip("k", "tf")).alias("f")).select(
+        F.col("f.k").alias(key), "term", (F.col("f.tf") * F.col("idf")).alias("weight"))
 
 
 def hashed_vectors(weights: DataFrame, key: str, width: int = 256) -> DataFrame:

@@ -134,3 +134,16 @@ def test_a_query_is_sent_once_per_group_of_cells_and_few_pairs_are_scored_exactl
     q, i, _, rank = best.rows()
     assert sorted(zip(q.tolist(), rank.tolist(), i.tolist())) == [r[:3] for r in brute(rows, rows, 3, metric)]
     assert sum(pairs) <= 4 * 600
+
+
+def test_a_term_meets_its_count_as_one_row_per_part(spark):
+    """No exchange is of one row per text and term: texts move once, then lists of the texts that hold a term."""
+    docs = spark.createDataFrame([(i, f"the word w{i} the") for i in range(50)] + [(3, "word again"), (None, "the lone"), (None, "lone")],
+                                 "id bigint, text string")
+    made = vectors.term_weights(docs, "id", "text")
+    plan = made._jdf.queryExecution().sparkPlan().toString() + made._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert moved and not any("id#" in line.split("hashpartitioning")[1].split(")")[0] for line in moved if "hashpartitioning" in line)
+    got = {(r["id"], r["term"]): round(r["weight"], 9) for r in made.collect()}
+    assert got[0, "the"] == round(2 * np.log(54 / 52), 9) and got[3, "word"] == round(2 * np.log(54 / 51), 9)
+    assert got[3, "again"] == round(np.log(54 / 2), 9) and got[None, "lone"] == round(2 * np.log(54 / 2), 9) and len(got) == 153
