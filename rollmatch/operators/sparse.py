@@ -19,10 +19,15 @@ from rollmatch.session import cut
 COMPARED, SLACK = 9, 1e-9
 
 
-def unit_weights(weights: DataFrame, key: str) -> DataFrame:
-    """(key, term, w): weights of each text divided by their length; terms of weight zero are left out."""
+def unit_weights(weights: DataFrame, key: str, terms: DataFrame | None = None) -> DataFrame:
+    """(key, term, w): weights of each text divided by their length; terms of weight zero are left out.
+
+    The weights are read twice. With `terms`, only rows of these terms are made, each by the length of its whole text.
+    """
     positive = weights.where("weight > 0")
     lengths = positive.groupBy(col(key).alias("__k")).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("__n"))
+    if terms is not None:
+        positive = positive.join(terms, "term", "left_semi")
     return positive.join(lengths, col(key).eqNullSafe(F.col("__k"))).select(
         col(key), "term", (F.col("weight") / F.col("__n")).alias("w"))
 
@@ -59,7 +64,9 @@ def nearest_by_terms(queries: DataFrame, items: DataFrame, k: int, query_id: str
     """
     asked = cut(unit_weights(queries.where(col(query_id).isNotNull()), query_id).select(
         col(query_id).alias("q"), "term", "w"))
-    held = cut(unit_weights(items.where(col(item_id).isNotNull()), item_id).select(
+    # Of the items, only terms that are asked for can add to a score.
+    weights = cut(items.where(col(item_id).isNotNull() & (F.col("weight") > 0)))
+    held = cut(unit_weights(weights, item_id, asked.select("term").distinct()).select(
         col(item_id).alias("i"), "term", F.col("w").alias("v")))
     terms = cut(with_reach(asked, held, lower_bounds(asked, held, k)))
     first = terms.where("needed").join(held, "term").groupBy("q", "i").agg(

@@ -62,3 +62,22 @@ def test_frequent_terms_bring_no_candidates(spark):
     assert met <= 2 * 20
     got = sparse.nearest_by_terms(q, i, 1, "id", "id").collect()
     assert sorted((r[0], r[2]) for r in got) == [(n, n) for n in range(20)]
+
+
+def test_only_terms_that_are_asked_for_are_kept_of_the_items(spark, monkeypatch):
+    """Lengths are of whole texts all the same."""
+    kept, cut = [], sparse.cut
+
+    def watched(df):
+        made = cut(df)
+        kept.append((made.columns, made))
+        return made
+
+    monkeypatch.setattr(sparse, "cut", watched)
+    items = spark.createDataFrame(
+        [(i, t, 1.0) for i in range(20) for t in ("a", "b", f"own {i}", f"more {i}")], "id bigint, term string, weight double")
+    queries = spark.createDataFrame([(7, "own 3", 2.0), (7, "absent", 2.0)], "id bigint, term string, weight double")
+    got = sparse.nearest_by_terms(queries, items, 2, "id", "id").collect()
+    assert [(r[0], r[1], r[2], round(r[3], 9)) for r in got] == [(7, 1, 3, round(0.5 / 2 ** 0.5, 9))]
+    held = [made.count() for names, made in kept if names == ["i", "term", "v"]]
+    assert held == [1]
