@@ -186,3 +186,22 @@ def test_files_with_line_breaks_in_cells_are_split(spark, table, tmp_path, limit
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert limit > 1000 or tasks > 3  # several tasks a file
+
+
+def test_lines_of_a_tab_are_not_shuffled(spark, tmp_path):
+    """Only lines of cells that hold line breaks leave the task that read them; the rows are those of one reader for all."""
+    cells = [str(i) if i % 40 else f'{i}\n\n""x' for i in range(400)]
+    (tmp_path / "a.csv").write_text("id,v,w\n" + "".join(f'{i},"{c}",{w}\n' for i, (c, w) in enumerate(zip(cells, ['nan', '""', '', 'w'] * 100))))
+    (tmp_path / "b.csv").write_text("id,v,w\r\n400,y,z\r\n")
+    with_splits = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        tab = tabs.read_tab(spark, str(tmp_path))
+        plan = tab._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted(tuple(r) for r in tab.select("_ord", "id", "v", "w").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", with_splits)
+    words = [None, None, None, "w"]
+    assert got == [(i, str(i), c.replace('""', '"'), words[i % 4]) for i, c in enumerate(cells)] + [(400, "400", "y", "z")]
+    # Windows run over one row per split, never over lines.
+    assert not any("line#" in step for step in plan.splitlines() if "Window [" in step)
