@@ -25,6 +25,7 @@ from rollmatch.session import cut
 
 FEATURES = 1 << 14
 TARGETS = 8192
+PART = 256   # rows of a batch whose texts are in a worker's memory at a time
 FEW = 4096  # values among which the last step of the search for the threshold sorts
 
 
@@ -35,6 +36,13 @@ def buckets(texts: Sequence[str | None]) -> Iterator[np.ndarray]:
         yield (mixed(np.concatenate([words, pairs])) % np.uint64(FEATURES)).astype(np.int64)
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of so many rows at most: a worker's memory follows their texts, not those of a whole batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fit(docs: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
     """Log ratios of target and raw probability of each bucket. good: a column `good_id`, at most TARGETS rows.
 
@@ -45,7 +53,7 @@ def fit(docs: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(FEATURES, dtype=np.int64), np.zeros(FEATURES, dtype=np.int64)
-        for batch in batches:
+        for batch in _parts(batches, PART):
             for found, is_good in zip(buckets(batch.column("t").to_pylist()), batch.column("good").to_pylist()):
                 counts = np.bincount(found, minlength=FEATURES) if len(found) > FEATURES // 8 else None
                 for sums in (raw, target) if is_good else (raw,):
@@ -72,7 +80,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray, carry: Sequence[str], id_col: str
     rows = docs.select(own.alias(ROW), docs[text_col].alias("t"), F.xxhash64(docs[id_col], docs[text_col], F.lit(seed)).alias("h"))
 
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, PART):
             weight = np.array([ratios[found].sum() for found in buckets(batch.column("t").to_pylist())], dtype=float)
             noise = -np.log(-np.log(unit_interval(mixed(batch.column("h").to_numpy().astype(np.uint64)))))
             yield pa.RecordBatch.from_pydict({ROW: batch.column(ROW), "log_weight": pa.array(weight),

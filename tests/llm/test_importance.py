@@ -44,6 +44,22 @@ def test_good_documents_weigh_more(spark, table):
     assert all(abs(again[i] - got[i].noisy) < 1e-9 for i in got)
 
 
+def test_texts_are_held_part_by_part(spark, table, monkeypatch):
+    rng = random.Random(6)
+    docs = table([(i, prose(rng, 40)) for i in range(300)] + [(None, None)] * 3, "doc_id long, text string").coalesce(1)
+    labels = table([(i, 1, 0) for i in range(0, 300, 7)], LABELS)
+    whole = sorted((r.doc_id or -1, round(r.noisy, 9), r.kept) for r in I.resample(docs, labels, share=0.4).collect())
+    held = I.buckets
+
+    def few(texts):
+        assert len(texts) <= 16
+        return held(texts)
+
+    monkeypatch.setattr(I, "buckets", few)
+    monkeypatch.setattr(I, "PART", 16, raising=False)
+    assert whole == sorted((r.doc_id or -1, round(r.noisy, 9), r.kept) for r in I.resample(docs, labels, share=0.4).collect())
+
+
 def test_noise_is_gumbel():
     u = I.unit_interval(mixed(np.arange(200_000, dtype=np.uint64)))
     noise = -np.log(-np.log(u))
