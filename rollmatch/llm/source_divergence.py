@@ -12,7 +12,9 @@ Three things keep this cheap and bounded, and change no result:
   at most a third of the text in it, and in a natural language far less. Slices share no terms; together they cover all.
 * A text's terms are handed over once per binary digit of their counts, and its vector is the sum of 2^k times the vector
   of digit k. For the fit, texts worked on together are handed over as `min_df` layers, layer j with the terms that
-  more than j of them hold: whether at least `min_df` texts hold a term is seen as well from these.
+  more than j of them hold: whether at least `min_df` texts hold a term is seen as well from these. The layers of all
+  texts meet by the hash of their terms and are layered again, so that the fit counts a term `min_df` times at most.
+* Sums of vectors leave a task as arrays, one for a source and BLOCK numbers of terms, and are added up as arrays.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,13 +37,16 @@ MIN_DF = 3
 SLICE_BYTES = 512 << 20   # of text
 MOST_SLICES = 4096
 FLUSH_BYTES = 8 << 20     # of text worked on at a time
-FLUSH_ENTRIES = 4_000_000  # of vectors added up at a time
+FLUSH_ENTRIES = 4_000_000  # of vectors added up, or of layers met, at a time
+CELLS = 128               # parts of a slice in which the layers of terms meet
+BLOCK_BITS = 14
 MOST_TERMS = 2 ** 31 - 1
 SCALE = 1_000_000_000
 TOP = 200
 FIT, VECTOR = 0, 1
 TERMS = "kind int, slice int, lang string, source string, weight long, terms array<string>"
-SUMS = "lang string, source string, index int, n long"
+PACKED = "lang string, source string, block int, index array<int>, n array<long>"
+SUMS = "lang string, source string, id long, n long"
 
 # A to Z become small letters, letters and all bytes beyond ASCII stay, everything else separates terms.
 _LETTERS = bytes(c | 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -72,19 +77,34 @@ def _runs(key: np.ndarray, codes: np.ndarray, tagged: pa.Array) -> tuple[np.ndar
     return starts, pa.ListArray.from_arrays(pa.array(np.append(starts, len(codes)), pa.int32()), tagged.take(pa.array(codes)))
 
 
-def _handed_over(found: list[list[bytes]], tag: str, slices: int, min_df: int):
-    """(kind, slice, document, weight, terms) columns for some texts of one language."""
-    lengths = np.array([len(f) for f in found], dtype=np.int64)
-    coded = pa.array([t for f in found for t in f], pa.binary()).dictionary_encode()
-    known = coded.dictionary.to_pylist()
-    part = np.array([zlib.crc32(t) % slices for t in known], dtype=np.int64)
-    # Terms are numbered slice by slice, so that a text's sorted terms lie slice by slice.
-    order = np.argsort(part, kind="stable")
+def _layers(texts: np.ndarray, min_df: int) -> Iterator[np.ndarray]:
+    """Layer by layer, the places of the terms that more texts hold than there are layers before."""
+    for layer in range(min(min_df, int(texts.max()))):
+        yield np.flatnonzero(texts > layer)
+
+
+def _split(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """The number of its text, and the term, of each occurrence."""
+    found = pc.ascii_split_whitespace(pa.array([t.translate(_LETTERS) for t in texts], pa.string()))
+    terms = found.flatten()
+    filled = pc.greater(pc.binary_length(terms), 0)
+    document = np.repeat(np.arange(len(texts)), found.value_lengths().to_numpy(zero_copy_only=False))
+    return document[filled.to_numpy(zero_copy_only=False)], terms.filter(filled)
+
+
+def _handed_over(document: np.ndarray, terms: pa.Array, tag: str, slices: int, min_df: int):
+    """(kind, slice, document, weight, terms) columns for some texts of one language; weight is the cell in the layers."""
+    coded = terms.dictionary_encode()
+    known = coded.dictionary
+    hashed = np.array([zlib.crc32(t) for t in known.cast(pa.binary()).to_pylist()], dtype=np.int64)
+    # Terms are numbered slice by slice, and cell by cell in it, so that a text's sorted terms lie slice by slice.
+    cell = hashed % slices * CELLS + hashed // slices % CELLS
+    order = np.argsort(cell, kind="stable")
     number = np.empty(len(order), dtype=np.int64)
     number[order] = np.arange(len(order))
-    part = part[order]
-    tagged = pa.array([known[i].decode() + tag for i in order.tolist()], pa.string())
-    document = np.repeat(np.arange(len(lengths)), lengths)
+    cell = cell[order]
+    part = cell // CELLS
+    tagged = pc.binary_join_element_wise(known.take(pa.array(order)), tag, "")
     held, times = np.unique(document * len(known) + number[coded.indices.to_numpy()], return_counts=True)
     document, code = held // len(known), held % len(known)
     for k in range(int(times.max()).bit_length()):
@@ -92,11 +112,9 @@ def _handed_over(found: list[list[bytes]], tag: str, slices: int, min_df: int):
         key = document[rows] * slices + part[code[rows]]
         starts, lists = _runs(key, code[rows], tagged)
         yield VECTOR, key[starts] % slices, key[starts] // slices, 1 << k, lists
-    texts = np.bincount(code, minlength=len(known))
-    for layer in range(min(min_df, int(texts.max()))):
-        rows = np.flatnonzero(texts > layer)
-        starts, lists = _runs(part[rows], rows, tagged)
-        yield FIT, part[rows][starts], np.zeros(len(starts), np.int64), 0, lists
+    for rows in _layers(np.bincount(code, minlength=len(known)), min_df):
+        starts, lists = _runs(cell[rows], rows, tagged)
+        yield FIT, part[rows][starts], np.zeros(len(starts), np.int64), cell[rows][starts] % CELLS, lists
 
 
 def tagged_terms(docs: DataFrame, slices: int, min_df: int = MIN_DF, text_col: str = "text", lang_col: str = "lang",
@@ -112,15 +130,15 @@ def tagged_terms(docs: DataFrame, slices: int, min_df: int = MIN_DF, text_col: s
             for i, lang in enumerate(langs):
                 by_lang.setdefault(lang, []).append(i)
             for lang, rows in by_lang.items():
-                found = [texts[i].translate(_LETTERS).split() for i in rows]
-                if not any(found):
+                occurring, found = _split([texts[i] for i in rows])
+                if not len(found):
                     continue
                 named = pa.array([sources[i] for i in rows], pa.string())
-                for kind, part, document, weight, lists in _handed_over(found, "\t" + lang, slices, min_df):
+                for kind, part, document, weight, lists in _handed_over(occurring, found, "\t" + lang, slices, min_df):
                     n = len(lists)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(n, kind, np.int32)), pa.array(part.astype(np.int32)), pa.array([lang] * n, pa.string()),
-                         named.take(pa.array(document)), pa.array(np.full(n, weight, np.int64)), lists],
+                         named.take(pa.array(document)), pa.array(np.broadcast_to(np.int64(weight), n)), lists],
                         names=["kind", "slice", "lang", "source", "weight", "terms"])
 
     text = [F.coalesce(col(c).cast("string"), F.lit("")) for c in (lang_col, source_col, text_col)]
@@ -132,8 +150,32 @@ def _slices(docs: DataFrame, text_col: str = "text") -> int:
     return max(1, min(MOST_SLICES, -(-size // SLICE_BYTES)))
 
 
+def _met(layers: DataFrame, min_df: int) -> DataFrame:
+    """Layers again, of the terms of all texts: one of `min_df` texts or more is in `min_df` of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] = []
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            coded = pa.concat_arrays(held).dictionary_encode()
+            held.clear()
+            if len(coded):
+                for rows in _layers(np.bincount(coded.indices.to_numpy()), min_df):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), coded.dictionary.take(pa.array(rows)))],
+                        names=["terms"])
+
+        for batch in batches:
+            held.append(batch.column(0).flatten())
+            if sum(map(len, held)) >= FLUSH_ENTRIES:
+                yield from flushed()
+        if held:
+            yield from flushed()
+
+    return layers.repartition("weight").select("terms").mapInArrow(run, "terms array<string>")
+
+
 def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of sparse vectors per language and source."""
+    """Sums of sparse vectors per language and source, as arrays."""
     groups: dict[tuple[str, str], int] = {}
     keys, counts, held = [], [], 0
 
@@ -145,16 +187,20 @@ def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = key[order]
             starts = np.flatnonzero(np.diff(key, prepend=-1))
             sums, key = np.add.reduceat(count[order], starts), key[starts]
-            owner = pa.array(key >> 32)
+            first = np.flatnonzero(np.diff(key >> BLOCK_BITS, prepend=-1))
+            owner = pa.array(key[first] >> 32)
             names = [pa.array([g[i] for g in groups], pa.string()).take(owner) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*names, pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)],
-                                             names=["lang", "source", "index", "n"])
+            index = (key & 0xFFFFFFFF).astype(np.int32)
+            bounds = pa.array(np.append(first, len(key)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*names, pa.array(index[first] >> BLOCK_BITS), pa.ListArray.from_arrays(bounds, pa.array(index)),
+                 pa.ListArray.from_arrays(bounds, pa.array(sums))], names=["lang", "source", "block", "index", "n"])
         keys, counts, held = [], [], 0
 
     for batch in batches:
         lang, source, weight, indices, values = batch.columns
         group = np.array([groups.setdefault(g, len(groups)) for g in zip(lang.to_pylist(), source.to_pylist())], dtype=np.int64)
-        n = pa.compute.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64)
+        n = pc.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64)
         keys.append(np.repeat(group << 32, n) | indices.flatten().to_numpy())
         counts.append(np.repeat(weight.to_numpy(), n) * values.flatten().to_numpy().astype(np.int64))
         held += int(n.sum())
@@ -163,24 +209,50 @@ def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flushed()
 
 
+def _summed(packed: DataFrame, number: int) -> DataFrame:
+    """(lang, source, id, n) of a slice from its arrays; a task holds one block of one source at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sums = None, np.zeros(1 << BLOCK_BITS, dtype=np.int64)
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            used = np.flatnonzero(sums)
+            if len(used):
+                names = [pa.repeat(pa.scalar(name, pa.string()), len(used)) for name in at[:2]]
+                ids = used + ((number << 32) + (at[2] << BLOCK_BITS))
+                yield pa.RecordBatch.from_arrays([*names, pa.array(ids), pa.array(sums[used])], names=["lang", "source", "id", "n"])
+            sums[:] = 0
+
+        for batch in batches:
+            lang, source, block, index, n = batch.columns
+            bounds, index, n = np.append(0, np.cumsum(index.value_lengths())), index.flatten().to_numpy(), n.flatten().to_numpy()
+            for i, key in enumerate(zip(lang.to_pylist(), source.to_pylist(), block.to_pylist())):
+                if key != at:
+                    yield from flushed()
+                    at = key
+                own = slice(bounds[i], bounds[i + 1])
+                sums[index[own] & ((1 << BLOCK_BITS) - 1)] += n[own]  # an array holds a number once
+        yield from flushed()
+
+    key = ["lang", "source", "block"]
+    return packed.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, SUMS)
+
+
 def _slice_tables(fit: DataFrame, vectors: DataFrame, number: int, min_df: int) -> tuple[DataFrame, DataFrame]:
     """(lang, source, id, n), the sums of a slice's vectors, and (id, term), its vocabulary."""
     spark = fit.sparkSession
     # An empty term in enough rows: a fit of terms that are all too rare would otherwise be an error.
     guard = spark.range(min_df).select(F.array(F.lit("")).alias("terms"))
     fitted = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MOST_TERMS).fit(
-        fit.select("terms").unionByName(guard))
+        _met(fit, min_df).unionByName(guard))
     # The model's own file, so that the vocabulary does not pass through Python.
     saved = scratch_path(spark, "model")
     fitted.save(saved)
     vocabulary = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("index", "tagged")).select(
         (F.col("index") + F.lit(number << 32)).alias("id"), F.substring_index("tagged", "\t", 1).alias("term"))
     vector = F.unwrap_udt("vector")
-    sums = (fitted.transform(vectors).select("lang", "source", "weight", vector["indices"].alias("indices"),
-                                             vector["values"].alias("values")).mapInArrow(_added_up, SUMS)
-            .groupBy("lang", "source", "index").agg(F.sum("n").alias("n")))
-    return (sums.select("lang", "source", (F.col("index") + F.lit(number << 32)).alias("id"), "n"),
-            vocabulary.where("term <> ''"))
+    packed = fitted.transform(vectors).select("lang", "source", "weight", vector["indices"].alias("indices"),
+                                              vector["values"].alias("values")).mapInArrow(_added_up, PACKED)
+    return _summed(packed, number), vocabulary.where("term <> ''")
 
 
 def term_counts(docs: DataFrame, min_df: int = MIN_DF, slices: int | None = None, **columns: str) -> tuple[DataFrame, DataFrame]:
@@ -221,7 +293,7 @@ def group_sizes(docs: DataFrame, counts: DataFrame, scale: int = SCALE, add: int
     text = [F.coalesce(col(c).cast("string"), F.lit("")) for c in (lang_col, source_col)]
     groups = cut(docs.select(text[0].alias("lang"), text[1].alias("source")).distinct()).withColumn(
         "group", F.monotonically_increasing_id())
-    terms = counts.groupBy("lang", "id").agg(F.sum("n").alias("n"))
+    terms = cut(counts.groupBy("lang", "id").agg(F.sum("n").alias("n")))
     langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n"))
     own = counts.groupBy("lang", "source").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("used"))
     sized = (groups.join(own, ["lang", "source"], "left").join(langs.select("lang", "v"), "lang", "left")

@@ -61,3 +61,22 @@ def test_only_the_top_terms_and_terms_of_each_slice_once(table):
     assert counts.select("id").distinct().count() == vocabulary.select("term").distinct().count() == vocabulary.count() == 401
     got = sorted(map(tuple, S.audit(df, top=3).collect()))
     assert got == brute(rows, top=3) and max(r[5] for r in got if r[2] == "term") <= 3
+
+
+def test_layers_of_all_texts_meet(table):
+    df = table(mixed_rows(), "doc_id long, text string, lang string, source string").repartition(5)
+    layers = S.tagged_terms(df, 1).where("kind = 0").select("weight", "terms").cache()
+    met = Counter(t for r in S._met(layers, 3).collect() for t in r.terms)
+    handed = Counter(t for r in layers.collect() for t in r.terms)
+    assert met == {t: min(n, 3) for t, n in handed.items()} and max(handed.values()) > 3
+
+
+def test_sums_of_several_blocks(table, monkeypatch):
+    words = " ".join("w" + "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(17_000))
+    rows = [(i, words + " waaaa" * i, "en", "ab"[i % 2]) for i in range(4)] + [(9, "waaaa", "en", None)]
+    packed = []
+    monkeypatch.setattr(S, "_summed", lambda made, number, held=S._summed: packed.append(made) or held(made, number))
+    df = table(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    assert sorted(map(tuple, S.audit(df, top=5).collect())) == brute(rows, top=5)
+    found = packed[0].collect()
+    assert {r.block for r in found} == {0, 1} and all({i >> S.BLOCK_BITS for i in r.index} == {r.block} for r in found)
