@@ -79,4 +79,4 @@ def test_sums_of_several_blocks(table, monkeypatch):
     df = table(rows, "doc_id long, text string, lang string, source string").repartition(3)
     assert sorted(map(tuple, S.audit(df, top=5).collect())) == brute(rows, top=5)
     found = packed[0].collect()
-    assert {r.block for r in found} == {0, 1} and all({i >> S.BLOCK_BITS for i in r.index} == {r.block} for r in found)
+    assert {r.block for r in found} == {0, 1} and all({i >> S.BLOCK_BITS for i in r["index"]} == {r.block} for r in found)
