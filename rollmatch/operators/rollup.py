@@ -29,10 +29,16 @@ def fill_records(df: DataFrame, key: str, order: str = ORDER, dedupe: bool = Tru
     data = [c for c in df.columns if c != order]
     empty = _empty_to_null(df)
     has_key = f"nullif(CAST({quoted(key)} AS STRING), '') IS NOT NULL"
-    carried = carry(df, {"__head": f"CASE WHEN {has_key} THEN struct({listed(data)}) END"}, order, (), partitions)
-    filled = carried.selectExpr(quoted(order), *[
-        f"CASE WHEN {has_key} OR __head IS NULL THEN {quoted(c)} ELSE coalesce({empty[c]}, __head.{quoted(c)}) END AS {quoted(c)}"
-        for c in data])
+    # Rows without a key that all come before the keyed ones, as after a fill-down of the key, have nothing to take.
+    nothing = df.agg(F.expr(
+        f"count({quoted(order)}) = count(1) AND coalesce(max(CASE WHEN NOT ({has_key}) THEN {quoted(order)} END) "
+        f"< min(CASE WHEN {has_key} THEN {quoted(order)} END), true)")).first()[0]
+    filled = df
+    if not nothing:
+        carried = carry(df, {"__head": f"CASE WHEN {has_key} THEN struct({listed(data)}) END"}, order, (), partitions)
+        filled = carried.selectExpr(quoted(order), *[
+            f"CASE WHEN {has_key} OR __head IS NULL THEN {quoted(c)} ELSE coalesce({empty[c]}, __head.{quoted(c)}) END AS {quoted(c)}"
+            for c in data])
     return filled.select(*cols(data)).distinct() if dedupe else filled.select(*cols(df.columns))
 
 

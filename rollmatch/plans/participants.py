@@ -14,7 +14,7 @@ from rollmatch.operators.order import ORDER, fill_down
 from rollmatch.operators.rollup import fill_records, last_answers, roll_up_lists, roll_up_text
 from rollmatch.operators.schema import require, select_exact
 from rollmatch.plans import layouts as L
-from rollmatch.session import cut
+from rollmatch.session import cut, short_methods
 
 
 def rolled_participants(export: DataFrame, center: str, answers: Sequence[str] = (), include_feedback: bool = False,
@@ -48,7 +48,8 @@ def roll_up_participants(
     filled_layout = L.filled_columns(center)
     require(export, [*rolled_layout, *filled_layout])
     narrow = export.select(col(order), *cols(dict.fromkeys([*rolled_layout, *filled_layout])))
-    filled = cut(fill_down(narrow, L.PARTICIPANT_FILL, order))
+    with short_methods(export.sparkSession):
+        filled = cut(fill_down(narrow, L.PARTICIPANT_FILL, order))
     copy = fill_records(filled.select(col(order), *cols(filled_layout)), L.KEY, order)
     return _rolled(filled, rolled_layout, include_feedback, order), copy
 

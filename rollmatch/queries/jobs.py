@@ -45,8 +45,10 @@ EXPORT_COLUMNS = list(dict.fromkeys([*ROLLED, *FILLED]))
 EXPORT = [(c, _cell(i, c)) for i, c in enumerate(EXPORT_COLUMNS)]
 
 
-def export(spark, sf):
-    return load(spark, sf, "events").selectExpr(
+def export(spark, sf, in_order=False):
+    """The export's rows; in row order on request, for which the events are sorted before they become wide rows."""
+    events = load(spark, sf, "events")
+    return (events.orderBy("event_id") if in_order else events).selectExpr(
         f"event_id AS {ORDER}", *[f"{expr} AS {quoted(name)}" for name, expr in EXPORT])
 
 

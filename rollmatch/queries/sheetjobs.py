@@ -36,7 +36,7 @@ def _cells_sql(columns, sql):
 
 def _rolled(spark, sf):
     at = _places(S.ParticipantSheets, spark)
-    write_tab(J.export(spark, sf), at.export, order=ORDER)
+    write_tab(J.export(spark, sf, in_order=True).drop(ORDER), at.export)
     S.publish_rolled(spark, at, J.CENTER, J.ANSWERS)
     return at
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rollmatch.functions.columns import col, cols, quoted
 from rollmatch.operators.merge import strict_append_rows
-from rollmatch.session import cut
+from rollmatch.session import cut, short_methods
 from rollmatch.sources.appendlog import AppendLog, Entry
 from rollmatch.sources.tabs import CSV_OPTIONS
 from rollmatch.sources.versions import STAMP, VERSION_PREFIX, names_below, next_version, stamped
@@ -37,7 +37,8 @@ def _in_order(df: DataFrame, order: str | None) -> DataFrame:
 
 def _csv(df: DataFrame, base: str) -> str:
     path = next_version(df.sparkSession, base)
-    df.write.options(**CSV_OPTIONS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    with short_methods(df.sparkSession):
+        df.write.options(**CSV_OPTIONS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
     return path
 
 

@@ -37,6 +37,18 @@ def test_fill_records(export, block):
     assert rows(rollup.fill_records(export, "id", partitions=block)) == sorted(set(record_fill(EXPORT)), key=str)
 
 
+def test_fill_records_moves_no_rows_where_nothing_is_taken(spark, table):
+    filled = table([(1, None, "x"), (2, "a", None), (3, "a", ""), (4, "b", "y")], "_ord long, id string, v string")
+    made = rollup.fill_records(filled, "id", dedupe=False)
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert rows(made) == rows(filled)
+    # A keyless row after a keyed one, or a row without a place, and the values are carried.
+    for more in ([(5, "", "")], [(5, None, None)]):
+        wanted = rollup.fill_records(filled.union(table(more, filled.schema)), "id", dedupe=False)
+        assert ("b", "y") in rows(wanted.where("_ord = 5"), "id", "v")
+    assert "Window" in rollup.fill_records(filled.union(table([(None, "c", "z")], filled.schema)), "id")._jdf.queryExecution().toString()
+
+
 def test_fill_down_leaks_across_records_unless_kept_within(export):
     keyed = fill_down(rollup.null_tokens(export, ("",)), ["id"])
     leaky = {r["_ord"]: r["sex"] for r in fill_down(keyed, ["sex"]).collect()}

@@ -4,9 +4,13 @@ import pytest
 from helpers import rows
 
 from rollmatch.functions.columns import cols
+from rollmatch.operators.order import ORDER
 from rollmatch.plans import layouts as L
 from rollmatch.plans import sheets
+from rollmatch.plans.participants import roll_up_participants
 from rollmatch.plans.stages import Stages
+from rollmatch.queries import jobs
+from rollmatch.session import short_methods
 from rollmatch.sources.appendlog import AppendLog, read_appended
 from rollmatch.sources.sinks import write_tab
 from rollmatch.sources.tabs import read_tab
@@ -101,6 +105,37 @@ def test_requests_job_replaces_main_and_appends_once(spark, tmp_path):
     assert {r["Job Title"] for r in nodes.collect()} == {"Cook", "Clerk", "Old", "Helper"}
 
 
+def test_export_is_sorted_before_its_rows_are_wide(spark, tmp_path):
+    events = [(i, i % 3, "view" if i % 2 else "click", float(i), "p") for i in (7, 1, 5, 0, 3, 6, 2, 4)]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, value double, props string").repartition(
+        3).write.parquet(str(tmp_path / "events.parquet"))
+    made = jobs.export(spark, str(tmp_path), in_order=True)
+    assert [r[ORDER] for r in made.collect()] == list(range(8))
+    assert rows(made) == rows(jobs.export(spark, str(tmp_path)))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Project") < plan.index("Sort") and "view" not in plan[plan.index("Sort"):]
+    write_tab(made.drop(ORDER), str(tmp_path / "tab"))
+    wide = jobs.export(spark, str(tmp_path))
+    write_tab(wide, str(tmp_path / "sorted"), order=ORDER)
+    assert rows(read_tab(spark, str(tmp_path / "tab"))) == rows(read_tab(spark, str(tmp_path / "sorted")))
+
+
+def test_wide_rows_are_written_by_methods_that_are_compiled(spark, table, tmp_path, monkeypatch):
+    key, limits = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(key)
+    writer = type(table([], "a string").write)
+    monkeypatch.setattr(writer, "csv", lambda self, path, f=writer.csv: (limits.append(spark.conf.get(key)), f(self, path))[1])
+    monkeypatch.setattr(writer, "parquet", lambda self, path, f=writer.parquet: (limits.append(spark.conf.get(key)), f(self, path))[1])
+    write_tab(table([("a",)], "v string"), str(tmp_path / "tab"))
+    at = participants(spark, str(tmp_path / "sheets"))
+    roll_up_participants(read_tab(spark, at.export), CENTER)
+    assert limits[0] == "8000" and limits[-1] == "8000" and spark.conf.get(key) == before
+    with pytest.raises(ZeroDivisionError):
+        with short_methods(spark):
+            1 / 0
+    assert spark.conf.get(key) == before
+
+
 def test_a_stage_is_done_once_per_run(spark, tmp_path):
     calls = []
     for run in ("a", "a", "b"):
